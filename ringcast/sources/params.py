@@ -46,8 +46,13 @@ class ParamError(ValueError):
     pass
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines of text files with ``file`` and 1-based ``line`` numbers."""
+def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFrame:
+    """Non-blank lines of text files with ``file`` and 1-based ``line`` numbers.
+
+    With ``rebalance`` the numbered lines are spread over the cluster's cores
+    (one shuffle of the text), so the JSON checks that follow do not run in
+    the few tasks a small file gets.
+    """
     raw = (spark.read.text(path)
            .select(F.col("_metadata.file_path").alias("file"),
                    F.spark_partition_id().alias("pid"),
@@ -58,19 +63,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                 .agg(F.min("mid").alias("seg_start"), F.count(F.lit(1)).alias("seg_rows")))
     before = Window.partitionBy("file").orderBy("seg_start").rowsBetween(
         Window.unboundedPreceding, -1)
-    segments = segments.withColumn("rows_before", F.coalesce(F.sum("seg_rows").over(before),
-                                                             F.lit(0)))
-    lines = (raw.join(segments, ["file", "pid"])
-             .select("file",
-                     (F.col("mid") - F.col("seg_start") + F.col("rows_before") + 1).alias("line"),
-                     "value"))
-    files = lines.select("file").distinct().withColumn(
-        "file_no", F.dense_rank().over(Window.orderBy("file")) - 1)
-    return (lines.filter(F.trim(F.col("value")) != "")
-            .join(files, "file")
-            .select("file", "line",
-                    (F.col("file_no").cast("bigint") * F.lit(2 ** 32) + F.col("line")).alias("param_set"),
-                    F.col("value").alias("text")))
+    file_no = F.dense_rank().over(Window.orderBy("file")) - 1  # over the small split table
+    segments = segments.select(
+        "file", "pid", "seg_start",
+        F.coalesce(F.sum("seg_rows").over(before), F.lit(0)).alias("rows_before"),
+        file_no.cast("bigint").alias("file_no"))
+    line = F.col("mid") - F.col("seg_start") + F.col("rows_before") + 1
+    lines = (raw.filter(F.trim(F.col("value")) != "")
+             .join(segments, ["file", "pid"])
+             .select("file", line.alias("line"),
+                     (F.col("file_no") * F.lit(2 ** 32) + line).alias("param_set"),
+                     F.col("value").alias("text")))
+    if rebalance:
+        lines = lines.repartition(max(1, spark.sparkContext.defaultParallelism))
+    return lines
 
 
 def _check_markers(markers: Mapping[str, str]) -> None:
@@ -160,17 +166,23 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
 
 
 def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Typed parameter sets and the error table from ``read_lines`` output."""
+    """Typed parameter sets and the error table from ``read_lines`` output.
+
+    The checked lines are checkpointed once (shared checkpoint folder). That
+    parses each line exactly once: without it, the filters that split sets
+    from errors are pushed below the parse and inline it into every
+    condition. The error check, the size check before a broadcast and the
+    join then all read the parsed table.
+    """
     _check_markers(markers)
     names = list(markers)
     v = F.try_parse_json("text")
-    keys = F.json_object_keys("text")
     vschema = F.schema_of_variant(F.col("v"))
     raw_map = F.from_json(F.col("text"), "map<string,string>")
-    base = lines.select("file", "line", "param_set", "text", v.alias("v"), keys.alias("keys"),
-                        raw_map.alias("raw"))
-    line_err = (F.when(F.col("keys").isNotNull()
-                       & (F.size(F.array_distinct("keys")) < F.size("keys")), F.lit("duplicate key"))
+    base = (lines.select("file", "line", "param_set", v.alias("v"), raw_map.alias("raw"))
+            .withColumn("keys", F.map_keys("raw")))
+    # The VARIANT parser refuses duplicate keys; the map reader keeps the last.
+    line_err = (F.when(F.col("v").isNull() & F.col("raw").isNotNull(), F.lit("duplicate key"))
                 .when(F.col("v").isNull(), F.lit("invalid JSON"))
                 .when(~vschema.startswith("OBJECT"), F.lit("not a JSON object")))
     declared = F.array(*[F.lit(n) for n in names])
@@ -190,6 +202,10 @@ def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFram
     errs = errs.otherwise(F.filter(F.concat(F.array(*marker_errs), unknown, missing),
                                    lambda e: e.isNotNull()))
     checked = base.select("file", "line", "param_set", *value_cols, errs.alias("errors"))
+    from ringcast.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(lines.sparkSession)
+    checked = checked.checkpoint(eager=True)
     params = checked.filter(F.size("errors") == 0).select("param_set", *names)
     errors = (checked.filter(F.size("errors") > 0)
               .select("file", "line", "param_set", F.explode("errors").alias("e"))
