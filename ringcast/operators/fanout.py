@@ -23,6 +23,7 @@ Scale rules applied here:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -235,3 +236,61 @@ def run_query(spark: SparkSession, sql: str, args=None,
     from ringcast.operators.transform import transform
 
     return transform(spark, None, sql, tables, args=args)
+
+
+# Markers outside quoted text and comments: ``:name`` (not ``::``) or ``?``.
+_MARKER_TOKENS = re.compile(
+    r"'(?:[^'\\]|\\.|'')*'"          # single-quoted string
+    r'|"(?:[^"\\]|\\.)*"'            # double-quoted text
+    r"|`[^`]*`"                      # quoted identifier
+    r"|--[^\n]*|/\*.*?\*/"           # comments
+    r"|(?<![:\w]):([A-Za-z_]\w*)"    # named marker
+    r"|(\?)",                        # positional marker
+    re.S)
+PARAMS_VIEW = "__params"
+
+
+def bind_markers(sql: str, params_alias: str = PARAMS_VIEW) -> tuple[str, list[str]]:
+    """Replace markers by columns of the parameter row: ``:uid`` becomes
+    ``__params.uid`` and the i-th ``?`` becomes ``__params.p{i}``. Returns the
+    text and the parameter columns it uses."""
+    used: list[str] = []
+    position = [0]
+
+    def sub(m: re.Match) -> str:
+        if m.group(1):
+            name = m.group(1)
+        elif m.group(2):
+            name = f"p{position[0]}"
+            position[0] += 1
+        else:
+            return m.group(0)
+        if name not in used:
+            used.append(name)
+        return f"{params_alias}.`{name}`"
+
+    return _MARKER_TOKENS.sub(sub, sql), used
+
+
+def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
+                 tables: Mapping[str, DataFrame] | None = None,
+                 set_col: str | None = None) -> DataFrame:
+    """Run a query text once per parameter row and concatenate the rows.
+
+    The text keeps the reference's markers (``:name``, or ``?`` bound to
+    columns ``p0, p1, ...``) and is evaluated as a LATERAL subquery per
+    parameter row. Catalyst decorrelates it: equality on a marker becomes a
+    hash join (broadcast when the parameter table is small), ``LIMIT`` a
+    per-set ``WindowGroupLimit``, aggregates a per-set aggregate that keeps
+    sets without rows (``COUNT(*)`` = 0). Repeated sets repeat their rows.
+    """
+    from ringcast.operators.transform import check_query_text, transform
+
+    body, used = bind_markers(check_query_text(sql))
+    missing = [c for c in used if c not in params.columns]
+    if missing:
+        raise ValueError(f"parameter columns missing for markers: {missing}")
+    head = f"{PARAMS_VIEW}.`{set_col}` AS `{set_col}`, " if set_col else ""
+    text = f"SELECT {head}__q.* FROM {PARAMS_VIEW} AS {PARAMS_VIEW}, LATERAL ({body}) AS __q"
+    views = {PARAMS_VIEW: params, **dict(tables or {})}
+    return transform(spark, None, text, views)

@@ -512,3 +512,48 @@ def all_queries() -> dict[str, tuple[QueryFn, str | None]]:
     from ringcast.plans import catalog_io, catalog_params  # noqa: F401
 
     return dict(REGISTRY)
+
+
+# ---------------------------------------------------------------- query text per parameter set
+@register("query_fanout_text", f"""
+SELECT {EV_COLS} FROM events e
+JOIN (VALUES (7, 50.0), (8, 10.0), (7, 50.0)) p(uid, v) ON e.user_id = p.uid AND e.value > p.v""")
+def q_query_fanout_text(spark, d):
+    params = _params(spark, [(7, 50.0), (8, 10.0), (7, 50.0)], "uid bigint, v double")
+    return fo.query_fanout(spark, "SELECT * FROM events WHERE user_id = :uid AND value > :v", params,
+                           tables={"events": Tables(spark, d).events})
+
+
+@register("query_fanout_limit", """
+SELECT event_id, ts, user_id, event_type, value, props, param_set FROM (
+  SELECT e.*, CAST(p.param_set AS BIGINT) AS param_set,
+         ROW_NUMBER() OVER (PARTITION BY p.param_set ORDER BY e.ts DESC, e.event_id) AS rn
+  FROM events e JOIN (VALUES (1, 7), (2, 7), (3, 12), (4, 123456)) p(param_set, uid) ON e.user_id = p.uid)
+WHERE rn <= 4""")
+def q_query_fanout_limit(spark, d):
+    params = _params(spark, [(1, 7), (2, 7), (3, 12), (4, 123456)], "param_set bigint, uid bigint")
+    return fo.query_fanout(spark, "SELECT * FROM events WHERE user_id = :uid ORDER BY ts DESC, event_id LIMIT 4",
+                           params, tables={"events": Tables(spark, d).events}, set_col="param_set")
+
+
+@register("query_fanout_count", """
+SELECT CAST(p.param_set AS BIGINT) AS param_set, COUNT(e.event_id) AS cnt, ROUND(SUM(e.value), 4) AS total
+FROM (VALUES (1, 7, 'click'), (2, 7, 'click'), (3, 8, 'view'), (4, 123456, 'view')) p(param_set, uid, kind)
+LEFT JOIN events e ON e.user_id = p.uid AND e.event_type = p.kind
+GROUP BY p.param_set""")
+def q_query_fanout_count(spark, d):
+    params = _params(spark, [(1, 7, "click"), (2, 7, "click"), (3, 8, "view"), (4, 123456, "view")],
+                     "param_set bigint, uid bigint, kind string")
+    return fo.query_fanout(
+        spark, "SELECT COUNT(*) AS cnt, ROUND(SUM(value), 4) AS total FROM events "
+               "WHERE user_id = :uid AND event_type = :kind",
+        params, tables={"events": Tables(spark, d).events}, set_col="param_set")
+
+
+@register("query_fanout_positional", """
+SELECT c.* FROM customer c JOIN (VALUES (7, 5000.0), (3, 9000.0)) p(p0, p1)
+  ON c.c_nationkey = p.p0 AND c.c_acctbal > p.p1""")
+def q_query_fanout_positional(spark, d):
+    params = _params(spark, [(7, 5000.0), (3, 9000.0)], "p0 int, p1 double")
+    return fo.query_fanout(spark, "SELECT * FROM customer WHERE c_nationkey = ? AND c_acctbal > ?",
+                           params, tables={"customer": Tables(spark, d).customer})

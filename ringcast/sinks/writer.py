@@ -9,8 +9,11 @@ collected. Layout choices for scale:
   groups each value into few files and splits a hot value over several
   tasks instead of one (a value holding a third of the rows does not land
   in one task);
-* one file: one writer task by definition. ``repartition(1)`` keeps the
-  upstream stage parallel and only the write in the single task.
+* one file: one writer task by definition. For a narrow plan (scan,
+  filter, project) that task reads and writes (``coalesce(1)``): shuffling
+  the whole table to it would only add serialisation. After an exchange
+  (aggregate, join, sort) ``repartition(1)`` keeps that work parallel and only
+  the write in the single task.
 """
 
 from __future__ import annotations
@@ -99,6 +102,11 @@ def _text_safe(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def has_exchange(df: DataFrame) -> bool:
+    """True when the physical plan shuffles (aggregate, join, sort, repartition)."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def _hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -146,14 +154,14 @@ def _save(writer, fmt: str, path: str) -> None:
 def write(df: DataFrame, path: str, fmt: str | None = None, single_file: bool = False,
           partition_by=None, mode: str = "errorifexists", compression: str | None = None,
           max_records_per_file: int | None = None, sort_by=None, keep_nulls: bool = False,
-          single_file_strategy: str = "shuffle", options: dict | None = None) -> str:
+          single_file_strategy: str = "auto", options: dict | None = None) -> str:
     """Write ``df`` to ``path``; returns the path written.
 
     ``single_file`` and ``partition_by`` exclude each other. ``sort_by``
     orders rows inside each output file (the whole file when single).
     ``single_file_strategy``: ``shuffle`` (``repartition(1)``: upstream stays
-    parallel) or ``coalesce`` (no shuffle; the whole plan runs in one task —
-    only sensible for a plain scan).
+    parallel), ``coalesce`` (no shuffle; the whole plan runs in one task) or
+    ``auto`` (coalesce when the plan has no exchange, else shuffle).
     """
     check_target(path)
     fmt = output_format(path, fmt)
@@ -201,6 +209,8 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
             raise SinkError("append is not possible for a single-file output")
         fs.delete(jtarget, True)
     staging = f"{posixpath.dirname(target) or '.'}/.{posixpath.basename(target)}.staging-{uuid.uuid4().hex[:12]}"
+    if strategy == "auto":
+        strategy = "shuffle" if has_exchange(df) else "coalesce"
     if strategy == "coalesce":
         one = df.coalesce(1)
     elif strategy == "shuffle":

@@ -89,3 +89,40 @@ def test_latest_per_key(spark):
     ev = Tables(spark, SF_SMALL).events
     got = fo.latest_per_key(ev, "user_id", [F.col("ts").desc(), "event_id"])
     assert got.count() == ev.select("user_id").distinct().count()
+
+
+def test_bind_markers_skips_quotes_comments_and_casts():
+    text, used = fo.bind_markers("SELECT ':a', `:b`, x::int FROM t WHERE k = :k AND v > ? -- :c\n AND w = ?")
+    assert used == ["k", "p0", "p1"]
+    assert "':a'" in text and "`:b`" in text and "x::int" in text and "-- :c" in text
+
+
+def test_query_fanout_equals_single_runs(spark):
+    ev = Tables(spark, SF_SMALL).events
+    sets = [(1, "click"), (1, "click"), (2, "view")]
+    params = spark.createDataFrame(sets, "uid bigint, kind string")
+    text = "SELECT * FROM events WHERE user_id = :uid AND event_type = :kind"
+    got = fo.query_fanout(spark, text, params, tables={"events": ev})
+    expected = None
+    for uid, kind in sets:
+        one = fo.run_query(spark, text, args={"uid": uid, "kind": kind}, tables={"events": ev})
+        expected = one if expected is None else expected.unionAll(one)
+    assert _rows(got) == _rows(expected)
+
+
+def test_query_fanout_limit_and_count_per_set(spark):
+    ev = Tables(spark, SF_SMALL).events
+    params = spark.createDataFrame([(1, 1), (2, 1), (3, 424242)], "param_set bigint, uid bigint")
+    limited = fo.query_fanout(spark, "SELECT * FROM events WHERE user_id = :uid ORDER BY ts, event_id LIMIT 2",
+                              params, tables={"events": ev}, set_col="param_set")
+    assert sorted(r[0] for r in limited.groupBy("param_set").count().collect()) == [1, 2]
+    counted = fo.query_fanout(spark, "SELECT COUNT(*) AS n FROM events WHERE user_id = :uid",
+                              params, tables={"events": ev}, set_col="param_set")
+    got = {r.param_set: r.n for r in counted.collect()}
+    assert got[3] == 0 and got[1] == got[2] == ev.filter("user_id = 1").count()
+
+
+def test_query_fanout_missing_param_column(spark):
+    params = spark.createDataFrame([(1,)], "a bigint")
+    with pytest.raises(ValueError):
+        fo.query_fanout(spark, "SELECT * FROM events WHERE user_id = :uid", params)
