@@ -112,7 +112,8 @@ def split_counts(df: DataFrame, partition_keys, splits: int, token_method: str =
     """Rows per split (T4). Only the key columns are read (column pruning);
     the count is partially aggregated before the shuffle, so a hot split costs
     one row per task, not its rows."""
-    counted = (df.select(split_id(make_token(partition_keys, token_method), splits).alias(split_col))
+    counted = (df.select(make_token(partition_keys, token_method).alias(TOKEN_COL))
+               .select(split_id(F.col(TOKEN_COL), splits).alias(split_col))
                .groupBy(split_col).agg(F.count(F.lit(1)).alias("rows")))
     if not include_empty:
         return counted
@@ -139,17 +140,34 @@ def write_token_layout(df: DataFrame, partition_keys, path: str, num_files: int,
                        token_col: str = TOKEN_COL) -> str:
     """Lay a table out in token order so range reads prune row groups.
 
-    ``repartitionByRange`` samples the token to cut ``num_files`` balanced
-    ranges (a hot key is still one token, the range cut isolates it);
-    ``sortWithinPartitions`` gives each file tight row-group statistics.
+    ``repartitionByRange`` samples ``(token, row hash)`` to cut ``num_files``
+    balanced ranges. The row hash breaks ties: a partition key holding a third
+    of the rows is one token, and without the tiebreaker its rows would all
+    land in one range (one task, one huge file). ``sortWithinPartitions``
+    gives each file tight row-group statistics on the token.
     """
     tokens = df.withColumn(token_col, make_token(partition_keys, token_method))
-    (tokens.repartitionByRange(num_files, F.col(token_col))
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields
+                if not _contains_map(f.dataType)]
+    tiebreak = F.xxhash64(*hashable) if hashable else F.lit(0)
+    (tokens.repartitionByRange(num_files, F.col(token_col), tiebreak)
      .sortWithinPartitions(token_col)
      .write.mode(mode).parquet(path))
     return path
 
 
+def _contains_map(dt) -> bool:
+    from pyspark.sql import types as T
+
+    if isinstance(dt, T.MapType):
+        return True
+    if isinstance(dt, T.ArrayType):
+        return _contains_map(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return any(_contains_map(f.dataType) for f in dt.fields)
+    return isinstance(dt, T.VariantType)
+
+
 def token_column(partition_keys, token_method: str = "xxhash64") -> Column:
     return make_token(partition_keys, token_method)
 

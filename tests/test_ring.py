@@ -109,3 +109,13 @@ def test_token_layout_prunes(spark, tmp_out):
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(token), GreaterThanOrEqual(token," in plan
     assert part.count() == ring.scan_split(o, "o_orderkey", 16, 3).count()
+
+
+def test_token_layout_splits_a_hot_key(spark, tmp_out):
+    li = Tables(spark, SF_SMALL).lineitem
+    hot = li.withColumn("k", F.when(F.col("l_orderkey") % 3 == 0, F.lit(42)).otherwise(F.col("l_orderkey")))
+    path = tmp_out + "/hot"
+    ring.write_token_layout(hot, "k", path, 6)
+    per_file = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    biggest = max(r["count"] for r in per_file)
+    assert len(per_file) == 6 and biggest < hot.count() / 3
