@@ -26,7 +26,7 @@ from ringcast.sources.table import Tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEAT = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+REPEAT = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
 
 
 def _sf(path: str) -> str:

@@ -207,11 +207,39 @@ def fanout_aggregate(source: DataFrame, params: DataFrame, aggs: Mapping[str, Co
 
 def fanout_count(source: DataFrame, params: DataFrame, on=None, condition=None,
                  count_col: str | None = None, set_col: str = SET_COL, name: str = "cnt",
-                 **kw) -> DataFrame:
-    """``SELECT COUNT(*)`` (or ``COUNT(col)``) per parameter set; 0 when empty."""
+                 broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                 keep_params: bool = True) -> DataFrame:
+    """``SELECT COUNT(*)`` (or ``COUNT(col)``) per parameter set; 0 when empty.
+
+    Small sets: broadcast join, then a partial aggregate per set. Sets too big
+    to broadcast with key equality only: the source is first counted per key
+    (partial aggregation, so a hot key ships one row per task), and only the
+    per-key counts are joined with the sets.
+    """
     expr = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"s.`{count_col}`"))
+    pairs = _key_pairs(on)
+    if condition is None and pairs and broadcast != "always" and broadcast is not True:
+        _, is_b = maybe_broadcast(params, broadcast, max_broadcast_bytes)
+        if not is_b:
+            return _count_pre_aggregated(source, params, pairs, count_col, set_col, name,
+                                         keep_params)
     return fanout_aggregate(source, params, {name: expr}, on, condition, set_col,
-                            empty={name: 0}, **kw)
+                            empty={name: 0}, keep_params=keep_params, broadcast=broadcast,
+                            max_broadcast_bytes=max_broadcast_bytes)
+
+
+def _count_pre_aggregated(source, params, pairs, count_col, set_col, name, keep_params):
+    numbered = with_set_ids(params, set_col)
+    scols = [s for _, s in pairs]
+    counted = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"`{count_col}`"))
+    per_key = source.groupBy(*[F.col(f"`{c}`") for c in scols]).agg(counted.alias("__n"))
+    cond = None
+    for pcol, scol in pairs:
+        eq = F.col(f"p.`{pcol}`") == F.col(f"k.`{scol}`")
+        cond = eq if cond is None else cond & eq
+    joined = numbered.alias("p").join(per_key.alias("k"), cond, "left")
+    keep = [F.col(f"p.`{c}`") for c in (numbered.columns if keep_params else [set_col])]
+    return joined.select(*keep, F.coalesce(F.col("k.__n"), F.lit(0)).cast("bigint").alias(name))
 
 
 def latest_per_key(df: DataFrame, keys, order_by, n: int = 1) -> DataFrame:

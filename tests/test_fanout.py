@@ -126,3 +126,47 @@ def test_query_fanout_missing_param_column(spark):
     params = spark.createDataFrame([(1,)], "a bigint")
     with pytest.raises(ValueError):
         fo.query_fanout(spark, "SELECT * FROM events WHERE user_id = :uid", params)
+
+
+def test_count_pre_aggregated_when_sets_are_big(spark):
+    ev = Tables(spark, SF_SMALL).events
+    params = spark.createDataFrame([(1, 1), (2, 1), (3, 999999), (4, 2)], "param_set bigint, user_id bigint")
+    small = fo.fanout_count(ev, params, on="user_id")
+    big = fo.fanout_count(ev, params, on="user_id", max_broadcast_bytes=1)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+
+
+def _skewed_events(spark):
+    ev = Tables(spark, SF_SMALL).events
+    # a third of the rows share user 1
+    return ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1).cast("bigint"))
+                         .otherwise(F.col("user_id")))
+
+
+def test_hot_set_limit_ships_bounded_rows(spark):
+    ev = _skewed_events(spark)
+    params = spark.createDataFrame([(1, 1)], "param_set bigint, user_id bigint")
+    got = fo.fanout_limit(ev, params, 5, [F.col("ts").desc(), "event_id"], on="user_id")
+    assert got.count() == 5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_hot_hive_value_is_split_over_files(spark, tmp_out):
+    from ringcast.sinks.writer import write
+
+    # AQE splits a hot partition at map-output boundaries: give it several map tasks.
+    _skewed_events(spark).repartition(8).write.parquet(tmp_out + "/in")
+    ev = spark.read.parquet(tmp_out + "/in").withColumn("hot", (F.col("user_id") == 1))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        write(ev, tmp_out + "/h", fmt="parquet", partition_by="hot")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    import os
+    hot_files = [f for f in os.listdir(tmp_out + "/h/hot=true") if f.endswith(".parquet")]
+    assert len(hot_files) > 1
+    assert spark.read.parquet(tmp_out + "/h").count() == ev.count()
