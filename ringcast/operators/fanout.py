@@ -211,28 +211,32 @@ def fanout_count(source: DataFrame, params: DataFrame, on=None, condition=None,
                  keep_params: bool = True) -> DataFrame:
     """``SELECT COUNT(*)`` (or ``COUNT(col)``) per parameter set; 0 when empty.
 
-    Small sets: broadcast join, then a partial aggregate per set. Sets too big
-    to broadcast with key equality only: the source is first counted per key
-    (partial aggregation, so a hot key ships one row per task), and only the
-    per-key counts are joined with the sets.
+    With key equality only, the source is counted per key first (partial
+    aggregation: a hot key ships one row per task) and the per-key counts are
+    joined to the sets, so overlapping or repeated sets never multiply source
+    rows. When the sets are small enough to broadcast, a semi join with their
+    distinct keys drops other rows before counting. With a residual condition
+    the rows are joined and counted per set.
     """
-    expr = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"s.`{count_col}`"))
     pairs = _key_pairs(on)
-    if condition is None and pairs and broadcast != "always" and broadcast is not True:
-        _, is_b = maybe_broadcast(params, broadcast, max_broadcast_bytes)
-        if not is_b:
-            return _count_pre_aggregated(source, params, pairs, count_col, set_col, name,
-                                         keep_params)
+    if condition is None and pairs:
+        return _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
+                              broadcast, max_broadcast_bytes)
+    expr = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"s.`{count_col}`"))
     return fanout_aggregate(source, params, {name: expr}, on, condition, set_col,
                             empty={name: 0}, keep_params=keep_params, broadcast=broadcast,
                             max_broadcast_bytes=max_broadcast_bytes)
 
 
-def _count_pre_aggregated(source, params, pairs, count_col, set_col, name, keep_params):
+def _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
+                   broadcast, max_broadcast_bytes):
     numbered = with_set_ids(params, set_col)
     scols = [s for _, s in pairs]
+    keys = numbered.select(*[F.col(f"`{p}`").alias(s) for p, s in pairs]).distinct()
+    keys, is_b = maybe_broadcast(keys, broadcast, max_broadcast_bytes)
+    rows = source.join(keys, scols, "left_semi") if is_b else source
     counted = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"`{count_col}`"))
-    per_key = source.groupBy(*[F.col(f"`{c}`") for c in scols]).agg(counted.alias("__n"))
+    per_key = rows.groupBy(*[F.col(f"`{c}`") for c in scols]).agg(counted.alias("__n"))
     cond = None
     for pcol, scol in pairs:
         eq = F.col(f"p.`{pcol}`") == F.col(f"k.`{scol}`")

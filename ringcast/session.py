@@ -66,3 +66,14 @@ def local_path(path: str) -> str | None:
     if "://" in path:
         return None
     return os.path.abspath(path)
+
+
+def materialize(df, label: str = "table"):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
+    and return the written table. One job; later reads are columnar and never
+    recompute ``df`` (a lost executor re-reads files, it does not re-run the
+    plan)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

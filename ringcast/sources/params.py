@@ -168,11 +168,11 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
 def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Typed parameter sets and the error table from ``read_lines`` output.
 
-    The checked lines are checkpointed once (shared checkpoint folder). That
-    parses each line exactly once: without it, the filters that split sets
-    from errors are pushed below the parse and inline it into every
-    condition. The error check, the size check before a broadcast and the
-    join then all read the parsed table.
+    The checked lines are written once to the shared checkpoint folder and
+    read back. That parses each line exactly once: without it, the filters
+    that split sets from errors are pushed below the parse and inline it into
+    every condition. The error check, the size check before a broadcast and
+    the join then all read the parsed table.
     """
     _check_markers(markers)
     names = list(markers)
@@ -202,10 +202,9 @@ def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFram
     errs = errs.otherwise(F.filter(F.concat(F.array(*marker_errs), unknown, missing),
                                    lambda e: e.isNotNull()))
     checked = base.select("file", "line", "param_set", *value_cols, errs.alias("errors"))
-    from ringcast.session import ensure_checkpoint_dir
+    from ringcast.session import materialize
 
-    ensure_checkpoint_dir(lines.sparkSession)
-    checked = checked.checkpoint(eager=True)
+    checked = materialize(checked, "params")
     params = checked.filter(F.size("errors") == 0).select("param_set", *names)
     errors = (checked.filter(F.size("errors") > 0)
               .select("file", "line", "param_set", F.explode("errors").alias("e"))
