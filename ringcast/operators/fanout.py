@@ -90,17 +90,16 @@ def with_set_ids(params: DataFrame, set_col: str = SET_COL, stable: bool = True)
     """Give every parameter row its own id, so repeated sets stay apart.
 
     Ids come from ``monotonically_increasing_id``; with ``stable`` the table
-    is checkpointed to the shared checkpoint folder right after, so every
-    later use (and every retried task) sees the same ids.
+    is written to the shared checkpoint folder right after, so every later
+    use (and every retried task) sees the same ids.
     """
     if set_col in params.columns:
         return params
     numbered = params.withColumn(set_col, F.monotonically_increasing_id())
     if stable:
-        from ringcast.session import ensure_checkpoint_dir
+        from ringcast.session import materialize
 
-        ensure_checkpoint_dir(params.sparkSession)
-        numbered = numbered.checkpoint(eager=True)
+        numbered = materialize(numbered, "sets")
     return numbered
 
 

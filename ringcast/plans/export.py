@@ -55,6 +55,25 @@ def token_range_export(spark: SparkSession, df: DataFrame, partition_keys, path:
     return export(spark, scanned, path, **export_options)
 
 
+def query_export(spark: SparkSession, sql: str, path: str, params_path: str | None = None,
+                 markers: Mapping[str, str] | None = None,
+                 tables: Mapping[str, DataFrame] | None = None,
+                 **export_options) -> ExportResult:
+    """The ``query`` command: a query text run once, or once per line of an
+    NDJSON parameter file (markers typed by ``markers``), then exported."""
+    from ringcast.operators.fanout import query_fanout, run_query
+    from ringcast.sources.params import read_params
+
+    if params_path is None:
+        rows = run_query(spark, sql, tables=tables)
+    else:
+        if not markers:
+            raise ValueError("markers (name -> type) are required with a parameter file")
+        params = read_params(spark, params_path, markers)
+        rows = query_fanout(spark, sql, params.drop("param_set"), tables=tables)
+    return export(spark, rows, path, **export_options)
+
+
 def split_metrics(df: DataFrame, splits: int, split_col: str = SPLIT_COL) -> DataFrame:
     """Rows per split, every split listed (zero when empty): the data side of the
     reference's per-query completion callback. Partially aggregated, so a hot

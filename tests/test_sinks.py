@@ -102,3 +102,19 @@ def test_export_observes_rows(spark, tmp_out):
     again = export(spark, li, tmp_out + "/g.ndjson",
                    transform="SELECT l_returnflag, COUNT(*) AS n FROM source GROUP BY l_returnflag")
     assert again.rows == li.select("l_returnflag").distinct().count()
+
+
+def test_query_export_with_and_without_params(spark, tmp_out):
+    orders = Tables(spark, SF_SMALL).orders
+    from ringcast.plans.export import query_export
+
+    with open(tmp_out + "/p.ndjson", "w") as f:
+        f.write('{"st":"F"}\n\n{"st":"O"}\n{"st":"F"}\n')
+    text = "SELECT o_orderkey FROM orders WHERE o_orderstatus = :st"
+    res = query_export(spark, text, tmp_out + "/a.parquet", params_path=tmp_out + "/p.ndjson",
+                       markers={"st": "text"}, tables={"orders": orders})
+    n_f = orders.filter("o_orderstatus = 'F'").count()
+    assert res.rows == 2 * n_f + orders.filter("o_orderstatus = 'O'").count()
+    once = query_export(spark, "SELECT COUNT(*) AS n FROM orders", tmp_out + "/b.ndjson",
+                        tables={"orders": orders})
+    assert once.rows == 1
