@@ -557,3 +557,33 @@ def q_query_fanout_positional(spark, d):
     params = _params(spark, [(7, 5000.0), (3, 9000.0)], "p0 int, p1 double")
     return fo.query_fanout(spark, "SELECT * FROM customer WHERE c_nationkey = ? AND c_acctbal > ?",
                            params, tables={"customer": Tables(spark, d).customer})
+
+
+# ---------------------------------------------------------------- dialect helpers (§2.9)
+@register("sql_date_bin", """
+SELECT time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '1970-01-01 00:00:00') AS bin, COUNT(*) AS cnt,
+       ROUND(SUM(value), 4) AS total
+FROM events GROUP BY 1""")
+def q_sql_date_bin(spark, d):
+    from ringcast.functions.time import date_bin
+
+    ev = Tables(spark, d).events
+    return (ev.groupBy(date_bin(dt.timedelta(minutes=15), "ts").alias("bin"))
+            .agg(F.count(F.lit(1)).alias("cnt"), F.round(F.sum("value"), 4).alias("total")))
+
+
+@register("sql_trunc_month", """
+SELECT date_trunc('month', o_orderdate) AS month, COUNT(*) AS cnt FROM orders GROUP BY 1""")
+def q_sql_trunc_month(spark, d):
+    from ringcast.functions.time import trunc_ntz
+
+    o = Tables(spark, d).orders
+    return o.groupBy(trunc_ntz("MONTH", "o_orderdate").alias("month")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@register("sql_distinct_on", """
+SELECT DISTINCT ON (o_custkey) * FROM orders ORDER BY o_custkey, o_totalprice DESC, o_orderkey""")
+def q_sql_distinct_on(spark, d):
+    from ringcast.functions.time import distinct_on
+
+    return distinct_on(Tables(spark, d).orders, "o_custkey", [F.col("o_totalprice").desc(), "o_orderkey"])

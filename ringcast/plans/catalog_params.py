@@ -99,15 +99,7 @@ def q_params_errors(spark, d):
     # Identify each faulty line by the event it was made from.
     text_id = F.coalesce(F.get_json_object("text", "$.eid"), F.get_json_object("text", "$[0]"),
                          F.regexp_extract("text", r"#(\d+)", 1)).cast("bigint")
-    keyed = (errors.join(_with_line_numbers(spark, path), ["file", "line"])
-             .select(text_id.alias("eid"), "name", "reason"))
-    return keyed
-
-
-def _with_line_numbers(spark: SparkSession, path: str) -> DataFrame:
-    from ringcast.sources.params import read_lines
-
-    return read_lines(spark, path).select("file", "line", "text")
+    return errors.select(text_id.alias("eid"), "name", "reason")
 
 
 # ---------------------------------------------------------------- conversions

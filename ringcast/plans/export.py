@@ -8,7 +8,7 @@ is written (``DataFrame.observe``), not by a second pass over the output.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,8 +31,13 @@ class ExportResult:
 def export(spark: SparkSession, source: DataFrame, path: str, transform: str | None = None,
            tables: Mapping[str, DataFrame] | None = None, fmt: str | None = None,
            single_file: bool = False, partition_by=None, mode: str = "errorifexists",
+           on_complete: Callable[[ExportResult], None] | None = None,
            **write_options) -> ExportResult:
-    """Write ``source`` (or ``transform`` run over it as ``source``) to ``path``."""
+    """Write ``source`` (or ``transform`` run over it as ``source``) to ``path``.
+
+    ``on_complete`` is called with the result once the write has committed;
+    a failed write raises instead and never calls it.
+    """
     fmt_name = output_format(path, fmt)
     result = run_transform(spark, source, transform, tables)
     observation = Observation("ringcast_export")
@@ -41,8 +46,11 @@ def export(spark: SparkSession, source: DataFrame, path: str, transform: str | N
     written = write(observed, path, fmt=fmt_name, single_file=single_file,
                     partition_by=partition_by, mode=mode, **write_options)
     seconds = time.perf_counter() - started
-    metrics = observation.get if observation is not None else {}
-    return ExportResult(written, fmt_name, int(metrics.get("rows", 0)), seconds, dict(metrics))
+    metrics = observation.get
+    result = ExportResult(written, fmt_name, int(metrics.get("rows", 0)), seconds, dict(metrics))
+    if on_complete is not None:
+        on_complete(result)
+    return result
 
 
 def token_range_export(spark: SparkSession, df: DataFrame, partition_keys, path: str,

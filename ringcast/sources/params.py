@@ -4,7 +4,7 @@ A parameter file holds one JSON object per line; blank lines are skipped.
 Each object binds named markers; ``markers`` declares each marker's type (the
 reference takes them from the prepared statement). Every line is checked in
 Spark, and problems are returned as an error table
-``file, line, param_set, name, reason`` instead of stopping at the first.
+``file, line, param_set, name, reason, text`` instead of stopping at the first.
 
 Line numbers are positions in the file (blank lines counted). They are
 derived without funnelling a file through one task: each input split knows
@@ -179,7 +179,7 @@ def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFram
     v = F.try_parse_json("text")
     vschema = F.schema_of_variant(F.col("v"))
     raw_map = F.from_json(F.col("text"), "map<string,string>")
-    base = (lines.select("file", "line", "param_set", v.alias("v"), raw_map.alias("raw"))
+    base = (lines.select("file", "line", "param_set", "text", v.alias("v"), raw_map.alias("raw"))
             .withColumn("keys", F.map_keys("raw")))
     # The VARIANT parser refuses duplicate keys; the map reader keeps the last.
     line_err = (F.when(F.col("v").isNull() & F.col("raw").isNotNull(), F.lit("duplicate key"))
@@ -201,14 +201,14 @@ def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFram
                   F.array(F.struct(F.lit(None).cast("string").alias("name"), line_err.alias("reason"))))
     errs = errs.otherwise(F.filter(F.concat(F.array(*marker_errs), unknown, missing),
                                    lambda e: e.isNotNull()))
-    checked = base.select("file", "line", "param_set", *value_cols, errs.alias("errors"))
+    checked = base.select("file", "line", "param_set", "text", *value_cols, errs.alias("errors"))
     from ringcast.session import materialize
 
     checked = materialize(checked, "params")
     params = checked.filter(F.size("errors") == 0).select("param_set", *names)
     errors = (checked.filter(F.size("errors") > 0)
-              .select("file", "line", "param_set", F.explode("errors").alias("e"))
-              .select("file", "line", "param_set", "e.name", "e.reason"))
+              .select("file", "line", "param_set", "text", F.explode("errors").alias("e"))
+              .select("file", "line", "param_set", "e.name", "e.reason", "text"))
     return params, errors
 
 

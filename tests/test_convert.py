@@ -57,3 +57,14 @@ def test_uuid_duration_varint(spark):
                   cv.varint_text(F.col("k").cast("decimal(38,0)") * F.lit(10 ** 18).cast("decimal(38,0)")).alias("v")).first()
     assert r.u == "01234567-89ab-cdef-0123-456789abcdef"
     assert r.dur == "1mo2d3ns" and r.v == "5000000000000000000"
+
+
+def test_date_bin_and_trunc(spark):
+    from ringcast.functions.time import date_bin, trunc_ntz
+
+    rows = [(dt.datetime(2024, 1, 1, 0, 7, 30),), (dt.datetime(1969, 12, 31, 23, 59, 59),)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    got = [r.b for r in df.select(date_bin(dt.timedelta(minutes=15), "ts").alias("b")).collect()]
+    assert got == [dt.datetime(2024, 1, 1, 0, 0), dt.datetime(1969, 12, 31, 23, 45)]
+    r = df.limit(1).select(trunc_ntz("MONTH", "ts").alias("m"), trunc_ntz("HOUR", "ts").alias("h")).first()
+    assert r.m == dt.datetime(2024, 1, 1) and r.h == dt.datetime(2024, 1, 1, 0, 0)

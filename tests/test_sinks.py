@@ -118,3 +118,13 @@ def test_query_export_with_and_without_params(spark, tmp_out):
     once = query_export(spark, "SELECT COUNT(*) AS n FROM orders", tmp_out + "/b.ndjson",
                         tables={"orders": orders})
     assert once.rows == 1
+
+
+def test_on_complete_fires_only_on_success(spark, tmp_out):
+    seen = []
+    df = spark.range(4)
+    export(spark, df, tmp_out + "/ok.parquet", on_complete=seen.append)
+    assert len(seen) == 1 and seen[0].rows == 4
+    with pytest.raises(Exception):
+        export(spark, df, tmp_out + "/ok.parquet", single_file=True, on_complete=seen.append)
+    assert len(seen) == 1
