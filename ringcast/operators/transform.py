@@ -70,15 +70,24 @@ def transform(spark: SparkSession, source: DataFrame | None, sql: str | None,
     for name in views:
         if _temp_view_exists(spark, name):
             saved[name] = spark.table(name)
-    conf_key = "spark.sql.ansi.doubleQuotedIdentifiers"
-    old_conf = spark.conf.get(conf_key, "false")
+    # Resolved under ANSI (errors on bad casts and overflow, as in the reference's
+    # dialect); double-quoted identifiers only take effect under ANSI.
+    settings = {"spark.sql.ansi.enabled": "true",
+                "spark.sql.ansi.doubleQuotedIdentifiers":
+                    "true" if double_quoted_identifiers else "false"}
+    old = {k: spark.conf.get(k, None) for k in settings}
     try:
         for name, df in views.items():
             df.createOrReplaceTempView(name)
-        spark.conf.set(conf_key, "true" if double_quoted_identifiers else "false")
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         result = spark.sql(text, args=args) if args is not None else spark.sql(text)
     finally:
-        spark.conf.set(conf_key, old_conf)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
         for name in views:
             spark.catalog.dropTempView(name)
             if name in saved:
