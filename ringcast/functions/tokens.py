@@ -35,15 +35,20 @@ def ring_step(splits: int) -> int:
     return RING_SIZE // check_splits(splits)
 
 
-def range_bounds(splits: int) -> list[tuple[int, int, int, bool]]:
-    """``(split_id, token_start, token_end, end_inclusive)`` for each range."""
+def range_bound(splits: int, k: int) -> tuple[int, int, int, bool]:
+    """``(split_id, token_start, token_end, end_inclusive)`` of range ``k``."""
     step = ring_step(splits)
-    out = []
-    for k in range(splits):
-        start = MIN_TOKEN + k * step
-        last = k == splits - 1
-        out.append((k, start, MAX_TOKEN if last else start + step, last))
-    return out
+    if not 0 <= k < splits:
+        raise ValueError(f"split index {k} outside 0..{splits - 1}")
+    start = MIN_TOKEN + k * step
+    last = k == splits - 1
+    return k, start, MAX_TOKEN if last else start + step, last
+
+
+def range_bounds(splits: int) -> list[tuple[int, int, int, bool]]:
+    """``range_bound`` of every range (driver-side list; ``split_bounds`` in
+    the ring operators builds the same as a DataFrame)."""
+    return [range_bound(splits, k) for k in range(check_splits(splits))]
 
 
 def ring_token(*cols) -> Column:

@@ -19,7 +19,7 @@ from ringcast.functions.tokens import (
     check_splits,
     in_range,
     make_token,
-    range_bounds,
+    range_bound,
     ring_step,
     split_id,
 )
@@ -80,10 +80,7 @@ def scan_range(df: DataFrame, partition_keys, start: int, end: int,
 
 def scan_split(df: DataFrame, partition_keys, splits: int, index: int, **kw) -> DataFrame:
     """Rows of split ``index`` out of ``splits`` (T3 with T2's bounds)."""
-    check_splits(splits)
-    if not 0 <= index < splits:
-        raise ValueError(f"split index {index} outside 0..{splits - 1}")
-    _, start, end, inclusive = range_bounds(splits)[index]
+    _, start, end, inclusive = range_bound(check_splits(splits), index)
     return scan_range(df, partition_keys, start, end, inclusive, **kw)
 
 

@@ -45,7 +45,11 @@ def check_query_text(sql: str) -> str:
 
 
 def _temp_view_exists(spark: SparkSession, name: str) -> bool:
-    return any(t.isTemporary and t.name == name for t in spark.catalog.listTables())
+    """A temporary view of that name exists (one lookup, no catalog listing)."""
+    try:
+        return bool(spark.catalog.getTable(name).isTemporary)
+    except Exception:  # no such table or view
+        return False
 
 
 def transform(spark: SparkSession, source: DataFrame | None, sql: str | None,

@@ -128,3 +128,12 @@ def test_on_complete_fires_only_on_success(spark, tmp_out):
     with pytest.raises(Exception):
         export(spark, df, tmp_out + "/ok.parquet", single_file=True, on_complete=seen.append)
     assert len(seen) == 1
+
+
+def test_hive_null_and_empty_values(spark, tmp_out):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, ""), (4, "a")], "id int, k string")
+    write(df, tmp_out + "/h", fmt="parquet", partition_by="k")
+    back = read_back(spark, tmp_out + "/h", fmt="parquet", schema=df.schema)
+    got = sorted((r.id, r.k) for r in back.collect())
+    # Spark writes null and '' to the default partition; both read back as null.
+    assert got == [(1, "a"), (2, None), (3, None), (4, "a")]
