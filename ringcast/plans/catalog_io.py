@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ringcast.functions.tokens import range_bound
 from ringcast.operators import fanout as fo
 from ringcast.operators import ring
 from ringcast.plans.catalog import SPLITS, register, split_sql, tok_sql
@@ -102,7 +103,7 @@ def q_export_metrics(spark, d):
             .withColumn("written_rows", F.lit(result.rows).cast("bigint")))
 
 
-_RANGE5 = ring.range_bounds(SPLITS)[5]
+_RANGE5 = range_bound(SPLITS, 5)
 
 
 @register("token_layout_range", f"""
