@@ -305,7 +305,8 @@ def bind_markers(sql: str, params_alias: str = PARAMS_VIEW) -> tuple[str, list[s
 
 def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
                  tables: Mapping[str, DataFrame] | None = None,
-                 set_col: str | None = None) -> DataFrame:
+                 set_col: str | None = None, broadcast="auto",
+                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Run a query text once per parameter row and concatenate the rows.
 
     The text keeps the reference's markers (``:name``, or ``?`` bound to
@@ -314,6 +315,11 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     hash join (broadcast when the parameter table is small), ``LIMIT`` a
     per-set ``WindowGroupLimit``, aggregates a per-set aggregate that keeps
     sets without rows (``COUNT(*)`` = 0). Repeated sets repeat their rows.
+
+    The sets get a broadcast hint only after :func:`measure` bounded their
+    size. A text whose markers appear in non-equality predicates only would
+    pair every set with every row; with sets too big to broadcast that plan
+    is a cartesian product and is refused.
     """
     from ringcast.operators.transform import check_query_text, transform
 
@@ -321,7 +327,15 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     missing = [c for c in used if c not in params.columns]
     if missing:
         raise ValueError(f"parameter columns missing for markers: {missing}")
+    _, is_broadcast = maybe_broadcast(params, broadcast, max_broadcast_bytes)
+    hint = f"/*+ BROADCAST({PARAMS_VIEW}) */ " if is_broadcast else ""
     head = f"{PARAMS_VIEW}.`{set_col}` AS `{set_col}`, " if set_col else ""
-    text = f"SELECT {head}__q.* FROM {PARAMS_VIEW} AS {PARAMS_VIEW}, LATERAL ({body}) AS __q"
+    text = (f"SELECT {hint}{head}__q.* FROM {PARAMS_VIEW} AS {PARAMS_VIEW}, "
+            f"LATERAL ({body}) AS __q")
     views = {PARAMS_VIEW: params, **dict(tables or {})}
-    return transform(spark, None, text, views)
+    out = transform(spark, None, text, views)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    if not is_broadcast and ("CartesianProduct" in plan or "NestedLoopJoin" in plan):
+        raise ValueError("the query pairs every parameter set with every row (no equality on a "
+                         "marker) and the sets are too big to broadcast; add an equality marker")
+    return out

@@ -170,3 +170,24 @@ def test_hot_hive_value_is_split_over_files(spark, tmp_out):
     hot_files = [f for f in os.listdir(tmp_out + "/h/hot=true") if f.endswith(".parquet")]
     assert len(hot_files) > 1
     assert spark.read.parquet(tmp_out + "/h").count() == ev.count()
+
+
+def test_query_fanout_refuses_cartesian_for_big_sets(spark):
+    ev = Tables(spark, SF_SMALL).events
+    params = spark.createDataFrame([(10.0,), (20.0,)], "v double")
+    text = "SELECT COUNT(*) AS n FROM events WHERE value > :v"
+    ok = fo.query_fanout(spark, text, params, tables={"events": ev})
+    assert sorted(r.n for r in ok.collect()) == sorted(
+        [ev.filter("value > 20").count(), ev.filter("value > 10").count()])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(ValueError):
+            fo.query_fanout(spark, text, params, tables={"events": ev}, max_broadcast_bytes=1)
+        # with an equality marker the same big sets are a hash join and pass
+        keyed = fo.query_fanout(spark, "SELECT COUNT(*) AS n FROM events WHERE user_id = :u",
+                                spark.createDataFrame([(1,)], "u bigint"), tables={"events": ev},
+                                max_broadcast_bytes=1)
+        assert keyed.first().n == ev.filter("user_id = 1").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
