@@ -25,9 +25,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+MAX_SPLITS = 2 ** 31 - 1  # split ids are int columns
+
+
 def check_splits(splits: int) -> int:
-    if not isinstance(splits, int) or isinstance(splits, bool) or splits < 1:
-        raise ValueError(f"splits must be a positive integer, got {splits!r}")
+    if not isinstance(splits, int) or isinstance(splits, bool) or not 1 <= splits <= MAX_SPLITS:
+        raise ValueError(f"splits must be an integer in 1..{MAX_SPLITS}, got {splits!r}")
     return splits
 
 

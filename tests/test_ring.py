@@ -119,3 +119,17 @@ def test_token_layout_splits_a_hot_key(spark, tmp_out):
     per_file = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
     biggest = max(r["count"] for r in per_file)
     assert len(per_file) == 6 and biggest < hot.count() / 3
+
+
+def test_split_id_random_tokens(spark):
+    import random
+
+    rng = random.Random(7)
+    with pytest.raises(ValueError):
+        split_id("t", 2 ** 31)
+    for splits in [rng.randint(1, 10 ** 6) for _ in range(6)] + [2 ** 31 - 1, 2 ** 31 - 2]:
+        toks = [rng.randint(MIN_TOKEN, MAX_TOKEN) for _ in range(2000)]
+        df = spark.createDataFrame([(t,) for t in toks], "t long")
+        step = ring_step(splits)
+        got = df.select("t", split_id("t", splits).alias("s")).collect()
+        assert all(r.s == min((r.t - MIN_TOKEN) // step, splits - 1) for r in got), splits
