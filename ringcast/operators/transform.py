@@ -10,6 +10,7 @@ had is put back afterwards.
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ SOURCE_VIEW = "source"
 QUERY_KEYWORDS = ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "(")
 
 _COMMENTS = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
+# View names are per session: resolve one transform at a time; execution is not held.
+_RESOLVE_LOCK = threading.RLock()
 
 
 class TransformError(ValueError):
@@ -70,6 +73,11 @@ def transform(spark: SparkSession, source: DataFrame | None, sql: str | None,
     views = dict(tables or {})
     if source is not None:
         views[source_name] = source
+    with _RESOLVE_LOCK:
+        return _resolve(spark, text, views, double_quoted_identifiers, args)
+
+
+def _resolve(spark, text, views, double_quoted_identifiers, args) -> DataFrame:
     saved = {}
     for name in views:
         if _temp_view_exists(spark, name):

@@ -21,7 +21,8 @@ def _rt(df, spark, label, ext, **kw):
     """Write ``df`` and return it read back with its own schema."""
     path = scratch_path(spark, label) + ext
     write(df, path, **kw)
-    return read_back(spark, path, schema=df.schema).select(*df.columns), path
+    back = read_back(spark, path, fmt=kw.get("fmt"), schema=df.schema)
+    return back.select(*df.columns), path
 
 
 @register("write_parquet", "SELECT * FROM lineitem")
@@ -147,3 +148,31 @@ def q_generate_events(spark, d):
                .agg(F.lit(name).alias("check_name"), F.count_if(F.col("n") > 1).alias("value")))
         out = out.unionByName(bad)
     return out
+
+
+@register("write_csv_pages", "SELECT * FROM pages")
+def q_write_csv_pages(spark, d):
+    """Raw HTML (quotes, commas, line breaks) through one CSV file."""
+    return _rt(Tables(spark, d).pages, spark, "w-pages", ".csv", single_file=True)[0]
+
+
+@register("write_ndjson_conversations", "SELECT * FROM conversations")
+def q_write_ndjson_conversations(spark, d):
+    return _rt(Tables(spark, d).conversations, spark, "w-conv", "", fmt="ndjson",
+               partition_by="role")[0]
+
+
+@register("write_parquet_embeddings", "SELECT * FROM embeddings")
+def q_write_parquet_embeddings(spark, d):
+    return _rt(Tables(spark, d).embeddings, spark, "w-emb", ".parquet", partition_by="label")[0]
+
+
+@register("write_ndjson_embeddings", "SELECT * FROM embeddings")
+def q_write_ndjson_embeddings(spark, d):
+    return _rt(Tables(spark, d).embeddings, spark, "w-emb-json", ".jsonl")[0]
+
+
+@register("write_csv_labels_hive", "SELECT * FROM labels")
+def q_write_csv_labels_hive(spark, d):
+    return _rt(Tables(spark, d).labels, spark, "w-labels", "", fmt="csv",
+               partition_by=["quality", "toxic"])[0]

@@ -41,3 +41,15 @@ def test_extra_tables_and_none(spark):
                     tables={"other": other})
     assert out.first().n == 3
     assert transform(spark, src, None) is src
+
+
+def test_concurrent_transforms_keep_their_source(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def job(n):
+        out = transform(spark, spark.range(n), "SELECT COUNT(*) AS c FROM source")
+        return n, out.first().c
+
+    with ThreadPoolExecutor(4) as pool:
+        results = list(pool.map(job, [3, 5, 7, 11, 13, 17, 19, 23]))
+    assert all(n == c for n, c in results)
