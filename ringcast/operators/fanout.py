@@ -113,8 +113,9 @@ def _key_pairs(on) -> list[tuple[str, str]]:
     return [(k, k) for k in on]
 
 
-def _join(source: DataFrame, params: DataFrame, on, condition, broadcast, max_broadcast_bytes,
-          how: str = "inner") -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+def _join(source: DataFrame, params: DataFrame, on, condition, broadcast,
+          max_broadcast_bytes) -> DataFrame:
+    """Source (alias ``s``) joined with the sets (alias ``p``) on keys and condition."""
     pairs = _key_pairs(on)
     for pcol, scol in pairs:
         if pcol not in params.columns:
@@ -125,8 +126,6 @@ def _join(source: DataFrame, params: DataFrame, on, condition, broadcast, max_br
     if not pairs and not is_broadcast:
         raise ValueError("a fan-out without an equality key needs parameter sets small "
                          "enough to broadcast; add a key column")
-    s_al = source.alias("s")
-    p_al = p.alias("p")
     cond = None
     for pcol, scol in pairs:
         eq = F.col(f"s.`{scol}`") == F.col(f"p.`{pcol}`")
@@ -136,7 +135,7 @@ def _join(source: DataFrame, params: DataFrame, on, condition, broadcast, max_br
         cond = extra if cond is None else cond & extra
     if cond is None:
         cond = F.lit(True)
-    return s_al.join(p_al, cond, how), s_al, p_al, is_broadcast
+    return source.alias("s").join(p.alias("p"), cond, "inner")
 
 
 def fanout(source: DataFrame, params: DataFrame, on=None, condition: str | Column | None = None,
@@ -149,7 +148,7 @@ def fanout(source: DataFrame, params: DataFrame, on=None, condition: str | Colum
     ``p`` (parameters), e.g. ``"s.value > p.min_value"``.
     ``set_col``: a parameter column copied to the output (the set's id).
     """
-    joined, _, _, _ = _join(source, params, on, condition, broadcast, max_broadcast_bytes)
+    joined = _join(source, params, on, condition, broadcast, max_broadcast_bytes)
     cols = [F.col(f"s.`{c}`") for c in source.columns]
     if set_col is not None:
         cols.append(F.col(f"p.`{set_col}`").alias(set_col))
@@ -189,7 +188,7 @@ def fanout_aggregate(source: DataFrame, params: DataFrame, aggs: Mapping[str, Co
     counts, as a per-set ``COUNT(*)`` would return).
     """
     numbered = with_set_ids(params, set_col)
-    joined, _, _, _ = _join(source, numbered, on, condition, broadcast, max_broadcast_bytes)
+    joined = _join(source, numbered, on, condition, broadcast, max_broadcast_bytes)
     per_set = joined.groupBy(F.col(f"p.`{set_col}`").alias(set_col)).agg(
         *[expr.alias(name) for name, expr in aggs.items()])
     sets = numbered if keep_params else numbered.select(set_col)
