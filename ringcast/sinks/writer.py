@@ -210,7 +210,7 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
                   keep_nulls, strategy, options) -> str:
     spark = df.sparkSession
     target = path.rstrip("/")
-    fs, jtarget, jvm = _hadoop_fs(spark, target)
+    fs, jtarget, _ = _hadoop_fs(spark, target)
     if fs.exists(jtarget):
         if mode in ("errorifexists", "error"):
             raise SinkError(f"output already exists: {target}")
@@ -246,7 +246,9 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
     if data_files:
         if not fs.rename(data_files[0], jtarget):
             raise SinkError(f"could not move the output file to {target}")
-    else:  # an empty result still produces one (empty) file
+    elif fmt == "parquet":  # Spark writes a schema-only file for an empty result
+        raise SinkError("the write produced no Parquet file")
+    else:  # an empty CSV/NDJSON result is an empty file
         fs.create(jtarget, False).close()
     sfs.delete(jstaging, True)
     return target

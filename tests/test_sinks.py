@@ -137,3 +137,11 @@ def test_hive_null_and_empty_values(spark, tmp_out):
     got = sorted((r.id, r.k) for r in back.collect())
     # Spark writes null and '' to the default partition; both read back as null.
     assert got == [(1, "a"), (2, None), (3, None), (4, "a")]
+
+
+@pytest.mark.parametrize("ext", [".parquet", ".csv", ".ndjson"])
+def test_single_file_empty_result(spark, tmp_out, ext):
+    path = tmp_out + "/empty" + ext
+    write(spark.range(0), path, single_file=True)
+    assert os.path.isfile(path)
+    assert read_back(spark, path, schema="id bigint").count() == 0
