@@ -38,7 +38,8 @@ RFC3339 = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2
 UUID_FORMS = (r"^(urn:uuid:)?\{?[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?"
               r"[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}\}?$")
 IPV4 = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$"
-IPV6 = r"^(?=.*:)[0-9a-fA-F:.]{2,45}$"
+IPV6_CHARS = r"^[0-9a-fA-F:.]{2,45}$"
+IPV4_TAIL = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$"
 NANOS_PER_DAY = 86_400_000_000_000
 
 
@@ -79,6 +80,24 @@ def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFr
     return lines
 
 
+def _is_ipv6(s: Column) -> Column:
+    """IPv6 text: at most one ``::``, groups of 1-4 hex digits, eight groups in
+    all (fewer with ``::``), an IPv4 tail counting as two."""
+    halves = F.split(s, "::", -1)
+    compressed = F.size(halves) == 2
+    groups = F.filter(F.split(F.regexp_replace(s, "::", ":"), ":", -1), lambda g: g != "")
+    last = F.try_element_at(groups, F.lit(-1))
+    v4_tail = F.coalesce(last.rlike(IPV4_TAIL), F.lit(False))
+    hex_groups = F.when(v4_tail, F.slice(groups, 1, F.size(groups) - 1)).otherwise(groups)
+    all_hex = F.forall(hex_groups, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$"))
+    width = F.size(hex_groups) + F.when(v4_tail, F.lit(2)).otherwise(F.lit(0))
+    # ':' may only open or close the text as part of '::'
+    edges_ok = ~(s.rlike("^:[^:]") | s.rlike("[^:]:$"))
+    count_ok = F.when(compressed, width <= 7).otherwise(width == 8)
+    return (s.rlike(IPV6_CHARS) & s.contains(":") & ~s.contains(":::")
+            & (F.size(halves) <= 2) & edges_ok & F.coalesce(all_hex, F.lit(False)) & count_ok)
+
+
 def _check_markers(markers: Mapping[str, str]) -> None:
     if not markers:
         raise ParamError("no markers declared")
@@ -132,7 +151,7 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
     elif mtype == "inet":
         s = get("string")
         err = (F.when(vtype != "STRING", F.lit("expected string"))
-               .when(~(s.rlike(IPV4) | s.rlike(IPV6)), F.lit("expected IP address")))
+               .when(~(s.rlike(IPV4) | _is_ipv6(s)), F.lit("expected IP address")))
         value = F.lower(s)
     elif mtype == "timestamp":
         s = get("string")

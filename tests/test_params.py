@@ -111,3 +111,16 @@ def test_line_numbers_across_splits(spark, tmp_out):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(got) == n and all(r.line == r.i + 1 for r in got)
+
+
+@pytest.mark.parametrize("text,ok", [
+    ("::1", True), ("::", True), ("fe80::1", True), ("2001:db8:0:0:0:0:2:1", True),
+    ("2001:DB8::8:800:200C:417A", True), ("::ffff:192.0.2.128", True), ("1::", True),
+    (":::", False), ("1:2:3:4:5:6:7:8:9", False), ("1::2::3", False), ("12345::", False),
+    ("1:2:3:4:5:6:7", False), ("g::1", False), (":1:2:3:4:5:6:7", False), ("1.2.3.4", True),
+    ("01.2.3.4", False),
+])
+def test_inet_values(spark, tmp_out, text, ok):
+    folder = _write(tmp_out, "p.ndjson", f'{{"ip":"{text}"}}\n')
+    params, errors = read_params(spark, folder, {"ip": "inet"}, on_error="collect")
+    assert (params.count() == 1) == ok
