@@ -228,6 +228,22 @@ def stringify(col, source_type: str) -> Column:
     return _c(col).cast("string")
 
 
+def stringify_list(col, element_type: str) -> Column:
+    """A list inside a text list column: elements with a text form become text,
+    others become null elements; a null list stays null."""
+    if element_type not in STRINGIFIABLE:
+        return F.transform(_c(col), lambda x: F.lit(None).cast("string"))
+    return F.transform(_c(col), lambda x: x.cast("string"))
+
+
+def stringify_map_values(col, value_type: str) -> Column:
+    """Map values inside a text map: as :func:`stringify_list`, keys as text."""
+    keyed = F.transform_keys(_c(col), lambda k, v: k.cast("string"))
+    if value_type not in STRINGIFIABLE:
+        return F.transform_values(keyed, lambda k, v: F.lit(None).cast("string"))
+    return F.transform_values(keyed, lambda k, v: v.cast("string"))
+
+
 def convert_column(col, source_type: str, strict: bool = False) -> Column:
     """Convert one column to the Spark type of ``source_type``."""
     if source_type not in SOURCE_TYPES:

@@ -68,3 +68,12 @@ def test_date_bin_and_trunc(spark):
     assert got == [dt.datetime(2024, 1, 1, 0, 0), dt.datetime(1969, 12, 31, 23, 45)]
     r = df.limit(1).select(trunc_ntz("MONTH", "ts").alias("m"), trunc_ntz("HOUR", "ts").alias("h")).first()
     assert r.m == dt.datetime(2024, 1, 1) and r.h == dt.datetime(2024, 1, 1, 0, 0)
+
+
+def test_stringify_containers(spark):
+    df = spark.createDataFrame([([1, 2], [dt.date(2024, 1, 1)], {"a": dt.date(2024, 1, 2)}, None)],
+                               "i array<int>, d array<date>, m map<string,date>, n array<int>")
+    r = df.select(cv.stringify_list("i", "int").alias("i"), cv.stringify_list("d", "date").alias("d"),
+                  cv.stringify_map_values("m", "date").alias("m"),
+                  cv.stringify_list("n", "int").alias("n")).first()
+    assert r.i == ["1", "2"] and r.d == [None] and r.m == {"a": None} and r.n is None
