@@ -315,6 +315,10 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     per-set ``WindowGroupLimit``, aggregates a per-set aggregate that keeps
     sets without rows (``COUNT(*)`` = 0). Repeated sets repeat their rows.
 
+    With ``LIMIT``, Catalyst ranks every key of the table (partial
+    ``WindowGroupLimit``, then the join to the sets); for few sets over a
+    large table :func:`fanout_limit` joins first and ranks only matching rows.
+
     The sets get a broadcast hint only after :func:`measure` bounded their
     size. A text whose markers appear in non-equality predicates only would
     pair every set with every row; with sets too big to broadcast that plan
