@@ -315,9 +315,11 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     per-set ``WindowGroupLimit``, aggregates a per-set aggregate that keeps
     sets without rows (``COUNT(*)`` = 0). Repeated sets repeat their rows.
 
-    With ``LIMIT``, Catalyst ranks every key of the table (partial
-    ``WindowGroupLimit``, then the join to the sets); for few sets over a
-    large table :func:`fanout_limit` joins first and ranks only matching rows.
+    ``LIMIT`` and aggregates are decorrelated as a top-n / aggregate per key
+    followed by the join to the sets. On a large table (scan above
+    ``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``,
+    10 GB) Spark injects a runtime bloom filter of the set keys into that scan,
+    so only rows of requested keys are ranked or aggregated.
 
     The sets get a broadcast hint only after :func:`measure` bounded their
     size. A text whose markers appear in non-equality predicates only would

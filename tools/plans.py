@@ -41,6 +41,11 @@ def plans(spark, t):
                                   "ORDER BY o_orderdate DESC, o_orderkey LIMIT 2",
                            sets.select(F.col("c_custkey").alias("k")),
                            tables={"orders": t.orders}))
+    yield ("Query text per parameter row with an aggregate, as planned for a large table "
+           "(runtime bloom filter of the set keys in the scan: might_contain)",
+           _large_table(spark, lambda: fo.query_fanout(
+               spark, "SELECT COUNT(*) AS n FROM orders WHERE o_custkey = :k",
+               machinery.select(F.col("c_custkey").alias("k")), tables={"orders": t.orders})))
     yield ("SQL transform over `source`: filters and columns reach the Parquet scan",
            transform(spark, t.orders, "SELECT o_orderkey FROM source "
                                       "WHERE o_totalprice > 400000 AND o_orderstatus = 'F'"))
@@ -48,6 +53,20 @@ def plans(spark, t):
            t.lineitem.hint("rebalance", "l_returnflag"))
 
 
+def _large_table(spark, build):
+    """Plan ``build()`` as if the scanned table were above the runtime-filter
+    size threshold (10 GB), which the test data is not."""
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        df = build()
+        df._jdf.queryExecution().executedPlan()  # plan while the setting holds
+        return df
+    finally:
+        spark.conf.set(key, old)
+
+
 def main(sf_dir: str) -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     t = Tables(spark, sf_dir)
