@@ -191,3 +191,27 @@ def test_query_fanout_refuses_cartesian_for_big_sets(spark):
         assert keyed.first().n == ev.filter("user_id = 1").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_key_on_shuffle_join_is_split(spark, tmp_out):
+    # Sets too big to broadcast; one key holds a third of the rows.
+    _skewed_events(spark).repartition(8).write.parquet(tmp_out + "/ev")
+    ev = spark.read.parquet(tmp_out + "/ev")
+    params = spark.range(1, 200).select(F.col("id").alias("user_id"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = fo.fanout(ev, params, on="user_id", broadcast="never")
+        n = len(out.collect())  # runs this plan, so AQE's final plan is recorded
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert n == ev.filter("user_id BETWEEN 1 AND 199").count()
+    assert "SortMergeJoin" in plan and "skew=true" in plan
