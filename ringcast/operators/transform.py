@@ -21,6 +21,9 @@ SOURCE_VIEW = "source"
 QUERY_KEYWORDS = ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "(")
 
 _COMMENTS = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
+# Quoted text (skipped) or a data-changing keyword (``WITH ... INSERT`` is valid Spark SQL).
+_DML_TOKENS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
+                         r"|\b(INSERT|MERGE|UPDATE|DELETE)\b", re.S | re.I)
 # View names are per session: resolve one transform at a time; execution is not held.
 _RESOLVE_LOCK = threading.RLock()
 
@@ -44,6 +47,10 @@ def check_query_text(sql: str) -> str:
     head = "(" if text.startswith("(") else text.split(None, 1)[0].upper()
     if head not in QUERY_KEYWORDS:
         raise TransformError(f"transform must be a query (SELECT/WITH/VALUES/FROM/TABLE), got {head}")
+    if head == "WITH":
+        for m in _DML_TOKENS.finditer(text):
+            if m.group(1):
+                raise TransformError(f"transform must be a query, found {m.group(1).upper()}")
     return text
 
 

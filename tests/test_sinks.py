@@ -145,3 +145,9 @@ def test_single_file_empty_result(spark, tmp_out, ext):
     write(spark.range(0), path, single_file=True)
     assert os.path.isfile(path)
     assert read_back(spark, path, schema="id bigint").count() == 0
+
+
+def test_max_records_per_file(spark, tmp_out):
+    orders = Tables(spark, SF_SMALL).orders.coalesce(1)
+    write(orders, tmp_out + "/m.parquet", max_records_per_file=100)
+    assert count_data_files(spark, tmp_out + "/m.parquet") >= orders.count() // 100

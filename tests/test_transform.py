@@ -53,3 +53,9 @@ def test_concurrent_transforms_keep_their_source(spark):
     with ThreadPoolExecutor(4) as pool:
         results = list(pool.map(job, [3, 5, 7, 11, 13, 17, 19, 23]))
     assert all(n == c for n, c in results)
+
+
+def test_with_dml_refused_but_quoted_words_allowed():
+    with pytest.raises(TransformError):
+        check_query_text("WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a")
+    assert check_query_text("WITH a AS (SELECT 'insert' AS x, `update` FROM b) SELECT * FROM a")
