@@ -1,8 +1,10 @@
 """Benchmark the headline jobs at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Prints one JSON line. ``value`` is the sum of the per-query times (each the
-best of $BENCH_REPEAT runs); ``headline`` is the reference's own benchmark
-shape: a full table export to one zstd Parquet file, in rows per second.
+Prints one JSON line. ``value`` is the job the reference benchmarks: a whole
+table (lineitem) over 2400 ring splits into one zstd Parquet file, in
+seconds. ``queries`` has every job (each the best of $BENCH_REPEAT runs after
+a warm-up pass on the smallest data), ``total_sec`` their sum, and the
+rows-per-second figures compare with the reference's 1.23M rows/s.
 """
 
 from __future__ import annotations
@@ -56,18 +58,17 @@ def main() -> None:
             best = took if best is None else min(best, took)
         times[name] = round(best, 3)
     single = times["export_single_parquet"]
+    parts = times["export_parts_parquet"]
     print(json.dumps({
-        "metric": "total_sec",
-        "value": round(sum(times.values()), 3),
+        "metric": "export_single_parquet_sec",
+        "value": single,
         "unit": "sec",
         "queries": times,
         "sf": _sf(SF_DIR),
-        "headline": {
-            "query": "export_single_parquet",
-            "rows": lineitem_rows,
-            "sec": single,
-            "rows_per_sec": round(lineitem_rows / single) if single else None,
-        },
+        "rows": lineitem_rows,
+        "rows_per_sec": round(lineitem_rows / single) if single else None,
+        "parts_rows_per_sec": round(lineitem_rows / parts) if parts else None,
+        "total_sec": round(sum(times.values()), 3),
         "cpus": CPUS,
         "repeat": REPEAT,
         "warmup": WARMUP_DIR if warm else None,
