@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from ringcast.operators import fanout as fo  # noqa: E402
 from ringcast.operators import ring  # noqa: E402
 from ringcast.plans.export import export, token_range_export  # noqa: E402
-from ringcast.session import build_session, scratch_path  # noqa: E402
+from ringcast.session import build_session, cleanup_scratch, scratch_path  # noqa: E402
 from ringcast.sources.params import read_params  # noqa: E402
 from ringcast.sources.table import Tables  # noqa: E402
 
@@ -73,6 +73,7 @@ def main() -> None:
         "repeat": REPEAT,
         "warmup": WARMUP_DIR if warm else None,
     }))
+    cleanup_scratch(spark)
     spark.stop()
 
 

@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ringcast.plans.export import token_range_export  # noqa: E402
 from ringcast.plans.generate import bench_events_range  # noqa: E402
-from ringcast.session import build_session, scratch_path  # noqa: E402
+from ringcast.session import build_session, cleanup_scratch, scratch_path  # noqa: E402
 
 
 def main(rows: int, cores: int) -> dict:
@@ -36,6 +36,7 @@ def main(rows: int, cores: int) -> dict:
         result = token_range_export(spark, events, "id", path, splits=2400, single_file=single)
         out[f"{name}_sec"] = round(result.seconds, 1)
         out[f"{name}_rows_per_sec"] = round(result.rows / result.seconds)
+    cleanup_scratch(spark)
     spark.stop()
     return out
 

@@ -103,7 +103,12 @@ def main(argv: list[str] | None = None) -> int:
     else:
         spark = SparkSession.builder.getOrCreate()
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    print(json.dumps(run(spark, args)))
+    from ringcast.session import cleanup_scratch
+
+    try:
+        print(json.dumps(run(spark, args)))
+    finally:
+        cleanup_scratch(spark)
     return 0
 
 

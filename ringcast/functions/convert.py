@@ -156,9 +156,10 @@ def format_time_ns(col) -> Column:
 
 
 def uuid_text(col) -> Column:
-    """Lower-case 8-4-4-4-12 text from 32 hex digits, 16 bytes or UUID text."""
+    """Lower-case 8-4-4-4-12 text from UUID text or 32 hex digits (C13); null for
+    anything else. For 16-byte binary values use :func:`uuid_from_binary`."""
     hexed = F.lower(F.regexp_replace(_c(col).cast("string"), "-", ""))
-    return F.when(F.length(hexed) == 32,
+    return F.when(hexed.rlike("^[0-9a-f]{32}$"),
                   F.regexp_replace(hexed, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"))
 
 
@@ -244,14 +245,18 @@ def stringify_map_values(col, value_type: str) -> Column:
     return F.transform_values(keyed, lambda k, v: v.cast("string"))
 
 
-def convert_column(col, source_type: str, strict: bool = False) -> Column:
-    """Convert one column to the Spark type of ``source_type``."""
+def convert_column(col, source_type: str, strict: bool = False,
+                   data_type: T.DataType | None = None) -> Column:
+    """Convert one column to the Spark type of ``source_type``; ``data_type`` is
+    the column's current type when known (binary UUIDs are hex-encoded)."""
     if source_type not in SOURCE_TYPES:
         raise ValueError(f"unsupported source type {source_type!r}")
     target = SOURCE_TYPES[source_type]
     if source_type == "date":
         return date_from_raw(col)
     if source_type in ("uuid", "timeuuid"):
+        if isinstance(data_type, T.BinaryType):
+            return uuid_from_binary(col)
         return uuid_text(col)
     return cast_to(col, target, strict)
 
@@ -261,8 +266,9 @@ def convert_columns(df: DataFrame, types: Mapping[str, str], strict: bool = Fals
     unknown = [c for c in types if c not in df.columns]
     if unknown:
         raise ValueError(f"columns not in the data: {unknown}")
-    return df.select(*[convert_column(F.col(f"`{c}`"), types[c], strict).alias(c) if c in types
-                       else F.col(f"`{c}`") for c in df.columns])
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[convert_column(F.col(f"`{c}`"), types[c], strict, fields[c]).alias(c)
+                       if c in types else F.col(f"`{c}`") for c in df.columns])
 
 
 def spark_type(source_type: str) -> T.DataType:

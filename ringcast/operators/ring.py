@@ -33,6 +33,14 @@ def default_splits(spark: SparkSession) -> int:
     return 300 * max(1, spark.sparkContext.defaultParallelism)
 
 
+def _check_free(df: DataFrame, *names: str) -> None:
+    """The computed columns must not replace data columns of the same name."""
+    taken = [n for n in names if n in df.columns]
+    if taken:
+        raise ValueError(f"the data already has column(s) {taken}; pass other names "
+                         "(token_col=..., split_col=...)")
+
+
 def _all_columns(columns) -> bool:
     return columns is None or columns == "*" or list(columns) == ["*"]
 
@@ -55,6 +63,7 @@ def token_scan(df: DataFrame, partition_keys, splits: int | None = None,
     if splits is None:
         splits = default_splits(df.sparkSession)
     check_splits(splits)
+    _check_free(df, token_col, split_col)
     token = make_token(partition_keys, token_method)
     if _all_columns(columns):
         out = df.withColumn(token_col, token)
@@ -67,12 +76,22 @@ def token_scan(df: DataFrame, partition_keys, splits: int | None = None,
 def scan_range(df: DataFrame, partition_keys, start: int, end: int,
                end_inclusive: bool = False, columns=None,
                token_method: str = "xxhash64", token_col: str = TOKEN_COL) -> DataFrame:
-    """Rows whose token lies in ``[start, end)`` (``[start, end]`` if inclusive)."""
+    """Rows whose token lies in ``[start, end)`` (``[start, end]`` if inclusive).
+
+    With ``token_method="column"`` the partition key is a stored token column
+    (as written by :func:`write_token_layout`), so the filter reaches the scan
+    and prunes row groups; otherwise the token is computed as ``token_col``.
+    """
     if not (MIN_TOKEN <= start <= MAX_TOKEN and MIN_TOKEN <= end <= MAX_TOKEN):
         raise ValueError("token bounds must be signed 64-bit integers")
-    token = make_token(partition_keys, token_method)
-    base = df.withColumn(token_col, token) if token_col not in df.columns else df
-    out = base.filter(in_range(F.col(token_col), start, end, end_inclusive))
+    if token_method == "column":
+        keys = [partition_keys] if isinstance(partition_keys, str) else list(partition_keys)
+        token_col = keys[0] if len(keys) == 1 else token_col
+        out = df.filter(in_range(make_token(partition_keys, "column"), start, end, end_inclusive))
+    else:
+        _check_free(df, token_col)
+        out = (df.withColumn(token_col, make_token(partition_keys, token_method))
+               .filter(in_range(F.col(token_col), start, end, end_inclusive)))
     if not _all_columns(columns):
         out = out.select(*columns, token_col)
     return out
@@ -143,6 +162,7 @@ def write_token_layout(df: DataFrame, partition_keys, path: str, num_files: int,
     land in one range (one task, one huge file). ``sortWithinPartitions``
     gives each file tight row-group statistics on the token.
     """
+    _check_free(df, token_col)
     tokens = df.withColumn(token_col, make_token(partition_keys, token_method))
     hashable = [F.col(f"`{f.name}`") for f in df.schema.fields
                 if not _contains_map(f.dataType)]

@@ -20,8 +20,11 @@ SOURCE_VIEW = "source"
 # Statement starts accepted as a query.
 QUERY_KEYWORDS = ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "(")
 
-_COMMENTS = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
-# Quoted text (skipped) or a data-changing keyword (``WITH ... INSERT`` is valid Spark SQL).
+# Quoted text (kept as is) or a comment (removed).
+_QUOTED_OR_COMMENT = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`)"
+                                r"|--[^\n]*|/\*.*?\*/", re.S)
+# Quoted text (skipped) or a data-changing keyword: Spark SQL accepts
+# ``WITH ... INSERT`` and ``FROM t INSERT ...``.
 _DML_TOKENS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
                          r"|\b(INSERT|MERGE|UPDATE|DELETE)\b", re.S | re.I)
 # View names are per session: resolve one transform at a time; execution is not held.
@@ -32,22 +35,28 @@ class TransformError(ValueError):
     pass
 
 
+def strip_comments(sql: str) -> str:
+    """``sql`` without ``--`` and ``/* */`` comments; quoted text is left alone."""
+    return _QUOTED_OR_COMMENT.sub(lambda m: m.group(1) if m.group(1) is not None else " ", sql)
+
+
 def check_query_text(sql: str) -> str:
-    """Refuse text that is not a single query before Spark runs it.
+    """Refuse text that is not a single query before Spark runs it; returns the
+    text without comments and trailing semicolons (safe to nest in a subquery).
 
     ``spark.sql`` executes DDL and DML eagerly, so a transform such as
     ``DROP TABLE`` would act at once; only query statements pass.
     """
     if not isinstance(sql, str) or not sql.strip():
         raise TransformError("transform SQL is empty")
-    text = _COMMENTS.sub(" ", sql).strip()
+    text = strip_comments(sql).strip()
     text = text.rstrip().rstrip(";").rstrip()
     if not text:
         raise TransformError("transform SQL is empty")
     head = "(" if text.startswith("(") else text.split(None, 1)[0].upper()
     if head not in QUERY_KEYWORDS:
         raise TransformError(f"transform must be a query (SELECT/WITH/VALUES/FROM/TABLE), got {head}")
-    if head == "WITH":
+    if head in ("WITH", "FROM"):
         for m in _DML_TOKENS.finditer(text):
             if m.group(1):
                 raise TransformError(f"transform must be a query, found {m.group(1).upper()}")

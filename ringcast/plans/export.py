@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ringcast.operators.ring import SPLIT_COL, split_bounds, token_scan
 from ringcast.operators.transform import transform as run_transform
-from ringcast.sinks.writer import output_format, write
+from ringcast.sinks.writer import output_format, path_exists, write
 
 
 @dataclass
@@ -39,6 +39,11 @@ def export(spark: SparkSession, source: DataFrame, path: str, transform: str | N
     a failed write raises instead and never calls it.
     """
     fmt_name = output_format(path, fmt)
+    if mode == "ignore" and path_exists(spark, path):
+        skipped = ExportResult(path, fmt_name, 0, 0.0, {"skipped": True})
+        if on_complete is not None:
+            on_complete(skipped)
+        return skipped
     result = run_transform(spark, source, transform, tables)
     observation = Observation("ringcast_export")
     observed = result.observe(observation, F.count(F.lit(1)).alias("rows"))
@@ -79,7 +84,7 @@ def query_export(spark: SparkSession, sql: str, path: str, params_path: str | No
             raise ValueError("markers (name -> type) are required with a parameter file")
         params = read_params(spark, params_path, markers)
         rows = query_fanout(spark, sql, params.drop("param_set"), tables=tables)
-    return export(spark, rows, path, **export_options)
+    return export(spark, rows, path, tables=tables, **export_options)
 
 
 def split_metrics(df: DataFrame, splits: int, split_col: str = SPLIT_COL) -> DataFrame:

@@ -110,3 +110,24 @@ def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str,
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.session.timeZone": "UTC",
     }
+
+
+def cleanup_scratch(spark: SparkSession) -> int:
+    """Delete this application's ``ringcast-*`` folders under the checkpoint
+    folder (parsed parameter tables, set ids, staged outputs). Call it when the
+    job's outputs are written: DataFrames still reading those folders break.
+    Returns the number of folders removed."""
+    base = spark.sparkContext.getCheckpointDir()
+    if not base:
+        return 0
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    removed = 0
+    for status in fs.listStatus(root):
+        if status.getPath().getName().startswith("ringcast-"):
+            fs.delete(status.getPath(), True)
+            removed += 1
+    return removed

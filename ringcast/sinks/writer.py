@@ -129,25 +129,38 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-def _configure(df: DataFrame, fmt: str, mode: str, compression: str | None,
-               max_records_per_file: int | None, keep_nulls: bool, options: dict | None):
-    writer = df.write.mode(mode)
+def format_options(fmt: str, compression: str | None = None, keep_nulls: bool = False,
+                   max_records_per_file: int | None = None, options: dict | None = None) -> dict:
+    """Writer options of each format (batch and streaming sinks share them)."""
+    opts: dict = {}
     if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
+        opts["maxRecordsPerFile"] = int(max_records_per_file)
     if fmt == "parquet":
-        writer = writer.option("compression", compression or "zstd")
+        opts["compression"] = compression or "zstd"
     elif fmt == "csv":
-        writer = (writer.option("header", True).option("quote", '"').option("escape", '"')
-                  .option("ignoreLeadingWhiteSpace", False)
-                  .option("ignoreTrailingWhiteSpace", False)
-                  .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+        opts.update({"header": True, "quote": '"', "escape": '"',
+                     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+                     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
         if compression:
-            writer = writer.option("compression", compression)
+            opts["compression"] = compression
     else:
-        writer = writer.option("ignoreNullFields", not keep_nulls)
+        opts["ignoreNullFields"] = not keep_nulls
         if compression:
-            writer = writer.option("compression", compression)
-    for key, value in (options or {}).items():
+            opts["compression"] = compression
+    opts.update(options or {})
+    return opts
+
+
+def prepare(df: DataFrame, fmt: str) -> DataFrame:
+    """Columns the format can hold: CSV gets nested values as JSON, binary as hex."""
+    return _text_safe(df) if fmt == "csv" else df
+
+
+def _configure(df: DataFrame, fmt: str, mode: str, compression: str | None,
+               max_records_per_file: int | None, keep_nulls: bool, options: dict | None):
+    writer = df.write.mode(mode)
+    for key, value in format_options(fmt, compression, keep_nulls, max_records_per_file,
+                                     options).items():
         writer = writer.option(key, value)
     return writer
 
@@ -187,7 +200,7 @@ def write(df: DataFrame, path: str, fmt: str | None = None, single_file: bool =
     if parts and len(parts) == len(df.columns):
         raise SinkError("cannot partition by every column")
     sort_cols = [sort_by] if isinstance(sort_by, str) else list(sort_by or [])
-    out = _text_safe(df) if fmt == "csv" else df
+    out = prepare(df, fmt)
 
     if single_file:
         return _write_single(out, path, fmt, mode, compression, sort_cols, keep_nulls,
@@ -218,7 +231,6 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
             return target
         if mode == "append":
             raise SinkError("append is not possible for a single-file output")
-        fs.delete(jtarget, True)
     staging = f"{posixpath.dirname(target) or '.'}/.{posixpath.basename(target)}.staging-{uuid.uuid4().hex[:12]}"
     if strategy == "auto":
         size = estimated_bytes(df)
@@ -243,6 +255,8 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
     parent = jtarget.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
+    if fs.exists(jtarget):  # overwrite: the old output goes only once the new file is complete
+        fs.delete(jtarget, True)
     if data_files:
         if not fs.rename(data_files[0], jtarget):
             raise SinkError(f"could not move the output file to {target}")

@@ -104,6 +104,8 @@ def _check_markers(markers: Mapping[str, str]) -> None:
     for name in markers:
         if not isinstance(name, str) or not name:
             raise ParamError(f"bad marker name {name!r}")
+        if name == "param_set" or name.startswith("__"):
+            raise ParamError(f"marker name {name!r} is reserved")
 
 
 def _integer(vtype: Column, raw: Column) -> Column:
@@ -196,38 +198,42 @@ def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFram
     _check_markers(markers)
     names = list(markers)
     v = F.try_parse_json("text")
-    vschema = F.schema_of_variant(F.col("v"))
+    vschema = F.schema_of_variant(F.col("__v"))
     raw_map = F.from_json(F.col("text"), "map<string,string>")
-    base = (lines.select("file", "line", "param_set", "text", v.alias("v"), raw_map.alias("raw"))
-            .withColumn("keys", F.map_keys("raw")))
+    base = (lines.select(F.col("file").alias("__file"), F.col("line").alias("__line"), "param_set",
+                         F.col("text").alias("__text"), v.alias("__v"), raw_map.alias("__raw"))
+            .withColumn("__keys", F.map_keys("__raw")))
     # The VARIANT parser refuses duplicate keys; the map reader keeps the last.
-    line_err = (F.when(F.col("v").isNull() & F.col("raw").isNotNull(), F.lit("duplicate key"))
-                .when(F.col("v").isNull(), F.lit("invalid JSON"))
+    line_err = (F.when(F.col("__v").isNull() & F.col("__raw").isNotNull(), F.lit("duplicate key"))
+                .when(F.col("__v").isNull(), F.lit("invalid JSON"))
                 .when(~vschema.startswith("OBJECT"), F.lit("not a JSON object")))
     declared = F.array(*[F.lit(n) for n in names])
     value_cols, marker_errs = [], []
     for name in names:
-        val, err = _marker(name, markers[name], F.col("v"), F.col("raw"))
-        present = F.array_contains(F.col("keys"), F.lit(name))
+        val, err = _marker(name, markers[name], F.col("__v"), F.col("__raw"))
+        present = F.array_contains(F.col("__keys"), F.lit(name))
         value_cols.append(val.alias(name))
         marker_errs.append(F.when(present & err.isNotNull(),
                                   F.struct(F.lit(name).alias("name"), err.alias("reason"))))
-    unknown = F.transform(F.array_except(F.col("keys"), declared),
+    unknown = F.transform(F.array_except(F.col("__keys"), declared),
                           lambda k: F.struct(k.alias("name"), F.lit("unknown key").alias("reason")))
-    missing = F.transform(F.array_except(declared, F.coalesce(F.col("keys"), F.array().cast("array<string>"))),
+    missing = F.transform(F.array_except(declared, F.coalesce(F.col("__keys"),
+                                                              F.array().cast("array<string>"))),
                           lambda k: F.struct(k.alias("name"), F.lit("missing key").alias("reason")))
     errs = F.when(line_err.isNotNull(),
                   F.array(F.struct(F.lit(None).cast("string").alias("name"), line_err.alias("reason"))))
     errs = errs.otherwise(F.filter(F.concat(F.array(*marker_errs), unknown, missing),
                                    lambda e: e.isNotNull()))
-    checked = base.select("file", "line", "param_set", "text", *value_cols, errs.alias("errors"))
+    checked = base.select("__file", "__line", "param_set", "__text", *value_cols,
+                          errs.alias("__errors"))
     from ringcast.session import materialize
 
     checked = materialize(checked, "params")
-    params = checked.filter(F.size("errors") == 0).select("param_set", *names)
-    errors = (checked.filter(F.size("errors") > 0)
-              .select("file", "line", "param_set", "text", F.explode("errors").alias("e"))
-              .select("file", "line", "param_set", "e.name", "e.reason", "text"))
+    params = checked.filter(F.size("__errors") == 0).select("param_set", *names)
+    errors = (checked.filter(F.size("__errors") > 0)
+              .select("__file", "__line", "param_set", "__text", F.explode("__errors").alias("e"))
+              .select(F.col("__file").alias("file"), F.col("__line").alias("line"), "param_set",
+                      "e.name", "e.reason", F.col("__text").alias("text")))
     return params, errors
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ringcast.operators.transform import transform as run_transform
-from ringcast.sinks.writer import check_target, output_format
+from ringcast.sinks.writer import check_target, format_options, output_format, prepare
 
 
 def stream_source(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -32,16 +32,19 @@ def stream_source(spark: SparkSession, path: str, schema: StructType, fmt: str =
 
 def incremental_export(spark: SparkSession, source: DataFrame, path: str, checkpoint: str,
                        transform: str | None = None, fmt: str | None = None,
-                       partition_by=None, query_name: str | None = None) -> dict:
-    """Export what is new in the streaming ``source`` to ``path``; returns progress."""
+                       partition_by=None, query_name: str | None = None,
+                       compression: str | None = None, keep_nulls: bool = False) -> dict:
+    """Export what is new in the streaming ``source`` to ``path``; returns progress.
+    Formats get the same options and column handling as the batch sinks."""
     check_target(path)
     fmt_name = output_format(path, fmt)
     out = run_transform(spark, source, transform) if transform else source
+    out = prepare(out, fmt_name)
     writer = (out.writeStream.format("json" if fmt_name == "ndjson" else fmt_name)
               .option("checkpointLocation", checkpoint).outputMode("append")
               .trigger(availableNow=True))
-    if fmt_name == "parquet":
-        writer = writer.option("compression", "zstd")
+    for key, value in format_options(fmt_name, compression, keep_nulls).items():
+        writer = writer.option(key, value)
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if query_name:
