@@ -23,6 +23,7 @@ from ringcast.operators import fanout as fo  # noqa: E402
 from ringcast.operators import ring  # noqa: E402
 from ringcast.plans.export import export, token_range_export  # noqa: E402
 from ringcast.session import build_session, cleanup_scratch, scratch_path  # noqa: E402
+from ringcast.sinks.writer import remove_path  # noqa: E402
 from ringcast.sources.params import read_params  # noqa: E402
 from ringcast.sources.table import Tables  # noqa: E402
 
@@ -41,22 +42,27 @@ def _sf(path: str) -> str:
 def main() -> None:
     spark = build_session(f"local[{CPUS}]", shuffle_partitions=CPUS,
                           extra={"spark.driver.memory": "16g"})
+    def timed(job) -> float:
+        """Run one job; its output is deleted right after timing."""
+        started = time.perf_counter()
+        out = job()
+        took = time.perf_counter() - started
+        if out:
+            remove_path(spark, out)
+        return took
+
     warm = os.path.isdir(WARMUP_DIR) and WARMUP_DIR != SF_DIR
-    if warm:
-        for job in make_jobs(spark, Tables(spark, WARMUP_DIR)).values():
-            job()
-    t = Tables(spark, SF_DIR)
-    lineitem_rows = t.lineitem.count()
-    jobs = make_jobs(spark, t)
-    times = {}
-    for name, job in jobs.items():
-        best = None
-        for _ in range(REPEAT):
-            started = time.perf_counter()
-            job()
-            took = time.perf_counter() - started
-            best = took if best is None else min(best, took)
-        times[name] = round(best, 3)
+    try:
+        if warm:
+            for job in make_jobs(spark, Tables(spark, WARMUP_DIR)).values():
+                timed(job)
+        t = Tables(spark, SF_DIR)
+        lineitem_rows = t.lineitem.count()
+        times = {}
+        for name, job in make_jobs(spark, t).items():
+            times[name] = round(min(timed(job) for _ in range(REPEAT)), 3)
+    finally:
+        cleanup_scratch(spark)
     single = times["export_single_parquet"]
     parts = times["export_parts_parquet"]
     print(json.dumps({
@@ -73,63 +79,61 @@ def main() -> None:
         "repeat": REPEAT,
         "warmup": WARMUP_DIR if warm else None,
     }))
-    cleanup_scratch(spark)
     spark.stop()
 
 
 def make_jobs(spark, t):
-    """The benchmark jobs over the tables ``t``; each returns its row count."""
+    """The benchmark jobs over the tables ``t``; each returns the path it wrote
+    (deleted after timing) or None."""
 
     def export_single():
         # The reference's benchmark: whole table over the ring, one Parquet file.
         r = token_range_export(spark, t.lineitem, ["l_orderkey", "l_linenumber"],
                                scratch_path(spark, "bench-single") + ".parquet",
                                splits=2400, single_file=True)
-        return r.rows
+        return r.path
 
     def export_parts():
         r = token_range_export(spark, t.lineitem, ["l_orderkey", "l_linenumber"],
                                scratch_path(spark, "bench-parts") + ".parquet", splits=2400)
-        return r.rows
+        return r.path
 
     def split_counts():
-        return ring.split_counts(t.lineitem, ["l_orderkey", "l_linenumber"], 2400,
-                                 include_empty=True).agg(F.sum("rows")).first()[0]
+        ring.split_counts(t.lineitem, ["l_orderkey", "l_linenumber"], 2400,
+                          include_empty=True).agg(F.sum("rows")).first()
 
     def flagship_transform():
         r = export(spark, ring.token_scan(t.events, "event_id", 16, keep_token=False),
                    scratch_path(spark, "bench-flagship") + ".parquet",
                    transform="SELECT event_type, COUNT(*) AS cnt, AVG(value) AS avg_value "
                              "FROM source GROUP BY event_type", single_file=True)
-        return r.rows
+        return r.path
 
     def fanout_rows():
         params = t.customer.filter(F.col("c_mktsegment") == "MACHINERY").select("c_custkey")
-        return fo.fanout(t.orders, params, on={"c_custkey": "o_custkey"}).count()
+        fo.fanout(t.orders, params, on={"c_custkey": "o_custkey"}).count()
 
     def fanout_counts():
         params = t.customer.select(F.col("c_custkey").alias("param_set"), "c_custkey")
-        out = fo.fanout_count(t.orders, params, on={"c_custkey": "o_custkey"})
-        return out.agg(F.sum("cnt")).first()[0]
+        fo.fanout_count(t.orders, params, on={"c_custkey": "o_custkey"}).agg(F.sum("cnt")).first()
 
     def fanout_limit():
         params = t.customer.select(F.col("c_custkey").alias("param_set"), "c_custkey")
-        out = fo.fanout_limit(t.orders, params, 2, [F.col("o_orderdate").desc(), "o_orderkey"],
-                              on={"c_custkey": "o_custkey"})
-        return out.count()
+        fo.fanout_limit(t.orders, params, 2, [F.col("o_orderdate").desc(), "o_orderkey"],
+                        on={"c_custkey": "o_custkey"}).count()
 
     def hive_export():
         r = export(spark, t.lineitem, scratch_path(spark, "bench-hive"),
                    partition_by=["l_returnflag", "l_linestatus"])
-        return r.rows
+        return r.path
 
     def csv_export():
-        return export(spark, t.documents, scratch_path(spark, "bench-csv") + ".csv").rows
+        return export(spark, t.documents, scratch_path(spark, "bench-csv") + ".csv").path
 
     def ndjson_transform():
         return export(spark, t.orders, scratch_path(spark, "bench-ndjson") + ".ndjson",
                       transform="SELECT o_custkey, COUNT(*) AS n, SUM(o_totalprice) AS total "
-                                "FROM source GROUP BY o_custkey").rows
+                                "FROM source GROUP BY o_custkey").path
 
     def params_file():
         path = scratch_path(spark, "bench-params")
@@ -137,8 +141,9 @@ def make_jobs(spark, t):
                                            F.col("event_type").alias("kind"))).alias("value")
                         ).write.text(path)
         params = read_params(spark, path, {"uid": "bigint", "kind": "text"})
-        return fo.fanout_count(t.events, params, on={"uid": "user_id", "kind": "event_type"}
-                               ).agg(F.sum("cnt")).first()[0]
+        fo.fanout_count(t.events, params, on={"uid": "user_id", "kind": "event_type"}
+                        ).agg(F.sum("cnt")).first()
+        return path
 
     return {
         "export_single_parquet": export_single,

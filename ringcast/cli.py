@@ -35,12 +35,18 @@ def _markers(text: str) -> dict[str, str]:
     return out
 
 
+# Formats accepted after '@' in --table.
+TABLE_FORMATS = ("parquet", "csv", "json", "orc", "text", "avro")
+
+
 def _table(text: str) -> tuple[str, str, str]:
     name, sep, rest = text.partition("=")
     if not sep or not name or not rest:
         raise argparse.ArgumentTypeError(f"table must be name=path[@format], got {text!r}")
-    path, _, fmt = rest.partition("@")
-    return name, path, fmt or "parquet"
+    path, at, fmt = rest.rpartition("@")
+    if at and fmt in TABLE_FORMATS:  # '@' also appears in URLs (abfss://container@account...)
+        return name, path, fmt
+    return name, rest, "parquet"
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -100,9 +106,12 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.master:
         spark = build_session(args.master)
-    else:
+    else:  # under spark-submit: keep its master and resources, apply the SQL defaults
+        from ringcast.session import apply_defaults, ensure_checkpoint_dir
+
         spark = SparkSession.builder.getOrCreate()
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        apply_defaults(spark)
+        ensure_checkpoint_dir(spark)
     from ringcast.session import cleanup_scratch
 
     try:

@@ -12,7 +12,9 @@ Scale rules applied here:
   (sort-merge with skew splitting, or a runtime broadcast);
 * at least one equality between a set column and a source column keeps the
   join a hash join; a predicate-only fan-out is accepted only with broadcast
-  sets (it is a per-row check against each set, never a shuffle cross join);
+  sets (it is a per-row check against each set, never a shuffle cross join,
+  and costs rows x sets comparisons: the same work as one full-table query
+  per set, which is what it means);
 * per-set ``LIMIT`` is a ``row_number`` filter, which Spark plans as a
   partial ``WindowGroupLimit`` before the shuffle: a hot set ships at most
   ``n`` rows per task;
@@ -33,12 +35,9 @@ from pyspark.sql import types as T
 
 SET_COL = "param_set"
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
-# Fixed widths in bytes of the fixed-size types, as Spark lays them out.
-FIXED_WIDTHS = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
-    T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8,
-    T.TimestampNTZType: 8, T.DecimalType: 16, T.NullType: 1,
-}
+# Fixed-size types take one 8-byte slot of an UnsafeRow (wide decimals 8 + 16).
+FIXED_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+               T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
 
 
 @dataclass
@@ -48,18 +47,21 @@ class SetSize:
 
 
 def measure(params: DataFrame) -> SetSize:
-    """Row count and an upper estimate of the bytes of a parameter table.
+    """Row count and the in-memory bytes of a parameter table, as UnsafeRows.
 
-    Fixed-width columns count their width; strings and binaries their
-    actual length. One aggregate job over the (small) parameter table.
+    Every field takes an 8-byte slot plus a null bit per field; strings and
+    binaries add their length, nested values their JSON length. One
+    aggregate job over the (small) parameter table.
     """
-    fixed = 0
+    nfields = len(params.schema.fields)
+    fixed = 8 * nfields + 8 * ((nfields + 63) // 64)
     var_cols = []
     for f in params.schema.fields:
         c = F.col(f"`{f.name}`")
-        width = FIXED_WIDTHS.get(type(f.dataType))
-        if width is not None:
-            fixed += width
+        if isinstance(f.dataType, FIXED_TYPES):
+            continue
+        if isinstance(f.dataType, T.DecimalType):
+            fixed += 16 if f.dataType.precision > 18 else 0
         elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
             var_cols.append(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)))
         else:  # nested values: their JSON text bounds their size
@@ -69,8 +71,7 @@ def measure(params: DataFrame) -> SetSize:
     row = params.agg(*exprs).first()
     n = int(row["n"])
     var_bytes = sum(int(row[f"v{i}"]) for i in range(len(var_cols)))
-    # 16 bytes of row overhead per row, as in UnsafeRow headers.
-    return SetSize(n, n * (fixed + 16) + var_bytes)
+    return SetSize(n, n * fixed + var_bytes)
 
 
 def maybe_broadcast(params: DataFrame, policy="auto",
@@ -340,7 +341,8 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     views = {PARAMS_VIEW: params, **dict(tables or {})}
     out = transform(spark, None, text, views)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    if not is_broadcast and ("CartesianProduct" in plan or "NestedLoopJoin" in plan):
+    equi = any(j in plan for j in ("HashJoin", "SortMergeJoin"))
+    if not is_broadcast and ("CartesianProduct" in plan or ("NestedLoopJoin" in plan and not equi)):
         raise ValueError("the query pairs every parameter set with every row (no equality on a "
                          "marker) and the sets are too big to broadcast; add an equality marker")
     return out

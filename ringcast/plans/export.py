@@ -61,10 +61,15 @@ def export(spark: SparkSession, source: DataFrame, path: str, transform: str | N
 def token_range_export(spark: SparkSession, df: DataFrame, partition_keys, path: str,
                        splits: int | None = None, columns=None, token_method: str = "xxhash64",
                        keep_split: bool = False, **export_options) -> ExportResult:
-    """The ``token-range`` command: whole table over the ring, then export."""
-    scanned = token_scan(df, partition_keys, splits, columns, token_method, keep_token=False)
+    """The ``token-range`` command: whole table over the ring, then export.
+
+    The token is computed under an internal name and dropped, so a data column
+    called ``token`` is exported untouched; ``keep_split`` adds ``split_id``."""
+    split_col = SPLIT_COL if keep_split else "__ring_split"
+    scanned = token_scan(df, partition_keys, splits, columns, token_method, keep_token=False,
+                         token_col="__ring_token", split_col=split_col)
     if not keep_split:
-        scanned = scanned.drop(SPLIT_COL)
+        scanned = scanned.drop(split_col)
     return export(spark, scanned, path, **export_options)
 
 

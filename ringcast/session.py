@@ -41,14 +41,32 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
+# Settings that can change on a running session (the rest need a new JVM).
+STATIC_CONF = ("spark.ui.enabled",)
+
+
+def apply_defaults(spark: SparkSession) -> None:
+    """Apply the session-level defaults to an existing session (spark-submit)."""
+    for key, value in DEFAULT_CONF.items():
+        if key not in STATIC_CONF:
+            spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder from the session's settings.
+
+    A machine-local folder is created only in local mode (tests, one
+    machine); on a cluster an unset ``spark.checkpoint.dir`` is an error,
+    since executors and driver must see the same files.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="ringcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

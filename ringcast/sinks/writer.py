@@ -124,6 +124,12 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return fs, jpath, jvm
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder (recursively) through the Hadoop file system."""
+    fs, jpath, _ = _hadoop_fs(spark, path)
+    return bool(fs.exists(jpath) and fs.delete(jpath, True))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath, _ = _hadoop_fs(spark, path)
     return bool(fs.exists(jpath))
@@ -245,8 +251,17 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
     if sort_cols:
         one = one.sortWithinPartitions(*sort_cols)
     writer = _configure(one, fmt, "errorifexists", compression, None, keep_nulls, options)
-    _save(writer, fmt, staging)
     sfs, jstaging, _ = _hadoop_fs(spark, staging)
+    try:
+        _save(writer, fmt, staging)
+        _move_single(sfs, jstaging, fs, jtarget, fmt, target)
+    finally:
+        if sfs.exists(jstaging):
+            sfs.delete(jstaging, True)
+    return target
+
+
+def _move_single(sfs, jstaging, fs, jtarget, fmt: str, target: str) -> None:
     statuses = sfs.listStatus(jstaging)
     data_files = [s.getPath() for s in statuses
                   if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
@@ -264,8 +279,6 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
         raise SinkError("the write produced no Parquet file")
     else:  # an empty CSV/NDJSON result is an empty file
         fs.create(jtarget, False).close()
-    sfs.delete(jstaging, True)
-    return target
 
 
 def read_back(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:

@@ -11,7 +11,10 @@ watermark the reference does not have.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from ringcast.operators.transform import transform as run_transform
@@ -49,10 +52,57 @@ def incremental_export(spark: SparkSession, source: DataFrame, path: str, checkp
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if query_name:
         writer = writer.queryName(query_name)
-    query = writer.start(path)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    progress = query.recentProgress
-    return {"batches": len(progress),
-            "rows": sum(int(p.get("numInputRows", 0)) for p in progress)}
+    counter = _ProgressTotals()
+    spark.streams.addListener(counter)
+    try:
+        query = writer.start(path)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        # Events are delivered in order: once this query's termination event
+        # arrived, all of its progress events have been counted.
+        if not counter.wait_terminated(str(query.id), timeout=120):
+            progress = query.recentProgress
+            return {"batches": len(progress),
+                    "rows": sum(int(p.get("numInputRows", 0)) for p in progress)}
+    finally:
+        spark.streams.removeListener(counter)
+    return counter.totals(str(query.id))
+
+
+class _ProgressTotals(StreamingQueryListener):
+    """Sums rows and batches per query from every progress event (the query's
+    own ``recentProgress`` keeps only the last few batches)."""
+
+    def __init__(self):
+        self._lock = threading.Lock()
+        self._rows: dict[str, int] = {}
+        self._batches: dict[str, int] = {}
+        self._done: dict[str, threading.Event] = {}
+
+    def _event(self, query_id: str) -> threading.Event:
+        with self._lock:
+            return self._done.setdefault(query_id, threading.Event())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        with self._lock:
+            key = str(p.id)
+            self._rows[key] = self._rows.get(key, 0) + int(p.numInputRows)
+            self._batches[key] = self._batches.get(key, 0) + 1
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self._event(str(event.id)).set()
+
+    def wait_terminated(self, query_id: str, timeout: float) -> bool:
+        return self._event(query_id).wait(timeout)
+
+    def totals(self, query_id: str) -> dict:
+        with self._lock:
+            return {"batches": self._batches.get(query_id, 0), "rows": self._rows.get(query_id, 0)}

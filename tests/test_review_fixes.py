@@ -102,3 +102,61 @@ def test_cleanup_scratch(spark):
     materialize(spark.range(3), "cleanup-probe")
     assert cleanup_scratch(spark) >= 1
     assert cleanup_scratch(spark) == 0
+
+
+def test_cli_table_paths_with_at_signs():
+    from ringcast.cli import _table
+
+    assert _table("e=abfss://data@acct.dfs.core.windows.net/events") == (
+        "e", "abfss://data@acct.dfs.core.windows.net/events", "parquet")
+    assert _table("e=/data/e@csv") == ("e", "/data/e", "csv")
+
+
+def test_staging_removed_when_single_file_fails(spark, tmp_out):
+    from ringcast.sinks.writer import SinkError
+
+    with pytest.raises(SinkError):
+        write(spark.range(50).coalesce(1), tmp_out + "/two.parquet", single_file=True,
+              single_file_strategy="coalesce", options={"maxRecordsPerFile": 10})
+    assert [f for f in os.listdir(tmp_out) if "staging" in f] == []
+
+
+def test_token_range_export_keeps_a_token_data_column(spark, tmp_out):
+    from ringcast.plans.export import token_range_export
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, token string")
+    res = token_range_export(spark, df, "k", tmp_out + "/t.parquet", splits=4)
+    back = spark.read.parquet(tmp_out + "/t.parquet")
+    assert res.rows == 2 and sorted(back.columns) == ["k", "token"]
+
+
+def test_measure_counts_row_slots(spark):
+    from ringcast.operators.fanout import measure
+
+    size = measure(spark.createDataFrame([(1, True, 2.0)], "a int, b boolean, c double"))
+    assert size.rows == 1 and size.bytes == 3 * 8 + 8
+
+
+def test_query_fanout_with_equality_and_own_nested_loop_join(spark):
+    from ringcast.operators.fanout import query_fanout
+
+    ev = Tables(spark, SF_SMALL).events
+    bands = spark.createDataFrame([(0.0, 50.0), (50.0, 1e9)], "lo double, hi double")
+    params = spark.createDataFrame([(1,), (2,)], "u bigint")
+    # Sets measured as too big for our hint; the query's own band join is a
+    # nested-loop join, the marker equality a hash join: accepted.
+    out = query_fanout(spark, "SELECT e.event_id, b.lo FROM events e JOIN bands b "
+                              "ON e.value >= b.lo AND e.value < b.hi WHERE e.user_id = :u",
+                       params, tables={"events": ev, "bands": bands}, max_broadcast_bytes=1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" in plan
+    assert out.count() == ev.filter("user_id IN (1, 2)").count()
+
+
+def test_apply_defaults(spark):
+    from ringcast.session import DEFAULT_CONF, apply_defaults
+
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    apply_defaults(spark)
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == DEFAULT_CONF[
+        "spark.sql.parquet.outputTimestampType"]
