@@ -133,3 +133,13 @@ def test_split_id_random_tokens(spark):
         step = ring_step(splits)
         got = df.select("t", split_id("t", splits).alias("s")).collect()
         assert all(r.s == min((r.t - MIN_TOKEN) // step, splits - 1) for r in got), splits
+
+
+def test_ring_expressions_stay_in_whole_stage_codegen(spark):
+    li = Tables(spark, SF_SMALL).lineitem
+    scanned = ring.token_scan(li, ["l_orderkey", "l_linenumber"], 2400,
+                              columns=["l_orderkey", "l_quantity"]).filter("l_quantity > 40")
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    lines = [ln for ln in plan.splitlines() if "xxhash64" in ln or "least(" in ln]
+    assert lines and all(ln.lstrip(" :+-").startswith("*(") for ln in lines), plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
