@@ -42,6 +42,8 @@ SCHEMES = ("", "file", "s3", "s3a", "s3n", "hdfs", "gs", "abfs", "abfss", "wasb"
            "viewfs", "oss", "cos", "cosn")
 WRITE_MODES = ("errorifexists", "error", "overwrite", "append", "ignore")
 SMALL_INPUT_BYTES = 128 * 1024 * 1024  # one default file split
+# File suffixes of Hadoop's compression codecs.
+CODEC_SUFFIXES = ("gz", "bz2", "deflate", "zst", "lz4", "snappy", "br")
 
 
 class SinkError(ValueError):
@@ -229,7 +231,7 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
                   keep_nulls, strategy, options) -> str:
     spark = df.sparkSession
     target = path.rstrip("/")
-    fs, jtarget, _ = _hadoop_fs(spark, target)
+    fs, jtarget, jvm = _hadoop_fs(spark, target)
     if fs.exists(jtarget):
         if mode in ("errorifexists", "error"):
             raise SinkError(f"output already exists: {target}")
@@ -250,23 +252,30 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
         raise SinkError(f"unknown single-file strategy {strategy!r}")
     if sort_cols:
         one = one.sortWithinPartitions(*sort_cols)
-    writer = _configure(one, fmt, "errorifexists", compression, None, keep_nulls, options)
+    single_opts = {**(options or {}), "maxRecordsPerFile": 0}  # one file, whatever the session says
+    writer = _configure(one, fmt, "errorifexists", compression, None, keep_nulls, single_opts)
     sfs, jstaging, _ = _hadoop_fs(spark, staging)
     try:
         _save(writer, fmt, staging)
-        _move_single(sfs, jstaging, fs, jtarget, fmt, target)
+        return _move_single(sfs, jstaging, fs, jtarget, fmt, target, jvm)
     finally:
         if sfs.exists(jstaging):
             sfs.delete(jstaging, True)
-    return target
 
 
-def _move_single(sfs, jstaging, fs, jtarget, fmt: str, target: str) -> None:
+def _move_single(sfs, jstaging, fs, jtarget, fmt: str, target: str, jvm) -> str:
+    """Rename the one staged data file to the target; a compressed text file
+    keeps its codec suffix (``out.csv`` becomes ``out.csv.gz``). Returns the path."""
     statuses = sfs.listStatus(jstaging)
     data_files = [s.getPath() for s in statuses
                   if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
     if len(data_files) > 1:
         raise SinkError(f"expected one data file, found {len(data_files)}")
+    if data_files and fmt != "parquet":
+        suffix = data_files[0].getName().rsplit(".", 1)[-1]
+        if suffix in CODEC_SUFFIXES and not target.endswith("." + suffix):
+            target = f"{target}.{suffix}"
+            jtarget = jvm.org.apache.hadoop.fs.Path(target)
     parent = jtarget.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
@@ -279,6 +288,7 @@ def _move_single(sfs, jstaging, fs, jtarget, fmt: str, target: str) -> None:
         raise SinkError("the write produced no Parquet file")
     else:  # an empty CSV/NDJSON result is an empty file
         fs.create(jtarget, False).close()
+    return target
 
 
 def read_back(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:

@@ -19,6 +19,7 @@ runs the query once without parameters).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,7 +40,8 @@ UUID_FORMS = (r"^(urn:uuid:)?\{?[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?
               r"[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}\}?$")
 IPV4 = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$"
 IPV6_CHARS = r"^[0-9a-fA-F:.]{2,45}$"
-IPV4_TAIL = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$"
+MARKER_NAME = r"^[A-Za-z_][A-Za-z0-9_]*$"  # bind markers are identifiers
+FLOAT_MAX = 3.4028234663852886e38
 NANOS_PER_DAY = 86_400_000_000_000
 
 
@@ -55,7 +57,7 @@ def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFr
     the few tasks a small file gets.
     """
     raw = (spark.read.text(path)
-           .select(F.col("_metadata.file_path").alias("file"),
+           .select(F.url_decode(F.col("_metadata.file_path")).alias("file"),
                    F.spark_partition_id().alias("pid"),
                    F.monotonically_increasing_id().alias("mid"),
                    F.col("value")))
@@ -70,7 +72,7 @@ def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFr
         F.coalesce(F.sum("seg_rows").over(before), F.lit(0)).alias("rows_before"),
         file_no.cast("bigint").alias("file_no"))
     line = F.col("mid") - F.col("seg_start") + F.col("rows_before") + 1
-    lines = (raw.filter(F.trim(F.col("value")) != "")
+    lines = (raw.filter(~F.col("value").rlike(r"^\s*$"))
              .join(segments, ["file", "pid"])
              .select("file", line.alias("line"),
                      (F.col("file_no") * F.lit(2 ** 32) + line).alias("param_set"),
@@ -80,6 +82,23 @@ def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFr
     return lines
 
 
+def _single_value(text: Column) -> Column:
+    """The line holds one JSON object and nothing after it (the JSON readers
+    stop after the first value and ignore the rest)."""
+    no_strings = F.trim(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', '""'))
+    brackets = F.regexp_replace(no_strings, r"[^\[\]{}]", "")
+    chars = F.split(brackets, "")
+    init = F.struct(F.lit(0).alias("d"), F.lit(-1).alias("closed"), F.lit(0).alias("i"))
+
+    def step(acc, c):
+        d = acc["d"] + F.when(c.isin("{", "["), 1).otherwise(-1)
+        closed = F.when((acc["closed"] < 0) & (d == 0), acc["i"]).otherwise(acc["closed"])
+        return F.struct(d.alias("d"), closed.alias("closed"), (acc["i"] + 1).alias("i"))
+
+    depth = F.aggregate(chars, init, step)
+    return no_strings.endswith("}") & (depth["closed"] == F.size(chars) - 1)
+
+
 def _is_ipv6(s: Column) -> Column:
     """IPv6 text: at most one ``::``, groups of 1-4 hex digits, eight groups in
     all (fewer with ``::``), an IPv4 tail counting as two."""
@@ -87,7 +106,8 @@ def _is_ipv6(s: Column) -> Column:
     compressed = F.size(halves) == 2
     groups = F.filter(F.split(F.regexp_replace(s, "::", ":"), ":", -1), lambda g: g != "")
     last = F.try_element_at(groups, F.lit(-1))
-    v4_tail = F.coalesce(last.rlike(IPV4_TAIL), F.lit(False))
+    # an IPv4 group counts as the tail only when it ends the text
+    v4_tail = F.coalesce(last.rlike(IPV4) & ~s.endswith(":"), F.lit(False))
     hex_groups = F.when(v4_tail, F.slice(groups, 1, F.size(groups) - 1)).otherwise(groups)
     all_hex = F.forall(hex_groups, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$"))
     width = F.size(hex_groups) + F.when(v4_tail, F.lit(2)).otherwise(F.lit(0))
@@ -101,11 +121,15 @@ def _is_ipv6(s: Column) -> Column:
 def _check_markers(markers: Mapping[str, str]) -> None:
     if not markers:
         raise ParamError("no markers declared")
+    seen = set()
     for name in markers:
-        if not isinstance(name, str) or not name:
-            raise ParamError(f"bad marker name {name!r}")
-        if name == "param_set" or name.startswith("__"):
+        if not isinstance(name, str) or not re.match(MARKER_NAME, name):
+            raise ParamError(f"marker name must be an identifier, got {name!r}")
+        if name.lower() == "param_set" or name.startswith("__"):
             raise ParamError(f"marker name {name!r} is reserved")
+        if name.lower() in seen:  # column names are case-insensitive
+            raise ParamError(f"marker {name!r} is declared twice (names ignore case)")
+        seen.add(name.lower())
 
 
 def _integer(vtype: Column, raw: Column) -> Column:
@@ -115,7 +139,7 @@ def _integer(vtype: Column, raw: Column) -> Column:
 
 def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column, Column]:
     """``(typed value, error reason or null)`` for one marker of one line."""
-    path = "$['" + name.replace("'", "\\'") + "']"
+    path = f"$.{name}"
     item = F.call_function("variant_get", v, F.lit(path))
     vtype = F.schema_of_variant(item)
     raw = raw_map[name]
@@ -133,7 +157,12 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
         value = get(spark_t)
     elif mtype in FLOAT_TYPES:
         ok = (vtype == "BIGINT") | (vtype == "DOUBLE") | vtype.startswith("DECIMAL")
-        err = F.when(~ok, F.lit("expected number"))
+        as_double = get("double")
+        limit = FLOAT_MAX if mtype == "float" else float("inf")
+        too_big = F.isnan(as_double) | (F.abs(as_double) > F.lit(limit)) | (
+            F.abs(as_double) == F.lit(float("inf")))
+        err = (F.when(~ok, F.lit("expected number"))
+               .when(too_big, F.lit(f"out of range for {mtype}")))
         value = get(FLOAT_TYPES[mtype])
     elif mtype in TEXT_TYPES:
         err = F.when(vtype != "STRING", F.lit("expected string"))
@@ -150,6 +179,8 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
                .when(~s.rlike(UUID_FORMS), F.lit("expected UUID")))
         hexed = F.lower(F.regexp_replace(s, r"^(urn:uuid:)|[{}\-]", ""))
         value = F.regexp_replace(hexed, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+        if mtype == "timeuuid":  # the version digit of a time-based UUID is 1
+            err = err.when(F.substring(hexed, 13, 1) != "1", F.lit("expected time-based UUID"))
     elif mtype == "inet":
         s = get("string")
         err = (F.when(vtype != "STRING", F.lit("expected string"))
@@ -203,10 +234,15 @@ def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFram
     base = (lines.select(F.col("file").alias("__file"), F.col("line").alias("__line"), "param_set",
                          F.col("text").alias("__text"), v.alias("__v"), raw_map.alias("__raw"))
             .withColumn("__keys", F.map_keys("__raw")))
-    # The VARIANT parser refuses duplicate keys; the map reader keeps the last.
-    line_err = (F.when(F.col("__v").isNull() & F.col("__raw").isNotNull(), F.lit("duplicate key"))
+    # The VARIANT parser refuses duplicate keys (and lenient JSON the map reader
+    # accepts); strict key listing tells the two apart.
+    keys_all = F.json_object_keys(F.col("__text"))
+    duplicate = F.size(keys_all) > F.size(F.array_distinct(keys_all))
+    line_err = (F.when(F.col("__v").isNull() & F.coalesce(duplicate, F.lit(False)),
+                       F.lit("duplicate key"))
                 .when(F.col("__v").isNull(), F.lit("invalid JSON"))
-                .when(~vschema.startswith("OBJECT"), F.lit("not a JSON object")))
+                .when(~vschema.startswith("OBJECT"), F.lit("not a JSON object"))
+                .when(~_single_value(F.col("__text")), F.lit("trailing content after the object")))
     declared = F.array(*[F.lit(n) for n in names])
     value_cols, marker_errs = [], []
     for name in names:

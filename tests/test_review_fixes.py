@@ -113,12 +113,11 @@ def test_cli_table_paths_with_at_signs():
 
 
 def test_staging_removed_when_single_file_fails(spark, tmp_out):
-    from ringcast.sinks.writer import SinkError
-
-    with pytest.raises(SinkError):
-        write(spark.range(50).coalesce(1), tmp_out + "/two.parquet", single_file=True,
-              single_file_strategy="coalesce", options={"maxRecordsPerFile": 10})
+    bad = spark.range(50).select(F.lit("x").cast("int").alias("id"))  # fails at run time (ANSI)
+    with pytest.raises(Exception):
+        write(bad, tmp_out + "/two.parquet", single_file=True)
     assert [f for f in os.listdir(tmp_out) if "staging" in f] == []
+    assert not os.path.exists(tmp_out + "/two.parquet")
 
 
 def test_token_range_export_keeps_a_token_data_column(spark, tmp_out):
@@ -160,3 +159,78 @@ def test_apply_defaults(spark):
     apply_defaults(spark)
     assert spark.conf.get("spark.sql.parquet.outputTimestampType") == DEFAULT_CONF[
         "spark.sql.parquet.outputTimestampType"]
+
+
+def _params_file(tmp_out, text, name="p.ndjson"):
+    path = os.path.join(tmp_out, name)
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+@pytest.mark.parametrize("line,reason", [
+    ('{"a":1} junk', "trailing content after the object"),
+    ('{"a":1}{"a":2}', "trailing content after the object"),
+    ('{"a":1}}', "trailing content after the object"),
+    ("{'a': 1}", "invalid JSON"),
+    ('{"a":1,"a":2}', "duplicate key"),
+])
+def test_line_level_errors(spark, tmp_out, line, reason):
+    path = _params_file(tmp_out, line + "\n")
+    _, errors = read_params(spark, path, {"a": "int"}, on_error="collect")
+    assert [(r.name, r.reason) for r in errors.collect()] == [(None, reason)]
+
+
+def test_nested_values_and_braces_in_strings_are_one_object(spark, tmp_out):
+    path = _params_file(tmp_out, '{"a":1,"s":"}{","n":[{"b":1},{"c":[2]}]}\n')
+    params = read_params(spark, path, {"a": "int", "s": "text"}, on_error="collect")[0]
+    # n is an unknown key, but the line itself is one object
+    _, errors = read_params(spark, path, {"a": "int", "s": "text"}, on_error="collect")
+    assert [r.reason for r in errors.collect()] == ["unknown key"] and params.count() == 0
+
+
+@pytest.mark.parametrize("markers", [{"it's": "int"}, {"a.b": "int"}, {"x": "int", "X": "int"},
+                                     {"PARAM_SET": "int"}])
+def test_bad_marker_names(spark, tmp_out, markers):
+    path = _params_file(tmp_out, '{"x":1}\n')
+    with pytest.raises(ParamError):
+        read_params(spark, path, markers)
+
+
+def test_single_file_ignores_session_max_records(spark, tmp_out):
+    old = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        write(spark.range(100), tmp_out + "/one.csv", single_file=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", old)
+    assert os.path.isfile(tmp_out + "/one.csv")
+
+
+def test_compressed_single_text_file_keeps_codec_suffix(spark, tmp_out):
+    from ringcast.sinks.writer import read_back
+
+    written = write(spark.range(100), tmp_out + "/z.csv", single_file=True, compression="gzip")
+    assert written.endswith("z.csv.gz") and os.path.isfile(written)
+    assert read_back(spark, written, fmt="csv", schema="id bigint").count() == 100
+
+
+@pytest.mark.parametrize("mtype,value,ok", [
+    ("inet", '"1.2.3.4::"', False), ("inet", '"::1.2.3.4"', True),
+    ("timeuuid", '"550e8400-e29b-41d4-a716-446655440000"', False),
+    ("timeuuid", '"c232ab00-9414-11ec-b3c8-9f6bdeced846"', True),
+    ("float", "1e39", False), ("float", "3.4e38", True), ("double", "1e308", True),
+])
+def test_more_typed_values(spark, tmp_out, mtype, value, ok):
+    path = _params_file(tmp_out, f'{{"x":{value}}}\n')
+    params, _ = read_params(spark, path, {"x": mtype}, on_error="collect")
+    assert (params.count() == 1) == ok
+
+
+def test_whitespace_lines_skipped_and_paths_decoded(spark, tmp_out):
+    os.makedirs(tmp_out + "/sp dir")
+    path = _params_file(tmp_out + "/sp dir", '\t\n{"x":"a"}\n \t\r\n{"x":1}\n', name="p 1.ndjson")
+    params, errors = read_params(spark, path, {"x": "text"}, on_error="collect")
+    assert params.count() == 1
+    err = errors.collect()
+    assert len(err) == 1 and err[0].line == 4 and err[0].file.endswith("sp dir/p 1.ndjson")
