@@ -80,6 +80,13 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
+def _read_table(spark: SparkSession, path: str, fmt: str):
+    if fmt == "csv":  # the sinks write CSV with a header, quotes escaped by doubling
+        return (spark.read.option("header", True).option("inferSchema", True)
+                .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
+    return spark.read.format(fmt).load(path)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     from ringcast.plans.export import query_export, token_range_export
     from ringcast.sources.table import load_table
@@ -93,7 +100,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     else:
         if args.params and not args.markers:
             raise SystemExit("--markers is required with --params")
-        tables = {name: spark.read.format(fmt).load(path) for name, path, fmt in args.table}
+        tables = {name: _read_table(spark, path, fmt) for name, path, fmt in args.table}
         result = query_export(spark, args.query, args.output, params_path=args.params,
                               markers=args.markers, tables=tables, **common)
     return {"path": result.path, "format": result.format, "rows": result.rows,

@@ -119,13 +119,14 @@ def floor_millis_ntz(col) -> Column:
     return timestamp_ntz_from_millis(ms)
 
 
-def date_from_raw(col) -> Column:
+def date_from_raw(col, strict: bool = False) -> Column:
     """Date from the raw unsigned day number with 1970-01-01 at 2^31 (C11).
 
     Values before 1970 (raw < 2^31) work too; raw values outside the unsigned
-    32-bit range give null.
+    32-bit range, or values that are not integers, give null (an error when
+    ``strict``).
     """
-    raw = _c(col).cast("bigint")
+    raw = cast_to(col, "bigint", strict)
     ok = (raw >= 0) & (raw < F.lit(2 ** 32))
     return F.when(ok, F.date_add(F.lit("1970-01-01").cast("date"),
                                  (raw - F.lit(DATE_EPOCH_OFFSET)).cast("int")))
@@ -155,11 +156,16 @@ def format_time_ns(col) -> Column:
     return F.when((ns >= 0) & (ns < F.lit(NANOS_PER_DAY)), text)
 
 
+UUID_TEXT = (r"^[0-9a-fA-F]{8}(-?)[0-9a-fA-F]{4}\1[0-9a-fA-F]{4}\1[0-9a-fA-F]{4}\1"
+             r"[0-9a-fA-F]{12}$")
+
+
 def uuid_text(col) -> Column:
     """Lower-case 8-4-4-4-12 text from UUID text or 32 hex digits (C13); null for
     anything else. For 16-byte binary values use :func:`uuid_from_binary`."""
-    hexed = F.lower(F.regexp_replace(_c(col).cast("string"), "-", ""))
-    return F.when(hexed.rlike("^[0-9a-f]{32}$"),
+    text = _c(col).cast("string")
+    hexed = F.lower(F.regexp_replace(text, "-", ""))
+    return F.when(text.rlike(UUID_TEXT),
                   F.regexp_replace(hexed, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"))
 
 
@@ -253,7 +259,14 @@ def convert_column(col, source_type: str, strict: bool = False,
         raise ValueError(f"unsupported source type {source_type!r}")
     target = SOURCE_TYPES[source_type]
     if source_type == "date":
-        return date_from_raw(col)
+        if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)):
+            return cast_to(col, "date", strict)
+        return date_from_raw(col, strict)
+    if source_type == "timestamp":
+        if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                                  T.DecimalType)):
+            return timestamp_from_millis(cast_to(col, "bigint", strict))  # raw values are ms
+        return cast_to(col, "timestamp", strict)
     if source_type in ("uuid", "timeuuid"):
         if isinstance(data_type, T.BinaryType):
             return uuid_from_binary(col)

@@ -124,9 +124,6 @@ def _join(source: DataFrame, params: DataFrame, on, condition, broadcast,
         if scol not in source.columns:
             raise ValueError(f"source column {scol!r} missing")
     p, is_broadcast = maybe_broadcast(params, broadcast, max_broadcast_bytes)
-    if not pairs and not is_broadcast:
-        raise ValueError("a fan-out without an equality key needs parameter sets small "
-                         "enough to broadcast; add a key column")
     cond = None
     for pcol, scol in pairs:
         eq = F.col(f"s.`{scol}`") == F.col(f"p.`{pcol}`")
@@ -136,7 +133,16 @@ def _join(source: DataFrame, params: DataFrame, on, condition, broadcast,
         cond = extra if cond is None else cond & extra
     if cond is None:
         cond = F.lit(True)
-    return source.alias("s").join(p.alias("p"), cond, "inner")
+    joined = source.alias("s").join(p.alias("p"), cond, "inner")
+    if not is_broadcast:
+        # No broadcast: only a hash or sort-merge join on an equality is acceptable
+        # (an equality may also sit in ``condition``); never pair every set with every row.
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        if "CartesianProduct" in plan or ("NestedLoopJoin" in plan and "HashJoin" not in plan
+                                          and "SortMergeJoin" not in plan):
+            raise ValueError("a fan-out without an equality between set and source columns "
+                             "needs parameter sets small enough to broadcast")
+    return joined
 
 
 def fanout(source: DataFrame, params: DataFrame, on=None, condition: str | Column | None = None,
@@ -152,6 +158,8 @@ def fanout(source: DataFrame, params: DataFrame, on=None, condition: str | Colum
     joined = _join(source, params, on, condition, broadcast, max_broadcast_bytes)
     cols = [F.col(f"s.`{c}`") for c in source.columns]
     if set_col is not None:
+        if set_col in source.columns:
+            raise ValueError(f"the source already has a column {set_col!r}; pass set_col=...")
         cols.append(F.col(f"p.`{set_col}`").alias(set_col))
     if keep_params:
         cols += [F.col(f"p.`{c}`").alias(f"p_{c}") for c in params.columns if c != set_col]
@@ -184,14 +192,24 @@ def fanout_aggregate(source: DataFrame, params: DataFrame, aggs: Mapping[str, Co
                      ) -> DataFrame:
     """Aggregates evaluated once per parameter set.
 
+    ``aggs`` see the source columns by name and the set's columns as
+    ``p_<name>`` (a per-set query sees the table and its bound values).
     Every set yields exactly one row, also when it matches nothing: its
     aggregates are then ``empty[name]`` (null when not given; use 0 for
     counts, as a per-set ``COUNT(*)`` would return).
     """
     numbered = with_set_ids(params, set_col)
     joined = _join(source, numbered, on, condition, broadcast, max_broadcast_bytes)
-    per_set = joined.groupBy(F.col(f"p.`{set_col}`").alias(set_col)).agg(
-        *[expr.alias(name) for name, expr in aggs.items()])
+    set_tmp = "__set"
+    pcols = {f"p_{c}": c for c in numbered.columns if c != set_col}
+    clash = [c for c in list(pcols) + [set_tmp] if c in source.columns]
+    if clash:
+        raise ValueError(f"source columns {clash} clash with the per-set names")
+    rows = joined.select(*[F.col(f"s.`{c}`") for c in source.columns],
+                         *[F.col(f"p.`{c}`").alias(alias) for alias, c in pcols.items()],
+                         F.col(f"p.`{set_col}`").alias(set_tmp))
+    per_set = (rows.groupBy(set_tmp).agg(*[expr.alias(name) for name, expr in aggs.items()])
+               .withColumnRenamed(set_tmp, set_col))
     sets = numbered if keep_params else numbered.select(set_col)
     out = sets.join(per_set, set_col, "left")
     fills = {k: v for k, v in (empty or {}).items() if v is not None}
@@ -221,7 +239,7 @@ def fanout_count(source: DataFrame, params: DataFrame, on=None, condition=None,
     if condition is None and pairs:
         return _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
                               broadcast, max_broadcast_bytes)
-    expr = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"s.`{count_col}`"))
+    expr = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"`{count_col}`"))
     return fanout_aggregate(source, params, {name: expr}, on, condition, set_col,
                             empty={name: 0}, keep_params=keep_params, broadcast=broadcast,
                             max_broadcast_bytes=max_broadcast_bytes)
@@ -323,26 +341,25 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     so only rows of requested keys are ranked or aggregated.
 
     The sets get a broadcast hint only after :func:`measure` bounded their
-    size. A text whose markers appear in non-equality predicates only would
+    size; the hint is set on the DataFrame behind the view. A text whose markers appear in non-equality predicates only would
     pair every set with every row; with sets too big to broadcast that plan
     is a cartesian product and is refused.
     """
     from ringcast.operators.transform import check_query_text, transform
 
     body, used = bind_markers(check_query_text(sql))
-    missing = [c for c in used if c not in params.columns]
+    have = {c.lower() for c in params.columns}
+    missing = [c for c in used if c.lower() not in have]
     if missing:
         raise ValueError(f"parameter columns missing for markers: {missing}")
-    _, is_broadcast = maybe_broadcast(params, broadcast, max_broadcast_bytes)
-    hint = f"/*+ BROADCAST({PARAMS_VIEW}) */ " if is_broadcast else ""
+    _, small = maybe_broadcast(params, broadcast, max_broadcast_bytes)
     head = f"{PARAMS_VIEW}.`{set_col}` AS `{set_col}`, " if set_col else ""
-    text = (f"SELECT {hint}{head}__q.* FROM {PARAMS_VIEW} AS {PARAMS_VIEW}, "
-            f"LATERAL ({body}) AS __q")
+    text = f"SELECT {head}__q.* FROM {PARAMS_VIEW} AS {PARAMS_VIEW}, LATERAL ({body}\n) AS __q"
     views = {PARAMS_VIEW: params, **dict(tables or {})}
     out = transform(spark, None, text, views)
     plan = out._jdf.queryExecution().executedPlan().toString()
     equi = any(j in plan for j in ("HashJoin", "SortMergeJoin"))
-    if not is_broadcast and ("CartesianProduct" in plan or ("NestedLoopJoin" in plan and not equi)):
+    if "CartesianProduct" in plan or ("NestedLoopJoin" in plan and not equi and not small):
         raise ValueError("the query pairs every parameter set with every row (no equality on a "
                          "marker) and the sets are too big to broadcast; add an equality marker")
     return out

@@ -20,9 +20,10 @@ SOURCE_VIEW = "source"
 # Statement starts accepted as a query.
 QUERY_KEYWORDS = ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "(")
 
-# Quoted text (kept as is) or a comment (removed).
-_QUOTED_OR_COMMENT = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`)"
-                                r"|--[^\n]*|/\*.*?\*/", re.S)
+# Quoted text and /*+ hints */ (kept as is) or a comment (removed).
+_QUOTED_OR_COMMENT = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
+                                r"|/\*\+.*?\*/)|--[^\n]*|/\*.*?\*/", re.S)
+_HEAD = re.compile(r"\s*([A-Za-z]+|\()")
 # Quoted text (skipped) or a data-changing keyword: Spark SQL accepts
 # ``WITH ... INSERT`` and ``FROM t INSERT ...``.
 _DML_TOKENS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
@@ -36,7 +37,8 @@ class TransformError(ValueError):
 
 
 def strip_comments(sql: str) -> str:
-    """``sql`` without ``--`` and ``/* */`` comments; quoted text is left alone."""
+    """``sql`` without ``--`` and ``/* */`` comments; quoted text and
+    ``/*+ hints */`` are left alone."""
     return _QUOTED_OR_COMMENT.sub(lambda m: m.group(1) if m.group(1) is not None else " ", sql)
 
 
@@ -53,7 +55,8 @@ def check_query_text(sql: str) -> str:
     text = text.rstrip().rstrip(";").rstrip()
     if not text:
         raise TransformError("transform SQL is empty")
-    head = "(" if text.startswith("(") else text.split(None, 1)[0].upper()
+    m = _HEAD.match(text)
+    head = m.group(1).upper() if m else text[:1]
     if head not in QUERY_KEYWORDS:
         raise TransformError(f"transform must be a query (SELECT/WITH/VALUES/FROM/TABLE), got {head}")
     if head in ("WITH", "FROM"):

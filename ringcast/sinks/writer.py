@@ -227,10 +227,25 @@ def write(df: DataFrame, path: str, fmt: str | None = None, single_file: bool =
     return path
 
 
+# File suffix written by each text compression codec name.
+CODEC_NAME_SUFFIX = {"gzip": "gz", "gz": "gz", "bzip2": "bz2", "bz2": "bz2", "deflate": "deflate",
+                     "zstd": "zst", "lz4": "lz4", "snappy": "snappy"}
+
+
+def single_file_path(path: str, fmt: str | None = None, compression: str | None = None) -> str:
+    """Final name of a single-file output: compressed CSV/NDJSON keep the codec
+    suffix Spark gives them (``out.csv`` with gzip is ``out.csv.gz``)."""
+    target = path.rstrip("/")
+    suffix = CODEC_NAME_SUFFIX.get((compression or "").lower())
+    if suffix and output_format(path, fmt) != "parquet" and not target.endswith("." + suffix):
+        target = f"{target}.{suffix}"
+    return target
+
+
 def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, sort_cols,
                   keep_nulls, strategy, options) -> str:
     spark = df.sparkSession
-    target = path.rstrip("/")
+    target = single_file_path(path, fmt, compression or (options or {}).get("compression"))
     fs, jtarget, jvm = _hadoop_fs(spark, target)
     if fs.exists(jtarget):
         if mode in ("errorifexists", "error"):
@@ -274,8 +289,7 @@ def _move_single(sfs, jstaging, fs, jtarget, fmt: str, target: str, jvm) -> str:
     if data_files and fmt != "parquet":
         suffix = data_files[0].getName().rsplit(".", 1)[-1]
         if suffix in CODEC_SUFFIXES and not target.endswith("." + suffix):
-            target = f"{target}.{suffix}"
-            jtarget = jvm.org.apache.hadoop.fs.Path(target)
+            raise SinkError(f"unexpected compressed part file {data_files[0].getName()}")
     parent = jtarget.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)

@@ -234,3 +234,97 @@ def test_whitespace_lines_skipped_and_paths_decoded(spark, tmp_out):
     assert params.count() == 1
     err = errors.collect()
     assert len(err) == 1 and err[0].line == 4 and err[0].file.endswith("sp dir/p 1.ndjson")
+
+
+def test_query_fanout_join_choice_and_hint_text(spark):
+    from ringcast.operators.fanout import query_fanout
+
+    ev = Tables(spark, SF_SMALL).events
+    params = spark.createDataFrame([(1,), (2,)], "uid bigint")
+    out = query_fanout(spark, "SELECT * FROM events WHERE user_id = :uid", params,
+                       tables={"events": ev})
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # measured small, but Spark would pair all rows with all sets: refused
+        with pytest.raises(ValueError):
+            query_fanout(spark, "SELECT * FROM events WHERE value > :uid", params,
+                         tables={"events": ev})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert check_query_text("SELECT /*+ BROADCAST(t) */ * FROM t /* note */").startswith(
+        "SELECT /*+ BROADCAST(t) */ *")
+
+
+def test_ignore_mode_sees_compressed_single_file(spark, tmp_out):
+    first = export(spark, spark.range(3), tmp_out + "/c.csv", single_file=True, compression="gzip")
+    again = export(spark, spark.range(9), tmp_out + "/c.csv", single_file=True, compression="gzip",
+                   mode="ignore")
+    assert first.path.endswith(".csv.gz") and again.metrics == {"skipped": True}
+    with pytest.raises(Exception):
+        export(spark, spark.range(9), tmp_out + "/c.csv", single_file=True, compression="gzip")
+
+
+def test_date_and_timestamp_conversions(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([("abc", 1700000000000, "2024-01-02")], "s string, ms bigint, d string")
+    r = df.select(cv.convert_column(F.col("s"), "date").alias("bad"),
+                  cv.convert_column(F.col("ms"), "timestamp", data_type=df.schema["ms"].dataType).alias("ts"),
+                  cv.convert_column(F.col("d"), "date", data_type=df.schema["d"].dataType).alias("iso")).first()
+    assert r.bad is None and r.iso == dt.date(2024, 1, 2)
+    assert r.ts.replace(tzinfo=None) == dt.datetime(2023, 11, 14, 22, 13, 20)
+
+
+def test_condition_only_equality_fanout(spark):
+    from ringcast.operators.fanout import fanout
+
+    ev = Tables(spark, SF_SMALL).events
+    params = spark.createDataFrame([(1,)], "u bigint")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = fanout(ev, params, condition="s.user_id = p.u", broadcast="never")
+        n = out.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert n == ev.filter("user_id = 1").count()
+
+
+def test_aggregates_see_source_and_set_columns(spark):
+    from ringcast.operators.fanout import fanout_aggregate, fanout_limit
+
+    ev = Tables(spark, SF_SMALL).events
+    params = spark.createDataFrame([(1, 1, 10.0)], "param_set bigint, user_id bigint, m double")
+    out = fanout_aggregate(ev, params, {"n": F.count("user_id"),
+                                        "above": F.count_if(F.col("value") > F.col("p_m"))},
+                           on="user_id").first()
+    assert out.n == ev.filter("user_id = 1").count()
+    assert out.above == ev.filter("user_id = 1 AND value > 10").count()
+    with pytest.raises(ValueError):
+        fanout_limit(ev.withColumn("param_set", F.lit(1)), params, 1, "ts", on="user_id")
+
+
+def test_query_heads_and_marker_case(spark):
+    from ringcast.operators.fanout import query_fanout
+
+    assert check_query_text("VALUES(1)") and check_query_text("SELECT*FROM t")
+    ev = Tables(spark, SF_SMALL).events
+    params = spark.createDataFrame([(1,)], "uid bigint")
+    assert query_fanout(spark, "SELECT * FROM events WHERE user_id = :UID", params,
+                        tables={"events": ev}).count() == ev.filter("user_id = 1").count()
+
+
+def test_uuid_dash_layout(spark):
+    r = spark.range(1).select(
+        cv.uuid_text(F.lit("0123-4567-89ab-cdef-0123-4567-89ab-cdef")).alias("bad"),
+        cv.uuid_text(F.lit("0123456789ABCDEF0123456789abcdef")).alias("plain")).first()
+    assert r.bad is None and r.plain == "01234567-89ab-cdef-0123-456789abcdef"
+
+
+def test_cli_csv_table_has_header(spark, tmp_out):
+    from ringcast.cli import _read_table
+
+    write(Tables(spark, SF_SMALL).region, tmp_out + "/r.csv", single_file=True)
+    df = _read_table(spark, tmp_out + "/r.csv", "csv")
+    assert df.columns == ["r_regionkey", "r_name"] and df.count() == 5
