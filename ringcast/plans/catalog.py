@@ -27,6 +27,13 @@ SPLITS = 16
 STEP16 = ring_step(SPLITS)
 
 
+def round_text(col, digits: int):
+    """ROUND of a double's decimal text, as the SQL texts here do: both engines
+    then round the same decimal number (rounding the binary value differs
+    between engines at exact halves such as 69.195)."""
+    return F.round(col.cast("string").try_cast("decimal(38,18)"), digits).cast("double")
+
+
 def register(name: str, oracle: str | None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
@@ -39,8 +46,9 @@ def register(name: str, oracle: str | None):
 # ---------------------------------------------------------------- oracle helpers
 def tok_sql(expr: str) -> str:
     """DuckDB form of the multiplicative token of an integral expression."""
-    return (f"CAST((({expr})::HUGEINT * {MULTIPLICATIVE_TOKEN_FACTOR}::HUGEINT) "
-            f"% '18446744073709551616'::HUGEINT - '9223372036854775808'::HUGEINT AS BIGINT)")
+    m = "'18446744073709551616'::HUGEINT"
+    prod = f"(({expr})::HUGEINT * {MULTIPLICATIVE_TOKEN_FACTOR}::HUGEINT)"
+    return f"CAST((({prod} % {m}) + {m}) % {m} - '9223372036854775808'::HUGEINT AS BIGINT)"
 
 
 def split_sql(token: str, splits: int = SPLITS) -> str:
@@ -223,7 +231,7 @@ def q_fanout_key_and_range(spark, d):
 @register("fanout_limit_per_set", f"""
 WITH j AS (
   SELECT {EV_COLS}, p.param_set,
-         ROW_NUMBER() OVER (PARTITION BY p.param_set ORDER BY e.ts DESC, e.event_id) AS rn
+         ROW_NUMBER() OVER (PARTITION BY p.param_set ORDER BY e.ts DESC NULLS LAST, e.event_id NULLS FIRST) AS rn
   FROM events e JOIN (VALUES (1, 7), (2, 7), (3, 8), (4, 9), (5, 123456)) p(param_set, user_id)
     ON e.user_id = p.user_id)
 SELECT event_id, ts, user_id, event_type, value, props, CAST(param_set AS BIGINT) AS param_set
@@ -267,7 +275,7 @@ def q_fanout_from_table(spark, d):
 
 @register("latest_per_key", """
 SELECT event_id, ts, user_id, event_type, value, props FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM events)
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id NULLS FIRST) AS rn FROM events)
 WHERE rn = 1""")
 def q_latest_per_key(spark, d):
     return fo.latest_per_key(Tables(spark, d).events, "user_id",
@@ -296,24 +304,24 @@ def _sql_pair(name: str, table: str, sql: str, oracle: str | None = None,
 
 
 _sql_pair("sql_group_avg", "events", """
-SELECT event_type, COUNT(*) AS cnt, ROUND(AVG(value), 6) AS avg_value FROM source GROUP BY event_type""")
+SELECT event_type, COUNT(*) AS cnt, CAST(ROUND(TRY_CAST(CAST(AVG(value) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS avg_value FROM source GROUP BY event_type""")
 _sql_pair("sql_distinct", "events", "SELECT DISTINCT event_type FROM source")
 _sql_pair("sql_order_limit", "events", """
-SELECT event_id, user_id, value FROM source ORDER BY value DESC, event_id LIMIT 10""")
+SELECT event_id, user_id, value FROM source ORDER BY value DESC NULLS LAST, event_id NULLS FIRST LIMIT 10""")
 _sql_pair("sql_having", "events", """
 SELECT user_id, COUNT(*) AS cnt FROM source GROUP BY user_id HAVING COUNT(*) > 70""")
 _sql_pair("sql_filter_agg", "events", """
 SELECT user_id, COUNT(*) FILTER (WHERE event_type = 'click') AS clicks, COUNT(*) AS total,
-       ROUND(SUM(value) FILTER (WHERE value > 50), 4) AS big_sum
+       CAST(ROUND(TRY_CAST(CAST(SUM(value) FILTER (WHERE value > 50) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS big_sum
 FROM source GROUP BY user_id""")
 _sql_pair("sql_rollup", "orders", """
-SELECT o_orderstatus, o_orderpriority, COUNT(*) AS cnt, ROUND(SUM(o_totalprice), 2) AS total
+SELECT o_orderstatus, o_orderpriority, COUNT(*) AS cnt, CAST(ROUND(TRY_CAST(CAST(SUM(o_totalprice) AS STRING) AS DECIMAL(38,18)), 2) AS DOUBLE) AS total
 FROM source GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""")
 _sql_pair("sql_cube", "orders", """
 SELECT o_orderstatus, o_orderpriority, COUNT(*) AS cnt FROM source
 GROUP BY CUBE (o_orderstatus, o_orderpriority)""")
 _sql_pair("sql_grouping_sets", "lineitem", """
-SELECT l_returnflag, l_linestatus, COUNT(*) AS cnt, ROUND(SUM(l_quantity), 2) AS qty FROM source
+SELECT l_returnflag, l_linestatus, COUNT(*) AS cnt, CAST(ROUND(TRY_CAST(CAST(SUM(l_quantity) AS STRING) AS DECIMAL(38,18)), 2) AS DOUBLE) AS qty FROM source
 GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())""")
 _sql_pair("sql_self_join", "orders", """
 WITH best AS (SELECT o_custkey, MAX(o_totalprice) AS mx FROM source GROUP BY o_custkey)
@@ -352,7 +360,7 @@ SELECT c_custkey, (SELECT COUNT(*) FROM source o WHERE o.o_custkey = c.c_custkey
 FROM customer c""", extra_tables=("customer",))
 _sql_pair("sql_cte", "orders", """
 WITH t AS (SELECT o_custkey, SUM(o_totalprice) AS total FROM source GROUP BY o_custkey)
-SELECT o_custkey, ROUND(total, 2) AS total FROM t WHERE total > 1000000""")
+SELECT o_custkey, CAST(ROUND(TRY_CAST(CAST(total AS STRING) AS DECIMAL(38,18)), 2) AS DOUBLE) AS total FROM t WHERE total > 1000000""")
 _sql_pair("sql_recursive", "region", """
 WITH RECURSIVE chain(k, depth) AS (
   SELECT r_regionkey, 0 FROM source WHERE r_regionkey = 0
@@ -373,43 +381,43 @@ SELECT o_custkey AS k FROM source WHERE o_orderstatus = 'F'
 EXCEPT SELECT o_custkey FROM source WHERE o_totalprice > 400000""")
 _sql_pair("sql_rank", "orders", """
 SELECT o_orderkey, o_custkey,
-  CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rn,
-  CAST(RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS BIGINT) AS rnk,
-  CAST(DENSE_RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS BIGINT) AS drnk,
-  CAST(NTILE(4) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice, o_orderkey) AS BIGINT) AS quart,
-  ROUND(PERCENT_RANK() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey), 6) AS prank,
-  ROUND(CUME_DIST() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey), 6) AS cdist
+  CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC NULLS LAST, o_orderkey NULLS FIRST) AS BIGINT) AS rn,
+  CAST(RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus NULLS FIRST) AS BIGINT) AS rnk,
+  CAST(DENSE_RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus NULLS FIRST) AS BIGINT) AS drnk,
+  CAST(NTILE(4) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS BIGINT) AS quart,
+  CAST(ROUND(TRY_CAST(CAST(PERCENT_RANK() OVER (PARTITION BY o_custkey ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS prank,
+  CAST(ROUND(TRY_CAST(CAST(CUME_DIST() OVER (PARTITION BY o_custkey ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS cdist
 FROM source""")
 _sql_pair("sql_lag_lead", "orders", """
 SELECT o_orderkey, o_custkey,
-  LAG(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_price,
-  LEAD(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next2,
-  FIRST_VALUE(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS first_key,
-  LAST_VALUE(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+  LAG(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS prev_price,
+  LEAD(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS next2,
+  FIRST_VALUE(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS first_key,
+  LAST_VALUE(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST
       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_key,
-  NTH_VALUE(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+  NTH_VALUE(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST
       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second_key
 FROM source""")
 _sql_pair("sql_frame", "events", """
 SELECT event_id, user_id,
-  ROUND(SUM(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
-        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS sum3,
-  COUNT(*) OVER (PARTITION BY user_id ORDER BY ts, event_id
+  CAST(ROUND(TRY_CAST(CAST(SUM(value) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST
+        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS sum3,
+  COUNT(*) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running,
-  ROUND(AVG(value) OVER (PARTITION BY user_id ORDER BY event_id
-        RANGE BETWEEN 100 PRECEDING AND CURRENT ROW), 4) AS avg_range
+  CAST(ROUND(TRY_CAST(CAST(AVG(value) OVER (PARTITION BY user_id ORDER BY event_id NULLS FIRST
+        RANGE BETWEEN 100 PRECEDING AND CURRENT ROW) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS avg_range
 FROM source""")
 _sql_pair("sql_string", "customer", """
 SELECT c_custkey, UPPER(c_name) AS up, LOWER(c_mktsegment) AS low, SUBSTRING(c_name, 10, 9) AS tail,
   CAST(LENGTH(c_name) AS BIGINT) AS len, REPLACE(c_name, 'Customer#', 'C-') AS rep,
-  CONCAT(c_mktsegment, '/', CAST(c_nationkey AS STRING)) AS cat, LPAD(CAST(c_nationkey AS STRING), 3, '0') AS pad,
-  TRIM(CONCAT('  ', c_mktsegment, '  ')) AS trimmed, c_name LIKE '%00%' AS has00,
+  c_mktsegment || '/' || CAST(c_nationkey AS STRING) AS cat, LPAD(CAST(c_nationkey AS STRING), 3, '0') AS pad,
+  TRIM('  ' || c_mktsegment || '  ') AS trimmed, c_name LIKE '%00%' AS has00,
   SPLIT_PART(c_name, '#', 2) AS num, REGEXP_REPLACE(c_mktsegment, '[AEIOU]', '') AS noval
 FROM source""", oracle="""
 SELECT c_custkey, UPPER(c_name) AS up, LOWER(c_mktsegment) AS low, SUBSTRING(c_name, 10, 9) AS tail,
   CAST(LENGTH(c_name) AS BIGINT) AS len, REPLACE(c_name, 'Customer#', 'C-') AS rep,
-  CONCAT(c_mktsegment, '/', CAST(c_nationkey AS VARCHAR)) AS cat, LPAD(CAST(c_nationkey AS VARCHAR), 3, '0') AS pad,
-  TRIM(CONCAT('  ', c_mktsegment, '  ')) AS trimmed, c_name LIKE '%00%' AS has00,
+  c_mktsegment || '/' || CAST(c_nationkey AS VARCHAR) AS cat, LPAD(CAST(c_nationkey AS VARCHAR), 3, '0') AS pad,
+  TRIM('  ' || c_mktsegment || '  ') AS trimmed, c_name LIKE '%00%' AS has00,
   SPLIT_PART(c_name, '#', 2) AS num, REGEXP_REPLACE(c_mktsegment, '[AEIOU]', '', 'g') AS noval
 FROM customer""")
 _sql_pair("sql_date", "orders", """
@@ -424,32 +432,32 @@ SELECT o_orderkey, CAST(YEAR(o_orderdate) AS INT) AS y, CAST(MONTH(o_orderdate)
   STRFTIME(o_orderdate, '%Y-%m') AS ym
 FROM orders""")
 _sql_pair("sql_time_bin", "events", """
-SELECT CAST(HOUR(ts) AS INT) AS hr, COUNT(*) AS cnt, ROUND(SUM(value), 4) AS total
+SELECT CAST(HOUR(ts) AS INT) AS hr, COUNT(*) AS cnt, CAST(ROUND(TRY_CAST(CAST(SUM(value) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total
 FROM source GROUP BY HOUR(ts)""", oracle="""
-SELECT CAST(HOUR(ts) AS INT) AS hr, COUNT(*) AS cnt, ROUND(SUM(value), 4) AS total
+SELECT CAST(HOUR(ts) AS INT) AS hr, COUNT(*) AS cnt, CAST(ROUND(TRY_CAST(CAST(SUM(value) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total
 FROM events GROUP BY HOUR(ts)""")
 _sql_pair("sql_math", "orders", """
-SELECT o_orderkey, ROUND(o_totalprice / 1000, 2) AS k, CAST(FLOOR(o_totalprice / 1000) AS BIGINT) AS fl,
+SELECT o_orderkey, CAST(ROUND(TRY_CAST(CAST(o_totalprice / 1000 AS STRING) AS DECIMAL(38,18)), 2) AS DOUBLE) AS k, CAST(FLOOR(o_totalprice / 1000) AS BIGINT) AS fl,
   CAST(CEIL(o_totalprice / 1000) AS BIGINT) AS ce, ABS(o_totalprice - 200000) AS dist,
-  ROUND(SQRT(o_totalprice), 6) AS sq, ROUND(LN(o_totalprice + 1), 6) AS lg, POWER(o_orderkey % 7, 2) AS p2,
-  o_orderkey % 7 AS md, ROUND(SIN(o_orderkey), 6) AS sn
+  CAST(ROUND(TRY_CAST(CAST(SQRT(GREATEST(o_totalprice, 0)) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS sq, CAST(ROUND(TRY_CAST(CAST(LN(GREATEST(o_totalprice, 0) + 1) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS lg, POWER(o_orderkey % 7, 2) AS p2,
+  o_orderkey % 7 AS md, CAST(ROUND(TRY_CAST(CAST(SIN(o_orderkey) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS sn
 FROM source""")
 _sql_pair("sql_array", "embeddings", """
-SELECT vec_id, CAST(SIZE(embedding) AS BIGINT) AS n, ROUND(CAST(element_at(embedding, 1) AS DOUBLE), 5) AS first,
+SELECT vec_id, CAST(SIZE(embedding) AS BIGINT) AS n, CAST(ROUND(TRY_CAST(CAST(CAST(try_element_at(embedding, 1) AS DOUBLE) AS STRING) AS DECIMAL(38,18)), 5) AS DOUBLE) AS first,
   ARRAY_CONTAINS(TRANSFORM(embedding, x -> x > 0.9), true) AS any_high,
-  ROUND(AGGREGATE(embedding, CAST(0 AS DOUBLE), (acc, x) -> acc + CAST(x AS DOUBLE)), 4) AS total
+  CAST(ROUND(TRY_CAST(CAST(AGGREGATE(embedding, CAST(0 AS DOUBLE), (acc, x) -> acc + CAST(x AS DOUBLE)) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total
 FROM source""", oracle="""
-SELECT vec_id, CAST(LEN(embedding) AS BIGINT) AS n, ROUND(CAST(embedding[1] AS DOUBLE), 5) AS first,
+SELECT vec_id, CAST(LEN(embedding) AS BIGINT) AS n, CAST(ROUND(TRY_CAST(CAST(CAST(embedding[1] AS DOUBLE) AS STRING) AS DECIMAL(38,18)), 5) AS DOUBLE) AS first,
   LIST_CONTAINS(LIST_TRANSFORM(embedding, lambda x: x > 0.9), true) AS any_high,
-  ROUND(LIST_REDUCE(LIST_TRANSFORM(embedding, lambda x: CAST(x AS DOUBLE)), lambda acc, x: acc + x, 0.0::DOUBLE), 4) AS total
+  CAST(ROUND(TRY_CAST(CAST(LIST_REDUCE(LIST_TRANSFORM(embedding, lambda x: CAST(x AS DOUBLE)), lambda acc, x: acc + x, 0.0::DOUBLE) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total
 FROM embeddings""")
 _sql_pair("sql_unnest", "embeddings", """
-SELECT label, COUNT(*) AS n, ROUND(MAX(CAST(x AS DOUBLE)), 5) AS mx
+SELECT label, COUNT(*) AS n, CAST(ROUND(TRY_CAST(CAST(MAX(CAST(x AS DOUBLE)) AS STRING) AS DECIMAL(38,18)), 5) AS DOUBLE) AS mx
 FROM (SELECT label, explode(embedding) AS x FROM source) GROUP BY label""", oracle="""
-SELECT label, COUNT(*) AS n, ROUND(MAX(CAST(x AS DOUBLE)), 5) AS mx
+SELECT label, COUNT(*) AS n, CAST(ROUND(TRY_CAST(CAST(MAX(CAST(x AS DOUBLE)) AS STRING) AS DECIMAL(38,18)), 5) AS DOUBLE) AS mx
 FROM (SELECT label, UNNEST(embedding) AS x FROM embeddings) GROUP BY label""")
 _sql_pair("sql_map", "events", """
-SELECT event_id, map_keys(m)[0] AS first_key, CAST(m['k'] AS INT) AS k
+SELECT event_id, try_element_at(map_keys(m), 1) AS first_key, CAST(m['k'] AS INT) AS k
 FROM (SELECT event_id, from_json(props, 'map<string,string>') AS m FROM source)""", oracle="""
 SELECT event_id, json_keys(props)[1] AS first_key, CAST(json_extract_string(props, '$.k') AS INT) AS k
 FROM events""")
@@ -465,9 +473,9 @@ SELECT o_orderkey, NULLIF(o_orderstatus, 'F') AS st, COALESCE(NULLIF(o_orderstat
   NULLIF(o_orderstatus, 'F') IS NULL AS was_f
 FROM source""")
 _sql_pair("sql_stats", "lineitem", """
-SELECT l_returnflag, ROUND(STDDEV_SAMP(l_quantity), 6) AS sd, ROUND(VAR_POP(l_extendedprice), 2) AS vp,
-  ROUND(CORR(l_quantity, l_extendedprice), 6) AS cr, MIN(l_discount) AS mn, MAX(l_tax) AS mx,
-  COUNT(DISTINCT l_suppkey) AS suppliers, ROUND(MEDIAN(l_quantity), 2) AS med,
+SELECT l_returnflag, CAST(ROUND(TRY_CAST(CAST(STDDEV_SAMP(l_quantity) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS sd, CAST(ROUND(TRY_CAST(CAST(VAR_POP(l_extendedprice) AS STRING) AS DECIMAL(38,18)), 2) AS DOUBLE) AS vp,
+  CAST(ROUND(TRY_CAST(CAST(CORR(l_quantity, l_extendedprice) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS cr, MIN(l_discount) AS mn, MAX(l_tax) AS mx,
+  COUNT(DISTINCT l_suppkey) AS suppliers, CAST(ROUND(TRY_CAST(CAST(MEDIAN(l_quantity) AS STRING) AS DECIMAL(38,18)), 2) AS DOUBLE) AS med,
   BOOL_AND(l_quantity > 0) AS all_pos, BOOL_OR(l_discount > 0.09) AS any_big
 FROM source GROUP BY l_returnflag""")
 _sql_pair("sql_string_agg", "nation", """
@@ -481,7 +489,7 @@ SELECT r.r_name, v.code FROM source r JOIN (VALUES (0, 'AF'), (1, 'AM'), (2, 'AS
 SELECT r.r_name, v.code FROM region r JOIN (VALUES (0, 'AF'), (1, 'AM'), (2, 'AS'), (3, 'EU'), (4, 'ME')) AS v(k, code)
   ON r.r_regionkey = v.k""")
 _sql_pair("sql_offset", "orders", """
-SELECT o_orderkey, o_totalprice FROM source ORDER BY o_totalprice DESC, o_orderkey LIMIT 5 OFFSET 5""")
+SELECT o_orderkey, o_totalprice FROM source ORDER BY o_totalprice DESC NULLS LAST, o_orderkey NULLS FIRST LIMIT 5 OFFSET 5""")
 _sql_pair("sql_double_quoted", "customer", """
 SELECT "c_mktsegment", COUNT(*) AS cnt FROM source GROUP BY "c_mktsegment\"""", oracle="""
 SELECT c_mktsegment, COUNT(*) AS cnt FROM customer GROUP BY c_mktsegment""")
@@ -527,7 +535,7 @@ def q_query_fanout_text(spark, d):
 @register("query_fanout_limit", """
 SELECT event_id, ts, user_id, event_type, value, props, param_set FROM (
   SELECT e.*, CAST(p.param_set AS BIGINT) AS param_set,
-         ROW_NUMBER() OVER (PARTITION BY p.param_set ORDER BY e.ts DESC, e.event_id) AS rn
+         ROW_NUMBER() OVER (PARTITION BY p.param_set ORDER BY e.ts DESC NULLS LAST, e.event_id NULLS FIRST) AS rn
   FROM events e JOIN (VALUES (1, 7), (2, 7), (3, 12), (4, 123456)) p(param_set, uid) ON e.user_id = p.uid)
 WHERE rn <= 4""")
 def q_query_fanout_limit(spark, d):
@@ -537,7 +545,7 @@ def q_query_fanout_limit(spark, d):
 
 
 @register("query_fanout_count", """
-SELECT CAST(p.param_set AS BIGINT) AS param_set, COUNT(e.event_id) AS cnt, ROUND(SUM(e.value), 4) AS total
+SELECT CAST(p.param_set AS BIGINT) AS param_set, COUNT(e.user_id) AS cnt, CAST(ROUND(TRY_CAST(CAST(SUM(e.value) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total
 FROM (VALUES (1, 7, 'click'), (2, 7, 'click'), (3, 8, 'view'), (4, 123456, 'view')) p(param_set, uid, kind)
 LEFT JOIN events e ON e.user_id = p.uid AND e.event_type = p.kind
 GROUP BY p.param_set""")
@@ -545,7 +553,7 @@ def q_query_fanout_count(spark, d):
     params = _params(spark, [(1, 7, "click"), (2, 7, "click"), (3, 8, "view"), (4, 123456, "view")],
                      "param_set bigint, uid bigint, kind string")
     return fo.query_fanout(
-        spark, "SELECT COUNT(*) AS cnt, ROUND(SUM(value), 4) AS total FROM events "
+        spark, "SELECT COUNT(*) AS cnt, CAST(ROUND(TRY_CAST(CAST(SUM(value) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total FROM events "
                "WHERE user_id = :uid AND event_type = :kind",
         params, tables={"events": Tables(spark, d).events}, set_col="param_set")
 
@@ -562,14 +570,14 @@ def q_query_fanout_positional(spark, d):
 # ---------------------------------------------------------------- dialect helpers (§2.9)
 @register("sql_date_bin", """
 SELECT time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '1970-01-01 00:00:00') AS bin, COUNT(*) AS cnt,
-       ROUND(SUM(value), 4) AS total
+       CAST(ROUND(TRY_CAST(CAST(SUM(value) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total
 FROM events GROUP BY 1""")
 def q_sql_date_bin(spark, d):
     from ringcast.functions.time import date_bin
 
     ev = Tables(spark, d).events
     return (ev.groupBy(date_bin(dt.timedelta(minutes=15), "ts").alias("bin"))
-            .agg(F.count(F.lit(1)).alias("cnt"), F.round(F.sum("value"), 4).alias("total")))
+            .agg(F.count(F.lit(1)).alias("cnt"), round_text(F.sum("value"), 4).alias("total")))
 
 
 @register("sql_trunc_month", """
@@ -582,7 +590,7 @@ def q_sql_trunc_month(spark, d):
 
 
 @register("sql_distinct_on", """
-SELECT DISTINCT ON (o_custkey) * FROM orders ORDER BY o_custkey, o_totalprice DESC, o_orderkey""")
+SELECT DISTINCT ON (o_custkey) * FROM orders ORDER BY o_custkey, o_totalprice DESC NULLS LAST, o_orderkey NULLS FIRST""")
 def q_sql_distinct_on(spark, d):
     from ringcast.functions.time import distinct_on
 

@@ -72,12 +72,12 @@ def q_write_hive_two(spark, d):
 
 
 EXPORT_SQL = """
-SELECT user_id, event_type, COUNT(*) AS cnt, ROUND(SUM(value), 4) AS total
+SELECT user_id, event_type, COUNT(*) AS cnt, CAST(ROUND(TRY_CAST(CAST(SUM(value) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total
 FROM source GROUP BY user_id, event_type"""
 
 
 @register("export_transform", """
-SELECT user_id, event_type, COUNT(*) AS cnt, ROUND(SUM(value), 4) AS total
+SELECT user_id, event_type, COUNT(*) AS cnt, CAST(ROUND(TRY_CAST(CAST(SUM(value) AS STRING) AS DECIMAL(38,18)), 4) AS DOUBLE) AS total
 FROM events WHERE user_id IN (7, 8, 9, 10) GROUP BY user_id, event_type""")
 def q_export_transform(spark, d):
     ev = Tables(spark, d).events

@@ -152,7 +152,8 @@ def q_convert_uuid(spark, d):
 
 
 @register("convert_blob_hex", """
-SELECT c_custkey, upper(md5(c_name)) AS hex_text, 16 AS n_bytes FROM customer""")
+SELECT c_custkey, upper(md5(c_name)) AS hex_text, CASE WHEN c_name IS NULL THEN NULL ELSE 16 END AS n_bytes
+FROM customer""")
 def q_convert_blob_hex(spark, d):
     c = Tables(spark, d).customer
     blob = cv.hex_to_blob(F.md5("c_name"))
@@ -205,11 +206,15 @@ def q_convert_set(spark, d):
 
 
 @register("convert_map", """
-SELECT event_id, 'k=' || json_extract_string(props, '$.k') || ',type=' || event_type AS entries
+SELECT event_id, CASE WHEN json_extract_string(props, '$.k') IS NULL THEN 'type=' || event_type
+  ELSE 'k=' || json_extract_string(props, '$.k') || ',type=' || event_type END AS entries
 FROM events""")
 def q_convert_map(spark, d):
     ev = Tables(spark, d).events
-    m = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("type"), F.col("event_type")))
+    # the map of the text props' "k" and the event type, as text
+    k = F.get_json_object("props", "$.k")
+    m = F.map_filter(F.create_map(F.lit("k"), k, F.lit("type"), F.col("event_type")),
+                     lambda key, v: v.isNotNull())
     return ev.select("event_id", cv.map_to_text(cv.map_text_text(m)).alias("entries"))
 
 
@@ -227,8 +232,8 @@ def q_stringify_mixed(spark, d):
 
 
 @register("convert_columns", """
-SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS TINYINT) AS c_nationkey,
-  CAST(c_acctbal AS FLOAT) AS c_acctbal, c_mktsegment FROM customer""")
+SELECT TRY_CAST(c_custkey AS INTEGER) AS c_custkey, c_name, TRY_CAST(c_nationkey AS TINYINT) AS c_nationkey,
+  TRY_CAST(c_acctbal AS FLOAT) AS c_acctbal, c_mktsegment FROM customer""")
 def q_convert_columns(spark, d):
     c = Tables(spark, d).customer
     return cv.convert_columns(c, {"c_custkey": "int", "c_name": "text", "c_nationkey": "tinyint",
