@@ -81,9 +81,12 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def _read_table(spark: SparkSession, path: str, fmt: str):
-    if fmt == "csv":  # the sinks write CSV with a header, quotes escaped by doubling
-        return (spark.read.option("header", True).option("inferSchema", True)
-                .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
+    if fmt == "csv":
+        # Header names, quotes escaped by doubling (as the sinks write). No schema
+        # inference (it would scan the whole input once more) and no multi-line
+        # records (they make every file one task): columns are text, cast in SQL.
+        return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+                .csv(path))
     return spark.read.format(fmt).load(path)
 
 

@@ -46,12 +46,14 @@ class SetSize:
     bytes: int
 
 
-def measure(params: DataFrame) -> SetSize:
+def measure(params: DataFrame, max_bytes: int | None = None) -> SetSize:
     """Row count and the in-memory bytes of a parameter table, as UnsafeRows.
 
     Every field takes an 8-byte slot plus a null bit per field; strings and
     binaries add their length, nested values their JSON length. One
-    aggregate job over the (small) parameter table.
+    aggregate job. With ``max_bytes`` only as many rows are read as could
+    fit under it (each task stops early): a table that is clearly too big
+    is not scanned in full, and its size is reported as above the bound.
     """
     nfields = len(params.schema.fields)
     fixed = 8 * nfields + 8 * ((nfields + 63) // 64)
@@ -68,10 +70,17 @@ def measure(params: DataFrame) -> SetSize:
             var_cols.append(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(c)))), F.lit(0)))
     exprs = [F.count(F.lit(1)).alias("n")]
     exprs += [c.alias(f"v{i}") for i, c in enumerate(var_cols)]
+    cap = None
+    if max_bytes is not None:
+        cap = max_bytes // fixed + 1  # more rows than this cannot fit
+        params = params.limit(cap)
     row = params.agg(*exprs).first()
     n = int(row["n"])
     var_bytes = sum(int(row[f"v{i}"]) for i in range(len(var_cols)))
-    return SetSize(n, n * fixed + var_bytes)
+    size = n * fixed + var_bytes
+    if cap is not None and n >= cap:
+        size = max(size, max_bytes + 1)
+    return SetSize(n, size)
 
 
 def maybe_broadcast(params: DataFrame, policy="auto",
@@ -81,7 +90,7 @@ def maybe_broadcast(params: DataFrame, policy="auto",
         return F.broadcast(params), True
     if policy is False or policy == "never":
         return params, False
-    size = measure(params)
+    size = measure(params, max_bytes)
     if size.bytes <= max_bytes:
         return F.broadcast(params), True
     return params, False

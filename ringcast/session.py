@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # per-set LIMIT n keeps its partial (pre-shuffle) limit up to this n
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.ui.enabled": "false",
 }
 
@@ -127,6 +129,7 @@ def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str,
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     }
 
 

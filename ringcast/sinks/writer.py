@@ -114,9 +114,17 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+# Plan nodes that multiply rows or do heavy per-row work: keep them out of the
+# single writer task (with the shuffle kinds, they rule out coalesce(1)).
+HEAVY_NODES = ("Exchange", "Generate", "Expand", "Window", "EvalPython", "InPandas", "InArrow",
+               "CartesianProduct", "NestedLoopJoin")
+
+
 def has_exchange(df: DataFrame) -> bool:
-    """True when the physical plan shuffles (aggregate, join, sort, repartition)."""
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    """True when the physical plan shuffles or multiplies rows (aggregate, join,
+    sort, repartition, explode, window, Python)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return any(node in plan for node in HEAVY_NODES)
 
 
 def _hadoop_fs(spark: SparkSession, path: str):

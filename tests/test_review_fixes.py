@@ -328,3 +328,21 @@ def test_cli_csv_table_has_header(spark, tmp_out):
     write(Tables(spark, SF_SMALL).region, tmp_out + "/r.csv", single_file=True)
     df = _read_table(spark, tmp_out + "/r.csv", "csv")
     assert df.columns == ["r_regionkey", "r_name"] and df.count() == 5
+
+
+def test_measure_stops_at_the_bound(spark):
+    from ringcast.operators.fanout import measure
+
+    big = spark.range(1_000_000)
+    size = measure(big, max_bytes=1000)
+    assert size.bytes > 1000 and size.rows <= 1000 // 16 + 1
+    exact = measure(spark.range(10), max_bytes=10_000)
+    assert exact.rows == 10 and exact.bytes == 10 * 16
+
+
+def test_auto_single_file_keeps_explode_parallel(spark):
+    from ringcast.sinks.writer import has_exchange
+
+    plain = spark.range(10)
+    exploded = plain.select(F.explode(F.array("id", "id")).alias("x"))
+    assert not has_exchange(plain) and has_exchange(exploded)
