@@ -82,11 +82,11 @@ def build_parser() -> argparse.ArgumentParser:
 
 def _read_table(spark: SparkSession, path: str, fmt: str):
     if fmt == "csv":
-        # Header names, quotes escaped by doubling (as the sinks write). No schema
-        # inference (it would scan the whole input once more) and no multi-line
-        # records (they make every file one task): columns are text, cast in SQL.
+        # Header names, quotes escaped by doubling, records over several lines (as
+        # the sinks write; this makes each file one task). No schema inference:
+        # it would read the whole input once more, so columns are text, cast in SQL.
         return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-                .csv(path))
+                .option("multiLine", True).csv(path))
     return spark.read.format(fmt).load(path)
 
 

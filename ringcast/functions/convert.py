@@ -254,18 +254,23 @@ def stringify_map_values(col, value_type: str) -> Column:
 def convert_column(col, source_type: str, strict: bool = False,
                    data_type: T.DataType | None = None) -> Column:
     """Convert one column to the Spark type of ``source_type``; ``data_type`` is
-    the column's current type when known (binary UUIDs are hex-encoded)."""
+    the column's current type when known: binary UUIDs are hex-encoded,
+    numeric timestamps read as epoch milliseconds, digit-only text dates as
+    raw day numbers (:func:`convert_columns` passes it)."""
     if source_type not in SOURCE_TYPES:
         raise ValueError(f"unsupported source type {source_type!r}")
     target = SOURCE_TYPES[source_type]
     if source_type == "date":
-        if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)):
+        if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return cast_to(col, "date", strict)
+        if isinstance(data_type, T.StringType):  # raw day number as text, or an ISO date
+            c = _c(col)
+            return F.when(c.rlike(r"^\s*[0-9]+\s*$"), date_from_raw(c, strict)).otherwise(
+                cast_to(c, "date", strict))
         return date_from_raw(col, strict)
     if source_type == "timestamp":
-        if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
-                                  T.DecimalType)):
-            return timestamp_from_millis(cast_to(col, "bigint", strict))  # raw values are ms
+        if isinstance(data_type, T.NumericType):  # raw values are epoch milliseconds
+            return timestamp_from_millis(cast_to(col, "bigint", strict))
         return cast_to(col, "timestamp", strict)
     if source_type in ("uuid", "timeuuid"):
         if isinstance(data_type, T.BinaryType):

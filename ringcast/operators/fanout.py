@@ -46,14 +46,13 @@ class SetSize:
     bytes: int
 
 
-def measure(params: DataFrame, max_bytes: int | None = None) -> SetSize:
+def measure(params: DataFrame) -> SetSize:
     """Row count and the in-memory bytes of a parameter table, as UnsafeRows.
 
     Every field takes an 8-byte slot plus a null bit per field; strings and
     binaries add their length, nested values their JSON length. One
-    aggregate job. With ``max_bytes`` only as many rows are read as could
-    fit under it (each task stops early): a table that is clearly too big
-    is not scanned in full, and its size is reported as above the bound.
+    aggregate job, partially aggregated per task (a row limit first would
+    funnel the rows into one task).
     """
     nfields = len(params.schema.fields)
     fixed = 8 * nfields + 8 * ((nfields + 63) // 64)
@@ -70,17 +69,10 @@ def measure(params: DataFrame, max_bytes: int | None = None) -> SetSize:
             var_cols.append(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(c)))), F.lit(0)))
     exprs = [F.count(F.lit(1)).alias("n")]
     exprs += [c.alias(f"v{i}") for i, c in enumerate(var_cols)]
-    cap = None
-    if max_bytes is not None:
-        cap = max_bytes // fixed + 1  # more rows than this cannot fit
-        params = params.limit(cap)
     row = params.agg(*exprs).first()
     n = int(row["n"])
     var_bytes = sum(int(row[f"v{i}"]) for i in range(len(var_cols)))
-    size = n * fixed + var_bytes
-    if cap is not None and n >= cap:
-        size = max(size, max_bytes + 1)
-    return SetSize(n, size)
+    return SetSize(n, n * fixed + var_bytes)
 
 
 def maybe_broadcast(params: DataFrame, policy="auto",
@@ -90,7 +82,7 @@ def maybe_broadcast(params: DataFrame, policy="auto",
         return F.broadcast(params), True
     if policy is False or policy == "never":
         return params, False
-    size = measure(params, max_bytes)
+    size = measure(params)
     if size.bytes <= max_bytes:
         return F.broadcast(params), True
     return params, False
@@ -344,15 +336,19 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     sets without rows (``COUNT(*)`` = 0). Repeated sets repeat their rows.
 
     ``LIMIT`` and aggregates are decorrelated as a top-n / aggregate per key
-    followed by the join to the sets. On a large table (scan above
+    followed by the join to the sets. When that join is a shuffle join on a
+    large table (scan above
     ``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``,
-    10 GB) Spark injects a runtime bloom filter of the set keys into that scan,
-    so only rows of requested keys are ranked or aggregated.
-
-    The sets get a broadcast hint only after :func:`measure` bounded their
-    size; the hint is set on the DataFrame behind the view. A text whose markers appear in non-equality predicates only would
-    pair every set with every row; with sets too big to broadcast that plan
-    is a cartesian product and is refused.
+    10 GB), Spark injects a runtime bloom filter of the set keys into that
+    scan, so only rows of requested keys are ranked or aggregated.
+
+    The join strategy is Spark's size-based choice (static, or AQE at run
+    time): join hints do not survive the decorrelation of a LATERAL
+    subquery. A text whose markers appear in non-equality predicates only
+    pairs every set with every row: a cartesian product is always refused,
+    a broadcast nested-loop join only accepted when :func:`measure` found
+    the sets small. For per-set LIMIT or aggregates with few sets over a
+    large table, :func:`fanout_limit` / :func:`fanout_count` join first.
     """
     from ringcast.operators.transform import check_query_text, transform
 

@@ -60,7 +60,7 @@ def check_query_text(sql: str) -> str:
     if head not in QUERY_KEYWORDS:
         raise TransformError(f"transform must be a query (SELECT/WITH/VALUES/FROM/TABLE), got {head}")
     if head in ("WITH", "FROM"):
-        for m in _DML_TOKENS.finditer(text):
+        for m in _DML_TOKENS.finditer(re.sub(r"/\*\+.*?\*/", " ", text, flags=re.S)):
             if m.group(1):
                 raise TransformError(f"transform must be a query, found {m.group(1).upper()}")
     return text

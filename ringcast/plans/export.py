@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ringcast.operators.ring import SPLIT_COL, split_bounds, token_scan
 from ringcast.operators.transform import transform as run_transform
-from ringcast.sinks.writer import output_format, path_exists, single_file_path, write
+from ringcast.sinks.writer import (effective_codec, output_format, path_exists, single_file_path,
+                                   write)
 
 
 @dataclass
@@ -39,7 +40,7 @@ def export(spark: SparkSession, source: DataFrame, path: str, transform: str | N
     a failed write raises instead and never calls it.
     """
     fmt_name = output_format(path, fmt)
-    codec = write_options.get("compression") or (write_options.get("options") or {}).get("compression")
+    codec = effective_codec(write_options.get("compression"), write_options.get("options"))
     final = single_file_path(path, fmt_name, codec) if single_file else path
     if mode == "ignore" and path_exists(spark, final):
         skipped = ExportResult(final, fmt_name, 0, 0.0, {"skipped": True})

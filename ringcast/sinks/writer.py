@@ -237,7 +237,19 @@ def write(df: DataFrame, path: str, fmt: str | None = None, single_file: bool =
 
 # File suffix written by each text compression codec name.
 CODEC_NAME_SUFFIX = {"gzip": "gz", "gz": "gz", "bzip2": "bz2", "bz2": "bz2", "deflate": "deflate",
-                     "zstd": "zst", "lz4": "lz4", "snappy": "snappy"}
+                     "zstd": "zst", "lz4": "lz4", "snappy": "snappy",
+                     "org.apache.hadoop.io.compress.gzipcodec": "gz",
+                     "org.apache.hadoop.io.compress.bzip2codec": "bz2",
+                     "org.apache.hadoop.io.compress.deflatecodec": "deflate",
+                     "org.apache.hadoop.io.compress.zstandardcodec": "zst",
+                     "org.apache.hadoop.io.compress.lz4codec": "lz4",
+                     "org.apache.hadoop.io.compress.snappycodec": "snappy"}
+
+
+def effective_codec(compression: str | None, options: dict | None) -> str | None:
+    """The codec the writer uses: ``options['compression']`` wins, as in
+    :func:`format_options`."""
+    return (options or {}).get("compression") or compression
 
 
 def single_file_path(path: str, fmt: str | None = None, compression: str | None = None) -> str:
@@ -253,7 +265,7 @@ def single_file_path(path: str, fmt: str | None = None, compression: str | None
 def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, sort_cols,
                   keep_nulls, strategy, options) -> str:
     spark = df.sparkSession
-    target = single_file_path(path, fmt, compression or (options or {}).get("compression"))
+    target = single_file_path(path, fmt, effective_codec(compression, options))
     fs, jtarget, jvm = _hadoop_fs(spark, target)
     if fs.exists(jtarget):
         if mode in ("errorifexists", "error"):

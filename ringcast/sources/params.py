@@ -41,7 +41,7 @@ UUID_FORMS = (r"^(urn:uuid:)?\{?[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?
 IPV4 = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$"
 IPV6_CHARS = r"^[0-9a-fA-F:.]{2,45}$"
 MARKER_NAME = r"^[A-Za-z_][A-Za-z0-9_]*$"  # bind markers are identifiers
-FLOAT_MAX = 3.4028234663852886e38
+FLOAT_LIMIT = 3.4028235677973366e38  # values from here on do not round to a finite float
 NANOS_PER_DAY = 86_400_000_000_000
 
 
@@ -49,6 +49,11 @@ class ParamError(ValueError):
     pass
 
 
+def _decoded_path(uri: Column) -> Column:
+    """File path from the URI Spark reports ('%20' back to ' ', '+' kept)."""
+    return F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))
+
+
 def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFrame:
     """Non-blank lines of text files with ``file`` and 1-based ``line`` numbers.
 
@@ -57,7 +62,7 @@ def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFr
     the few tasks a small file gets.
     """
     raw = (spark.read.text(path)
-           .select(F.url_decode(F.col("_metadata.file_path")).alias("file"),
+           .select(_decoded_path(F.col("_metadata.file_path")).alias("file"),
                    F.spark_partition_id().alias("pid"),
                    F.monotonically_increasing_id().alias("mid"),
                    F.col("value")))
@@ -85,7 +90,9 @@ def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFr
 def _single_value(text: Column) -> Column:
     """The line holds one JSON object and nothing after it (the JSON readers
     stop after the first value and ignore the rest)."""
-    no_strings = F.trim(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', '""'))
+    # possessive quantifiers: no per-character recursion on long strings
+    stripped = F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', '""')
+    no_strings = F.regexp_replace(stripped, r"^\s+|\s+$", "")
     brackets = F.regexp_replace(no_strings, r"[^\[\]{}]", "")
     chars = F.split(brackets, "")
     init = F.struct(F.lit(0).alias("d"), F.lit(-1).alias("closed"), F.lit(0).alias("i"))
@@ -158,8 +165,8 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
     elif mtype in FLOAT_TYPES:
         ok = (vtype == "BIGINT") | (vtype == "DOUBLE") | vtype.startswith("DECIMAL")
         as_double = get("double")
-        limit = FLOAT_MAX if mtype == "float" else float("inf")
-        too_big = F.isnan(as_double) | (F.abs(as_double) > F.lit(limit)) | (
+        limit = FLOAT_LIMIT if mtype == "float" else float("inf")
+        too_big = F.isnan(as_double) | (F.abs(as_double) >= F.lit(limit)) | (
             F.abs(as_double) == F.lit(float("inf")))
         err = (F.when(~ok, F.lit("expected number"))
                .when(too_big, F.lit(f"out of range for {mtype}")))

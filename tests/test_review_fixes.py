@@ -330,14 +330,56 @@ def test_cli_csv_table_has_header(spark, tmp_out):
     assert df.columns == ["r_regionkey", "r_name"] and df.count() == 5
 
 
-def test_measure_stops_at_the_bound(spark):
+def test_measure_has_no_single_task_limit(spark):
     from ringcast.operators.fanout import measure
 
-    big = spark.range(1_000_000)
-    size = measure(big, max_bytes=1000)
-    assert size.bytes > 1000 and size.rows <= 1000 // 16 + 1
-    exact = measure(spark.range(10), max_bytes=10_000)
-    assert exact.rows == 10 and exact.bytes == 10 * 16
+    plan_df = spark.range(1000)
+    size = measure(plan_df)
+    assert size.rows == 1000 and size.bytes == 1000 * 16
+
+
+def test_merge_hint_is_not_dml():
+    assert check_query_text("WITH a AS (SELECT * FROM t) SELECT /*+ MERGE(a) */ * FROM a JOIN b ON a.k = b.k")
+
+
+def test_long_strings_and_trailing_tab(spark, tmp_out):
+    path = _params_file(tmp_out, '{"q":"' + "x" * 50000 + '"}\n{"q":"b"}\t\n')
+    params, errors = read_params(spark, path, {"q": "text"}, on_error="collect")
+    assert params.count() == 2 and errors.count() == 0
+
+
+def test_codec_precedence_and_class_names(spark, tmp_out):
+    out = write(spark.range(5), tmp_out + "/a.csv", single_file=True, compression="none",
+                options={"compression": "gzip"})
+    assert out.endswith(".csv.gz")
+    out2 = write(spark.range(5), tmp_out + "/b.csv", single_file=True,
+                 compression="org.apache.hadoop.io.compress.GzipCodec")
+    assert out2.endswith(".csv.gz")
+
+
+def test_text_dates_and_double_millis(spark):
+    import datetime as dt
+    from pyspark.sql import types as T
+
+    r = spark.range(1).select(
+        cv.convert_column(F.lit("2147483648"), "date", data_type=T.StringType()).alias("raw"),
+        cv.convert_column(F.lit(1.7e12), "timestamp", data_type=T.DoubleType()).alias("ts")).first()
+    assert r.raw == dt.date(1970, 1, 1) and r.ts.year == 2023
+
+
+def test_plus_and_space_file_names(spark, tmp_out):
+    _params_file(tmp_out, '{"q":"a"}\n', name="a+b.ndjson")
+    _params_file(tmp_out, '\n{"q":"b"}\n', name="a b.ndjson")
+    from ringcast.sources.params import read_lines
+
+    got = sorted((os.path.basename(r.file), r.line) for r in read_lines(spark, tmp_out).collect())
+    assert got == [("a b.ndjson", 2), ("a+b.ndjson", 1)]
+
+
+def test_float_max_is_in_range(spark, tmp_out):
+    path = _params_file(tmp_out, '{"x":3.4028235e38}\n')
+    params, _ = read_params(spark, path, {"x": "float"}, on_error="collect")
+    assert params.count() == 1
 
 
 def test_auto_single_file_keeps_explode_parallel(spark):
