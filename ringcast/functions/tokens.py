@@ -21,8 +21,13 @@ RING_SIZE = 2 ** 64 - 1  # MAX_TOKEN - MIN_TOKEN
 MULTIPLICATIVE_TOKEN_FACTOR = 6364136223846793005
 
 
+def quoted(name: str) -> str:
+    """A column name as a backquoted identifier (backquotes inside doubled)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return F.col(quoted(c)) if isinstance(c, str) else c
 
 
 MAX_SPLITS = 2 ** 31 - 1  # split ids are int columns
@@ -117,7 +122,9 @@ def split_id(token, splits: int) -> Column:
     a, b = divmod(2 ** 63, step)
     floor_q = _div(tok, step) - F.when(tok % F.lit(step) < 0, F.lit(1)).otherwise(F.lit(0))
     carry = F.when(F.pmod(tok, F.lit(step)) >= F.lit(step - b), F.lit(1)).otherwise(F.lit(0))
-    return F.least(F.lit(a) + floor_q + carry, F.lit(splits - 1)).cast("int")
+    # a null token (a null key under the multiplicative or column token) has no split
+    return F.when(tok.isNotNull(),
+                  F.least(F.lit(a) + floor_q + carry, F.lit(splits - 1))).cast("int")
 
 
 def split_id_decimal(token, splits: int) -> Column:
@@ -126,7 +133,7 @@ def split_id_decimal(token, splits: int) -> Column:
     step = ring_step(splits)
     offset = _col(token).cast("decimal(20,0)") + _big(2 ** 63, 20)
     quotient = F.call_function("div", offset, _big(step, 20))
-    return F.least(quotient, F.lit(splits - 1)).cast("int")
+    return F.when(offset.isNotNull(), F.least(quotient, F.lit(splits - 1))).cast("int")
 
 
 def in_range(token, start: int, end: int, end_inclusive: bool = False) -> Column:

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringcast.functions.tokens import quoted
+
 SET_COL = "param_set"
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 # Fixed-size types take one 8-byte slot of an UnsafeRow (wide decimals 8 + 16).
@@ -58,7 +60,7 @@ def measure(params: DataFrame) -> SetSize:
     fixed = 8 * nfields + 8 * ((nfields + 63) // 64)
     var_cols = []
     for f in params.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = F.col(quoted(f.name))
         if isinstance(f.dataType, FIXED_TYPES):
             continue
         if isinstance(f.dataType, T.DecimalType):
@@ -127,7 +129,7 @@ def _join(source: DataFrame, params: DataFrame, on, condition, broadcast,
     p, is_broadcast = maybe_broadcast(params, broadcast, max_broadcast_bytes)
     cond = None
     for pcol, scol in pairs:
-        eq = F.col(f"s.`{scol}`") == F.col(f"p.`{pcol}`")
+        eq = F.col("s." + quoted(scol)) == F.col("p." + quoted(pcol))
         cond = eq if cond is None else cond & eq
     if condition is not None:
         extra = F.expr(condition) if isinstance(condition, str) else condition
@@ -157,13 +159,13 @@ def fanout(source: DataFrame, params: DataFrame, on=None, condition: str | Colum
     ``set_col``: a parameter column copied to the output (the set's id).
     """
     joined = _join(source, params, on, condition, broadcast, max_broadcast_bytes)
-    cols = [F.col(f"s.`{c}`") for c in source.columns]
+    cols = [F.col("s." + quoted(c)) for c in source.columns]
     if set_col is not None:
         if set_col in source.columns:
             raise ValueError(f"the source already has a column {set_col!r}; pass set_col=...")
-        cols.append(F.col(f"p.`{set_col}`").alias(set_col))
+        cols.append(F.col("p." + quoted(set_col)).alias(set_col))
     if keep_params:
-        cols += [F.col(f"p.`{c}`").alias(f"p_{c}") for c in params.columns if c != set_col]
+        cols += [F.col("p." + quoted(c)).alias(f"p_{c}") for c in params.columns if c != set_col]
     return joined.select(*cols)
 
 
@@ -206,17 +208,17 @@ def fanout_aggregate(source: DataFrame, params: DataFrame, aggs: Mapping[str, Co
     clash = [c for c in list(pcols) + [set_tmp] if c in source.columns]
     if clash:
         raise ValueError(f"source columns {clash} clash with the per-set names")
-    rows = joined.select(*[F.col(f"s.`{c}`") for c in source.columns],
-                         *[F.col(f"p.`{c}`").alias(alias) for alias, c in pcols.items()],
-                         F.col(f"p.`{set_col}`").alias(set_tmp))
+    rows = joined.select(*[F.col("s." + quoted(c)) for c in source.columns],
+                         *[F.col("p." + quoted(c)).alias(alias) for alias, c in pcols.items()],
+                         F.col("p." + quoted(set_col)).alias(set_tmp))
     per_set = (rows.groupBy(set_tmp).agg(*[expr.alias(name) for name, expr in aggs.items()])
                .withColumnRenamed(set_tmp, set_col))
     sets = numbered if keep_params else numbered.select(set_col)
     out = sets.join(per_set, set_col, "left")
     fills = {k: v for k, v in (empty or {}).items() if v is not None}
-    cols = [F.col(f"`{c}`") for c in sets.columns]
+    cols = [F.col(quoted(c)) for c in sets.columns]
     for name in aggs:
-        c = F.col(f"`{name}`")
+        c = F.col(quoted(name))
         if name in fills:
             c = F.coalesce(c, F.lit(fills[name]))
         cols.append(c.alias(name))
@@ -240,7 +242,7 @@ def fanout_count(source: DataFrame, params: DataFrame, on=None, condition=None,
     if condition is None and pairs:
         return _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
                               broadcast, max_broadcast_bytes)
-    expr = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"`{count_col}`"))
+    expr = F.count(F.lit(1)) if count_col is None else F.count(F.col(quoted(count_col)))
     return fanout_aggregate(source, params, {name: expr}, on, condition, set_col,
                             empty={name: 0}, keep_params=keep_params, broadcast=broadcast,
                             max_broadcast_bytes=max_broadcast_bytes)
@@ -250,17 +252,17 @@ def _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
                    broadcast, max_broadcast_bytes):
     numbered = with_set_ids(params, set_col)
     scols = [s for _, s in pairs]
-    keys = numbered.select(*[F.col(f"`{p}`").alias(s) for p, s in pairs]).distinct()
+    keys = numbered.select(*[F.col(quoted(p)).alias(s) for p, s in pairs]).distinct()
     keys, is_b = maybe_broadcast(keys, broadcast, max_broadcast_bytes)
     rows = source.join(keys, scols, "left_semi") if is_b else source
-    counted = F.count(F.lit(1)) if count_col is None else F.count(F.col(f"`{count_col}`"))
-    per_key = rows.groupBy(*[F.col(f"`{c}`") for c in scols]).agg(counted.alias("__n"))
+    counted = F.count(F.lit(1)) if count_col is None else F.count(F.col(quoted(count_col)))
+    per_key = rows.groupBy(*[F.col(quoted(c)) for c in scols]).agg(counted.alias("__n"))
     cond = None
     for pcol, scol in pairs:
-        eq = F.col(f"p.`{pcol}`") == F.col(f"k.`{scol}`")
+        eq = F.col("p." + quoted(pcol)) == F.col("k." + quoted(scol))
         cond = eq if cond is None else cond & eq
     joined = numbered.alias("p").join(per_key.alias("k"), cond, "left")
-    keep = [F.col(f"p.`{c}`") for c in (numbered.columns if keep_params else [set_col])]
+    keep = [F.col("p." + quoted(c)) for c in (numbered.columns if keep_params else [set_col])]
     return joined.select(*keep, F.coalesce(F.col("k.__n"), F.lit(0)).cast("bigint").alias(name))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringcast.functions.tokens import (
+    quoted,
     MAX_TOKEN,
     MIN_TOKEN,
     _big,
@@ -42,7 +43,13 @@ def _check_free(df: DataFrame, *names: str) -> None:
 
 
 def _all_columns(columns) -> bool:
-    return columns is None or columns == "*" or list(columns) == ["*"]
+    return columns is None or columns == "*" or (not isinstance(columns, str)
+                                                 and list(columns) == ["*"])
+
+
+def _column_list(columns) -> list:
+    """A projection as a list (one name given as a string is one column)."""
+    return [columns] if isinstance(columns, str) else list(columns)
 
 
 def with_token(df: DataFrame, partition_keys, token_method: str = "xxhash64",
@@ -68,7 +75,7 @@ def token_scan(df: DataFrame, partition_keys, splits: int | None = None,
     if _all_columns(columns):
         out = df.withColumn(token_col, token)
     else:
-        out = df.select(*columns, token.alias(token_col))
+        out = df.select(*_column_list(columns), token.alias(token_col))
     out = out.withColumn(split_col, split_id(F.col(token_col), splits))
     return out if keep_token else out.drop(token_col)
 
@@ -84,16 +91,17 @@ def scan_range(df: DataFrame, partition_keys, start: int, end: int,
     """
     if not (MIN_TOKEN <= start <= MAX_TOKEN and MIN_TOKEN <= end <= MAX_TOKEN):
         raise ValueError("token bounds must be signed 64-bit integers")
-    if token_method == "column":
-        keys = [partition_keys] if isinstance(partition_keys, str) else list(partition_keys)
-        token_col = keys[0] if len(keys) == 1 else token_col
-        out = df.filter(in_range(make_token(partition_keys, "column"), start, end, end_inclusive))
+    token = make_token(partition_keys, token_method)
+    if token_method == "column" and isinstance(partition_keys, str):
+        token_col = partition_keys  # the stored token column itself
+        out = df.filter(in_range(token, start, end, end_inclusive))
     else:
         _check_free(df, token_col)
-        out = (df.withColumn(token_col, make_token(partition_keys, token_method))
-               .filter(in_range(F.col(token_col), start, end, end_inclusive)))
+        out = (df.withColumn(token_col, token)
+               .filter(in_range(F.col(quoted(token_col)), start, end, end_inclusive)))
     if not _all_columns(columns):
-        out = out.select(*columns, token_col)
+        cols = _column_list(columns)
+        out = out.select(*cols, *([] if token_col in cols else [token_col]))
     return out
 
 
@@ -164,27 +172,15 @@ def write_token_layout(df: DataFrame, partition_keys, path: str, num_files: int,
     """
     _check_free(df, token_col)
     tokens = df.withColumn(token_col, make_token(partition_keys, token_method))
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields
-                if not _contains_map(f.dataType)]
-    tiebreak = F.xxhash64(*hashable) if hashable else F.lit(0)
-    (tokens.repartitionByRange(num_files, F.col(token_col), tiebreak)
+    # Row ids are stable for a file scan (same splits on every pass and retry)
+    # and split even fully duplicate rows of a hot key.
+    tiebreak = F.monotonically_increasing_id()
+    (tokens.repartitionByRange(num_files, F.col(quoted(token_col)), tiebreak)
      .sortWithinPartitions(token_col)
      .write.mode(mode).parquet(path))
     return path
 
 
-def _contains_map(dt) -> bool:
-    from pyspark.sql import types as T
-
-    if isinstance(dt, T.MapType):
-        return True
-    if isinstance(dt, T.ArrayType):
-        return _contains_map(dt.elementType)
-    if isinstance(dt, T.StructType):
-        return any(_contains_map(f.dataType) for f in dt.fields)
-    return isinstance(dt, T.VariantType)
-
-
 def token_column(partition_keys, token_method: str = "xxhash64") -> Column:
     return make_token(partition_keys, token_method)
 

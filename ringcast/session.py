@@ -80,15 +80,6 @@ def scratch_path(spark: SparkSession, label: str = "out") -> str:
     return f"{base.rstrip('/')}/ringcast-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str | None:
-    """Local filesystem form of a ``file:`` path, None for remote schemes."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)
-
-
 def materialize(df, label: str = "table"):
     """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
     and return the written table. One job; later reads are columnar and never

@@ -97,7 +97,7 @@ def _text_safe(df: DataFrame) -> DataFrame:
     """CSV cannot hold nested or binary values: nested → JSON text, binary → hex."""
     cols = []
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
+        c = F.col("`" + field.name.replace("`", "``") + "`")
         if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
             c = F.to_json(c)
         elif isinstance(field.dataType, T.BinaryType):

@@ -56,12 +56,10 @@ def incremental_export(spark: SparkSession, source: DataFrame, path: str, checkp
     spark.streams.addListener(counter)
     try:
         query = writer.start(path)
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise query.exception()
+        query.awaitTermination()  # raises when the query failed
         # Events are delivered in order: once this query's termination event
         # arrived, all of its progress events have been counted.
-        if not counter.wait_terminated(str(query.id), timeout=120):
+        if not counter.wait_terminated(str(query.id), timeout=15):
             progress = query.recentProgress
             return {"batches": len(progress),
                     "rows": sum(int(p.get("numInputRows", 0)) for p in progress)}

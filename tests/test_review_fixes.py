@@ -388,3 +388,28 @@ def test_auto_single_file_keeps_explode_parallel(spark):
     plain = spark.range(10)
     exploded = plain.select(F.explode(F.array("id", "id")).alias("x"))
     assert not has_exchange(plain) and has_exchange(exploded)
+
+
+def test_null_tokens_have_no_split(spark):
+    df = spark.createDataFrame([(None,), (5,)], "k bigint")
+    out = ring.token_scan(df, "k", 4, token_method="multiplicative").collect()
+    assert sorted((r.k is None, r.split_id is None) for r in out) == [(False, False), (True, True)]
+
+
+def test_scan_range_column_key_and_projection(spark):
+    from ringcast.functions.tokens import MAX_TOKEN, MIN_TOKEN
+
+    df = spark.createDataFrame([(1, 10), (2, -10)], "id int, token bigint")
+    assert ring.scan_range(df, F.col("token"), 0, MAX_TOKEN, True, token_method="column",
+                           token_col="t2").count() == 1
+    out = ring.scan_split(df, "token", 2, 1, token_method="column", columns=["id", "token"])
+    assert out.columns == ["id", "token"]
+    assert ring.token_scan(df.drop("token"), "id", 4, columns="id").columns == ["id", "token", "split_id"]
+    assert ring.scan_range(df, "token", MIN_TOKEN, MAX_TOKEN, True, token_method="column").count() == 2
+
+
+def test_backquoted_column_names(spark, tmp_out):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, `we``ird` string")
+    ring.write_token_layout(df, "k", tmp_out + "/lay", 2)
+    assert spark.read.parquet(tmp_out + "/lay").count() == 2
+    write(df, tmp_out + "/w.csv", single_file=True)
