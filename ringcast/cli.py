@@ -97,7 +97,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     common = dict(transform=args.transform, fmt=args.format, single_file=args.single_file,
                   partition_by=args.partition_by, mode=args.mode)
     if args.command == "token-range":
-        df = load_table(spark, args.table, root=args.root, fmt=args.table_format)
+        if args.root:
+            from ringcast.sources.table import split_table_name
+
+            keyspace, table = split_table_name(args.table)
+            df = _read_table(spark, f"{args.root.rstrip('/')}/{keyspace}/{table}", args.table_format)
+        else:
+            df = load_table(spark, args.table)
         result = token_range_export(spark, df, args.partition_keys, args.output, splits=args.splits,
                                     columns=args.columns, **common)
     else:

@@ -95,16 +95,28 @@ def hex_to_blob(col) -> Column:
     return F.when(ok, F.unhex(c))
 
 
+# Largest |epoch ms| whose microseconds fit a Spark timestamp.
+MAX_TIMESTAMP_MS = (2 ** 63 - 1) // 1000
+
+
+def _ms_in_range(ms: Column) -> Column:
+    """The value itself when a timestamp can hold it, else null (guarding the
+    argument, not the result, also holds when Catalyst folds constants)."""
+    return F.when((ms >= F.lit(-MAX_TIMESTAMP_MS)) & (ms <= F.lit(MAX_TIMESTAMP_MS)), ms)
+
+
 def timestamp_from_millis(col) -> Column:
-    """Timestamp (UTC instant) from epoch milliseconds."""
-    return F.timestamp_millis(_c(col).cast("bigint"))
+    """Timestamp (UTC instant) from epoch milliseconds (C10); null when the value
+    is outside what a Spark timestamp holds."""
+    return F.timestamp_millis(_ms_in_range(_c(col).try_cast("bigint")))
 
 
 def timestamp_ntz_from_millis(col) -> Column:
     """Wall-clock UTC timestamp without zone from epoch milliseconds; independent
-    of the session time zone."""
-    return F.timestamp_add("MICROSECOND", _c(col).cast("bigint") * F.lit(1000),
-                          F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    of the session time zone; null when out of range."""
+    ms = _ms_in_range(_c(col).try_cast("bigint"))
+    return F.timestamp_add("MICROSECOND", ms * F.lit(1000),
+                           F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def epoch_micros_ntz(col) -> Column:
@@ -178,8 +190,11 @@ def is_uuid(col) -> Column:
 
 
 def varint_text(col) -> Column:
-    """Numeric text of an arbitrary-precision integer."""
-    return _c(col).cast("decimal(38,0)").cast("string")
+    """Numeric text of an arbitrary-precision integer (C15), any number of
+    digits; null for values that are not integers."""
+    text = F.regexp_replace(F.trim(_c(col).cast("string")), r"^\+", "")
+    return F.when(text.rlike(r"^-?[0-9]+$"),
+                  F.regexp_replace(text, r"^(-?)0+(?=[0-9])", "$1"))
 
 
 def decimal_text(col) -> Column:

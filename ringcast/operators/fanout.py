@@ -93,6 +93,9 @@ def maybe_broadcast(params: DataFrame, policy="auto",
 def with_set_ids(params: DataFrame, set_col: str = SET_COL, stable: bool = True) -> DataFrame:
     """Give every parameter row its own id, so repeated sets stay apart.
 
+    An existing ``set_col`` is used as is: its values must be unique (rows
+    sharing an id are one set for per-set limits and aggregates).
+
     Ids come from ``monotonically_increasing_id``; with ``stable`` the table
     is written to the shared checkpoint folder right after, so every later
     use (and every retried task) sees the same ids.
@@ -202,6 +205,9 @@ def fanout_aggregate(source: DataFrame, params: DataFrame, aggs: Mapping[str, Co
     counts, as a per-set ``COUNT(*)`` would return).
     """
     numbered = with_set_ids(params, set_col)
+    clash = [name for name in aggs if name in numbered.columns]
+    if clash:
+        raise ValueError(f"aggregate names {clash} are also parameter columns; rename them")
     joined = _join(source, numbered, on, condition, broadcast, max_broadcast_bytes)
     set_tmp = "__set"
     pcols = {f"p_{c}": c for c in numbered.columns if c != set_col}
@@ -251,6 +257,8 @@ def fanout_count(source: DataFrame, params: DataFrame, on=None, condition=None,
 def _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
                    broadcast, max_broadcast_bytes):
     numbered = with_set_ids(params, set_col)
+    if name in numbered.columns:
+        raise ValueError(f"count name {name!r} is also a parameter column; pass name=...")
     scols = [s for _, s in pairs]
     keys = numbered.select(*[F.col(quoted(p)).alias(s) for p, s in pairs]).distinct()
     keys, is_b = maybe_broadcast(keys, broadcast, max_broadcast_bytes)
@@ -368,5 +376,6 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     equi = any(j in plan for j in ("HashJoin", "SortMergeJoin"))
     if "CartesianProduct" in plan or ("NestedLoopJoin" in plan and not equi and not small):
         raise ValueError("the query pairs every parameter set with every row (no equality on a "
-                         "marker) and the sets are too big to broadcast; add an equality marker")
+                         "marker) and Spark planned it as a cartesian product; add an equality "
+                         "marker, or use fanout() with a broadcast of measured sets")
     return out

@@ -91,6 +91,9 @@ def scan_range(df: DataFrame, partition_keys, start: int, end: int,
     """
     if not (MIN_TOKEN <= start <= MAX_TOKEN and MIN_TOKEN <= end <= MAX_TOKEN):
         raise ValueError("token bounds must be signed 64-bit integers")
+    if (token_method == "column" and isinstance(partition_keys, (list, tuple))
+            and len(partition_keys) == 1 and isinstance(partition_keys[0], str)):
+        partition_keys = partition_keys[0]
     token = make_token(partition_keys, token_method)
     if token_method == "column" and isinstance(partition_keys, str):
         token_col = partition_keys  # the stored token column itself

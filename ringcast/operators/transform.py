@@ -27,7 +27,8 @@ _HEAD = re.compile(r"\s*([A-Za-z]+|\()")
 # Quoted text (skipped) or a data-changing keyword: Spark SQL accepts
 # ``WITH ... INSERT`` and ``FROM t INSERT ...``.
 _DML_TOKENS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
-                         r"|\b(INSERT|MERGE|UPDATE|DELETE)\b", re.S | re.I)
+                         r"|\b(INSERT\s+(?:INTO|OVERWRITE)|MERGE\s+INTO|DELETE\s+FROM"
+                         r"|UPDATE\s+[\w.`]+\s+(?:\w+\s+)?SET)\b", re.S | re.I)
 # View names are per session: resolve one transform at a time; execution is not held.
 _RESOLVE_LOCK = threading.RLock()
 
@@ -62,7 +63,8 @@ def check_query_text(sql: str) -> str:
     if head in ("WITH", "FROM"):
         for m in _DML_TOKENS.finditer(re.sub(r"/\*\+.*?\*/", " ", text, flags=re.S)):
             if m.group(1):
-                raise TransformError(f"transform must be a query, found {m.group(1).upper()}")
+                word = m.group(1).split()[0].upper()
+                raise TransformError(f"transform must be a query, found {word}")
     return text
 
 

@@ -94,7 +94,8 @@ def check_target(path: str) -> str:
 
 
 def _text_safe(df: DataFrame) -> DataFrame:
-    """CSV cannot hold nested or binary values: nested → JSON text, binary → hex."""
+    """CSV cannot hold nested, binary or untyped null values: nested → JSON
+    text, binary → hex, untyped null → text."""
     cols = []
     for field in df.schema.fields:
         c = F.col("`" + field.name.replace("`", "``") + "`")
@@ -102,6 +103,8 @@ def _text_safe(df: DataFrame) -> DataFrame:
             c = F.to_json(c)
         elif isinstance(field.dataType, T.BinaryType):
             c = F.hex(c)
+        elif isinstance(field.dataType, T.NullType):  # a bare NULL column: empty text
+            c = c.cast("string")
         cols.append(c.alias(field.name))
     return df.select(*cols)
 

@@ -413,3 +413,42 @@ def test_backquoted_column_names(spark, tmp_out):
     ring.write_token_layout(df, "k", tmp_out + "/lay", 2)
     assert spark.read.parquet(tmp_out + "/lay").count() == 2
     write(df, tmp_out + "/w.csv", single_file=True)
+
+
+def test_last_pass_fixes(spark, tmp_out):
+    from ringcast.cli import main
+    from ringcast.functions.tokens import MAX_TOKEN, MIN_TOKEN
+    from pyspark.sql import types as T
+
+    # token-range over a CSV table with a header
+    os.makedirs(tmp_out + "/root/ks/t")
+    with open(tmp_out + "/root/ks/t/x.csv", "w") as f:
+        f.write("id,name\n1,a\n2,b\n")
+    main(["-o", tmp_out + "/o.ndjson", "-s", "token-range", "ks.t", "-K", "id",
+          "--root", tmp_out + "/root", "--table-format", "csv"])
+    assert spark.read.json(tmp_out + "/o.ndjson").count() == 2
+    # timestamps out of range become null, varints keep all digits
+    r = spark.range(1).select(
+        cv.convert_column(F.lit(9_300_000_000_000_000), "timestamp", data_type=T.LongType()).alias("t"),
+        cv.varint_text(F.lit("+0001234567890123456789012345678901234567890")).alias("v")).first()
+    assert r.t is None and r.v == "1234567890123456789012345678901234567890"
+    # CSV with an untyped null column
+    write(spark.sql("SELECT 1 AS a, NULL AS b"), tmp_out + "/n.csv", single_file=True)
+    # identifiers named like DML words
+    assert check_query_text("WITH t AS (SELECT 1 AS update) SELECT * FROM t")
+    with pytest.raises(TransformError):
+        check_query_text("WITH t AS (SELECT 1) UPDATE x SET a = 1")
+    # one-element list as stored token key
+    df = spark.createDataFrame([(1, 10)], "id int, token bigint")
+    assert ring.scan_range(df, ["token"], MIN_TOKEN, MAX_TOKEN, True, token_method="column").count() == 1
+
+
+def test_aggregate_name_clash(spark):
+    from ringcast.operators.fanout import fanout_aggregate, fanout_count
+
+    src = spark.createDataFrame([(7, 1.0)], "user_id bigint, v double")
+    params = spark.createDataFrame([(1, 7, 0)], "param_set bigint, user_id bigint, n bigint")
+    with pytest.raises(ValueError):
+        fanout_aggregate(src, params, {"n": F.count(F.lit(1))}, on="user_id")
+    with pytest.raises(ValueError):
+        fanout_count(src, params.withColumnRenamed("n", "cnt"), on="user_id")
