@@ -20,9 +20,6 @@ SOURCE_VIEW = "source"
 # Statement starts accepted as a query.
 QUERY_KEYWORDS = ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "(")
 
-# Quoted text and /*+ hints */ (kept as is) or a comment (removed).
-_QUOTED_OR_COMMENT = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
-                                r"|/\*\+.*?\*/)|--[^\n]*|/\*.*?\*/", re.S)
 _HEAD = re.compile(r"\s*([A-Za-z]+|\()")
 # Quoted text (skipped) or a data-changing keyword: Spark SQL accepts
 # ``WITH ... INSERT`` and ``FROM t INSERT ...``.
@@ -37,10 +34,56 @@ class TransformError(ValueError):
     pass
 
 
+def _quoted_end(sql: str, i: int) -> int:
+    """Index just past the quoted text starting at ``sql[i]``."""
+    q, j, n = sql[i], i + 1, len(sql)
+    while j < n:
+        if sql[j] == "\\" and q != "`":
+            j += 2
+            continue
+        if sql[j] == q:
+            if j + 1 < n and sql[j + 1] == q:  # doubled quote inside the text
+                j += 2
+                continue
+            return j + 1
+        j += 1
+    return n
+
+
 def strip_comments(sql: str) -> str:
-    """``sql`` without ``--`` and ``/* */`` comments; quoted text and
-    ``/*+ hints */`` are left alone."""
-    return _QUOTED_OR_COMMENT.sub(lambda m: m.group(1) if m.group(1) is not None else " ", sql)
+    """``sql`` without ``--`` and ``/* */`` comments (nested ones too, as Spark
+    SQL allows them); quoted text and ``/*+ hints */`` are left alone."""
+    out, i, n = [], 0, len(sql)
+    while i < n:
+        c = sql[i]
+        if c in "'\"`":
+            j = _quoted_end(sql, i)
+            out.append(sql[i:j])
+            i = j
+        elif sql.startswith("--", i):
+            j = sql.find("\n", i)
+            out.append(" ")
+            i = n if j < 0 else j
+        elif sql.startswith("/*+", i):
+            j = sql.find("*/", i + 3)
+            j = n if j < 0 else j + 2
+            out.append(sql[i:j])
+            i = j
+        elif sql.startswith("/*", i):
+            depth, j = 1, i + 2
+            while j < n and depth:
+                if sql.startswith("/*", j):
+                    depth, j = depth + 1, j + 2
+                elif sql.startswith("*/", j):
+                    depth, j = depth - 1, j + 2
+                else:
+                    j += 1
+            out.append(" ")
+            i = j
+        else:
+            out.append(c)
+            i += 1
+    return "".join(out)
 
 
 def check_query_text(sql: str) -> str:

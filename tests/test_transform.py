@@ -59,3 +59,11 @@ def test_with_dml_refused_but_quoted_words_allowed():
     with pytest.raises(TransformError):
         check_query_text("WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a")
     assert check_query_text("WITH a AS (SELECT 'insert' AS x, `update` FROM b) SELECT * FROM a")
+
+
+def test_nested_comments_and_quotes(spark):
+    assert check_query_text("/* outer /* inner */ still comment */ SELECT 1") == "SELECT 1"
+    assert check_query_text("SELECT 'it''s -- not a comment' AS a /* x /* y */ */") == \
+        "SELECT 'it''s -- not a comment' AS a"
+    out = transform(spark, spark.range(1), "/* a /* b */ c */ SELECT 'x--y' AS v FROM source")
+    assert out.first().v == "x--y"
