@@ -143,3 +143,12 @@ def test_ring_expressions_stay_in_whole_stage_codegen(spark):
     lines = [ln for ln in plan.splitlines() if "xxhash64" in ln or "least(" in ln]
     assert lines and all(ln.lstrip(" :+-").startswith("*(") for ln in lines), plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_default_splits_rule(spark):
+    # Reference sizing: 300 splits per core when no split count is given.
+    n = ring.default_splits(spark)
+    assert n == 300 * spark.sparkContext.defaultParallelism
+    li = Tables(spark, SF_SMALL).lineitem
+    out = ring.token_scan(li, ["l_orderkey", "l_linenumber"])
+    assert out.agg(F.max("split_id")).first()[0] < n
