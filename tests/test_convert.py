@@ -77,3 +77,10 @@ def test_stringify_containers(spark):
                   cv.stringify_map_values("m", "date").alias("m"),
                   cv.stringify_list("n", "int").alias("n")).first()
     assert r.i == ["1", "2"] and r.d == [None] and r.m == {"a": None} and r.n is None
+
+
+def test_boolean_and_decimal_text(spark):
+    df = spark.createDataFrame([("true", 1.5), ("x", None)], "s string, d double")
+    got = df.select(cv.to_boolean("s").alias("b"),
+                    cv.decimal_text(F.col("d").cast("decimal(10,2)")).alias("t")).collect()
+    assert [(r.b, r.t) for r in got] == [(True, "1.50"), (None, None)]
