@@ -191,10 +191,18 @@ def is_uuid(col) -> Column:
 
 def varint_text(col) -> Column:
     """Numeric text of an arbitrary-precision integer (C15), any number of
-    digits; null for values that are not integers."""
-    text = F.regexp_replace(F.trim(_c(col).cast("string")), r"^\+", "")
-    return F.when(text.rlike(r"^-?[0-9]+$"),
-                  F.regexp_replace(text, r"^(-?)0+(?=[0-9])", "$1"))
+    digits: integer text, integral decimals (``5.00``) and integral doubles
+    (``1.0E20``); null for anything else."""
+    text = F.regexp_replace(_c(col).cast("string"), r"^\s+|\s+$", "")
+    plain = F.regexp_extract(text, r"^([+-]?[0-9]+)(?:\.0*)?\z", 1)  # '' when no match
+    digits = F.regexp_replace(F.regexp_replace(plain, r"^\+", ""), r"^(-?)0+(?=[0-9])", "$1")
+    # exponent form: exact when the value has no fractional part
+    exact = text.try_cast("decimal(38,10)")
+    exponent = F.when(text.rlike("[eE]"),
+                      F.when(exact.isNull(), text.try_cast("decimal(38,0)"))
+                      .when(exact == F.floor(exact), exact.cast("decimal(38,0)"))).cast("string")
+    out = F.when(plain != "", digits).otherwise(exponent)
+    return F.when(out == "-0", F.lit("0")).otherwise(out)
 
 
 def decimal_text(col) -> Column:

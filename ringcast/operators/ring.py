@@ -104,7 +104,8 @@ def scan_range(df: DataFrame, partition_keys, start: int, end: int,
                .filter(in_range(F.col(quoted(token_col)), start, end, end_inclusive)))
     if not _all_columns(columns):
         cols = _column_list(columns)
-        out = out.select(*cols, *([] if token_col in cols else [token_col]))
+        picked = [F.col(quoted(c)) if isinstance(c, str) else c for c in cols]
+        out = out.select(*picked, *([] if token_col in cols else [F.col(quoted(token_col))]))
     return out
 
 

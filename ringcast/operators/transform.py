@@ -23,9 +23,8 @@ QUERY_KEYWORDS = ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "(")
 _HEAD = re.compile(r"\s*([A-Za-z]+|\()")
 # Quoted text (skipped) or a data-changing keyword: Spark SQL accepts
 # ``WITH ... INSERT`` and ``FROM t INSERT ...``.
-_DML_TOKENS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
-                         r"|\b(INSERT\s+(?:INTO|OVERWRITE)|MERGE\s+INTO|DELETE\s+FROM"
-                         r"|UPDATE\s+[\w.`]+\s+(?:\w+\s+)?SET)\b", re.S | re.I)
+_DML_SHAPES = re.compile(r"\b(INSERT\s+(?:INTO|OVERWRITE)|MERGE\s+INTO|DELETE\s+FROM"
+                         r"|UPDATE\s+(?:[\w.]+\s+){0,2}SET)\b", re.S | re.I)
 # View names are per session: resolve one transform at a time; execution is not held.
 _RESOLVE_LOCK = threading.RLock()
 
@@ -35,10 +34,13 @@ class TransformError(ValueError):
 
 
 def _quoted_end(sql: str, i: int) -> int:
-    """Index just past the quoted text starting at ``sql[i]``."""
+    """Index just past the quoted text starting at ``sql[i]``. In raw strings
+    (``r'...'``) a backslash is an ordinary character."""
     q, j, n = sql[i], i + 1, len(sql)
+    raw = q in "'\"" and i > 0 and sql[i - 1] in "rR" and not (
+        i > 1 and (sql[i - 2].isalnum() or sql[i - 2] == "_"))
     while j < n:
-        if sql[j] == "\\" and q != "`":
+        if sql[j] == "\\" and q != "`" and not raw:
             j += 2
             continue
         if sql[j] == q:
@@ -50,40 +52,59 @@ def _quoted_end(sql: str, i: int) -> int:
     return n
 
 
-def strip_comments(sql: str) -> str:
-    """``sql`` without ``--`` and ``/* */`` comments (nested ones too, as Spark
-    SQL allows them); quoted text and ``/*+ hints */`` are left alone."""
-    out, i, n = [], 0, len(sql)
+def _scan(sql: str) -> tuple[str, str]:
+    """``(text, skeleton)``: the text without comments (quoted text and
+    ``/*+ hints */`` kept), and the same with quoted text and hint bodies
+    blanked, for keyword checks. Follows Spark SQL's comment rules: ``--``
+    runs to CR or LF (a backslash-newline continues it), ``/* */`` nests,
+    except that a hint does not open a nested comment."""
+    out, skel, i, n = [], [], 0, len(sql)
     while i < n:
         c = sql[i]
         if c in "'\"`":
             j = _quoted_end(sql, i)
             out.append(sql[i:j])
+            skel.append(" ")
             i = j
         elif sql.startswith("--", i):
-            j = sql.find("\n", i)
+            j = i + 2
+            while j < n and sql[j] not in "\r\n":
+                j += 2 if sql.startswith("\\\n", j) else 1
             out.append(" ")
-            i = n if j < 0 else j
+            skel.append(" ")
+            i = j
         elif sql.startswith("/*+", i):
             j = sql.find("*/", i + 3)
-            j = n if j < 0 else j + 2
-            out.append(sql[i:j])
-            i = j
+            if j < 0:
+                raise TransformError("unclosed hint comment")
+            out.append(sql[i:j + 2])
+            skel.append(" ")
+            i = j + 2
         elif sql.startswith("/*", i):
             depth, j = 1, i + 2
             while j < n and depth:
-                if sql.startswith("/*", j):
+                if sql.startswith("/*", j) and not sql.startswith("/*+", j):
                     depth, j = depth + 1, j + 2
                 elif sql.startswith("*/", j):
                     depth, j = depth - 1, j + 2
                 else:
                     j += 1
+            if depth:
+                raise TransformError("unclosed comment")
             out.append(" ")
+            skel.append(" ")
             i = j
         else:
             out.append(c)
+            skel.append(c)
             i += 1
-    return "".join(out)
+    return "".join(out), "".join(skel)
+
+
+def strip_comments(sql: str) -> str:
+    """``sql`` without ``--`` and ``/* */`` comments (nested ones too, as Spark
+    SQL allows them); quoted text and ``/*+ hints */`` are left alone."""
+    return _scan(sql)[0]
 
 
 def check_query_text(sql: str) -> str:
@@ -95,8 +116,8 @@ def check_query_text(sql: str) -> str:
     """
     if not isinstance(sql, str) or not sql.strip():
         raise TransformError("transform SQL is empty")
-    text = strip_comments(sql).strip()
-    text = text.rstrip().rstrip(";").rstrip()
+    text, skeleton = _scan(sql)
+    text = re.sub(r"[\s;]+$", "", text.strip())
     if not text:
         raise TransformError("transform SQL is empty")
     m = _HEAD.match(text)
@@ -104,10 +125,10 @@ def check_query_text(sql: str) -> str:
     if head not in QUERY_KEYWORDS:
         raise TransformError(f"transform must be a query (SELECT/WITH/VALUES/FROM/TABLE), got {head}")
     if head in ("WITH", "FROM"):
-        for m in _DML_TOKENS.finditer(re.sub(r"/\*\+.*?\*/", " ", text, flags=re.S)):
-            if m.group(1):
-                word = m.group(1).split()[0].upper()
-                raise TransformError(f"transform must be a query, found {word}")
+        # keywords are checked on the skeleton: strings, comments and hints blanked
+        m = _DML_SHAPES.search(skeleton)
+        if m:
+            raise TransformError(f"transform must be a query, found {m.group(1).split()[0].upper()}")
     return text
 
 

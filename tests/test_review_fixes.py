@@ -452,3 +452,28 @@ def test_aggregate_name_clash(spark):
         fanout_aggregate(src, params, {"n": F.count(F.lit(1))}, on="user_id")
     with pytest.raises(ValueError):
         fanout_count(src, params.withColumnRenamed("n", "cnt"), on="user_id")
+
+
+@pytest.mark.parametrize("sql", [
+    "WITH a AS (SELECT '/*+' AS x) INSERT INTO t SELECT '*/' FROM a",
+    "WITH a AS (SELECT r'\\' AS x) INSERT INTO t SELECT x FROM a --'",
+    "WITH x AS (SELECT 1) UPDATE `t` SET a = 1",
+    "SELECT 1 /* open",
+])
+def test_guard_cannot_be_smuggled(sql):
+    with pytest.raises(TransformError):
+        check_query_text(sql)
+
+
+def test_spark_comment_rules():
+    assert check_query_text("SELECT 1 -- c \\\n + 5 AS b") == "SELECT 1"
+    assert ", 2 AS b" in check_query_text("SELECT 1 AS a -- c\r, 2 AS b FROM source")
+    assert check_query_text("SELECT 1; ;") == "SELECT 1"
+
+
+def test_varint_text_forms(spark):
+    df = spark.createDataFrame([("-0",), ("+-5",), ("+0012",), ("x",)], "s string")
+    assert [r.v for r in df.select(cv.varint_text("s").alias("v")).collect()] == ["0", None, "12", None]
+    r = spark.range(1).select(cv.varint_text(F.lit(5).cast("decimal(10,2)")).alias("a"),
+                              cv.varint_text(F.lit(1e20)).alias("b")).first()
+    assert (r.a, r.b) == ("5", "100000000000000000000")
