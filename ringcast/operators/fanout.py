@@ -260,8 +260,11 @@ def _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
     if name in numbered.columns:
         raise ValueError(f"count name {name!r} is also a parameter column; pass name=...")
     scols = [s for _, s in pairs]
-    keys = numbered.select(*[F.col(quoted(p)).alias(s) for p, s in pairs]).distinct()
-    keys, is_b = maybe_broadcast(keys, broadcast, max_broadcast_bytes)
+    key_rows = numbered.select(*[F.col(quoted(p)).alias(s) for p, s in pairs])
+    # the key columns of all sets bound their distinct keys: no extra distinct job
+    _, is_b = maybe_broadcast(key_rows, broadcast, max_broadcast_bytes)
+    keys = key_rows.distinct()
+    keys = F.broadcast(keys) if is_b else keys
     rows = source.join(keys, scols, "left_semi") if is_b else source
     counted = F.count(F.lit(1)) if count_col is None else F.count(F.col(quoted(count_col)))
     per_key = rows.groupBy(*[F.col(quoted(c)) for c in scols]).agg(counted.alias("__n"))
