@@ -7,7 +7,8 @@ import functools
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from ringcast.llm import jaccard, line_dedup, packing, quality_rules, substring, topk, warc
+from ringcast.llm import (classifier, jaccard, langid, line_dedup, packing, pieces, quality_rules, substring,
+                          topk, warc)
 from ringcast.llm.ship import ship
 from ringcast.sources.table import Tables
 
@@ -54,11 +55,26 @@ def q_line_dedup(spark, t):
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@register("op6_quality_classifier")
+def q_classifier(spark, t):
+    return classifier.classify(t.documents, t.labels)
+
+
+@register("op7_sentencepiece")
+def q_pieces(spark, t):
+    return pieces.encode(t.documents, pieces.Model.load(pieces.default_model()), digest=True)
+
+
 @register("op8_substring_dedup")
 def q_substring(spark, t):
     return substring.substring_digest(t.documents, size=13)
 
 
+@register("op9_language_id")
+def q_langid(spark, t):
+    return langid.identify(t.documents)
+
+
 @register("op10_best_fit_packing")
 def q_packing(spark, t):
     return packing.pack(t.documents)

@@ -22,6 +22,9 @@ and the piece's ids. Other columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -43,45 +46,92 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: fixed value: the pre-tokenization pattern of the byte-level vocabulary
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+BREAK = "\n"
+
+
+def fast_ranks(path: str) -> dict[bytes, int] | None:
+    """The vocabulary file's tokens as bytes with their ids, if its merges are in
+    id order and its rules are plain byte-level ones; else None. Only then
+    merging by rank gives the ids that its own library gives."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    if (model.get("type") != "BPE" or spec.get("normalizer") or pre.get("type") != "ByteLevel"
+            or pre.get("add_prefix_space") or not pre.get("use_regex", True) or model.get("dropout")
+            or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix")):
+        return None
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+    vocabulary, special = model["vocab"], {x["content"] for x in spec.get("added_tokens", [])}
+    merges = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
+    if any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    return {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+
+
 class Encoder:
     """Token ids of whole texts. Byte-level BPE never joins across the start of a
     run of white space, so each run with the word after it is tokenized by
-    itself, once per process, and texts are put together from those ids."""
+    itself, once per process, and texts are put together from those ids. Where the
+    vocabulary allows (``fast_ranks``) tiktoken merges the units, with the ids of
+    the tokenizers library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.table = W.IdTable(self._units)
+        self.table = W.IdTable(self._units, limit=1_000_000)
+        self.fast = None
+        ranks = fast_ranks(path)
+        if ranks:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.line = ranks[BREAK.encode()]
 
     def _units(self, units: list[bytes]) -> W.Ragged:
+        """Ids of each unit. Units of a word and at most one space go in one call,
+        a line break after each; the rest go one by one."""
+        simple = [self.fast is not None and (u[:1] > b" " or (u[:1] == b" " and u[1:2] > b" ")) for u in units]
+        some = [u for u, ok in zip(units, simple) if ok]
+        if len(some) == len(units):
+            found = self._together(some)
+            return found if found else self._each(units)
+        rest = self._each([u for u, ok in zip(units, simple) if not ok])
+        found = self._together(some) if some else None
+        if some and not found:
+            return self._each(units)
+        if not found:
+            return rest
+        both = W.IdTable(None).join(found, rest)
+        order = np.argsort(np.argsort(~np.array(simple), kind="stable"), kind="stable")
+        return W.Ragged(both.flat, both.starts[order], both.lengths[order])
+
+    def _together(self, units: list[bytes]) -> W.Ragged | None:
+        text = BREAK.encode().join(units) + BREAK.encode()
+        ids = self.fast.encode_to_numpy(text.decode(), disallowed_special=()).astype(np.uint32)
+        cuts = np.flatnonzero(ids == self.line)
+        if len(cuts) != len(units):  # white space beyond ASCII joined a break
+            return None
+        starts = np.concatenate([[0], cuts[:-1] + 1])
+        return W.Ragged(ids, starts, cuts - starts)
+
+    def _each(self, units: list[bytes]) -> W.Ragged:
         found = self.tokenizer.encode_batch([u.decode() for u in units], add_special_tokens=False)
         return W.Ragged.of([x.ids for x in found])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The texts' ids, concatenated, and each text's number of ids."""
-        starts, ends, first = W.find_words(data, offsets)
-        # a unit: the white space before a word and the word; what follows the last word is one more
-        count = np.diff(first)
-        tail = np.where(count > 0, ends[np.maximum(first[1:] - 1, 0)] if len(ends) else 0, offsets[:-1])
-        has_tail = tail < offsets[1:]
-        text = np.concatenate([np.repeat(np.arange(len(count)), count), np.flatnonzero(has_tail)])
-        finish = np.concatenate([ends, offsets[1:][has_tail]])
-        order = np.argsort(finish, kind="stable")
-        text, finish = text[order], finish[order]
-        begin = np.empty_like(finish)
-        begin[1:] = finish[:-1]
-        if len(begin):
-            begin[0] = 0
-            new = np.ones(len(text), dtype=bool)
-            new[1:] = text[1:] != text[:-1]
-            begin[new] = offsets[text[new]]
+        begin, finish, text = W.find_units(data, offsets)
         rows = self.table.look_up(W.hash_spans(data, begin, finish), data, begin, finish)
         if not len(rows):
-            return np.zeros(0, dtype=np.uint32), np.zeros(len(count), dtype=np.int64)
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(offsets) - 1, dtype=np.int64)
         flat, lengths = self.table.values.take(rows)
-        return flat, np.bincount(text, weights=lengths, minlength=len(count)).astype(np.int64)
+        return flat, np.bincount(text, weights=lengths, minlength=len(offsets) - 1).astype(np.int64)
 
     def whole(self, raw: bytes) -> bool:
         """Whether a text has to be tokenized in one go."""
@@ -89,13 +139,19 @@ class Encoder:
             c in raw for c in WIDE_SPACE))
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder, with its table of known units, per worker process."""
+    return Encoder(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY,
            with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of all documents' pieces."""
     path = tokenizer or default_tokenizer()
 
     def cut(batches):
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for rows, data, offsets in W.chunks(batches):
             flat, counts = encoder.encode(data, offsets)
             at = np.concatenate([[0], np.cumsum(counts)])

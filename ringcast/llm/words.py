@@ -107,11 +107,11 @@ def chunks(batches, column: str = "text", size: int = CHUNK_BYTES
             lo = hi
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray
+def find_words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and the index of each text's first word
-    (one more entry at the end)."""
-    word = ~SPACE[data]
+    (one more entry at the end). ``space`` marks the bytes between words."""
+    word = ~space[data]
     if not len(data):
         none = np.zeros(0, dtype=np.int64)
         return none, none, np.zeros(len(offsets), dtype=np.int64)
@@ -127,6 +127,26 @@ def find_words(data: np.ndarray, offsets: np.ndarray
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets, side="left")
 
 
+def find_units(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of each unit: a word with the white space before it;
+    what follows a text's last word is a unit as well."""
+    _, ends, first = find_words(data, offsets, space)
+    count = np.diff(first)
+    tail = np.where(count > 0, ends[np.maximum(first[1:] - 1, 0)] if len(ends) else 0, offsets[:-1])
+    more = tail < offsets[1:]
+    text = np.concatenate([np.repeat(np.arange(len(count)), count), np.flatnonzero(more)])
+    finish = np.concatenate([ends, offsets[1:][more]])
+    order = np.argsort(finish, kind="stable")
+    text, finish = text[order], finish[order]
+    begin = np.zeros_like(finish)
+    begin[1:] = finish[:-1]
+    new = np.ones(len(text), dtype=bool)
+    new[1:] = text[1:] != text[:-1]
+    begin[new] = offsets[text[new]]
+    return begin, finish, text
+
+
 def ngrams(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` hashes (runs that cross texts included)."""
     n = len(hashes) - width + 1
