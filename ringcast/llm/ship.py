@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -27,3 +28,10 @@ def ship(spark: SparkSession) -> None:
                     out.write(path, os.path.relpath(path, os.path.dirname(root)))
     sc.addPyFile(target)
     _shipped.add(sc.applicationId)
+
+
+def let_go(spark: SparkSession) -> None:
+    """After a step is stored: have the driver collect what it no longer refers to,
+    so that Spark's cleaner drops that step's shuffle files now, not some time later."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ringcast.llm import words as W
+from ringcast.llm.ship import let_go
 from ringcast.session import materialize
 
 ANCHOR = 5
@@ -301,28 +302,32 @@ def repeated_windows(docs: DataFrame, size: int = 13) -> DataFrame:
     window is also in a smaller document; hits are those windows' offsets."""
     docs = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     spots = materialize(_spots(docs, size), "substring-spots")
+    let_go(docs.sparkSession)
     shards = max(1, -(-spots.count() // SHARD_SEGMENTS))
     cut = materialize(_with_words(spots, docs, size), "substring-cut")
+    let_go(docs.sparkSession)
     lows = _shards(cut, shards, size)
     hits = cut.select("content", "doc_id", "place", "windows").join(lows, "content").select(
         "doc_id", "place", "content", "windows",
         F.expr("filter(sequence(0, windows - 1), i -> lows[i] < doc_id)").alias("hits"))
-    return materialize(hits.filter("size(hits) > 0"), "substring-hits")
+    hits = materialize(hits.filter("size(hits) > 0"), "substring-hits")
+    let_go(docs.sparkSession)
+    return hits
 
 
-def _covered(h: np.ndarray, found: list, size: int) -> np.ndarray:
+def _covered(h: np.ndarray, place, windows, content, hits, counts, size: int) -> np.ndarray:
     """The words that the reported windows cover; a segment whose words differ
-    belongs to another row with this doc_id."""
-    place, windows, content = (np.array([x[k] for x in found], dtype=np.int64)
-                               for k in ("place", "windows", "content"))
-    rows = np.flatnonzero(place + windows + size - 1 <= len(h))
-    cover = np.zeros(len(h) + 1, dtype=np.int64)
+    belongs to another row with this doc_id. ``hits`` are the segments' reported
+    windows, concatenated, ``counts`` how many each has."""
+    ok = place + windows + size - 1 <= len(h)
+    rows = np.flatnonzero(ok)
     if len(rows):
-        same = _hash_runs(h, place[rows], windows[rows] + size - 1)[1].view(np.int64) == content[rows]
-        for r in rows[same].tolist():
-            at = place[r] + np.array(found[r]["hits"], dtype=np.int64)
-            np.add.at(cover, at, 1)
-            np.add.at(cover, at + size, -1)
+        found = _hash_runs(h, place[rows], windows[rows] + size - 1)[1].view(np.int64)
+        ok[rows] = found == content[rows]
+    at = (np.repeat(place, counts) + hits)[np.repeat(ok, counts)]
+    cover = np.zeros(len(h) + 1, dtype=np.int64)
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + size, -1)
     return np.cumsum(cover)[:-1] > 0
 
 
@@ -336,9 +341,19 @@ def _apply(docs: DataFrame, size: int, finish, added: T.StructType) -> DataFrame
     def remove(batches):
         for batch in batches:
             out = []
-            found = batch.column(batch.schema.get_field_index("__hits")).to_pylist()
+            lists = batch.column(batch.schema.get_field_index("__hits"))
+            count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(count)])
+            flat = lists.flatten()
+            place, windows, content = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
+            counts = flat.field(3).value_lengths().to_numpy(zero_copy_only=False)
+            hits, hits_upto = flat.field(3).flatten().to_numpy(), np.concatenate([[0], np.cumsum(counts)])
             for i, raw, starts, ends, h in _unpack(batch):
-                keep = ~_covered(h, found[i], size) if found[i] else np.ones(len(h), dtype=bool)
+                keep = np.ones(len(h), dtype=bool)
+                if count[i]:
+                    own = slice(upto[i], upto[i + 1])
+                    keep = ~_covered(h, place[own], windows[own], content[own],
+                                     hits[hits_upto[own.start]:hits_upto[own.stop]], counts[own], size)
                 out.append(finish(raw, starts, ends, keep))
             if out:
                 yield pa.record_batch(
