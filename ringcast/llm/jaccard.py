@@ -31,7 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringcast.llm import words as W
@@ -180,9 +180,12 @@ def _lists(post: DataFrame, light: int) -> DataFrame:
     stats = post.groupBy("token").agg(
         F.count("*").alias("length"),
         F.max(F.struct("centre", "cls", "n", "pos", "level")).alias("hub")).filter("length > 1")
-    return post.join(stats, "token").select(
+    lists = post.join(stats, "token").select(
         "token", "cls", "n", "pos", "level", "centre", "length",
         F.when(F.col("length") > light, F.col("hub")).alias("hub"))
+    # tokens of short lists before this one: no more of them can be shared before it
+    before = Window.partitionBy("cls").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    return lists.withColumn("before", F.coalesce(F.count_if(F.col("hub").isNull()).over(before), F.lit(0)))
 
 
 def _fits(num: int, den: int, overlap: str, a: str, b: str) -> str:
@@ -192,8 +195,8 @@ def _fits(num: int, den: int, overlap: str, a: str, b: str) -> str:
 
 
 # Common shingles of a pair whose first shared token in a long list is this one:
-# before it they share fewer tokens (all of short lists) than make them a pair there.
-_LONG_BOUND = "least({a}n - {a}pos, {b}n - {b}pos) + least({a}level, {b}level) - 1"
+# before it they share only tokens of short lists, and fewer than make them a pair there.
+_LONG_BOUND = "least({a}n - {a}pos, {b}n - {b}pos) + least({a}level - 1, {b}level - 1, {befores})"
 
 
 def _light_pairs(lists: DataFrame, light: int, num: int, den: int) -> DataFrame:
@@ -213,7 +216,7 @@ def _light_pairs(lists: DataFrame, light: int, num: int, den: int) -> DataFrame:
 
 
 def _hub_pairs(lists: DataFrame, num: int, den: int) -> DataFrame:
-    most = _LONG_BOUND.format(a="", b="hub.")
+    most = _LONG_BOUND.format(a="", b="hub.", befores="before")
     return lists.filter("hub is not null and cls <> hub.cls") \
         .filter(_fits(num, den, most, "n", "hub.n")) \
         .select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b"))
@@ -221,15 +224,15 @@ def _hub_pairs(lists: DataFrame, num: int, den: int) -> DataFrame:
 
 def _left_over(lists: DataFrame, labels: DataFrame, done: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of long lists whose members are in different components."""
-    long = lists.filter("hub is not null").select("token", "cls", "n", "pos", "level") \
+    long = lists.filter("hub is not null").select("token", "cls", "n", "pos", "level", "before") \
         .join(labels.withColumnRenamed("node", "cls"), "cls", "left") \
         .withColumn("root", F.coalesce("root", "cls"))
     mixed = long.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
         .filter("lo <> hi").select("token")
     long = materialize(long.join(mixed, "token"), "jaccard-long")
-    a = long.select("token", *(F.col(c).alias("a_" + c) for c in ("cls", "n", "pos", "level", "root")))
-    b = long.select("token", *(F.col(c).alias("b_" + c) for c in ("cls", "n", "pos", "level", "root")))
-    most = _LONG_BOUND.format(a="a_", b="b_")
+    a = long.select("token", *(F.col(c).alias("a_" + c) for c in ("cls", "n", "pos", "level", "before", "root")))
+    b = long.select("token", *(F.col(c).alias("b_" + c) for c in ("cls", "n", "pos", "level", "before", "root")))
+    most = _LONG_BOUND.format(a="a_", b="b_", befores="a_before, b_before")
     return a.join(b, (a.token == b.token) & (a.a_cls < b.b_cls) & (a.a_root != b.b_root)
                   & F.expr(_fits(num, den, most, "a_n", "b_n"))) \
         .select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct() \
