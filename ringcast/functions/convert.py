@@ -33,7 +33,7 @@ SOURCE_TYPES = {
     "uuid": "string",
     "timeuuid": "string",
     "inet": "string",
-    "varint": "decimal(38,0)",
+    "varint": "string",
     "decimal": "string",
     "duration": "string",
 }
@@ -105,10 +105,20 @@ def _ms_in_range(ms: Column) -> Column:
     return F.when((ms >= F.lit(-MAX_TIMESTAMP_MS)) & (ms <= F.lit(MAX_TIMESTAMP_MS)), ms)
 
 
-def timestamp_from_millis(col) -> Column:
+def checked(result: Column, col, what: str, strict: bool) -> Column:
+    """``result``; with ``strict`` a value that has no result raises."""
+    if not strict:
+        return result
+    c = _c(col)
+    return F.when(result.isNotNull() | c.isNull(), result).otherwise(
+        F.raise_error(F.concat(F.lit(f"not a {what}: "), c.cast("string"))))
+
+
+def timestamp_from_millis(col, strict: bool = False) -> Column:
     """Timestamp (UTC instant) from epoch milliseconds (C10); null when the value
-    is outside what a Spark timestamp holds."""
-    return F.timestamp_millis(_ms_in_range(_c(col).try_cast("bigint")))
+    is outside what a Spark timestamp holds (an error when ``strict``)."""
+    c = _c(col)
+    return checked(F.timestamp_millis(_ms_in_range(c.try_cast("bigint"))), c, "timestamp in milliseconds", strict)
 
 
 def timestamp_ntz_from_millis(col) -> Column:
@@ -140,8 +150,8 @@ def date_from_raw(col, strict: bool = False) -> Column:
     """
     raw = cast_to(col, "bigint", strict)
     ok = (raw >= 0) & (raw < F.lit(2 ** 32))
-    return F.when(ok, F.date_add(F.lit("1970-01-01").cast("date"),
-                                 (raw - F.lit(DATE_EPOCH_OFFSET)).cast("int")))
+    days = F.when(ok, raw - F.lit(DATE_EPOCH_OFFSET)).cast("int")
+    return checked(F.date_add(F.lit("1970-01-01").cast("date"), days), col, "raw date", strict)
 
 
 def raw_from_date(col) -> Column:
@@ -196,11 +206,16 @@ def varint_text(col) -> Column:
     text = F.regexp_replace(_c(col).cast("string"), r"^\s+|\s+$", "")
     plain = F.regexp_extract(text, r"^([+-]?[0-9]+)(?:\.0*)?\z", 1)  # '' when no match
     digits = F.regexp_replace(F.regexp_replace(plain, r"^\+", ""), r"^(-?)0+(?=[0-9])", "$1")
-    # exponent form: exact when the value has no fractional part
-    exact = text.try_cast("decimal(38,10)")
-    exponent = F.when(text.rlike("[eE]"),
-                      F.when(exact.isNull(), text.try_cast("decimal(38,0)"))
-                      .when(exact == F.floor(exact), exact.cast("decimal(38,0)"))).cast("string")
+    # exponent form: move the point over the digits, any number of them
+    form = r"^([+-]?)([0-9]*)\.?([0-9]*)[eE]([+-]?[0-9]{1,6})\z"
+    part = lambda k: F.regexp_extract(text, form, k)
+    mantissa = F.concat(part(2), part(3))
+    cut = F.length(part(2)) + part(4).try_cast("int")  # digits before the point
+    zeros = F.repeat(F.lit("0"), F.greatest(cut - F.length(mantissa), F.lit(0)))
+    whole = F.concat(F.when(cut > 0, F.substring(mantissa, F.lit(1), F.greatest(cut, F.lit(0)))).otherwise(F.lit("0")), zeros)
+    rest = F.when(cut > 0, F.substring(mantissa, F.greatest(cut, F.lit(0)) + 1, F.length(mantissa))).otherwise(mantissa)
+    exponent = F.when((mantissa != "") & rest.rlike(r"^0*\z"), F.concat(
+        F.when(part(1) == "-", F.lit("-")).otherwise(F.lit("")), F.regexp_replace(whole, r"^0+(?=[0-9])", "")))
     out = F.when(plain != "", digits).otherwise(exponent)
     return F.when(out == "-0", F.lit("0")).otherwise(out)
 
@@ -293,12 +308,14 @@ def convert_column(col, source_type: str, strict: bool = False,
         return date_from_raw(col, strict)
     if source_type == "timestamp":
         if isinstance(data_type, T.NumericType):  # raw values are epoch milliseconds
-            return timestamp_from_millis(cast_to(col, "bigint", strict))
+            return timestamp_from_millis(cast_to(col, "bigint", strict), strict)
         return cast_to(col, "timestamp", strict)
     if source_type in ("uuid", "timeuuid"):
         if isinstance(data_type, T.BinaryType):
-            return uuid_from_binary(col)
-        return uuid_text(col)
+            return checked(uuid_from_binary(col), F.hex(_c(col)), "UUID", strict)
+        return checked(uuid_text(col), col, "UUID", strict)
+    if source_type == "varint":
+        return checked(varint_text(col), col, "whole number", strict)
     return cast_to(col, target, strict)
 
 

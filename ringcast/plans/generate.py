@@ -38,7 +38,7 @@ USERS = [
 USERS_SCHEMA = "region string, user_id bigint, name string, age int, score double, active boolean"
 EVENT_TYPES = ["login", "purchase", "logout"]
 EVENT_REGIONS = ["us-east", "us-west", "eu-west", "ap-south"]
-EVENT_HOURS = [9, 13, 18]
+EVENT_HOURS = [0, 1, 2]
 
 
 def bench_events(seed: DataFrame, key_cols) -> DataFrame:

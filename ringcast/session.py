@@ -106,9 +106,8 @@ def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str,
     """
     parts = 3 * max(1, total_cores)
     if input_bytes:
-        # ~256 MB per partition if the whole input were shuffled, up to 100k
-        # partitions (beyond that map-side bookkeeping dominates).
-        parts = max(parts, min(100_000, int(input_bytes // (256 * 1024 * 1024)) + 1))
+        # ~256 MB per partition if the whole input were shuffled
+        parts = max(parts, int(input_bytes // (256 * 1024 * 1024)) + 1)
     return {
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
         "spark.sql.shuffle.partitions": str(parts),

@@ -41,7 +41,6 @@ FORMAT_ALIASES = {"jsonl": "ndjson", "json": "ndjson"}
 SCHEMES = ("", "file", "s3", "s3a", "s3n", "hdfs", "gs", "abfs", "abfss", "wasb", "wasbs",
            "viewfs", "oss", "cos", "cosn")
 WRITE_MODES = ("errorifexists", "error", "overwrite", "append", "ignore")
-SMALL_INPUT_BYTES = 128 * 1024 * 1024  # one default file split
 # File suffixes of Hadoop's compression codecs.
 CODEC_SUFFIXES = ("gz", "bz2", "deflate", "zst", "lz4", "snappy", "br")
 
@@ -109,25 +108,23 @@ def _text_safe(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (file sizes for a scan), or None."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimate unavailable
-        return None
-
+def is_ordered(df: DataFrame) -> bool:
+    """True when ``df`` is a total order (ORDER BY), under projections at most."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() == "Project":
+        node = node.children().head()
+    return node.nodeName() == "Sort" and bool(getattr(node, "global")())
 
-# Plan nodes that multiply rows or do heavy per-row work: keep them out of the
-# single writer task (with the shuffle kinds, they rule out coalesce(1)).
-HEAVY_NODES = ("Exchange", "Generate", "Expand", "Window", "EvalPython", "InPandas", "InArrow",
-               "CartesianProduct", "NestedLoopJoin")
 
-
-def has_exchange(df: DataFrame) -> bool:
-    """True when the physical plan shuffles or multiplies rows (aggregate, join,
-    sort, repartition, explode, window, Python)."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return any(node in plan for node in HEAVY_NODES)
+def _no_empty_values(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Raise at an empty Hive partition value instead of losing it."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    checks = {}
+    for c in parts:
+        if isinstance(kinds[c], T.StringType):
+            col = F.col("`" + c.replace("`", "``") + "`")
+            checks[c] = F.when(col == "", F.raise_error(F.lit(f"partition column {c!r} has an empty value"))).otherwise(col)
+    return df.withColumns(checks) if checks else df
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -203,8 +200,11 @@ def write(df: DataFrame, path: str, fmt: str | None = None, single_file: bool =
     orders rows inside each output file (the whole file when single).
     ``single_file_strategy``: ``shuffle`` (``repartition(1)``: upstream stays
     parallel), ``coalesce`` (no shuffle; the whole plan runs in one task) or
-    ``auto`` (coalesce for a narrow plan over at most ``SMALL_INPUT_BYTES``,
-    else shuffle).
+    ``auto``: ``coalesce`` where the rows are already in a total order, whose
+    partitions one task then reads one after the other, else ``shuffle``. The
+    choice follows the plan's shape, never the data's size.
+
+    A Hive partition value of ``''`` is refused: Spark writes it as null.
     """
     check_target(path)
     fmt = output_format(path, fmt)
@@ -225,7 +225,7 @@ def write(df: DataFrame, path: str, fmt: str | None = None, single_file: bool =
         return _write_single(out, path, fmt, mode, compression, sort_cols, keep_nulls,
                              single_file_strategy, options)
     if parts:
-        out = out.hint("rebalance", *parts)
+        out = _no_empty_values(out, parts).hint("rebalance", *parts)
         if sort_cols:
             out = out.sortWithinPartitions(*parts, *sort_cols)
         writer = _configure(out, fmt, mode, compression, max_records_per_file, keep_nulls, options)
@@ -279,9 +279,7 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
             raise SinkError("append is not possible for a single-file output")
     staging = f"{posixpath.dirname(target) or '.'}/.{posixpath.basename(target)}.staging-{uuid.uuid4().hex[:12]}"
     if strategy == "auto":
-        size = estimated_bytes(df)
-        small = size is not None and size <= SMALL_INPUT_BYTES
-        strategy = "coalesce" if small and not has_exchange(df) else "shuffle"
+        strategy = "coalesce" if is_ordered(df) else "shuffle"
     if strategy == "coalesce":
         one = df.coalesce(1)
     elif strategy == "shuffle":

@@ -59,10 +59,9 @@ def incremental_export(spark: SparkSession, source: DataFrame, path: str, checkp
         query.awaitTermination()  # raises when the query failed
         # Events are delivered in order: once this query's termination event
         # arrived, all of its progress events have been counted.
-        if not counter.wait_terminated(str(query.id), timeout=15):
-            progress = query.recentProgress
-            return {"batches": len(progress),
-                    "rows": sum(int(p.get("numInputRows", 0)) for p in progress)}
+        if not counter.wait_terminated(str(query.id), timeout=300):
+            raise RuntimeError("the export is written, but Spark did not report all of its progress; "
+                               "read the totals from the output")
     finally:
         spark.streams.removeListener(counter)
     return counter.totals(str(query.id))

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from ringcast.functions import convert as cv
@@ -51,6 +52,18 @@ def test_stringify(spark):
     assert (r.d, r.b, r.i, r.x) == ("95.0", "true", "7", None)
 
 
+def test_varint_of_any_length_and_strict_errors(spark):
+    big = "123456789012345678901234567890123456789012345"
+    df = spark.createDataFrame([(big, "1.5E3", "2.5e0", "-12E50")], "a string, b string, c string, d string")
+    r = cv.convert_columns(df, dict.fromkeys("abcd", "varint")).first()
+    assert (r.a, r.b, r.c, r.d) == (big, "1500", None, "-12" + "0" * 50)
+    for bad, kind in (("2.5", "varint"), ("x", "uuid"), ("99999999999", "date")):
+        one = spark.createDataFrame([(bad,)], "a string")
+        assert cv.convert_columns(one, {"a": kind}).first().a is None
+        with pytest.raises(Exception):
+            cv.convert_columns(one, {"a": kind}, strict=True).collect()
+
+
 def test_uuid_duration_varint(spark):
     df = spark.createDataFrame([("0123456789ABCDEF0123456789abcdef", 1, 2, 3, 5)], "h string, m int, d int, n bigint, k bigint")
     r = df.select(cv.uuid_text("h").alias("u"), cv.duration_text("m", "d", "n").alias("dur"),

@@ -46,12 +46,23 @@ def test_broadcast_only_after_measuring(spark):
     assert size.rows == 2 and size.bytes == 2 * 16 + 5
 
 
-def test_predicate_only_fanout_needs_broadcast(spark):
+def test_predicate_only_fanout_is_the_same_at_every_size(spark):
     ev = Tables(spark, SF_SMALL).events
-    params = spark.createDataFrame([(50.0,)], "v double")
+    params = spark.createDataFrame([(50.0,), (80.0,)], "v double")
+    want = ev.filter("value > 50").count() + ev.filter("value > 80").count()
+    for kw in ({}, {"broadcast": "never"}, {"max_broadcast_bytes": 1}, {"broadcast": True, "max_broadcast_bytes": 1}):
+        assert fo.fanout(ev, params, condition="s.value > p.v", **kw).count() == want
     with pytest.raises(ValueError):
-        fo.fanout(ev, params, condition="s.value > p.v", broadcast="never")
-    assert fo.fanout(ev, params, condition="s.value > p.v").count() == ev.filter("value > 50").count()
+        fo.fanout(ev, params)
+
+
+def test_fanout_over_a_source_with_its_own_cross_join(spark):
+    ev = Tables(spark, SF_SMALL).events
+    source = ev.crossJoin(spark.range(2).withColumnRenamed("id", "side"))
+    params = spark.createDataFrame([(7,)], "user_id bigint")
+    for size in (1, 1 << 25):
+        got = fo.fanout(source, params, on="user_id", max_broadcast_bytes=size).count()
+        assert got == 2 * ev.filter("user_id = 7").count()
 
 
 def test_limit_per_set_keeps_sets_apart(spark):
@@ -172,7 +183,7 @@ def test_hot_hive_value_is_split_over_files(spark, tmp_out):
     assert spark.read.parquet(tmp_out + "/h").count() == ev.count()
 
 
-def test_query_fanout_refuses_cartesian_for_big_sets(spark):
+def test_query_fanout_is_the_same_at_every_size(spark):
     ev = Tables(spark, SF_SMALL).events
     params = spark.createDataFrame([(10.0,), (20.0,)], "v double")
     text = "SELECT COUNT(*) AS n FROM events WHERE value > :v"
@@ -182,9 +193,8 @@ def test_query_fanout_refuses_cartesian_for_big_sets(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        with pytest.raises(ValueError):
-            fo.query_fanout(spark, text, params, tables={"events": ev}, max_broadcast_bytes=1)
-        # with an equality marker the same big sets are a hash join and pass
+        again = fo.query_fanout(spark, text, params, tables={"events": ev}, max_broadcast_bytes=1)
+        assert sorted(r.n for r in again.collect()) == sorted(r.n for r in ok.collect())
         keyed = fo.query_fanout(spark, "SELECT COUNT(*) AS n FROM events WHERE user_id = :u",
                                 spark.createDataFrame([(1,)], "u bigint"), tables={"events": ev},
                                 max_broadcast_bytes=1)

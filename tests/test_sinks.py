@@ -131,12 +131,22 @@ def test_on_complete_fires_only_on_success(spark, tmp_out):
 
 
 def test_hive_null_and_empty_values(spark, tmp_out):
-    df = spark.createDataFrame([(1, "a"), (2, None), (3, ""), (4, "a")], "id int, k string")
+    df = spark.createDataFrame([(1, "a"), (2, None), (4, "a")], "id int, k string")
     write(df, tmp_out + "/h", fmt="parquet", partition_by="k")
     back = read_back(spark, tmp_out + "/h", fmt="parquet", schema=df.schema)
     got = sorted((r.id, r.k) for r in back.collect())
-    # Spark writes null and '' to the default partition; both read back as null.
-    assert got == [(1, "a"), (2, None), (3, None), (4, "a")]
+    assert got == [(1, "a"), (2, None), (4, "a")]
+    # Spark would write '' as null: refused
+    with pytest.raises(Exception, match="empty value"):
+        write(df.union(spark.createDataFrame([(3, "")], df.schema)), tmp_out + "/e", fmt="parquet", partition_by="k")
+
+
+def test_single_file_keeps_order(spark, tmp_out):
+    df = spark.range(5000).repartition(7).selectExpr("id", "id * 7919 % 5000 AS k").orderBy("k")
+    path = write(df, tmp_out + "/o.csv", single_file=True)
+    with open(path) as f:
+        ks = [int(x.split(",")[1]) for x in f.read().split()[1:]]
+    assert ks == sorted(ks) and len(ks) == 5000
 
 
 @pytest.mark.parametrize("ext", [".parquet", ".csv", ".ndjson"])
