@@ -52,7 +52,7 @@ def q_top_k(spark, t):
 @register("op5_line_dedup", line_dedup.ORACLE_SQL)
 def q_line_dedup(spark, t):
     return line_dedup.line_dedup(t.documents.select("doc_id", "text")).select(
-        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
 @register("op6_quality_classifier")

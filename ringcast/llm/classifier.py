@@ -120,6 +120,8 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, train_rows: int
             [zlib.compress(model.weights().astype("<f4").tobytes(), 1)], pa.binary())})
 
     made = rows.mapInArrow(fit, "weights binary").first()
+    if made is None:  # nothing to learn from
+        return np.zeros((1 << bits) + 1, dtype="<f4")
     return np.frombuffer(zlib.decompress(made.weights), dtype="<f4")
 
 

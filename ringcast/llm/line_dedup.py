@@ -16,7 +16,7 @@ without a word are no tokens and are never removed. Documents of fewer than
 ``size`` tokens lose nothing. Lines are equal if their texts are, compared by
 two 64-bit hashes of the window. Rows with a null doc_id lose nothing and are no
 source. Rows that repeat a doc_id are told apart by their text; equal rows count
-as one. Other columns are ignored. An empty table gives an empty result.
+as one. Other columns are kept (names that begin with __ are taken). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -58,29 +58,29 @@ def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """``docs`` with later repeated runs taken out of ``text``, and n_lines
-    (tokens), n_removed."""
-    found = repeats(docs, size).select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), "hits")
+    """``docs`` with later repeated runs taken out of ``text``, and ``__n_lines``
+    (tokens), ``__n_removed``."""
+    found = repeats(docs, size).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__found_key"),
+                                       F.col("hits").alias("__hits"))
     names = docs.columns
-    own = docs.withColumn("hit_row", F.xxhash64("text"))
-    own = own.join(found, (own.doc_id == found.hit_id) & (own.hit_row == found.hit_key), "left")
+    own = docs.withColumn("__key", F.xxhash64("text"))
+    own = own.join(found, (own.doc_id == found["__id"]) & (own["__key"] == found["__found_key"]), "left")
     own = own.withColumns({
-        "hit_lines": F.split("text", "\n"),
-        "hit_drop": F.array_distinct(F.flatten(F.transform("hits", lambda s: F.sequence(s, s + F.lit(size - 1)))))})
-    own = own.withColumn("hit_at", F.expr(
-        f"filter(sequence(0, size(hit_lines) - 1), i -> hit_lines[i] rlike r'{WORD}')"))
-    kept = F.expr("array_join(transform(array_except(sequence(0, size(hit_lines) - 1), "
-                  "transform(hit_drop, j -> hit_at[j])), i -> hit_lines[i]), '\\n')")
-    text = F.when(F.col("hits").isNull(), F.col("text")).otherwise(kept)
+        "__lines": F.split("text", "\n"),
+        "__drop": F.array_distinct(F.flatten(F.transform("__hits", lambda s: F.sequence(s, s + F.lit(size - 1)))))})
+    own = own.withColumn("__at", F.expr(
+        f"filter(sequence(0, size(__lines) - 1), i -> __lines[i] rlike r'{WORD}')"))
+    kept = F.expr("array_join(transform(array_except(sequence(0, size(__lines) - 1), "
+                  "transform(__drop, j -> __at[j])), i -> __lines[i]), '\\n')")
+    text = F.when(F.col("__hits").isNull(), F.col("text")).otherwise(kept)
     return own.select(*(text.alias(c) if c == "text" else own[c] for c in names),
-                      F.coalesce(F.size("hit_at"), F.lit(0)).cast("long").alias("n_lines"),
-                      F.coalesce(F.size("hit_drop"), F.lit(0)).cast("long").alias("n_removed"))
+                      F.coalesce(F.size("__at"), F.lit(0)).cast("long").alias("__n_lines"),
+                      F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("__n_removed"))
 
 
 def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """``docs`` after ``line_dedup``; a document that lost all its lines goes."""
-    return line_dedup(docs.select(*docs.columns), size) \
-        .filter("n_removed = 0 or n_removed < n_lines").select(*docs.columns)
+    return line_dedup(docs, size).filter("__n_removed = 0 or __n_removed < __n_lines").select(*docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -7,7 +7,9 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from ringcast.sinks.writer import remove_path
 
 _shipped: set[str] = set()
 
@@ -30,8 +32,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def let_go(spark: SparkSession) -> None:
-    """After a step is stored: have the driver collect what it no longer refers to,
-    so that Spark's cleaner drops that step's shuffle files now, not some time later."""
+def let_go(spark: SparkSession, *tables: DataFrame) -> None:
+    """After a step is stored: delete the stored tables that only it read, and have
+    the driver collect what it no longer refers to, so that Spark's cleaner drops
+    that step's shuffle files now, not some time later."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            remove_path(spark, files[0].rpartition("/")[0])
     gc.collect()
     spark.sparkContext._jvm.System.gc()

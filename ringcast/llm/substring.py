@@ -26,8 +26,8 @@ follows the number of segments.
 Defined results: null or empty text, or fewer words than a window: nothing
 removed. A null doc_id takes no part (nothing removed, no source). Rows that
 repeat a doc_id are judged one by one; rows of the same doc_id are no smaller
-documents. Other columns are ignored. An empty table gives an empty result.
-Words are compared by 64-bit hashes.
+documents. Other columns are kept by ``drop_repeats`` (names that begin with __ are
+taken). An empty table gives an empty result. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -302,16 +302,16 @@ def repeated_windows(docs: DataFrame, size: int = 13) -> DataFrame:
     window is also in a smaller document; hits are those windows' offsets."""
     docs = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     spots = materialize(_spots(docs, size), "substring-spots")
-    let_go(docs.sparkSession)
+    let_go(docs.sparkSession)  # the slim rows' shuffle
     shards = max(1, -(-spots.count() // SHARD_SEGMENTS))
     cut = materialize(_with_words(spots, docs, size), "substring-cut")
-    let_go(docs.sparkSession)
+    let_go(docs.sparkSession, spots)
     lows = _shards(cut, shards, size)
     hits = cut.select("content", "doc_id", "place", "windows").join(lows, "content").select(
         "doc_id", "place", "content", "windows",
         F.expr("filter(sequence(0, windows - 1), i -> lows[i] < doc_id)").alias("hits"))
     hits = materialize(hits.filter("size(hits) > 0"), "substring-hits")
-    let_go(docs.sparkSession)
+    let_go(docs.sparkSession, cut)
     return hits
 
 
