@@ -278,12 +278,15 @@ def shard_matches(flat: np.ndarray, lengths: np.ndarray, owner: np.ndarray, size
     return result
 
 
-def _shards(cut: DataFrame, shards: int, size: int) -> DataFrame:
-    """(content, lows): per distinct segment, the smallest doc_id with each window."""
+def _distinct(cut: DataFrame, shards: int) -> DataFrame:
+    """(shard, content, owner, words) of each distinct segment."""
     distinct = cut.groupBy("content").agg(F.min("doc_id").alias("owner"), F.first("part").alias("part"),
                                           F.first("words").alias("words"))
-    distinct = distinct.withColumn("shard", F.pmod(F.xxhash64("part"), F.lit(shards)))
+    return distinct.select(F.pmod(F.xxhash64("part"), F.lit(shards)).alias("shard"), "content", "owner", "words")
+
 
+def _shards(distinct: DataFrame, size: int) -> DataFrame:
+    """(content, lows): per distinct segment, the smallest doc_id with each window."""
     def match(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         words = rows.column("words").combine_chunks()
@@ -293,7 +296,7 @@ def _shards(cut: DataFrame, shards: int, size: int) -> DataFrame:
         return pa.table({"content": rows.column("content"), "lows": pa.ListArray.from_arrays(
             pa.array(ends, pa.int32()), pa.array(lows, pa.int64()))})
 
-    return distinct.select("shard", "content", "owner", "words").groupBy("shard").applyInArrow(
+    return distinct.groupBy("shard").applyInArrow(
         match, "content long, lows array<long>")
 
 
@@ -306,12 +309,14 @@ def repeated_windows(docs: DataFrame, size: int = 13) -> DataFrame:
     shards = max(1, -(-spots.count() // SHARD_SEGMENTS))
     cut = materialize(_with_words(spots, docs, size), "substring-cut")
     let_go(docs.sparkSession, spots)
-    lows = _shards(cut, shards, size)
+    distinct = materialize(_distinct(cut, shards), "substring-distinct")
+    let_go(docs.sparkSession)  # the shuffle of all segments' words
+    lows = _shards(distinct, size)
     hits = cut.select("content", "doc_id", "place", "windows").join(lows, "content").select(
         "doc_id", "place", "content", "windows",
         F.expr("filter(sequence(0, windows - 1), i -> lows[i] < doc_id)").alias("hits"))
     hits = materialize(hits.filter("size(hits) > 0"), "substring-hits")
-    let_go(docs.sparkSession, cut)
+    let_go(docs.sparkSession, cut, distinct)
     return hits
 
 
