@@ -384,7 +384,7 @@ SELECT o_orderkey, o_custkey,
   CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC NULLS LAST, o_orderkey NULLS FIRST) AS BIGINT) AS rn,
   CAST(RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus NULLS FIRST) AS BIGINT) AS rnk,
   CAST(DENSE_RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus NULLS FIRST) AS BIGINT) AS drnk,
-  CAST(NTILE(4) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS BIGINT) AS quart,
+  CAST(NTILE(4) OVER (PARTITION BY o_custkey ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS BIGINT) AS quart,
   CAST(ROUND(TRY_CAST(CAST(PERCENT_RANK() OVER (PARTITION BY o_custkey ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS prank,
   CAST(ROUND(TRY_CAST(CAST(CUME_DIST() OVER (PARTITION BY o_custkey ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS STRING) AS DECIMAL(38,18)), 6) AS DOUBLE) AS cdist
 FROM source""")
@@ -517,7 +517,7 @@ _register_flagship()
 
 def all_queries() -> dict[str, tuple[QueryFn, str | None]]:
     """Every registered query; importing the other catalogs registers theirs."""
-    from ringcast.plans import catalog_io, catalog_params  # noqa: F401
+    from ringcast.plans import catalog_forms, catalog_io, catalog_params  # noqa: F401
 
     return dict(REGISTRY)
 

@@ -71,17 +71,14 @@ def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFr
                 .agg(F.min("mid").alias("seg_start"), F.count(F.lit(1)).alias("seg_rows")))
     before = Window.partitionBy("file").orderBy("seg_start").rowsBetween(
         Window.unboundedPreceding, -1)
-    file_no = F.dense_rank().over(Window.orderBy("file")) - 1  # over the small split table
     segments = segments.select(
         "file", "pid", "seg_start",
-        F.coalesce(F.sum("seg_rows").over(before), F.lit(0)).alias("rows_before"),
-        file_no.cast("bigint").alias("file_no"))
+        F.coalesce(F.sum("seg_rows").over(before), F.lit(0)).alias("rows_before"))
     line = F.col("mid") - F.col("seg_start") + F.col("rows_before") + 1
     lines = (raw.filter(~F.col("value").rlike(r"^\s*$"))
              .join(segments, ["file", "pid"])
              .select("file", line.alias("line"),
-                     (F.col("file_no") * F.lit(2 ** 32) + line).alias("param_set"),
-                     F.col("value").alias("text")))
+                     F.col("mid").alias("param_set"), F.col("value").alias("text")))
     if rebalance:
         lines = lines.repartition(max(1, spark.sparkContext.defaultParallelism))
     return lines
@@ -125,6 +122,36 @@ def _is_ipv6(s: Column) -> Column:
             & (F.size(halves) <= 2) & edges_ok & F.coalesce(all_hex, F.lit(False)) & count_ok)
 
 
+def _canonical_ipv6(s: Column) -> Column:
+    """Canonical text of a valid lower-case IPv6 address: no leading zeros, the
+    first longest run of two or more zero groups as ``::``, an IPv4-mapped
+    address with its IPv4 tail."""
+    octets = [F.regexp_extract(s, r"(\d+)\.(\d+)\.(\d+)\.(\d+)$", k).try_cast("int") for k in range(1, 5)]
+    tail = F.concat(F.hex(octets[0] * 256 + octets[1]), F.lit(":"), F.hex(octets[2] * 256 + octets[3]))
+    plain = F.when(s.contains("."), F.concat(F.regexp_extract(s, r"^(.*:)[^:]*$", 1), F.lower(tail))).otherwise(s)
+
+    def groups_of(text: Column) -> Column:
+        return F.filter(F.split(text, ":", -1), lambda g: g != "")
+
+    left = groups_of(F.split_part(plain, F.lit("::"), F.lit(1)))
+    right = groups_of(F.split_part(plain, F.lit("::"), F.lit(2)))
+    fill = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0)))
+    groups = F.transform(F.concat(left, fill, right), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
+    text = F.array_join(groups, ":")
+    padded = F.concat(F.lit(":"), text, F.lit(":"))
+    short = F.lit(None).cast("string")
+    for run in range(2, 9):  # the longest run is tested first
+        zeros = ":" + "0:" * run
+        at = F.instr(padded, F.lit(zeros))
+        cut = F.concat(F.substring(padded, F.lit(2), F.greatest(at - 2, F.lit(0))), F.lit("::"), F.regexp_replace(
+            F.substring(padded, at + len(zeros), F.length(padded)), ":$", ""))
+        short = F.when(padded.contains(zeros), cut).otherwise(short)
+    numbers = [F.conv(F.get(groups, F.lit(k)), 16, 10).try_cast("int") for k in (6, 7)]
+    mapped = F.concat(F.lit("::ffff:"), F.concat_ws(".", *[
+        part.cast("string") for n in numbers for part in (F.shiftright(n, 8), n.bitwiseAND(255))]))
+    return F.when(text.startswith("0:0:0:0:0:ffff:"), mapped).otherwise(F.coalesce(short, text))
+
+
 def _check_markers(markers: Mapping[str, str]) -> None:
     if not markers:
         raise ParamError("no markers declared")
@@ -186,13 +213,11 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
                .when(~s.rlike(UUID_FORMS), F.lit("expected UUID")))
         hexed = F.lower(F.regexp_replace(s, r"^(urn:uuid:)|[{}\-]", ""))
         value = F.regexp_replace(hexed, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-        if mtype == "timeuuid":  # the version digit of a time-based UUID is 1
-            err = err.when(F.substring(hexed, 13, 1) != "1", F.lit("expected time-based UUID"))
     elif mtype == "inet":
         s = get("string")
         err = (F.when(vtype != "STRING", F.lit("expected string"))
                .when(~(s.rlike(IPV4) | _is_ipv6(s)), F.lit("expected IP address")))
-        value = F.lower(s)
+        value = F.when(s.contains(":"), _canonical_ipv6(F.lower(s))).otherwise(s)
     elif mtype == "timestamp":
         s = get("string")
         parsed = F.try_to_timestamp(F.upper(s))
@@ -296,5 +321,5 @@ def read_params(spark: SparkSession, path: str, markers: Mapping[str, str],
     if first:
         detail = "; ".join(f"{r['file']} line {r['line']}: {r['name'] or '-'}: {r['reason']}"
                            for r in first)
-        raise ParamError(f"invalid parameter file: {detail}")
+        raise ParamError(f"invalid parameter file, {errors.count()} errors: {detail}")
     return params

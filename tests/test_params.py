@@ -124,3 +124,14 @@ def test_inet_values(spark, tmp_out, text, ok):
     folder = _write(tmp_out, "p.ndjson", f'{{"ip":"{text}"}}\n')
     params, errors = read_params(spark, folder, {"ip": "inet"}, on_error="collect")
     assert (params.count() == 1) == ok
+
+
+@pytest.mark.parametrize("text,canonical", [
+    ("0:0:0:0:0:0:0:1", "::1"), ("::", "::"), ("2001:DB8:0:0:8:800:200C:417A", "2001:db8::8:800:200c:417a"),
+    ("1:0:0:2:0:0:0:3", "1:0:0:2::3"), ("1:0:0:2:3:0:0:4", "1::2:3:0:0:4"), ("1:2:3:4:5:6:0:8", "1:2:3:4:5:6:0:8"),
+    ("1::", "1::"), ("::FFFF:1.2.3.4", "::ffff:1.2.3.4"), ("::ffff:102:304", "::ffff:1.2.3.4"),
+    ("64:ff9b::1.2.3.4", "64:ff9b::102:304"), ("1.2.3.4", "1.2.3.4"),
+])
+def test_inet_is_canonical(spark, tmp_out, text, canonical):
+    folder = _write(tmp_out, "p.ndjson", f'{{"ip":"{text}"}}\n')
+    assert read_params(spark, folder, {"ip": "inet"}).first().ip == canonical
