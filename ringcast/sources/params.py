@@ -129,27 +129,41 @@ def _canonical_ipv6(s: Column) -> Column:
     octets = [F.regexp_extract(s, r"(\d+)\.(\d+)\.(\d+)\.(\d+)$", k).try_cast("int") for k in range(1, 5)]
     tail = F.concat(F.hex(octets[0] * 256 + octets[1]), F.lit(":"), F.hex(octets[2] * 256 + octets[3]))
     plain = F.when(s.contains("."), F.concat(F.regexp_extract(s, r"^(.*:)[^:]*$", 1), F.lower(tail))).otherwise(s)
+    return _let(_let(plain, _ipv6_groups), _ipv6_text)
 
-    def groups_of(text: Column) -> Column:
-        return F.filter(F.split(text, ":", -1), lambda g: g != "")
 
-    left = groups_of(F.split_part(plain, F.lit("::"), F.lit(1)))
-    right = groups_of(F.split_part(plain, F.lit("::"), F.lit(2)))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _ipv6_groups(plain: Column) -> Column:
+    """The eight groups without leading zeros, joined by colons."""
+    def groups_of(part: int) -> Column:
+        return F.filter(F.split(F.split_part(plain, F.lit("::"), F.lit(part)), ":", -1), lambda g: g != "")
+
+    left, right = groups_of(1), groups_of(2)
     fill = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0)))
-    groups = F.transform(F.concat(left, fill, right), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
-    text = F.array_join(groups, ":")
+    return F.array_join(F.transform(F.concat(left, fill, right), lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
+
+
+def _ipv6_text(text: Column) -> Column:
     padded = F.concat(F.lit(":"), text, F.lit(":"))
-    short = F.lit(None).cast("string")
-    for run in range(2, 9):  # the longest run is tested first
-        zeros = ":" + "0:" * run
-        at = F.instr(padded, F.lit(zeros))
-        cut = F.concat(F.substring(padded, F.lit(2), F.greatest(at - 2, F.lit(0))), F.lit("::"), F.regexp_replace(
-            F.substring(padded, at + len(zeros), F.length(padded)), ":$", ""))
-        short = F.when(padded.contains(zeros), cut).otherwise(short)
-    numbers = [F.conv(F.get(groups, F.lit(k)), 16, 10).try_cast("int") for k in (6, 7)]
+    run = F.lit(None).cast("string")  # the longest run of zero groups
+    for length in range(2, 9):
+        zeros = ":" + "0:" * length
+        run = F.when(padded.contains(zeros), F.lit(zeros)).otherwise(run)
+
+    def shortened(zeros: Column) -> Column:
+        at = F.instr(padded, zeros)
+        rest = F.substring(padded, at + F.length(zeros), F.length(padded))
+        return F.concat(F.substring(padded, F.lit(2), F.greatest(at - 2, F.lit(0))), F.lit("::"),
+                        F.regexp_replace(rest, ":$", ""))
+
+    numbers = [F.conv(F.split_part(text, F.lit(":"), F.lit(k)), 16, 10).try_cast("int") for k in (7, 8)]
     mapped = F.concat(F.lit("::ffff:"), F.concat_ws(".", *[
         part.cast("string") for n in numbers for part in (F.shiftright(n, 8), n.bitwiseAND(255))]))
-    return F.when(text.startswith("0:0:0:0:0:ffff:"), mapped).otherwise(F.coalesce(short, text))
+    return F.when(text.startswith("0:0:0:0:0:ffff:"), mapped).otherwise(F.coalesce(_let(run, shortened), text))
 
 
 def _check_markers(markers: Mapping[str, str]) -> None:
