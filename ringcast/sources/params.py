@@ -71,14 +71,17 @@ def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFr
                 .agg(F.min("mid").alias("seg_start"), F.count(F.lit(1)).alias("seg_rows")))
     before = Window.partitionBy("file").orderBy("seg_start").rowsBetween(
         Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("file", "seg_start").rowsBetween(Window.unboundedPreceding, -1)  # the small split table
     segments = segments.select(
         "file", "pid", "seg_start",
-        F.coalesce(F.sum("seg_rows").over(before), F.lit(0)).alias("rows_before"))
-    line = F.col("mid") - F.col("seg_start") + F.col("rows_before") + 1
+        F.coalesce(F.sum("seg_rows").over(before), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("seg_rows").over(earlier), F.lit(0)).alias("rows_earlier"))
+    place = F.col("mid") - F.col("seg_start") + 1
+    line = F.col("rows_before") + place
     lines = (raw.filter(~F.col("value").rlike(r"^\s*$"))
              .join(segments, ["file", "pid"])
              .select("file", line.alias("line"),
-                     F.col("mid").alias("param_set"), F.col("value").alias("text")))
+                     (F.col("rows_earlier") + place).alias("param_set"), F.col("value").alias("text")))
     if rebalance:
         lines = lines.repartition(max(1, spark.sparkContext.defaultParallelism))
     return lines
