@@ -29,7 +29,7 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-@register("op1_ngram_jaccard_join")
+@register("op1_ngram_jaccard_join", jaccard.ORACLE_SQL)
 def q_jaccard(spark, t):
     return jaccard.jaccard_components(t.documents, width=3, num=90, den=100).drop("cls")
 
@@ -65,7 +65,7 @@ def q_pieces(spark, t):
     return pieces.encode(t.documents, pieces.Model.load(pieces.default_model()), digest=True)
 
 
-@register("op8_substring_dedup")
+@register("op8_substring_dedup", substring.ORACLE_SQL)
 def q_substring(spark, t):
     return substring.substring_digest(t.documents, size=13)
 

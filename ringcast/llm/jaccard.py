@@ -309,3 +309,21 @@ def one_per_component(docs: DataFrame, width: int = 5, num: int = 80, den: int =
     keep = jaccard_components(docs, width, num, den)
     keep = keep.filter("doc_id = component_id or doc_id is null").select("doc_id").distinct()
     return docs.join(keep, docs.doc_id.eqNullSafe(keep.doc_id), "left_semi")
+
+
+#: every pair of sets with a common shingle is counted; a component's smallest
+#: doc_id reaches all its members through larger ones
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(
+      list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END) AS k FROM d),
+c AS (SELECT k, min(doc_id) AS lo, len(k) AS n FROM s WHERE len(k) > 0 GROUP BY k),
+p AS (SELECT lo, n, unnest(k) AS x FROM c),
+l AS (SELECT a.lo AS u, b.lo AS v FROM p a JOIN p b ON a.x = b.x AND a.lo < b.lo AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+      GROUP BY a.lo, b.lo, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r(node, low) AS (SELECT lo, lo FROM c UNION SELECT e.v, r.low FROM r JOIN e ON e.u = r.node WHERE e.v > r.low),
+m AS (SELECT node, min(low) AS low FROM r GROUP BY 1)
+SELECT s.doc_id, len(s.k)::BIGINT AS n_shingles, coalesce(m.low, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON c.k = s.k LEFT JOIN m ON m.node = c.lo"""

@@ -406,3 +406,17 @@ def drop_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     done = _apply(docs, size, text, T.StructType([
         T.StructField("text", T.StringType()), T.StructField("__gone", T.BooleanType())]))
     return done.filter("not __gone").select(*docs.columns)
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS lo FROM win) WHERE lo < doc_id),
+c AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM r) GROUP BY 1),
+s AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d JOIN c USING (doc_id)),
+g AS (SELECT doc_id, unnest(gone) AS p FROM c),
+k AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS kept FROM s ANTI JOIN g USING (doc_id, p) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id"""
