@@ -35,7 +35,8 @@ from ringcast.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-BUCKETS = 64
+BUCKETS = 64        # at least so many tasks rank the pieces of one size
+BUCKET_ROWS = 1_000_000
 #: white space beyond ASCII: a text with one of these is tokenized in one go
 WIDE_SPACE = [chr(c).encode() for c in range(0x80, 0x3001) if chr(c).isspace()]
 
@@ -254,10 +255,12 @@ def plan_rounds(counts: dict[int, int], capacity: int) -> list[tuple[int, int, i
                 gaps.setdefault(gap, []).extend(runs)
 
 
-def _ranked(found: DataFrame) -> DataFrame:
+def _ranked(found: DataFrame, most: int) -> DataFrame:
     """``rank`` from 0 within each length. Rows are ranked within (length, bucket)
-    and shifted by the rows of earlier buckets, so a common length is no single task."""
-    found = found.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS)))
+    and shifted by the rows of earlier buckets, so a common length is no single
+    task; the buckets follow ``most``, the pieces of the commonest length."""
+    buckets = max(BUCKETS, -(-most // BUCKET_ROWS))
+    found = found.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     sizes = found.groupBy("length", "bucket").count()
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
@@ -296,7 +299,7 @@ def assign(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                                   names=[*(f.name for f in fields), "sequence_id", "offset"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return _ranked(found).mapInArrow(place, ddl + ", sequence_id long, offset long")
+    return _ranked(found, max(counts.values())).mapInArrow(place, ddl + ", sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY,
