@@ -40,6 +40,7 @@ ARCHIVE_BYTES = 48 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 4 << 20
 SALTS = 16
+READ_ARCHIVES = 4    # archives that a task reads back
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -223,7 +224,9 @@ def read_archives(spark: SparkSession, files: DataFrame, folder: str, with_paylo
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" \
         + ", payload binary" * with_payload
-    return files.select("file").repartition(files.sparkSession.sparkContext.defaultParallelism).mapInArrow(read, schema)
+    # a task for every few archives; ``files`` is a stored table, so counting it reads names only
+    tasks = max(1, -(-files.count() // READ_ARCHIVES))
+    return files.select("file").repartition(tasks).mapInArrow(read, schema)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
