@@ -11,9 +11,14 @@ Windows that are not the first of their key are later repeats; their union,
 which covers every maximal repeated run, is deleted. A line repeated by a third
 of all documents is so one row per task and key.
 
+With ``words``, a run of fewer than ``size`` lines that holds that many words is
+a window too, with its own fingerprint and key, so a long passage on one line and
+an exact copy of a short document are found. Without it, as in the registered
+query and its SQL, a shorter run is never found.
+
 Defined results: null text: no lines, nothing removed, text stays null. Lines
 without a word are no tokens and are never removed. Documents of fewer than
-``size`` tokens lose nothing. Lines are equal if their texts are, compared by
+``size`` tokens lose nothing (with ``words``: but runs of that many words). Lines are equal if their texts are, compared by
 two 64-bit hashes of the window. Rows with a null doc_id lose nothing and are no
 source. Rows that repeat a doc_id are told apart by their text; equal rows count
 as one. Other columns are kept (names that begin with __ are taken). An empty table gives an empty result.
@@ -27,26 +32,32 @@ from pyspark.sql import functions as F
 from ringcast.session import materialize
 
 SIZE = 3
+WORDS = 50
 WORD = r"[^\x20\x09-\x0D]"
 
 
-def windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, text_key, at, mark, place, a, b): every window's first token, its
-    fingerprint with that line's place, and the two hashes of its lines."""
+def windows(docs: DataFrame, size: int = SIZE, words: int | None = None) -> DataFrame:
+    """(doc_id, text_key, at, run, mark, place, a, b): every window's first token, its
+    number of lines, its fingerprint with that line's place, and the two hashes of its lines."""
     d = docs.filter("doc_id is not null and text is not null").select(
-        "doc_id", F.xxhash64("text").alias("text_key"),
-        F.transform(F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)), lambda x: F.xxhash64(x)).alias("h"))
-    d = d.filter(F.size("h") >= size)
-    lines = ", ".join(f"h[i + {k}]" for k in range(size))
-    w = F.expr(f"transform(sequence(0, size(h) - {size}), i -> struct(i as at, array_min(slice(h, i + 1, {size})) as mark, "
-               f"cast(i + array_position(slice(h, i + 1, {size}), array_min(slice(h, i + 1, {size}))) as int) as place, "
-               f"xxhash64({lines}) as a, xxhash64(1, {lines}) as b))")
-    return d.select("doc_id", "text_key", F.explode(w).alias("w")).select("doc_id", "text_key", "w.*")
-
-
-def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, text_key, hits): token places of each document's later repeated windows."""
-    every = materialize(windows(docs, size), "lines-windows")
+        "doc_id", F.xxhash64("text").alias("text_key"), F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)).alias("t"))
+    counts = F.transform("t", lambda x: F.regexp_count(x, F.lit(WORD + "+"))) if words is not None else F.lit(None)
+    d = d.select("doc_id", "text_key", F.transform("t", lambda x: F.xxhash64(x)).alias("h"), counts.alias("c"))
+    runs = []
+    for n in range(size if words is None else 1, size + 1):
+        lines = ", ".join(f"h[i + {k}]" for k in range(n))
+        long = "true" if n == size else " + ".join(f"c[i + {k}]" for k in range(n)) + f" >= {words}"
+        low = f"array_min(slice(h, i + 1, {n}))"
+        runs.append(f"if(size(h) < {n}, array(), transform(filter(sequence(0, greatest(size(h) - {n}, 0)), i -> {long}), "
+                    f"i -> struct(i as at, {n} as run, {low} as mark, cast(i + array_position(slice(h, i + 1, {n}), {low}) as int) as place, "
+                    f"xxhash64({lines}) as a, xxhash64(1, {lines}) as b)))")
+    return d.select("doc_id", "text_key", F.explode(F.expr(f"concat({', '.join(runs)})")).alias("w")) \
+        .select("doc_id", "text_key", "w.*")
+
+
+def repeats(docs: DataFrame, size: int = SIZE, words: int | None = None) -> DataFrame:
+    """(doc_id, text_key, hits): first token and lines of each document's later repeated windows."""
+    every = materialize(windows(docs, size, words), "lines-windows")
     marks = every.groupBy("mark").agg(F.min(F.struct("doc_id", "place")).alias("lo"),
                                       F.max(F.struct("doc_id", "place")).alias("hi")) \
         .filter("lo <> hi").select("mark")
@@ -54,20 +65,20 @@ def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     first = some.groupBy("a", "b").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")) \
         .filter("n > 1").select("a", "b", "first")
     later = some.join(first, ["a", "b"]).filter(F.struct("doc_id", "at") != F.col("first"))
-    return later.groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("hits"))
+    return later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "run")).alias("hits"))
 
 
-def line_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
+def line_dedup(docs: DataFrame, size: int = SIZE, words: int | None = None) -> DataFrame:
     """``docs`` with later repeated runs taken out of ``text``, and ``__n_lines``
     (tokens), ``__n_removed``."""
-    found = repeats(docs, size).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__found_key"),
-                                       F.col("hits").alias("__hits"))
+    found = repeats(docs, size, words).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__found_key"),
+                                              F.col("hits").alias("__hits"))
     names = docs.columns
     own = docs.withColumn("__key", F.xxhash64("text"))
     own = own.join(found, (own.doc_id == found["__id"]) & (own["__key"] == found["__found_key"]), "left")
     own = own.withColumns({
         "__lines": F.split("text", "\n"),
-        "__drop": F.array_distinct(F.flatten(F.transform("__hits", lambda s: F.sequence(s, s + F.lit(size - 1)))))})
+        "__drop": F.array_distinct(F.flatten(F.transform("__hits", lambda s: F.sequence(s["at"], s["at"] + s["run"] - 1))))})
     own = own.withColumn("__at", F.expr(
         f"filter(sequence(0, size(__lines) - 1), i -> __lines[i] rlike r'{WORD}')"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(__lines) - 1), "
@@ -78,9 +89,9 @@ def line_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
                       F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("__n_removed"))
 
 
-def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = SIZE, words: int | None = None) -> DataFrame:
     """``docs`` after ``line_dedup``; a document that lost all its lines goes."""
-    return line_dedup(docs, size).filter("__n_removed = 0 or __n_removed < __n_lines").select(*docs.columns)
+    return line_dedup(docs, size, words).filter("__n_removed = 0 or __n_removed < __n_lines").select(*docs.columns)
 
 
 ORACLE_SQL = r"""

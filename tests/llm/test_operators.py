@@ -182,6 +182,36 @@ def test_line_dedup(spark):
     assert line_dedup.without_repeats(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("words", [20, 50])
+def test_line_dedup_of_short_runs(spark, words):
+    passage = " ".join(f"p{i}" for i in range(words))
+    half = " ".join(f"q{i}" for i in range(words // 2))
+    planted = [passage, "a\n" + passage + "\nb", passage, passage + "\n \nshort", half + "\n" + half + "x", "c\n\n" + half + "\n" + half + "x",
+               half, half, passage[:-3] + "\nd", passage[:-3] + "\ne", passage + "\n" + passage + "\n" + passage]
+    docs = table(spark, texts() + planted)
+    rows = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None and r.text is not None)
+    seen, want = set(), {}
+    for doc_id, text in rows:
+        lines = text.split("\n")
+        at = [i for i, x in enumerate(lines) if x.encode().split()]
+        gone = set()
+        for n in (1, 2, 3):
+            for j in range(len(at) - n + 1):
+                key = tuple(lines[i] for i in at[j:j + n])
+                if n < 3 and sum(len(x.encode().split()) for x in key) < words:
+                    continue
+                if key in seen:
+                    gone |= set(at[j:j + n])
+                seen.add(key)
+        want[doc_id] = (len(at), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    out = {r.doc_id: (r["__n_lines"], r["__n_removed"], r.text) for r in line_dedup.line_dedup(docs, words=words).collect()}
+    assert {k: v for k, v in out.items() if k in want} == want
+    start = len(texts())
+    assert [want[start + i][1] for i in range(11)] == [0, 1, 1, 1, 0, 2, 0, 0, 0, 0, 3]
+    left = {r.doc_id for r in line_dedup.without_repeats(docs, words=words).collect()}
+    assert start in left and start + 2 not in left
+
+
 def test_quality_rules_edges_and_bound(spark):
     docs = table(spark)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(3, 0, 0), (None, 1, 0), (5, None, 0)],
