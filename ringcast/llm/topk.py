@@ -14,10 +14,16 @@ exactly. The k best of all blocks are then the k best of all rows.
 Rows per block and queries per group are bounded, so a task holds one block and
 one group of queries at a time, whatever the input.
 
+A row whose scores could leave 64-bit arithmetic (length times the square of its
+largest component from 2^63 on) is wide: it is kept outside the slices, and its
+scores, as candidate or query, are exact whole numbers of any size.
+
 Defined results: vectors that are null, empty, hold null or non-finite
-components or a component beyond 2^31 after scaling take no part, nor do rows
-with a null vec_id. A shorter vector counts as zero beyond its end. Rows that
-repeat a vec_id count once (the smallest vector). Ties go to the smaller vec_id.
+components or a component that is no long after scaling take no part, nor do rows
+with a null vec_id. A score among the k highest that does not fit a long is an
+error. A shorter vector counts as zero beyond its end. Rows that repeat a vec_id
+are candidates each, never for their own id; as queries they share one list.
+Equal rows count as one. Ties go to the smaller vec_id.
 An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -33,16 +39,21 @@ from ringcast.session import materialize
 BLOCK = 1 << 14
 QUERY_GROUP = 2048
 DROPPED_BITS = 3
+LONG = 1 << 63
 
 
 def whole_vectors(vectors: DataFrame, scale: int) -> DataFrame:
-    """vec_id and the whole-number vector of each row that takes part."""
+    """vec_id, row key, the whole-number vector of each row that takes part, and
+    whether it is wide: its scores need not fit the slices' 64-bit arithmetic."""
     v = vectors.filter("vec_id is not null and embedding is not null").select(
-        F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v"),
-        F.col("embedding").alias("e"))
-    fine = F.expr(f"size(e) > 0 and forall(e, x -> x is not null and not isnan(x) and abs(cast(x as double)) * {scale}D < 2147483648D)")
-    return v.filter(fine).groupBy("vec_id").agg(F.min("v").alias("v"))
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("e"))
+    v = v.filter(F.expr(f"size(e) > 0 and forall(e, x -> x is not null and not isnan(x) "
+                        f"and abs(cast(x as double)) * {scale}D < {LONG}D)"))
+    v = v.dropDuplicates(["vec_id", "e"])
+    most = F.array_max(F.transform("e", lambda x: F.abs(x.cast("double")))) * F.lit(float(scale)) + 1
+    return v.select("vec_id", F.monotonically_increasing_id().alias("row"),
+                    F.transform("e", lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v"),
+                    (F.size("e") * most * most >= F.lit(float(LONG))).alias("wide"))
 
 
 def _matrix(column, width: int | None = None) -> np.ndarray:
@@ -173,7 +184,7 @@ def search_block(slices: np.ndarray, ids: np.ndarray, query: np.ndarray, own: in
     some = np.full(slices.shape[2], np.iinfo(np.uint64).max, dtype=np.uint64)
     some[-1] = np.uint64((1 << ((len(ids) - 1) % 64 + 1)) - 1)
     mine = np.flatnonzero(ids == own)
-    some[mine >> 6] &= ~(np.uint64(1) << (mine & 63).astype(np.uint64))
+    np.bitwise_and.at(some, mine >> 6, ~(np.uint64(1) << (mine & 63).astype(np.uint64)))
     have = _count(some)
     if not have:
         return ids[:0], ids[:0]
@@ -188,19 +199,42 @@ def search_block(slices: np.ndarray, ids: np.ndarray, query: np.ndarray, own: in
     return ids[rows][best], score[best]
 
 
+def search_wide(v: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, list]:
+    """(ids, scores) of the k best rows for one query, by whole numbers of any
+    size; floating-point sums and their error bound only say which rows can be
+    among them. A score below all longs is None, one above them an error."""
+    wide = max(v.shape[1], len(query))
+    v, query = np.pad(v, ((0, 0), (0, wide - v.shape[1]))), np.pad(query, (0, wide - len(query)))
+    rows = np.flatnonzero(ids != own)
+    if len(rows) > k:
+        x, q = v[rows].astype(np.float64), query.astype(np.float64)
+        about, off = x @ q, (np.abs(x) @ np.abs(q)) * ((2 * wide + 8) * 2.0 ** -52)
+        rows = rows[about + off >= np.partition(about - off, -k)[-k]]
+    q = query.tolist()
+    best = sorted((-sum(a * b for a, b in zip(x, q)), i) for x, i in zip(v[rows].tolist(), ids[rows].tolist()))[:k]
+    if best and -best[0][0] >= LONG:
+        raise OverflowError(f"the score of vectors {own} and {best[0][1]} does not fit a long")
+    return np.array([i for _, i in best], dtype=np.int64), [-s if -s >= -LONG else None for s, _ in best]
+
+
 def build_index(vectors: DataFrame) -> DataFrame:
     """(block, ids, slices, width): the bit-sliced index of a stored table of
-    whole vectors, blocks of about BLOCK rows."""
-    blocks = max(1, -(-vectors.count() // BLOCK))
+    whole vectors, blocks of about BLOCK rows. Wide rows have blocks of their own,
+    which hold the vectors as they are."""
+    count = {r.wide: r["count"] for r in vectors.groupBy("wide").count().collect()}
+    blocks, more = (-(-count.get(wide, 0) // BLOCK) for wide in (False, True))
 
     def build(rows: pa.Table) -> pa.Table:
         v = _matrix(rows.column("v"))
-        s = slice_rows(v)
+        wide = rows.column("wide")[0].as_py()
+        s = v if wide else slice_rows(v)
         return pa.table({"block": rows.column("block")[:1], "ids": [rows.column("vec_id").to_numpy().tobytes()],
-                         "slices": [s.tobytes()], "width": pa.array([v.shape[1]], pa.int32())})
+                         "slices": [s.tobytes()], "width": pa.array([v.shape[1]], pa.int32()), "wide": [wide]})
 
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    return dealt.groupBy("block").applyInArrow(build, "block int, ids binary, slices binary, width int")
+    key = F.xxhash64("row")
+    dealt = vectors.withColumn("block", F.when(F.col("wide"), F.pmod(key, F.lit(max(1, more))) + blocks)
+                               .otherwise(F.pmod(key, F.lit(max(1, blocks)))).cast("int"))
+    return dealt.groupBy("block").applyInArrow(build, "block int, ids binary, slices binary, width int, wide boolean")
 
 
 def top_k(vectors: DataFrame, queries: str, k: int = 10, scale: int = 1024) -> DataFrame:
@@ -213,30 +247,38 @@ def top_k(vectors: DataFrame, queries: str, k: int = 10, scale: int = 1024) -> D
     # every group of queries meets every block: the index's blocks are numbered 0 ..
     blocks = index.agg(F.max("block")).first()[0]
     left = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = asked.withColumn("group", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")) \
+    right = asked.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int")) \
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks or 0))))
 
     def search(block: pa.Table, some: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list] = [[], [], []]
         if block.num_rows and some.num_rows:
             ids = np.frombuffer(block.column("ids")[0].as_py(), dtype=np.int64)
             width = block.column("width")[0].as_py()
-            raw = np.frombuffer(block.column("slices")[0].as_py(), dtype=np.uint64)
-            slices = raw.reshape(width, -1, -(-len(ids) // 64))
+            raw = block.column("slices")[0].as_py()
+            wide, v = block.column("wide")[0].as_py(), None
+            if wide:
+                v = np.frombuffer(raw, dtype=np.int64).reshape(len(ids), width)
+            else:
+                slices = np.frombuffer(raw, dtype=np.uint64).reshape(width, -1, -(-len(ids) // 64))
             asked = _matrix(some.column("v"))
-            for own, q in zip(some.column("vec_id").to_numpy().tolist(), asked):
-                found, score = search_block(slices, ids, q, own, k)
-                out[0].append(np.full(len(found), own))
-                out[1].append(found)
-                out[2].append(score)
-        cols = [np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in out]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), cols)))
+            for own, q, wide_query in zip(some.column("vec_id").to_numpy().tolist(), asked, some.column("wide").to_pylist()):
+                if wide or wide_query:
+                    v = rebuild(slices, np.arange(len(ids))) if v is None else v
+                    found, score = search_wide(v, ids, q, own, k)
+                else:
+                    found, score = search_block(slices, ids, q, own, k)
+                out[0].extend([own] * len(found))
+                out[1].extend(found.tolist())
+                out[2].extend(score if isinstance(score, list) else score.tolist())
+        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("query_id", "vec_id", "score"), out)})
 
     found = left.groupBy("block", "group").cogroup(right.groupBy("block", "group")).applyInArrow(
         search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("score"), "vec_id")
+    score = F.coalesce("score", F.raise_error(F.lit("a score among the highest does not fit a long")).cast("long"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 ORACLE_SQL = """

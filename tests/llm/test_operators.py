@@ -290,6 +290,31 @@ def test_top_k_matches_brute_force(spark):
     assert topk.top_k(df.limit(0), "vec_id % 50 = 0").count() == 0
 
 
+def test_top_k_of_unscaled_vectors_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    rng = np.random.default_rng(8)
+    vectors = [(i, rng.normal(0, 0.2, 6).tolist()) for i in range(150)]
+    vectors += [(i, rng.normal(0, 3e4, 6).tolist()) for i in range(150, 160)]  # within the slices, beyond 2^31 / 1024 below
+    vectors += [(200, [2.5e6, 0, 0, 0, 0, 0.25]), (201, [-4e6, 0.5, 0, 0, 0, 0]), (202, [0, 6e7, 0, 0, 0, 0]), (203, [1e12, 0, 0, 0, 0, 0])]
+    vectors += [(i % 30, rng.normal(0, 0.4, 6).tolist()) for i in range(60)] + [(30, rng.normal(0, 0.2, 6).tolist()) for _ in range(130)]
+    vectors = [(i, [float(x) for x in v]) for i, v in vectors]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in vectors]
+    score = lambda x, y: sum(a * b for a, b in zip(x, y))
+    few = [(i, v) for i, v in whole if i % 10 == 0 and i < 200 or i in (201, 202)]
+    some = df.filter("vec_id <> 203")
+    want = []
+    for q in sorted({i for i, _ in few}):
+        best = sorted((-score(x, v), i) for j, x in few if j == q for i, v in whole if i not in (q, 203))[:9]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    asked = "vec_id % 10 = 0 and vec_id < 200 or vec_id in (201, 202)"
+    got = [tuple(r) for r in topk.top_k(some, asked, k=9).orderBy("query_id", "rank").collect()]
+    assert got == want
+    assert {200, 201, 202} <= {r[2] for r in got} and {201, 202} <= {r[0] for r in got}
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(df, "vec_id = 200").collect()
+
+
 def test_classifier(spark):
     good = ["the cat sat on the mat and the dog ran to the house", "a long walk in the park with the old friend"]
     bad = ["BUY!! NOW!! CHEAP!!", "win$$$ money### fast*** now&&&"]
