@@ -2,11 +2,12 @@
 
 A line with a word is a token; its hash stands for it. From each run of
 ``size`` consecutive tokens of a document (a window) the smallest hash is a
-fingerprint, so any two equal runs of at least ``size`` lines share one. Only
-fingerprints that occur in two places or more go on. The places of one
-fingerprint are never paired with each other: each window over a fingerprint's
-line is extended both ways to its ``size`` lines, keyed by all of them, and
-reduced (before the shuffle too) to its first place, by doc_id, then position.
+fingerprint, so any two equal runs of at least ``size`` lines share one. Every
+window is stored with its fingerprint and the hashes of all its lines. The
+fingerprints are a filter only: windows whose fingerprint is in one place go. The
+repeats come from grouping the rest by their whole hash, reduced (before the
+shuffle too) to its first place, by doc_id, then position; no places are paired
+and no match is extended.
 Windows that are not the first of their key are later repeats; their union,
 which covers every maximal repeated run, is deleted. A line repeated by a third
 of all documents is so one row per task and key.
