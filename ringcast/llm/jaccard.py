@@ -240,7 +240,8 @@ def _left_over(lists: DataFrame, labels: DataFrame, done: DataFrame, num: int, d
 
 
 def _set_table(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(cls, n, shingles) of the classes in ``pairs``, from one document each."""
+    """(cls, shingles) of the classes in ``pairs``, from one document each; of a
+    class without any doc_id, from the rows that have none."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     one = members.groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(needed, "cls")
 
@@ -250,9 +251,11 @@ def _set_table(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int
             yield pa.record_batch({"cls": pa.array([_class_of(s.view(np.uint64)) for s in found], pa.int64()),
                                    "shingles": pa.array(found, pa.list_(pa.int64()))})
 
+    schema = "cls long, shingles array<long>"
     text = docs.select("doc_id", "text").join(one.select("doc_id").distinct(), "doc_id")
-    return text.select("text").mapInArrow(sets, "cls long, shingles array<long>") \
-        .dropDuplicates(["cls"])
+    unnamed = docs.filter("doc_id is null").select("text").mapInArrow(sets, schema) \
+        .join(one.filter("doc_id is null").select("cls"), "cls", "left_semi")
+    return text.select("text").mapInArrow(sets, schema).union(unnamed).dropDuplicates(["cls"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

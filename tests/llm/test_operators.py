@@ -107,6 +107,20 @@ def test_jaccard_components(spark, width, num, light):
     assert jaccard.jaccard_components(empty(spark)).count() == 0
 
 
+def test_jaccard_links_through_rows_without_doc_id(spark):
+    w = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(w)), (None, " ".join(w + ["x"] * 3)), (2, " ".join(["y"] * 3 + w + ["x"] * 3)), (3, "other words here"),
+            (None, "one more text"), (None, "one more text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    n = [len(shingle_set(t, 2)) for _, t in rows]
+    a, b, c = (shingle_set(t, 2) for _, t in rows[:3])
+    num = 92
+    assert 100 * len(a & b) >= num * len(a | b) and 100 * len(b & c) >= num * len(b | c) and 100 * len(a & c) < num * len(a | c)
+    got = sorted(((r.doc_id or 0), r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, 2, num, 100).collect()
+                 if r.component_id is not None)
+    assert got == [(0, n[1], 1), (1, n[0], 1), (2, n[2], 1), (3, n[3], 3)]
+
+
 def test_choose_level_lengthens_when_it_costs_little():
     assert jaccard.choose_level(np.array([1000, 1000, 1, 1, 1, 1]), 6, 5) > 1
     assert jaccard.choose_level(np.array([1, 1, 10_000, 10_000, 10_000, 10_000]), 6, 5) == 1
