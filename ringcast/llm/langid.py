@@ -4,7 +4,8 @@ A word's features are hashed affixes (its first and last bytes), byte n-grams
 with word ends marked, and the word itself (the lexicon); each has a weight per
 language, and transitions between the languages of neighbouring words are
 learned with them. Training takes a bounded sample of labelled documents
-(``train_docs``, those of smallest id hash, a documented parameter), cuts them
+(``train_docs``, a documented parameter: an equal share of each language, one
+document of each at least, filled up from all; smallest id hash first), cuts them
 into runs of words and strings runs of different documents together, so that
 sequences switch language as code-switched texts do; weights follow the
 gradient of the log likelihood (forward-backward) with AdaGrad steps.
@@ -28,11 +29,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringcast.llm import words as W
 from ringcast.llm.classifier import held_out
+from ringcast.session import materialize
 
 BITS = 18
 TRAIN_DOCS = 1200
@@ -186,8 +188,17 @@ def marginals(e: np.ndarray, first: np.ndarray, trans: np.ndarray, begin: np.nda
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, bits: int = BITS):
     """(languages, model bytes) from labelled documents outside the holdout."""
     known = docs.filter("lang is not null and text is not null and doc_id is not null").filter(~held_out(4, 2))
-    sample = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
-    rows = known.select("doc_id", "lang", "text").join(F.broadcast(sample), "doc_id") \
+    marked = materialize(known.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct(), "langid-labelled")
+    order = ["h", "doc_id", "lang"]
+    k = max(1, marked.select("lang").distinct().count())
+    # an equal share of each language, then the smallest hashes of all that are left
+    share = max(1, train_docs // k)
+    fair = materialize(marked.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
+                       .filter(F.col("at") <= share).drop("at"), "langid-fair") if k > 1 else marked.limit(0)
+    rest = marked.join(F.broadcast(fair), ["lang", "doc_id"], "left_anti").select(*marked.columns) \
+        .orderBy(*order).limit(max(0, train_docs - fair.count()))
+    sample = fair.union(rest).select("lang", "doc_id")
+    rows = known.select("doc_id", "lang", "text").join(F.broadcast(sample), ["lang", "doc_id"]) \
         .repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), F.xxhash64("text")).select("lang", "text")
 
     def learn(batches):

@@ -434,6 +434,19 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_id_samples_every_language(spark):
+    rng = random.Random(4)
+    stems = {"en": ["thing", "other", "which", "there"], "de": ["nicht", "schon", "über", "auch"], "cy": ["llyn", "ffordd", "wyth", "ysgol"]}
+    rows = [(i, " ".join(rng.choice(stems[lang]) for _ in range(20)), lang)
+            for i in range(400) for lang in ["cy" if i % 100 == 1 else "en" if i % 2 else "de"]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, model = langid.train(docs, train_docs=30)
+    assert names == ["cy", "de", "en"]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, names, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+    assert langid.train(docs, train_docs=2)[0] == names  # one of each at least
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_packing(spark, capacity):
     from tokenizers import Tokenizer
