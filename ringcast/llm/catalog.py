@@ -7,8 +7,8 @@ import functools
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from ringcast.llm import (classifier, jaccard, langid, line_dedup, packing, pieces, quality_rules, substring,
-                          topk, warc)
+from ringcast.llm import (classifier, hnsw, jaccard, langid, line_dedup, negatives, packing, pieces, quality_rules,
+                          substring, topk, warc, whitening)
 from ringcast.llm.ship import ship
 from ringcast.sources.table import Tables
 
@@ -80,6 +80,22 @@ def q_packing(spark, t):
     return packing.pack(t.documents)
 
 
+@register("op11_nearest_neighbours")
+def q_nearest(spark, t):
+    return hnsw.nearest(t.embeddings, "vec_id % 20 = 0")
+
+
+@register("op12_hard_negatives", negatives.ORACLE_SQL)
+def q_hard_negatives(spark, t):
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return negatives.hard_negatives(t.embeddings.withColumn("label", label), "vec_id % 100 = 0")
+
+
+@register("op13_whitening")
+def q_whitening(spark, t):
+    return whitening.whiten(t.embeddings)
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def q_pipeline(spark, t):
     return corpus_pipeline.run(spark, t._dir)
