@@ -2,11 +2,10 @@
 
     python -m ringcast -o out.parquet -s token-range ks.events -K id -S 2400 --root /data
     python -m ringcast -o out/ -b event_type query \\
-        "SELECT * FROM events WHERE user_id = :uid" --params p.ndjson --markers uid:bigint \\
-        --table events=/data/ks/events
+        "SELECT * FROM events WHERE user_id = :uid" --params p.ndjson --table events=/data/ks/events
 
 Prints the export result as one JSON line. ``-C`` is accepted for
-compatibility; Spark's scheduler decides how many tasks run at once.
+compatibility and warned about: Spark's scheduler decides how many tasks run at once.
 """
 
 from __future__ import annotations
@@ -58,6 +57,8 @@ def build_parser() -> argparse.ArgumentParser:
     layout.add_argument("-b", "--partition-by", type=_comma, help="Hive partition columns")
     p.add_argument("-T", "--transform", help="SQL run over the rows as table `source` before writing")
     p.add_argument("--mode", default="errorifexists", help="errorifexists, overwrite, append, ignore")
+    p.add_argument("--csv-lines", action="store_true",
+                   help="CSV input has one record per line: large files are read in parallel splits")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     sub = p.add_subparsers(dest="command", required=True)
 
@@ -73,24 +74,27 @@ def build_parser() -> argparse.ArgumentParser:
     q = sub.add_parser("query", help="run a query, once per parameter line")
     q.add_argument("query")
     q.add_argument("--params", default=None, help="NDJSON file, one object per line")
-    q.add_argument("--markers", type=_markers, default=None, help="name:type,... for --params")
+    q.add_argument("--markers", type=_markers, default=None, help="name:type,... for --params, where the query does not tell a marker's type")
     q.add_argument("--table", type=_table, action="append", default=[],
                    help="name=path[@format], registered for the query")
     q.add_argument("-C", "--max-concurrency", type=int, default=None)
     return p
 
 
-def _read_table(spark: SparkSession, path: str, fmt: str):
+def _read_table(spark: SparkSession, path: str, fmt: str, multi_line: bool = True):
     if fmt == "csv":
-        # Header names, quotes escaped by doubling, records over several lines (as
-        # the sinks write; this makes each file one task). No schema inference:
+        # Header names, quotes escaped by doubling. Records over several lines (as
+        # the sinks write) make each file one task; --csv-lines reads files in
+        # parallel splits where no record has a line break. No schema inference:
         # it would read the whole input once more, so columns are text, cast in SQL.
         return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-                .option("multiLine", True).csv(path))
+                .option("multiLine", multi_line).csv(path))
     return spark.read.format(fmt).load(path)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
+    if getattr(args, "concurrency", None) or getattr(args, "max_concurrency", None):
+        print("ringcast: -C has no effect; the cluster's cores decide how many tasks run at once", file=sys.stderr)
     from ringcast.plans.export import query_export, token_range_export
     from ringcast.sources.table import load_table
 
@@ -101,15 +105,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             from ringcast.sources.table import split_table_name
 
             keyspace, table = split_table_name(args.table)
-            df = _read_table(spark, f"{args.root.rstrip('/')}/{keyspace}/{table}", args.table_format)
+            df = _read_table(spark, f"{args.root.rstrip('/')}/{keyspace}/{table}", args.table_format, not args.csv_lines)
         else:
             df = load_table(spark, args.table)
         result = token_range_export(spark, df, args.partition_keys, args.output, splits=args.splits,
                                     columns=args.columns, **common)
     else:
-        if args.params and not args.markers:
-            raise SystemExit("--markers is required with --params")
-        tables = {name: _read_table(spark, path, fmt) for name, path, fmt in args.table}
+        tables = {name: _read_table(spark, path, fmt, not args.csv_lines) for name, path, fmt in args.table}
         result = query_export(spark, args.query, args.output, params_path=args.params,
                               markers=args.markers, tables=tables, **common)
     return {"path": result.path, "format": result.format, "rows": result.rows,

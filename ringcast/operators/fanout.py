@@ -11,10 +11,10 @@ Scale rules applied here:
   (:func:`measure`); past the bound the join is left to Catalyst/AQE
   (sort-merge with skew splitting, or a runtime broadcast);
 * at least one equality between a set column and a source column keeps the
-  join a hash join; a predicate-only fan-out is accepted only with broadcast
-  sets (it is a per-row check against each set, never a shuffle cross join,
-  and costs rows x sets comparisons: the same work as one full-table query
-  per set, which is what it means);
+  join a hash join; a range per set (``between``) without a key becomes an
+  equality on buckets of the ranges' width (:mod:`ringcast.operators.ranges`).
+  Any other predicate without an equality compares every row with every set;
+* sets whose plan is more than a scan are stored once, then measured and joined;
 * per-set ``LIMIT`` is a ``row_number`` filter, which Spark plans as a
   partial ``WindowGroupLimit`` before the shuffle: a hot set ships at most
   ``n`` rows per task;
@@ -25,7 +25,6 @@ Scale rules applied here:
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -34,6 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringcast.functions.tokens import quoted
+from ringcast.operators.parsed import compared_columns, table_places, tokens
+from ringcast.operators.ranges import BOUNDS, range_join
+from ringcast.session import materialize, stored
 
 SET_COL = "param_set"
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -102,8 +104,6 @@ def with_set_ids(params: DataFrame, set_col: str = SET_COL, stable: bool = True)
         return params
     numbered = params.withColumn(set_col, F.monotonically_increasing_id())
     if stable:
-        from ringcast.session import materialize
-
         numbered = materialize(numbered, "sets")
     return numbered
 
@@ -119,7 +119,7 @@ def _key_pairs(on) -> list[tuple[str, str]]:
 
 
 def _join(source: DataFrame, params: DataFrame, on, condition, broadcast,
-          max_broadcast_bytes) -> DataFrame:
+          max_broadcast_bytes, between=None) -> DataFrame:
     """Source (alias ``s``) joined with the sets (alias ``p``) on keys and condition."""
     pairs = _key_pairs(on)
     for pcol, scol in pairs:
@@ -127,32 +127,44 @@ def _join(source: DataFrame, params: DataFrame, on, condition, broadcast,
             raise ValueError(f"parameter column {pcol!r} missing")
         if scol not in source.columns:
             raise ValueError(f"source column {scol!r} missing")
+    extra = F.expr(condition) if isinstance(condition, str) else condition
+    params = stored(params, "sets")
+    if between is not None:
+        column, low, high, *bounds = between
+        bounds = bounds[0] if bounds else "[]"
+        if not pairs:  # a range per set: an equality on buckets, the predicate on top
+            joined = range_join(source, params, column, low, high, bounds,
+                                lambda sets: maybe_broadcast(sets, broadcast, max_broadcast_bytes)[0])
+            return joined if extra is None else joined.filter(extra)
+        over, under = BOUNDS[bounds]
+        inside = F.expr(f"s.{quoted(column)} {over} p.{quoted(low)} AND s.{quoted(column)} {under} p.{quoted(high)}")
+        extra = inside if extra is None else inside & extra
     p, _ = maybe_broadcast(params, broadcast, max_broadcast_bytes)
     cond = None
     for pcol, scol in pairs:
         eq = F.col("s." + quoted(scol)) == F.col("p." + quoted(pcol))
         cond = eq if cond is None else cond & eq
-    if condition is not None:
-        extra = F.expr(condition) if isinstance(condition, str) else condition
+    if extra is not None:
         cond = extra if cond is None else cond & extra
     if cond is None:
         raise ValueError("a fan-out needs a key or a condition between set and source columns")
-    # A condition without an equality (a range per set) compares every set with
-    # every row, at any size: that is what one full-table query per set means.
     return source.alias("s").join(p.alias("p"), cond, "inner")
 
 
 def fanout(source: DataFrame, params: DataFrame, on=None, condition: str | Column | None = None,
            set_col: str | None = None, keep_params: bool = False, broadcast="auto",
-           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, between=None) -> DataFrame:
     """Rows of ``source`` matched by each parameter set (multiset union).
 
     ``on``: key column names shared by both sides, or ``{param_col: source_col}``.
     ``condition``: extra predicate in SQL over the aliases ``s`` (source) and
     ``p`` (parameters), e.g. ``"s.value > p.min_value"``.
+    ``between``: ``(source column, low column, high column[, bounds])`` of each
+    set's range, bounds one of ``[] [) (] ()``; without ``on`` it is joined by
+    buckets, so it does not compare every row with every set.
     ``set_col``: a parameter column copied to the output (the set's id).
     """
-    joined = _join(source, params, on, condition, broadcast, max_broadcast_bytes)
+    joined = _join(source, params, on, condition, broadcast, max_broadcast_bytes, between)
     cols = [F.col("s." + quoted(c)) for c in source.columns]
     if set_col is not None:
         if set_col in source.columns:
@@ -185,8 +197,8 @@ def fanout_limit(source: DataFrame, params: DataFrame, n: int, order_by, on=None
 def fanout_aggregate(source: DataFrame, params: DataFrame, aggs: Mapping[str, Column],
                      on=None, condition=None, set_col: str = SET_COL,
                      empty: Mapping[str, object] | None = None, keep_params: bool = True,
-                     broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
-                     ) -> DataFrame:
+                     broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                     between=None) -> DataFrame:
     """Aggregates evaluated once per parameter set.
 
     ``aggs`` see the source columns by name and the set's columns as
@@ -199,7 +211,7 @@ def fanout_aggregate(source: DataFrame, params: DataFrame, aggs: Mapping[str, Co
     clash = [name for name in aggs if name in numbered.columns]
     if clash:
         raise ValueError(f"aggregate names {clash} are also parameter columns; rename them")
-    joined = _join(source, numbered, on, condition, broadcast, max_broadcast_bytes)
+    joined = _join(source, numbered, on, condition, broadcast, max_broadcast_bytes, between)
     set_tmp = "__set"
     pcols = {f"p_{c}": c for c in numbered.columns if c != set_col}
     clash = [c for c in list(pcols) + [set_tmp] if c in source.columns]
@@ -225,7 +237,7 @@ def fanout_aggregate(source: DataFrame, params: DataFrame, aggs: Mapping[str, Co
 def fanout_count(source: DataFrame, params: DataFrame, on=None, condition=None,
                  count_col: str | None = None, set_col: str = SET_COL, name: str = "cnt",
                  broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                 keep_params: bool = True) -> DataFrame:
+                 keep_params: bool = True, between=None) -> DataFrame:
     """``SELECT COUNT(*)`` (or ``COUNT(col)``) per parameter set; 0 when empty.
 
     With key equality only, the source is counted per key first (partial
@@ -236,13 +248,13 @@ def fanout_count(source: DataFrame, params: DataFrame, on=None, condition=None,
     the rows are joined and counted per set.
     """
     pairs = _key_pairs(on)
-    if condition is None and pairs:
+    if condition is None and between is None and pairs:
         return _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
                               broadcast, max_broadcast_bytes)
     expr = F.count(F.lit(1)) if count_col is None else F.count(F.col(quoted(count_col)))
     return fanout_aggregate(source, params, {name: expr}, on, condition, set_col,
                             empty={name: 0}, keep_params=keep_params, broadcast=broadcast,
-                            max_broadcast_bytes=max_broadcast_bytes)
+                            max_broadcast_bytes=max_broadcast_bytes, between=between)
 
 
 def _count_per_key(source, params, pairs, count_col, set_col, name, keep_params,
@@ -292,38 +304,123 @@ def run_query(spark: SparkSession, sql: str, args=None,
     return transform(spark, None, sql, tables, args=args)
 
 
-# Markers outside quoted text and comments: ``:name`` (not ``::``) or ``?``.
-_MARKER_TOKENS = re.compile(
-    r"'(?:[^'\\]|\\.|'')*'"          # single-quoted string
-    r'|"(?:[^"\\]|\\.)*"'            # double-quoted text
-    r"|`[^`]*`"                      # quoted identifier
-    r"|--[^\n]*|/\*.*?\*/"           # comments
-    r"|(?<![:\w]):([A-Za-z_]\w*)"    # named marker
-    r"|(\?)",                        # positional marker
-    re.S)
 PARAMS_VIEW = "__params"
+SET_ID = "__ring_set"  # the sets' id in a query text with a range per set
 
 
 def bind_markers(sql: str, params_alias: str = PARAMS_VIEW) -> tuple[str, list[str]]:
     """Replace markers by columns of the parameter row: ``:uid`` becomes
     ``__params.uid`` and the i-th ``?`` becomes ``__params.p{i}``. Returns the
-    text and the parameter columns it uses."""
+    text and the parameter columns it uses. Markers are what Spark's lexer cuts as
+    ``?``, or as ``:`` right before a word and not right after one."""
     used: list[str] = []
-    position = [0]
-
-    def sub(m: re.Match) -> str:
-        if m.group(1):
-            name = m.group(1)
-        elif m.group(2):
-            name = f"p{position[0]}"
-            position[0] += 1
-        else:
-            return m.group(0)
+    out: list[str] = []
+    position, at = 0, 0
+    found = tokens(sql)
+    for i, t in enumerate(found):
+        name, stop = None, t.stop
+        if t.hidden:
+            continue
+        if t.text == "?":
+            name, position = f"p{position}", position + 1
+        elif t.text == ":" and i + 1 < len(found):
+            word, before = found[i + 1].text, sql[t.start - 1:t.start]
+            if (word[0].isalpha() or word[0] == "_") and not (before.isalnum() or before in ("_", ":") and before):
+                name, stop = word, found[i + 1].stop
+        if name is None:
+            continue
         if name not in used:
             used.append(name)
-        return f"{params_alias}.`{name}`"
+        out += [sql[at:t.start], f"{params_alias}.`{name}`"]
+        at = stop
+    return "".join(out) + sql[at:], used
+
+
+def _lateral_text(body: str, set_col: str | None = None) -> str:
+    head = f"{PARAMS_VIEW}.`{set_col}` AS `{set_col}`, " if set_col else ""
+    return f"SELECT {head}__q.* FROM {PARAMS_VIEW} AS {PARAMS_VIEW}, LATERAL ({body}\n) AS __q"
+
+
+def infer_markers(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame] | None = None,
+                  declared: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Parameter-file types of a text's markers, as a prepared statement would
+    have them: the text is analysed with untyped markers, and each one gets the
+    type of what it is compared with. A marker without a type, or with more than
+    one, is an error that names it, unless ``declared`` states its type; declared
+    markers that the text does not use are kept."""
+    from ringcast.operators.parsed import marker_types
+    from ringcast.operators.transform import check_query_text, transform
+    from ringcast.sources.params import marker_type
 
-    return _MARKER_TOKENS.sub(sub, sql), used
+    body, used = bind_markers(check_query_text(sql))
+    declared = dict(declared or {})
+    if not set(used) - set(declared):
+        return declared
+    untyped = spark.range(1).select(*[F.lit(None).alias(name) for name in used])
+    found = marker_types(transform(spark, None, _lateral_text(body), {PARAMS_VIEW: untyped, **dict(tables or {})}))
+    found = {name: types for name, types in found.items() if name not in declared}
+    none = [name for name in used if name not in found and name not in declared]
+    if none:
+        raise ValueError(f"no type to be read from the query for markers {none}; declare them")
+    many = {name: sorted(found[name]) for name in found if len({marker_type(t) for t in found[name]}) > 1}
+    if many:
+        raise ValueError(f"ambiguous markers, compared with several types: {many}; declare them")
+    return {name: declared.get(name) or marker_type(min(found[name])) for name in used} | declared
+
+
+def _reduced(spark: SparkSession, body: str, params: DataFrame, tables: Mapping[str, DataFrame], found,
+             broadcast, max_broadcast_bytes) -> tuple[str, DataFrame, dict[str, DataFrame]]:
+    """The text, sets and tables of a per-set query with each table cut to what
+    its sets can ask for (``found``: the query's marker predicates).
+
+    * A column that must equal a marker, below a LIMIT or aggregate: the table is
+      semi-joined with the sets' distinct values, before anything is ranked or
+      counted. Rows without an asked key pass the query's own filter for no set.
+    * A column between two markers and no equality: the table is range-joined
+      with the sets by buckets, and the text asks for its own set's rows, an
+      equality in the place of a comparison of every row with every set.
+    """
+    tables, params = dict(tables), stored(params, "sets")
+    names = {name.lower(): name for name in tables}
+    equal, ranged = {}, {}
+    for c in found:
+        name = names.get(c.table.lower())
+        if name is None:
+            continue
+        if c.operator == "=":
+            equal.setdefault(name, {}).setdefault(c.column, (c.marker, c.cut))
+        else:
+            low = c.operator in (">", ">=")
+            ranged.setdefault(name, {}).setdefault(c.column, {}).setdefault("low" if low else "high", c)
+    for name, columns in equal.items():
+        if any(cut for _, cut in columns.values()):
+            pairs = list(columns.items())
+            keys = params.select(*[F.col(quoted(marker)).alias(f"__k{i}") for i, (_, (marker, _)) in enumerate(pairs)])
+            small = maybe_broadcast(keys, broadcast, max_broadcast_bytes)[1]
+            keys = F.broadcast(keys.distinct()) if small else keys.distinct()
+            same = [F.col("s." + quoted(column)) == F.col(f"k.__k{i}") for i, (column, _) in enumerate(pairs)]
+            tables[name] = tables[name].alias("s").join(keys.alias("k"), same, "left_semi")
+    for name, columns in ranged.items():
+        ends = [(column, e["low"], e["high"]) for column, e in columns.items() if len(e) == 2]
+        if name in equal or not ends:
+            continue
+        column, low, high = ends[0]
+        places = table_places(spark, body, name)
+        if len(places) != 1 or SET_ID in tables[name].columns:
+            continue
+        bounds = ("[" if low.operator == ">=" else "(") + ("]" if high.operator == "<=" else ")")
+        sets = params if SET_ID in params.columns else with_set_ids(params, SET_ID)
+        try:
+            joined = range_join(tables[name], sets, column, low.marker, high.marker, bounds,
+                                lambda some: maybe_broadcast(some, broadcast, max_broadcast_bytes)[0])
+        except ValueError:  # a text column, or types that only the query's own casts compare
+            continue
+        params = sets
+        tables[name] = joined.select(*[F.col("s." + quoted(c)) for c in tables[name].columns], F.col("p." + SET_ID))
+        start, stop, aliased = places[0]
+        own = f"(SELECT * EXCEPT ({SET_ID}) FROM `{name}` WHERE `{name}`.{SET_ID} = {PARAMS_VIEW}.{SET_ID})"
+        body = body[:start] + own + ("" if aliased else f" AS `{name}`") + body[stop:]
+    return body, params, tables
 
 
 def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
@@ -339,19 +436,14 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     per-set ``WindowGroupLimit``, aggregates a per-set aggregate that keeps
     sets without rows (``COUNT(*)`` = 0). Repeated sets repeat their rows.
 
-    ``LIMIT`` and aggregates are decorrelated as a top-n / aggregate per key
-    followed by the join to the sets. When that join is a shuffle join on a
-    large table (scan above
-    ``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``,
-    10 GB), Spark injects a runtime bloom filter of the set keys into that
-    scan, so only rows of requested keys are ranked or aggregated.
-
-    The join strategy is Spark's size-based choice (static, or AQE at run
-    time): join hints do not survive the decorrelation of a LATERAL
-    subquery. A text whose markers appear in non-equality predicates only
-    compares every set with every row, whatever the sets' size (that is what
-    one full-table query per set means). For per-set LIMIT or aggregates with few sets over a
-    large table, :func:`fanout_limit` / :func:`fanout_count` join first.
+    Before that the analysed text is asked which columns of ``tables`` its markers
+    bind. Below a ``LIMIT`` or an aggregate a table is semi-joined with the sets'
+    distinct keys, so only asked keys are ranked or counted; a table whose rows are
+    only bound by a range per set is range-joined by buckets (:func:`_reduced`).
+    ``broadcast`` and ``max_broadcast_bytes`` govern these two joins; the strategy of
+    the final join is Spark's size-based choice, since join hints do not survive the
+    decorrelation of a LATERAL subquery. Markers in other predicates only compare
+    every set with every row.
     """
     from ringcast.operators.transform import check_query_text, transform
 
@@ -360,7 +452,10 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     missing = [c for c in used if c.lower() not in have]
     if missing:
         raise ValueError(f"parameter columns missing for markers: {missing}")
-    head = f"{PARAMS_VIEW}.`{set_col}` AS `{set_col}`, " if set_col else ""
-    text = f"SELECT {head}__q.* FROM {PARAMS_VIEW} AS {PARAMS_VIEW}, LATERAL ({body}\n) AS __q"
-    views = {PARAMS_VIEW: params, **dict(tables or {})}
-    return transform(spark, None, text, views)
+    tables = dict(tables or {})
+    out = transform(spark, None, _lateral_text(body, set_col), {PARAMS_VIEW: params, **tables})
+    found = compared_columns(out) if tables else []
+    if any(c.cut or c.operator != "=" for c in found):
+        body, params, tables = _reduced(spark, body, params, tables, found, broadcast, max_broadcast_bytes)
+        out = transform(spark, None, _lateral_text(body, set_col), {PARAMS_VIEW: params, **tables})
+    return out

@@ -9,102 +9,28 @@ had is put back afterwards.
 
 from __future__ import annotations
 
-import re
 import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-SOURCE_VIEW = "source"
+from ringcast.operators.parsed import TransformError, active_session, is_hint, statement_kind, tokens
 
-# Statement starts accepted as a query.
-QUERY_KEYWORDS = ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "(")
+SOURCE_VIEW = "source"
 
-_HEAD = re.compile(r"\s*([A-Za-z]+|\()")
-# Quoted text (skipped) or a data-changing keyword: Spark SQL accepts
-# ``WITH ... INSERT`` and ``FROM t INSERT ...``.
-_DML_SHAPES = re.compile(r"\b(INSERT\s+(?:INTO|OVERWRITE)|MERGE\s+INTO|DELETE\s+FROM"
-                         r"|UPDATE\s+(?:[\w.]+\s+){0,2}SET)\b", re.S | re.I)
 # View names are per session: resolve one transform at a time; execution is not held.
 _RESOLVE_LOCK = threading.RLock()
 
 
-class TransformError(ValueError):
-    pass
-
-
-def _quoted_end(sql: str, i: int) -> int:
-    """Index just past the quoted text starting at ``sql[i]``. In raw strings
-    (``r'...'``) a backslash is an ordinary character."""
-    q, j, n = sql[i], i + 1, len(sql)
-    raw = q in "'\"" and i > 0 and sql[i - 1] in "rR" and not (
-        i > 1 and (sql[i - 2].isalnum() or sql[i - 2] == "_"))
-    while j < n:
-        if sql[j] == "\\" and q != "`" and not raw:
-            j += 2
-            continue
-        if sql[j] == q:
-            if j + 1 < n and sql[j + 1] == q:  # doubled quote inside the text
-                j += 2
-                continue
-            return j + 1
-        j += 1
-    return n
-
-
-def _scan(sql: str) -> tuple[str, str]:
-    """``(text, skeleton)``: the text without comments (quoted text and
-    ``/*+ hints */`` kept), and the same with quoted text and hint bodies
-    blanked, for keyword checks. Follows Spark SQL's comment rules: ``--``
-    runs to CR or LF (a backslash-newline continues it), ``/* */`` nests,
-    except that a hint does not open a nested comment."""
-    out, skel, i, n = [], [], 0, len(sql)
-    while i < n:
-        c = sql[i]
-        if c in "'\"`":
-            j = _quoted_end(sql, i)
-            out.append(sql[i:j])
-            skel.append(" ")
-            i = j
-        elif sql.startswith("--", i):
-            j = i + 2
-            while j < n and sql[j] not in "\r\n":
-                j += 2 if sql.startswith("\\\n", j) else 1
-            out.append(" ")
-            skel.append(" ")
-            i = j
-        elif sql.startswith("/*+", i):
-            j = sql.find("*/", i + 3)
-            if j < 0:
-                raise TransformError("unclosed hint comment")
-            out.append(sql[i:j + 2])
-            skel.append(" ")
-            i = j + 2
-        elif sql.startswith("/*", i):
-            depth, j = 1, i + 2
-            while j < n and depth:
-                if sql.startswith("/*", j) and not sql.startswith("/*+", j):
-                    depth, j = depth + 1, j + 2
-                elif sql.startswith("*/", j):
-                    depth, j = depth - 1, j + 2
-                else:
-                    j += 1
-            if depth:
-                raise TransformError("unclosed comment")
+def strip_comments(sql: str) -> str:
+    """``sql`` without comments; quoted text and ``/*+ hints */`` are left alone."""
+    out = []
+    for t in tokens(sql):
+        if t.hidden and t.text.strip() and not is_hint(t):
             out.append(" ")
-            skel.append(" ")
-            i = j
         else:
-            out.append(c)
-            skel.append(c)
-            i += 1
-    return "".join(out), "".join(skel)
-
-
-def strip_comments(sql: str) -> str:
-    """``sql`` without ``--`` and ``/* */`` comments (nested ones too, as Spark
-    SQL allows them); quoted text and ``/*+ hints */`` are left alone."""
-    return _scan(sql)[0]
+            out.append(t.text)
+    return "".join(out)
 
 
 def check_query_text(sql: str) -> str:
@@ -112,23 +38,19 @@ def check_query_text(sql: str) -> str:
     text without comments and trailing semicolons (safe to nest in a subquery).
 
     ``spark.sql`` executes DDL and DML eagerly, so a transform such as
-    ``DROP TABLE`` would act at once; only query statements pass.
+    ``DROP TABLE`` would act at once. The session's parser tells what the text
+    is: a plan that is a command, or holds one, is refused.
     """
     if not isinstance(sql, str) or not sql.strip():
         raise TransformError("transform SQL is empty")
-    text, skeleton = _scan(sql)
-    text = re.sub(r"[\s;]+$", "", text.strip())
+    text = strip_comments(sql).strip()
+    while text.endswith(";"):
+        text = text[:-1].rstrip()
     if not text:
         raise TransformError("transform SQL is empty")
-    m = _HEAD.match(text)
-    head = m.group(1).upper() if m else text[:1]
-    if head not in QUERY_KEYWORDS:
-        raise TransformError(f"transform must be a query (SELECT/WITH/VALUES/FROM/TABLE), got {head}")
-    if head in ("WITH", "FROM"):
-        # keywords are checked on the skeleton: strings, comments and hints blanked
-        m = _DML_SHAPES.search(skeleton)
-        if m:
-            raise TransformError(f"transform must be a query, found {m.group(1).split()[0].upper()}")
+    found = statement_kind(active_session(), text)
+    if found is not None:
+        raise TransformError(f"transform must be a query, found {found}")
     return text
 
 

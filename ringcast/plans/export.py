@@ -49,10 +49,11 @@ def export(spark: SparkSession, source: DataFrame, path: str, transform: str | N
         return skipped
     result = run_transform(spark, source, transform, tables)
     observation = Observation("ringcast_export")
-    observed = result.observe(observation, F.count(F.lit(1)).alias("rows"))
     started = time.perf_counter()
-    written = write(observed, path, fmt=fmt_name, single_file=single_file,
-                    partition_by=partition_by, mode=mode, **write_options)
+    # counted in the writer's own tasks, above every exchange: a task that runs
+    # again, or a lost executor's map output, is not counted twice
+    written = write(result, path, fmt=fmt_name, single_file=single_file, partition_by=partition_by, mode=mode,
+                    observe=lambda df: df.observe(observation, F.count(F.lit(1)).alias("rows")), **write_options)
     seconds = time.perf_counter() - started
     metrics = observation.get
     result = ExportResult(written, fmt_name, int(metrics.get("rows", 0)), seconds, dict(metrics))
@@ -81,15 +82,15 @@ def query_export(spark: SparkSession, sql: str, path: str, params_path: str | No
                  tables: Mapping[str, DataFrame] | None = None,
                  **export_options) -> ExportResult:
     """The ``query`` command: a query text run once, or once per line of an
-    NDJSON parameter file (markers typed by ``markers``), then exported."""
-    from ringcast.operators.fanout import query_fanout, run_query
+    NDJSON parameter file, then exported. Marker types are read from the query
+    (:func:`infer_markers`); ``markers`` states those of markers it names."""
+    from ringcast.operators.fanout import infer_markers, query_fanout, run_query
     from ringcast.sources.params import read_params
 
     if params_path is None:
         rows = run_query(spark, sql, tables=tables)
     else:
-        if not markers:
-            raise ValueError("markers (name -> type) are required with a parameter file")
+        markers = infer_markers(spark, sql, tables, markers)
         params = read_params(spark, params_path, markers)
         rows = query_fanout(spark, sql, params.drop("param_set"), tables=tables)
     return export(spark, rows, path, tables=tables, **export_options)

@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -91,6 +92,42 @@ def materialize(df, label: str = "table"):
     return spark.read.parquet(path)
 
 
+# Plan nodes over files or literal rows that read the same rows on every run.
+_REPEATABLE = ("Project", "Filter", "LogicalRelation", "LocalRelation", "Range", "OneRowRelation")
+
+
+def is_repeatable(df) -> bool:
+    """True when ``df`` only selects from files or literal rows, so that running it
+    again gives the same rows in the same partitions at no more than a scan's cost."""
+    def visit(node) -> bool:
+        if node.getClass().getSimpleName().rstrip("$") not in _REPEATABLE or not node.deterministic():
+            return False
+        children = node.children()
+        return all(visit(children.apply(i)) for i in range(children.length()))
+
+    return visit(df._jdf.queryExecution().optimizedPlan())
+
+
+def stored(df, label: str = "table"):
+    """``df`` itself where it is repeatable, else written once and read back."""
+    return df if is_repeatable(df) else materialize(df, label)
+
+
+def dealt(df, by: str | None = None):
+    """Rows dealt evenly to as many tasks as there are cores at least. A scan with
+    as many splits stays as it is; one with fewer is dealt by a hash of its row
+    numbers (``by``, if it has them), which a repeated task numbers alike; any
+    other plan in turn, which Spark makes repeatable by sorting each task's rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if by is None and not is_repeatable(df):
+        return df.repartition(cores)
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    if by is not None:
+        return df.repartition(cores, by)
+    return df.withColumn("__dealt", F.monotonically_increasing_id()).repartition(cores, "__dealt").drop("__dealt")
+
+
 def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str, str]:
     """Settings for a large export cluster (pass to ``build_session(extra=...)``
     or ``spark-submit --conf``).

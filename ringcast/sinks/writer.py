@@ -9,12 +9,15 @@ collected. Layout choices for scale:
   groups each value into few files and splits a hot value over several
   tasks instead of one (a value holding a third of the rows does not land
   in one task);
-* one file: one writer task by definition. ``repartition(1)`` keeps the
-  reading and any upstream work parallel, so the single task only encodes
-  (about 20% faster than reading in that task at 10M rows). A narrow plan
-  (scan, filter, project) over at most one file split is read in the writer
-  task itself (``coalesce(1)``): there the shuffle would cost more than it
-  saves.
+* one file: all tasks encode, as for part files, into a staging folder; the
+  parts are then joined in order without decoding them, while the output is
+  committed. Parquet row groups are copied byte by byte under one merged
+  footer; NDJSON and CSV parts are joined as they are (compressed ones as
+  members of one stream), the CSV header once in front. The copy streams
+  through a fixed buffer, so memory does not grow with the output. A result
+  in a total order (ORDER BY) keeps it: its parts are joined in the order of
+  their partitions. Codecs without members (snappy, lz4, deflate text) are
+  written by one task instead.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringcast.session import dealt
+
 # Extensions recognised for the output format, and formats.
 EXTENSION_FORMATS = {
     "parquet": "parquet",
@@ -108,10 +113,15 @@ def _text_safe(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+# Plan nodes that keep the order of the rows below them.
+KEEP_ORDER = ("Project", "GlobalLimit", "LocalLimit", "Offset", "CollectMetrics")
+
+
 def is_ordered(df: DataFrame) -> bool:
-    """True when ``df`` is a total order (ORDER BY), under projections at most."""
+    """True when ``df`` is a total order (ORDER BY), under projections, limits
+    and observed metrics at most."""
     node = df._jdf.queryExecution().optimizedPlan()
-    while node.nodeName() == "Project":
+    while node.nodeName() in KEEP_ORDER:
         node = node.children().head()
     return node.nodeName() == "Sort" and bool(getattr(node, "global")())
 
@@ -193,16 +203,19 @@ def _save(writer, fmt: str, path: str) -> None:
 def write(df: DataFrame, path: str, fmt: str | None = None, single_file: bool = False,
           partition_by=None, mode: str = "errorifexists", compression: str | None = None,
           max_records_per_file: int | None = None, sort_by=None, keep_nulls: bool = False,
-          single_file_strategy: str = "auto", options: dict | None = None) -> str:
+          single_file_strategy: str = "auto", options: dict | None = None, observe=None) -> str:
     """Write ``df`` to ``path``; returns the path written.
 
+    ``observe(df)`` is applied next to the writer, above every exchange: what it
+    observes is counted in the writer's own tasks, once per committed task.
+
     ``single_file`` and ``partition_by`` exclude each other. ``sort_by``
     orders rows inside each output file (the whole file when single).
-    ``single_file_strategy``: ``shuffle`` (``repartition(1)``: upstream stays
-    parallel), ``coalesce`` (no shuffle; the whole plan runs in one task) or
-    ``auto``: ``coalesce`` where the rows are already in a total order, whose
-    partitions one task then reads one after the other, else ``shuffle``. The
-    choice follows the plan's shape, never the data's size.
+    ``single_file_strategy``: ``join`` (all tasks encode, parts are joined),
+    ``shuffle`` (``repartition(1)``: one task encodes), ``coalesce`` (no shuffle;
+    the whole plan runs in one task) or ``auto``: ``join`` where the format's
+    parts can be joined, else one task. The choice follows the format and the
+    plan's shape, never the data's size.
 
     A Hive partition value of ``''`` is refused: Spark writes it as null.
     """
@@ -223,16 +236,18 @@ def write(df: DataFrame, path: str, fmt: str | None = None, single_file: bool =
 
     if single_file:
         return _write_single(out, path, fmt, mode, compression, sort_cols, keep_nulls,
-                             single_file_strategy, options)
+                             single_file_strategy, options, observe)
     if parts:
         out = _no_empty_values(out, parts).hint("rebalance", *parts)
         if sort_cols:
             out = out.sortWithinPartitions(*parts, *sort_cols)
+        out = observe(out) if observe else out
         writer = _configure(out, fmt, mode, compression, max_records_per_file, keep_nulls, options)
         _save(writer.partitionBy(*parts), fmt, path)
         return path
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
+    out = observe(out) if observe else out
     _save(_configure(out, fmt, mode, compression, max_records_per_file, keep_nulls, options),
           fmt, path)
     return path
@@ -265,10 +280,17 @@ def single_file_path(path: str, fmt: str | None = None, compression: str | None
     return target
 
 
+# Text codecs whose members, one after the other, are a valid file of the codec.
+MEMBER_CODECS = (None, "none", "uncompressed", "gzip", "gz", "bzip2", "bz2", "zstd",
+                 "org.apache.hadoop.io.compress.gzipcodec", "org.apache.hadoop.io.compress.bzip2codec",
+                 "org.apache.hadoop.io.compress.zstandardcodec")
+
+
 def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, sort_cols,
-                  keep_nulls, strategy, options) -> str:
+                  keep_nulls, strategy, options, observe=None) -> str:
     spark = df.sparkSession
-    target = single_file_path(path, fmt, effective_codec(compression, options))
+    codec = effective_codec(compression, options)
+    target = single_file_path(path, fmt, codec)
     fs, jtarget, jvm = _hadoop_fs(spark, target)
     if fs.exists(jtarget):
         if mode in ("errorifexists", "error"):
@@ -278,46 +300,98 @@ def _write_single(df: DataFrame, path: str, fmt: str, mode: str, compression, so
         if mode == "append":
             raise SinkError("append is not possible for a single-file output")
     staging = f"{posixpath.dirname(target) or '.'}/.{posixpath.basename(target)}.staging-{uuid.uuid4().hex[:12]}"
+    joinable = fmt == "parquet" or (codec or "none").lower() in MEMBER_CODECS
+    ordered = is_ordered(df)
     if strategy == "auto":
-        strategy = "coalesce" if is_ordered(df) else "shuffle"
-    if strategy == "coalesce":
-        one = df.coalesce(1)
-    elif strategy == "shuffle":
-        one = df.repartition(1)
+        strategy = "join" if joinable else "coalesce" if ordered else "shuffle"
+    if strategy == "join" and joinable:
+        if sort_cols:
+            out = df.orderBy(*sort_cols)
+        else:  # an order stays as it is
+            out = df if ordered else dealt(df)
+    elif strategy in ("coalesce", "shuffle"):
+        out = df.coalesce(1) if strategy == "coalesce" else df.repartition(1)
+        out = out.sortWithinPartitions(*sort_cols) if sort_cols else out
     else:
-        raise SinkError(f"unknown single-file strategy {strategy!r}")
-    if sort_cols:
-        one = one.sortWithinPartitions(*sort_cols)
-    single_opts = {**(options or {}), "maxRecordsPerFile": 0}  # one file, whatever the session says
-    writer = _configure(one, fmt, "errorifexists", compression, None, keep_nulls, single_opts)
+        raise SinkError(f"single-file strategy {strategy!r} is not possible for {fmt} with codec {codec}")
+    out = observe(out) if observe else out
+    single_opts = {**(options or {}), "maxRecordsPerFile": 0}  # whatever the session says
+    header = strategy == "join" and fmt == "csv" and str(single_opts.get("header", True)).lower() == "true"
+    if header:
+        single_opts["header"] = False
+    writer = _configure(out, fmt, "errorifexists", compression, None, keep_nulls, single_opts)
     sfs, jstaging, _ = _hadoop_fs(spark, staging)
     try:
-        _save(writer, fmt, staging)
-        return _move_single(sfs, jstaging, fs, jtarget, fmt, target, jvm)
+        _save(writer, fmt, f"{staging}/data")
+        parts = _staged_parts(sfs, jvm, f"{staging}/data")
+        if header:
+            head = _configure(spark.createDataFrame([], out.schema).coalesce(1), fmt, "errorifexists", compression,
+                              None, keep_nulls, {**single_opts, "header": True})
+            _save(head, fmt, f"{staging}/header")
+            parts = _staged_parts(sfs, jvm, f"{staging}/header") + parts
+        if strategy != "join" and len(parts) > 1:
+            raise SinkError(f"expected one data file, found {len(parts)}")
+        if len(parts) > 1:
+            joined = jvm.org.apache.hadoop.fs.Path(f"{staging}/joined")
+            (_join_parquet if fmt == "parquet" else _join_bytes)(spark, sfs, jvm, parts, joined)
+            parts = [joined]
+        return _move_single(parts, fs, jtarget, fmt, target)
     finally:
         if sfs.exists(jstaging):
             sfs.delete(jstaging, True)
 
 
-def _move_single(sfs, jstaging, fs, jtarget, fmt: str, target: str, jvm) -> str:
-    """Rename the one staged data file to the target; a compressed text file
-    keeps its codec suffix (``out.csv`` becomes ``out.csv.gz``). Returns the path."""
-    statuses = sfs.listStatus(jstaging)
-    data_files = [s.getPath() for s in statuses
-                  if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
-    if len(data_files) > 1:
-        raise SinkError(f"expected one data file, found {len(data_files)}")
-    if data_files and fmt != "parquet":
-        suffix = data_files[0].getName().rsplit(".", 1)[-1]
+def _staged_parts(fs, jvm, folder: str) -> list:
+    """The data files of a staged write, in the order of their partitions."""
+    paths = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)) if s.isFile()]
+    paths = [p for p in paths if not p.getName().startswith(("_", "."))]
+    return sorted(paths, key=lambda p: int(p.getName().split("-")[1]))  # part-<partition>-...
+
+
+def _join_parquet(spark, fs, jvm, parts: list, target) -> None:
+    """Append the parts' row groups, as they are, to one file with one footer."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parquet = jvm.org.apache.parquet.hadoop
+    reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(parts[0], conf))
+    try:
+        meta = reader.getFileMetaData()
+    finally:
+        reader.close()
+    create = getattr(jvm, "org.apache.parquet.hadoop.ParquetFileWriter$Mode").CREATE
+    out = parquet.ParquetFileWriter(parquet.util.HadoopOutputFile.fromPath(target, conf), meta.getSchema(), create,
+                                    parquet.ParquetWriter.DEFAULT_BLOCK_SIZE, parquet.ParquetWriter.MAX_PADDING_SIZE_DEFAULT)
+    out.start()
+    for part in parts:
+        out.appendFile(parquet.util.HadoopInputFile.fromPath(part, conf))
+    out.end(meta.getKeyValueMetaData())
+
+
+def _join_bytes(spark, fs, jvm, parts: list, target) -> None:
+    out = fs.create(target, False)
+    try:
+        for part in parts:
+            data = fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(data, out, 1 << 20, False)
+            finally:
+                data.close()
+    finally:
+        out.close()
+
+
+def _move_single(parts: list, fs, jtarget, fmt: str, target: str) -> str:
+    """Rename the one staged file to the target. Returns the path."""
+    if parts and fmt != "parquet":
+        suffix = parts[0].getName().rsplit(".", 1)[-1]
         if suffix in CODEC_SUFFIXES and not target.endswith("." + suffix):
-            raise SinkError(f"unexpected compressed part file {data_files[0].getName()}")
+            raise SinkError(f"unexpected compressed part file {parts[0].getName()}")
     parent = jtarget.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
     if fs.exists(jtarget):  # overwrite: the old output goes only once the new file is complete
         fs.delete(jtarget, True)
-    if data_files:
-        if not fs.rename(data_files[0], jtarget):
+    if parts:
+        if not fs.rename(parts[0], jtarget):
             raise SinkError(f"could not move the output file to {target}")
     elif fmt == "parquet":  # Spark writes a schema-only file for an empty result
         raise SinkError("the write produced no Parquet file")

@@ -6,10 +6,12 @@ reference takes them from the prepared statement). Every line is checked in
 Spark, and problems are returned as an error table
 ``file, line, param_set, name, reason, text`` instead of stopping at the first.
 
-Line numbers are positions in the file (blank lines counted). They are
-derived without funnelling a file through one task: each input split knows
-its first row id, and a small per-split table (one row per split) adds the
-rows of the earlier splits of the same file.
+The text is read once. Each line is parsed once, into a VARIANT wrapped with a
+seal of its own (so text after the object cannot pass unseen); keys and value
+types come from that value. The checked lines are stored with their place in
+their input split, and line numbers (blank lines counted) are added from the
+stored table: a small per-split table (one row per split) adds the rows of the
+earlier splits of the same file, so no file goes through one task.
 
 Deliberate differences from the reference: integers that do not fit the
 marker's type are rejected instead of wrapped; a duplicate key is an error
@@ -22,10 +24,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ringcast.functions.convert import date_from_raw
+from ringcast.session import dealt, materialize
 
 # Marker types accepted in parameter files, grouped by JSON form.
 INTEGER_TYPES = {"tinyint": (-128, 127), "smallint": (-32768, 32767),
@@ -54,56 +57,41 @@ def _decoded_path(uri: Column) -> Column:
     return F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))
 
 
-def read_lines(spark: SparkSession, path: str, rebalance: bool = True) -> DataFrame:
-    """Non-blank lines of text files with ``file`` and 1-based ``line`` numbers.
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines with their file, input split and place in the split's order."""
+    return (spark.read.text(path)
+            .select(_decoded_path(F.col("_metadata.file_path")).alias("__file"),
+                    F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid"),
+                    F.col("value").alias("__text")))
 
-    With ``rebalance`` the numbered lines are spread over the cluster's cores
-    (one shuffle of the text), so the JSON checks that follow do not run in
-    the few tasks a small file gets.
-    """
-    raw = (spark.read.text(path)
-           .select(_decoded_path(F.col("_metadata.file_path")).alias("file"),
-                   F.spark_partition_id().alias("pid"),
-                   F.monotonically_increasing_id().alias("mid"),
-                   F.col("value")))
-    # One row per (file, input split): where the split starts and how many rows it has.
-    segments = (raw.groupBy("file", "pid")
-                .agg(F.min("mid").alias("seg_start"), F.count(F.lit(1)).alias("seg_rows")))
-    before = Window.partitionBy("file").orderBy("seg_start").rowsBetween(
-        Window.unboundedPreceding, -1)
-    earlier = Window.orderBy("file", "seg_start").rowsBetween(Window.unboundedPreceding, -1)  # the small split table
-    segments = segments.select(
-        "file", "pid", "seg_start",
-        F.coalesce(F.sum("seg_rows").over(before), F.lit(0)).alias("rows_before"),
-        F.coalesce(F.sum("seg_rows").over(earlier), F.lit(0)).alias("rows_earlier"))
-    place = F.col("mid") - F.col("seg_start") + 1
-    line = F.col("rows_before") + place
-    lines = (raw.filter(~F.col("value").rlike(r"^\s*$"))
-             .join(segments, ["file", "pid"])
-             .select("file", line.alias("line"),
-                     (F.col("rows_earlier") + place).alias("param_set"), F.col("value").alias("text")))
-    if rebalance:
-        lines = lines.repartition(max(1, spark.sparkContext.defaultParallelism))
-    return lines
-
-
-def _single_value(text: Column) -> Column:
-    """The line holds one JSON object and nothing after it (the JSON readers
-    stop after the first value and ignore the rest)."""
-    # possessive quantifiers: no per-character recursion on long strings
-    stripped = F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', '""')
-    no_strings = F.regexp_replace(stripped, r"^\s+|\s+$", "")
-    brackets = F.regexp_replace(no_strings, r"[^\[\]{}]", "")
-    chars = F.split(brackets, "")
-    init = F.struct(F.lit(0).alias("d"), F.lit(-1).alias("closed"), F.lit(0).alias("i"))
-
-    def step(acc, c):
-        d = acc["d"] + F.when(c.isin("{", "["), 1).otherwise(-1)
-        closed = F.when((acc["closed"] < 0) & (d == 0), acc["i"]).otherwise(acc["closed"])
-        return F.struct(d.alias("d"), closed.alias("closed"), (acc["i"] + 1).alias("i"))
-
-    depth = F.aggregate(chars, init, step)
-    return no_strings.endswith("}") & (depth["closed"] == F.size(chars) - 1)
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """``__line`` and ``param_set`` for a stored table of placed lines, blank ones
+    included: from one small row per (file, input split), a list no longer than
+    the scan's own list of splits, which the driver holds anyway."""
+    segments = (lines.groupBy("__file", "__pid")
+                .agg(F.min("__mid").alias("start"), F.count(F.lit(1)).alias("rows"))).collect()
+    in_file, overall, out = {}, 0, []
+    for r in sorted(segments, key=lambda r: (r["__file"], r["start"])):
+        out.append((r["__file"], r["__pid"], 1 + in_file.get(r["__file"], 0) - r["start"], 1 + overall - r["start"]))
+        in_file[r["__file"]] = in_file.get(r["__file"], 0) + r["rows"]
+        overall += r["rows"]
+    offsets = lines.sparkSession.createDataFrame(out, "__file string, __pid int, to_line long, to_set long")
+    return (lines.join(F.broadcast(offsets), ["__file", "__pid"])
+            .withColumn("__line", F.col("__mid") + F.col("to_line"))
+            .withColumn("param_set", F.col("__mid") + F.col("to_set"))
+            .drop("__pid", "__mid", "to_line", "to_set"))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Non-blank lines of text files with ``file``, 1-based ``line`` and ``param_set``."""
+    lines = _numbered(materialize(_placed_lines(spark, path), "lines"))
+    return lines.filter(~_is_blank(F.col("__text"))).select(
+        F.col("__file").alias("file"), F.col("__line").alias("line"), "param_set", F.col("__text").alias("text"))
+
+
+def _is_blank(text: Column) -> Column:
+    return text.rlike(r"^\s*$")
 
 
 def _is_ipv6(s: Column) -> Column:
@@ -183,26 +171,36 @@ def _check_markers(markers: Mapping[str, str]) -> None:
         seen.add(name.lower())
 
 
-def _integer(vtype: Column, raw: Column) -> Column:
-    """True when the JSON value is an integer literal (not ``1.0`` or ``1e3``)."""
-    return (vtype == "BIGINT") | (vtype.rlike(r"^DECIMAL\(\d+,0\)$") & ~raw.rlike("[.eE]"))
+# Marker type of each Spark type a marker is compared with.
+MARKER_TYPES = {"tinyint": "tinyint", "smallint": "smallint", "int": "int", "bigint": "bigint", "float": "float",
+                "double": "double", "string": "text", "boolean": "boolean", "timestamp": "timestamp",
+                "timestamp_ntz": "timestamp", "date": "date", "binary": "blob"}
+
 
+def marker_type(spark_type: str) -> str:
+    """Marker type for a Spark type; one without is named as it is (and refused as
+    unsupported when a file binds it)."""
+    return MARKER_TYPES.get(spark_type, spark_type)
 
-def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column, Column]:
-    """``(typed value, error reason or null)`` for one marker of one line."""
-    path = f"$.{name}"
-    item = F.call_function("variant_get", v, F.lit(path))
-    vtype = F.schema_of_variant(item)
-    raw = raw_map[name]
-    is_null = F.call_function("is_variant_null", item)
+
+def _integer(vtype: Column, as_dec: Column) -> Column:
+    """True when the JSON value is an integer literal. Integers beyond 64 bits are
+    decimals without a scale; within them such a decimal was written ``1.0``."""
+    beyond = (as_dec < F.lit(-(2 ** 63))) | (as_dec > F.lit(2 ** 63 - 1))
+    return (vtype == "BIGINT") | (vtype.rlike(r"^DECIMAL\(\d+,0\)$") & F.coalesce(beyond, F.lit(False)))
+
+
+def _marker(mtype: str, item: Column, vtype: Column) -> tuple[Column, Column]:
+    """``(typed value, error reason or null)`` for one marker's value of one line."""
+    is_null = vtype == "VOID"
 
     def get(t: str) -> Column:
-        return F.call_function("try_variant_get", v, F.lit(path), F.lit(t))
+        return F.call_function("try_variant_get", item, F.lit("$"), F.lit(t))
 
     if mtype in INTEGER_TYPES:
         lo, hi = INTEGER_TYPES[mtype]
         as_dec = get("decimal(38,0)")
-        err = (F.when(~_integer(vtype, raw), F.lit("expected integer"))
+        err = (F.when(~_integer(vtype, as_dec), F.lit("expected integer"))
                .when((as_dec < F.lit(lo)) | (as_dec > F.lit(hi)), F.lit(f"out of range for {mtype}")))
         spark_t = {"counter": "bigint"}.get(mtype, mtype)
         value = get(spark_t)
@@ -245,14 +243,14 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
         as_dec = get("decimal(38,0)")
         s = get("string")
         iso = F.try_to_date(s, "yyyy-MM-dd")
-        is_int = _integer(vtype, raw)
+        is_int = _integer(vtype, as_dec)
         err = (F.when(is_int & ((as_dec < 0) | (as_dec >= F.lit(2 ** 32))), F.lit("out of range for date"))
                .when(~is_int & ~((vtype == "STRING") & s.rlike(r"^\d{4}-\d{2}-\d{2}$") & iso.isNotNull()),
                      F.lit("expected integer day number or ISO date")))
         value = F.when(is_int, date_from_raw(get("bigint"))).otherwise(iso)
     elif mtype == "time":
         as_dec = get("decimal(38,0)")
-        err = (F.when(~_integer(vtype, raw), F.lit("expected integer"))
+        err = (F.when(~_integer(vtype, as_dec), F.lit("expected integer"))
                .when((as_dec < 0) | (as_dec >= F.lit(NANOS_PER_DAY)), F.lit("out of range for time")))
         value = get("bigint")
     elif mtype == "blob":
@@ -266,60 +264,82 @@ def _marker(name: str, mtype: str, v: Column, raw_map: Column) -> tuple[Column,
     return F.when(err.isNull(), value), err
 
 
-def parse_params(lines: DataFrame, markers: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Typed parameter sets and the error table from ``read_lines`` output.
-
-    The checked lines are written once to the shared checkpoint folder and
-    read back. That parses each line exactly once: without it, the filters
-    that split sets from errors are pushed below the parse and inline it into
-    every condition. The error check, the size check before a broadcast and
-    the join then all read the parsed table.
+def _opened(text: Column) -> tuple[Column, Column]:
+    """``(members, line error)`` of a line: its keys with their values as VARIANTs,
+    null with the reason why it is no single JSON object. The line is parsed
+    inside an object that ends with a seal made of the line itself, so anything
+    after the line's own value breaks the seal."""
+    seal = F.xxhash64(text).cast("string")
+    whole = F.try_parse_json(F.concat(F.lit('{"line":'), text, F.lit(',"seal":"'), seal, F.lit('"}')))
+    sealed = F.call_function("try_variant_get", whole, F.lit("$.seal"), F.lit("string")) == seal
+    members = F.call_function("try_variant_get", whole, F.lit("$.line"), F.lit("map<string,variant>"))
+    members = F.when(sealed, members)
+    # only for lines without members: what is wrong with them
+    alone = F.try_parse_json(text)
+    keys = F.json_object_keys(text)
+    reason = (F.when(alone.isNull() & F.coalesce(F.size(keys) > F.size(F.array_distinct(keys)), F.lit(False)),
+                     F.lit("duplicate key"))
+              .when(alone.isNull(), F.lit("invalid JSON"))
+              .when(~F.schema_of_variant(alone).startswith("OBJECT"), F.lit("not a JSON object"))
+              .otherwise(F.lit("trailing content after the object")))
+    return members, reason
+
+
+def _checked(lines: DataFrame, markers: Mapping[str, str]) -> DataFrame:
+    """The placed lines with the markers' typed values and ``__errors`` (null for
+    blank lines; the text is kept for lines with errors only)."""
+    names = list(markers)
+    members, reason = _opened(F.col("__text"))
+    blank = _is_blank(F.col("__text"))
+    items = [F.col("__members")[F.lit(name)] for name in names]
+    lines = lines.select("*", members.alias("__members"))
+    lines = lines.select("*", *[F.schema_of_variant(item).alias(f"__type{i}") for i, item in enumerate(items)])
+    values, wrong = [], []
+    for i, (name, item) in enumerate(zip(names, items)):
+        value, err = _marker(markers[name], item, F.col(f"__type{i}"))
+        values.append(value.alias(name))
+        wrong.append(F.when(item.isNotNull(), err).alias(f"__wrong{i}"))
+    lines = lines.select("__file", "__pid", "__mid", "__text", "__members", *values, *wrong)
+    # a good line has the declared keys and nothing wrong; only others are looked at closer
+    good = F.size("__members") == len(names)
+    for i, name in enumerate(names):
+        good = good & F.col(f"__wrong{i}").isNull() & F.col("__members")[F.lit(name)].isNotNull()
+    declared, keys = F.array(*[F.lit(n) for n in names]), F.map_keys("__members")
+    entry = "struct<name:string,reason:string>"
+
+    def named(some: Column, why: str) -> Column:
+        return F.transform(some, lambda k: F.struct(k.alias("name"), F.lit(why).alias("reason")))
+
+    marker_errors = [F.when(F.col(f"__wrong{i}").isNotNull(), F.struct(F.lit(name).alias("name"), F.col(f"__wrong{i}").alias("reason")))
+                     for i, name in enumerate(names)]
+    of_line = F.array(F.struct(F.lit(None).cast("string").alias("name"), reason.alias("reason")))
+    of_members = F.filter(F.concat(F.array(*marker_errors), named(F.array_except(keys, declared), "unknown key"),
+                                   named(F.array_except(declared, keys), "missing key")), lambda e: e.isNotNull())
+    errors = (F.when(F.coalesce(good, F.lit(False)), F.array().cast(f"array<{entry}>")).when(blank, F.lit(None))
+              .when(F.col("__members").isNull(), of_line).otherwise(of_members))
+    lines = lines.select("__file", "__pid", "__mid", "__text", *names, errors.alias("__errors"))
+    return lines.withColumn("__text", F.when(F.size("__errors") > 0, F.col("__text")))
+
+
+def parse_params(spark: SparkSession, path: str, markers: Mapping[str, str]) -> tuple[DataFrame, DataFrame, int]:
+    """Typed parameter sets, the error table and the number of lines with errors.
+
+    The checked lines are written once to the shared checkpoint folder and read
+    back, which parses each line exactly once: the sets, the error table, the size
+    check before a broadcast and the join all read the stored table. Lines with
+    errors are counted while it is written.
     """
     _check_markers(markers)
-    names = list(markers)
-    v = F.try_parse_json("text")
-    vschema = F.schema_of_variant(F.col("__v"))
-    raw_map = F.from_json(F.col("text"), "map<string,string>")
-    base = (lines.select(F.col("file").alias("__file"), F.col("line").alias("__line"), "param_set",
-                         F.col("text").alias("__text"), v.alias("__v"), raw_map.alias("__raw"))
-            .withColumn("__keys", F.map_keys("__raw")))
-    # The VARIANT parser refuses duplicate keys (and lenient JSON the map reader
-    # accepts); strict key listing tells the two apart.
-    keys_all = F.json_object_keys(F.col("__text"))
-    duplicate = F.size(keys_all) > F.size(F.array_distinct(keys_all))
-    line_err = (F.when(F.col("__v").isNull() & F.coalesce(duplicate, F.lit(False)),
-                       F.lit("duplicate key"))
-                .when(F.col("__v").isNull(), F.lit("invalid JSON"))
-                .when(~vschema.startswith("OBJECT"), F.lit("not a JSON object"))
-                .when(~_single_value(F.col("__text")), F.lit("trailing content after the object")))
-    declared = F.array(*[F.lit(n) for n in names])
-    value_cols, marker_errs = [], []
-    for name in names:
-        val, err = _marker(name, markers[name], F.col("__v"), F.col("__raw"))
-        present = F.array_contains(F.col("__keys"), F.lit(name))
-        value_cols.append(val.alias(name))
-        marker_errs.append(F.when(present & err.isNotNull(),
-                                  F.struct(F.lit(name).alias("name"), err.alias("reason"))))
-    unknown = F.transform(F.array_except(F.col("__keys"), declared),
-                          lambda k: F.struct(k.alias("name"), F.lit("unknown key").alias("reason")))
-    missing = F.transform(F.array_except(declared, F.coalesce(F.col("__keys"),
-                                                              F.array().cast("array<string>"))),
-                          lambda k: F.struct(k.alias("name"), F.lit("missing key").alias("reason")))
-    errs = F.when(line_err.isNotNull(),
-                  F.array(F.struct(F.lit(None).cast("string").alias("name"), line_err.alias("reason"))))
-    errs = errs.otherwise(F.filter(F.concat(F.array(*marker_errs), unknown, missing),
-                                   lambda e: e.isNotNull()))
-    checked = base.select("__file", "__line", "param_set", "__text", *value_cols,
-                          errs.alias("__errors"))
-    from ringcast.session import materialize
-
-    checked = materialize(checked, "params")
-    params = checked.filter(F.size("__errors") == 0).select("param_set", *names)
-    errors = (checked.filter(F.size("__errors") > 0)
+    bad = Observation("ringcast_params")
+    checked = _checked(dealt(_placed_lines(spark, path), "__mid"), markers)
+    checked = materialize(checked.observe(bad, F.count_if(F.size("__errors") > 0).alias("lines")), "params")
+    lines = _numbered(checked)
+    params = lines.filter(F.size("__errors") == 0).select("param_set", *markers)
+    errors = (lines.filter(F.size("__errors") > 0)
               .select("__file", "__line", "param_set", "__text", F.explode("__errors").alias("e"))
               .select(F.col("__file").alias("file"), F.col("__line").alias("line"), "param_set",
                       "e.name", "e.reason", F.col("__text").alias("text")))
-    return params, errors
+    return params, errors, int(bad.get.get("lines") or 0)
 
 
 def read_params(spark: SparkSession, path: str, markers: Mapping[str, str],
@@ -329,13 +349,13 @@ def read_params(spark: SparkSession, path: str, markers: Mapping[str, str],
     ``on_error="raise"`` fails with the first errors listed (the reference
     stops at the first bad line); ``"collect"`` returns ``(params, errors)``.
     """
-    params, errors = parse_params(read_lines(spark, path), markers)
+    params, errors, bad = parse_params(spark, path, markers)
     if on_error == "collect":
         return params, errors
     if on_error != "raise":
         raise ValueError("on_error must be 'raise' or 'collect'")
-    first = errors.orderBy("file", "line").limit(5).collect()
-    if first:
+    if bad:
+        first = errors.orderBy("file", "line").limit(5).collect()
         detail = "; ".join(f"{r['file']} line {r['line']}: {r['name'] or '-'}: {r['reason']}"
                            for r in first)
         raise ParamError(f"invalid parameter file, {errors.count()} errors: {detail}")
