@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringcast.functions.nested import convert_nested, target_type, type_tree
+
 # The source type names and the Spark type each maps to.
 SOURCE_TYPES = {
     "tinyint": "tinyint",
@@ -295,6 +297,9 @@ def convert_column(col, source_type: str, strict: bool = False,
     the column's current type when known: binary UUIDs are hex-encoded,
     numeric timestamps read as epoch milliseconds, digit-only text dates as
     raw day numbers (:func:`convert_columns` passes it)."""
+    if "<" in source_type:  # list, set, map and frozen, to any depth
+        return convert_nested(_c(col), type_tree(source_type), data_type,
+                              lambda c, name, kind: convert_column(c, name, strict, kind), spark_type, strict)
     if source_type not in SOURCE_TYPES:
         raise ValueError(f"unsupported source type {source_type!r}")
     target = SOURCE_TYPES[source_type]
@@ -330,6 +335,9 @@ def convert_columns(df: DataFrame, types: Mapping[str, str], strict: bool = Fals
 
 
 def spark_type(source_type: str) -> T.DataType:
-    from pyspark.sql.types import _parse_datatype_string
-
-    return _parse_datatype_string(SOURCE_TYPES[source_type])
+    """The Spark type that :func:`convert_column` gives a source type."""
+    if "<" in source_type:
+        return target_type(type_tree(source_type), spark_type)
+    if source_type not in SOURCE_TYPES:
+        raise ValueError(f"unsupported source type {source_type!r}")
+    return T.DataType.fromDDL(SOURCE_TYPES[source_type])

@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -305,7 +306,8 @@ def run_query(spark: SparkSession, sql: str, args=None,
 
 
 PARAMS_VIEW = "__params"
-SET_ID = "__ring_set"  # the sets' id in a query text with a range per set
+# In a query text with a range per set: the sets' id, and the ends of a row's own set.
+SET_ID, LOW_END, HIGH_END = "__ring_set", "__ring_low", "__ring_high"
 
 
 def bind_markers(sql: str, params_alias: str = PARAMS_VIEW) -> tuple[str, list[str]]:
@@ -356,8 +358,16 @@ def infer_markers(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]
     declared = dict(declared or {})
     if not set(used) - set(declared):
         return declared
-    untyped = spark.range(1).select(*[F.lit(None).alias(name) for name in used])
-    found = marker_types(transform(spark, None, _lateral_text(body), {PARAMS_VIEW: untyped, **dict(tables or {})}))
+    found: dict[str, set[str]] = {}
+    # the analyzer drops an untyped marker that is compared with text, so comparisons
+    # with text are read off a second pass, in which every marker is text
+    for kind in ("void", "string"):
+        row = spark.range(1).select(*[F.lit(None).cast(kind).alias(name) for name in used])
+        seen = marker_types(transform(spark, None, _lateral_text(body), {PARAMS_VIEW: row, **dict(tables or {})}))
+        for name, types in seen.items():
+            types = types if kind == "void" else types & {"string"}
+            if types:
+                found.setdefault(name, set()).update(types)
     found = {name: types for name, types in found.items() if name not in declared}
     none = [name for name in used if name not in found and name not in declared]
     if none:
@@ -376,9 +386,10 @@ def _reduced(spark: SparkSession, body: str, params: DataFrame, tables: Mapping[
     * A column that must equal a marker, below a LIMIT or aggregate: the table is
       semi-joined with the sets' distinct values, before anything is ranked or
       counted. Rows without an asked key pass the query's own filter for no set.
-    * A column between two markers and no equality: the table is range-joined
-      with the sets by buckets, and the text asks for its own set's rows, an
-      equality in the place of a comparison of every row with every set.
+    * A column between two markers, each named once, and no equality: the table is
+      range-joined with the sets by buckets, its rows keep their set's two ends,
+      and the text asks for its own set's rows: an equality in the place of a
+      comparison of every row with every set.
     """
     tables, params = dict(tables), stored(params, "sets")
     names = {name.lower(): name for name in tables}
@@ -406,7 +417,8 @@ def _reduced(spark: SparkSession, body: str, params: DataFrame, tables: Mapping[
             continue
         column, low, high = ends[0]
         places = table_places(spark, body, name)
-        if len(places) != 1 or SET_ID in tables[name].columns:
+        ends = [f"{PARAMS_VIEW}.`{c.marker}`" for c in (low, high)]
+        if len(places) != 1 or {SET_ID, LOW_END, HIGH_END} & set(tables[name].columns) or any(body.count(e) != 1 for e in ends):
             continue
         bounds = ("[" if low.operator == ">=" else "(") + ("]" if high.operator == "<=" else ")")
         sets = params if SET_ID in params.columns else with_set_ids(params, SET_ID)
@@ -416,10 +428,13 @@ def _reduced(spark: SparkSession, body: str, params: DataFrame, tables: Mapping[
         except ValueError:  # a text column, or types that only the query's own casts compare
             continue
         params = sets
-        tables[name] = joined.select(*[F.col("s." + quoted(c)) for c in tables[name].columns], F.col("p." + SET_ID))
+        tables[name] = joined.select(*[F.col("s." + quoted(c)) for c in tables[name].columns], F.col("p." + SET_ID),
+                                     F.col("p." + quoted(low.marker)).alias(LOW_END), F.col("p." + quoted(high.marker)).alias(HIGH_END))
         start, stop, aliased = places[0]
         own = f"(SELECT * EXCEPT ({SET_ID}) FROM `{name}` WHERE `{name}`.{SET_ID} = {PARAMS_VIEW}.{SET_ID})"
         body = body[:start] + own + ("" if aliased else f" AS `{name}`") + body[stop:]
+        body = body.replace(ends[0], LOW_END).replace(ends[1], HIGH_END)
+        break  # one range per text; places of further tables have moved
     return body, params, tables
 
 
@@ -456,6 +471,10 @@ def query_fanout(spark: SparkSession, sql: str, params: DataFrame,
     out = transform(spark, None, _lateral_text(body, set_col), {PARAMS_VIEW: params, **tables})
     found = compared_columns(out) if tables else []
     if any(c.cut or c.operator != "=" for c in found):
-        body, params, tables = _reduced(spark, body, params, tables, found, broadcast, max_broadcast_bytes)
-        out = transform(spark, None, _lateral_text(body, set_col), {PARAMS_VIEW: params, **tables})
+        reduced, sets, cut = _reduced(spark, body, params, tables, found, broadcast, max_broadcast_bytes)
+        try:
+            out = transform(spark, None, _lateral_text(reduced, set_col), {PARAMS_VIEW: sets, **cut}).drop(LOW_END, HIGH_END)
+        except AnalysisException:  # the ends have no place in the text's shape: as it was
+            if reduced == body:
+                raise
     return out

@@ -143,11 +143,21 @@ def _local_column(expression):
 
 
 def marker_types(df: DataFrame) -> dict[str, set[str]]:
-    """Per marker, the types that the analyzer casts its untyped column to."""
+    """Per marker, the types that the analyzer casts its untyped column to, or
+    compares it with."""
     plans, out = Plans(df.sparkSession), {}
+
+    def note(marker, data_type) -> None:
+        if kind(marker) == "OuterReference" and data_type.catalogString() != "void":
+            out.setdefault(marker.e().name(), set()).add(data_type.catalogString())
+
     for e in plans.everything(df._jdf.queryExecution().analyzed()):
-        if kind(e) == "Cast" and kind(e.child()) == "OuterReference":
-            out.setdefault(e.child().e().name(), set()).add(e.dataType().catalogString())
+        if kind(e) == "Cast":
+            note(e.child(), e.dataType())
+        elif kind(e) in _OPERATORS or kind(e) == "EqualNullSafe":
+            if _outer_name(e.left()) is None or _outer_name(e.right()) is None:
+                note(e.left(), e.right().dataType())
+                note(e.right(), e.left().dataType())
     return out
 
 
@@ -177,9 +187,17 @@ def compared_columns(df: DataFrame) -> list[Compared]:
         return node.desc().identifier().table()
 
     def conjuncts(condition) -> list:
+        """(operator, left, right) of every comparison that must hold."""
         if kind(condition) == "And":
             return conjuncts(condition.left()) + conjuncts(condition.right())
-        return [condition]
+        if kind(condition) == "Between":
+            return conjuncts(seq(condition.children())[0])
+        if kind(condition) == "With" and len(seq(condition.defs())) == 1:  # a value named once, compared twice
+            value = seq(condition.defs())[0].child()
+            named = [[value if kind(x) == "CommonExpressionRef" else x for x in sides] for _, *sides in conjuncts(condition.child())]
+            return [(c[0], *sides) for c, sides in zip(conjuncts(condition.child()), named)]
+        operator = _OPERATORS.get(kind(condition))
+        return [(operator, condition.left(), condition.right())] if operator else []
 
     def below(node) -> dict[int, tuple[str, str]]:
         """Column ids of the tables below, through nodes that keep rows and columns as they are."""
@@ -198,11 +216,8 @@ def compared_columns(df: DataFrame) -> list[Compared]:
             return
         if kind(node) == "Filter":
             columns = below(node.child())
-            for c in conjuncts(node.condition()):
-                operator = _OPERATORS.get(kind(c))
-                if operator is None:
-                    continue
-                for mine, other, sign in ((c.left(), c.right(), operator), (c.right(), c.left(), _SWAPPED[operator])):
+            for operator, left, right in conjuncts(node.condition()):
+                for mine, other, sign in ((left, right, operator), (right, left, _SWAPPED[operator])):
                     column, marker = _local_column(mine), _outer_name(other)
                     if column is not None and marker is not None and column.exprId().id() in columns:
                         out.append(Compared(*columns[column.exprId().id()], sign, marker, cut))

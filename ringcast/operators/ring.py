@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringcast.functions.tokens import (
     quoted,
@@ -24,6 +25,7 @@ from ringcast.functions.tokens import (
     ring_step,
     split_id,
 )
+from ringcast.session import is_repeatable, materialize
 
 TOKEN_COL = "token"
 SPLIT_COL = "split_id"
@@ -163,28 +165,78 @@ def split_stats(df: DataFrame, partition_keys, splits: int, token_method: str =
                  F.max(TOKEN_COL).alias("max_token")))
 
 
+MANIFEST = "_ring_manifest"  # a folder that Spark's readers of the layout do not list
+
+
 def write_token_layout(df: DataFrame, partition_keys, path: str, num_files: int,
                        token_method: str = "xxhash64", mode: str = "errorifexists",
                        token_col: str = TOKEN_COL) -> str:
-    """Lay a table out in token order so range reads prune row groups.
-
-    ``repartitionByRange`` samples ``(token, row hash)`` to cut ``num_files``
-    balanced ranges. The row hash breaks ties: a partition key holding a third
-    of the rows is one token, and without the tiebreaker its rows would all
-    land in one range (one task, one huge file). ``sortWithinPartitions``
-    gives each file tight row-group statistics on the token.
+    """Lay a table out in token order so range reads open only the files of their range.
+
+    ``repartitionByRange`` samples ``(token, row hash, salt)`` to cut
+    ``num_files`` balanced ranges. The row hash breaks ties: a partition key
+    holding a third of the rows is one token, and without the tiebreaker its rows
+    would all land in one range (one task, one huge file); the salt splits rows
+    that are equal altogether. A salt must not change when a task runs again: a
+    plan that only selects from files numbers its rows alike each time; any other
+    plan's rows are stored with their salt first. ``sortWithinPartitions`` gives
+    each file tight row-group statistics on the token, and a manifest beside the
+    files keeps each one's rows, smallest and largest token.
     """
+    if mode not in ("errorifexists", "error", "overwrite"):
+        raise ValueError(f"a token layout is written as a whole, not with mode {mode!r}")
     _check_free(df, token_col)
-    tokens = df.withColumn(token_col, make_token(partition_keys, token_method))
-    # Row ids are stable for a file scan (same splits on every pass and retry)
-    # and split even fully duplicate rows of a hot key.
-    tiebreak = F.monotonically_increasing_id()
-    (tokens.repartitionByRange(num_files, F.col(quoted(token_col)), tiebreak)
-     .sortWithinPartitions(token_col)
+    salt, tie = "__ring_salt", "__ring_tie"
+    _check_free(df, salt, tie)
+    salted = df.withColumn(salt, F.xxhash64(F.monotonically_increasing_id()))
+    salted = salted if is_repeatable(df) else materialize(salted, "salted")
+    hashable = [F.to_json(F.struct(quoted(f.name))) if _holds_map(f.dataType) else F.col(quoted(f.name)) for f in df.schema.fields]
+    tokens = (salted.withColumn(token_col, make_token(partition_keys, token_method))
+              .withColumn(tie, F.xxhash64(*hashable)))
+    (tokens.repartitionByRange(num_files, F.col(quoted(token_col)), tie, salt)
+     .sortWithinPartitions(token_col).drop(salt, tie)
      .write.mode(mode).parquet(path))
+    spark = df.sparkSession
+    token = F.col(quoted(token_col))
+    per_file = (spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file"))
+                .agg(F.count(F.lit(1)).alias("rows"), F.min(token).alias("min_token"), F.max(token).alias("max_token")))
+    per_file.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{MANIFEST}")
     return path
 
 
+def _holds_map(kind) -> bool:
+    if isinstance(kind, (T.MapType, T.VariantType)):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, T.StructType) and any(_holds_map(f.dataType) for f in kind.fields)
+
+
+def layout_files(spark: SparkSession, path: str) -> DataFrame:
+    """The layout's manifest: ``file, rows, min_token, max_token`` (null where all tokens are)."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{MANIFEST}")
+
+
+def read_layout_range(spark: SparkSession, path: str, start: int, end: int, end_inclusive: bool = False,
+                      columns=None, token_col: str = TOKEN_COL) -> DataFrame:
+    """Rows of a token layout whose token lies in the range. Only the files whose
+    tokens meet it are listed and opened (the manifest says which)."""
+    meets = (F.col("max_token") >= start) & (F.col("min_token") <= end if end_inclusive else F.col("min_token") < end)
+    files = [r.file for r in layout_files(spark, path).filter(meets).select("file").collect()]
+    root = path.rstrip("/")
+    if files:
+        rows = spark.read.parquet(*[f"{root}/{f}" for f in files])
+    else:
+        rows = spark.read.parquet(root).limit(0)
+    return scan_range(rows, token_col, start, end, end_inclusive, columns=columns, token_method="column")
+
+
+def read_layout_split(spark: SparkSession, path: str, splits: int, index: int, **kw) -> DataFrame:
+    """Split ``index`` of ``splits`` of a token layout."""
+    _, start, end, inclusive = range_bound(check_splits(splits), index)
+    return read_layout_range(spark, path, start, end, inclusive, **kw)
+
+
 def token_column(partition_keys, token_method: str = "xxhash64") -> Column:
     return make_token(partition_keys, token_method)
 
@@ -192,5 +244,6 @@ def token_column(partition_keys, token_method: str = "xxhash64") -> Column:
 __all__ = [
     "TOKEN_COL", "SPLIT_COL", "default_splits", "with_token", "token_scan", "scan_range",
     "scan_split", "split_bounds", "split_counts", "split_stats", "write_token_layout",
+    "layout_files", "read_layout_range", "read_layout_split",
     "token_column",
 ]

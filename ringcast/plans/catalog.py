@@ -517,7 +517,7 @@ _register_flagship()
 
 def all_queries() -> dict[str, tuple[QueryFn, str | None]]:
     """Every registered query; importing the other catalogs registers theirs."""
-    from ringcast.plans import catalog_forms, catalog_io, catalog_params  # noqa: F401
+    from ringcast.plans import catalog_forms, catalog_io, catalog_more, catalog_params  # noqa: F401
 
     return dict(REGISTRY)
 

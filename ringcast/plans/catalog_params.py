@@ -245,13 +245,13 @@ SELECT o.o_orderkey, o.o_totalprice FROM orders o JOIN customer c ON o.o_custkey
 WHERE c.c_mktsegment = 'MACHINERY'""")
 def q_query_params_file(spark, d):
     """The ``query`` command: a parameter file (written here from customer) and a
-    query text with a marker, run once per line."""
-    from ringcast.operators.fanout import query_fanout
+    query text with a marker, typed by the query and run once per line."""
+    from ringcast.operators.fanout import infer_markers, query_fanout
 
     t = Tables(spark, d)
     keys = t.customer.filter(F.col("c_mktsegment") == "MACHINERY")
     path = _write_lines(keys.select(F.to_json(F.struct(F.col("c_custkey").alias("custkey"))).alias("value")),
                         spark, "params-query")
-    params = read_params(spark, path, {"custkey": "bigint"})
-    return query_fanout(spark, "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = :custkey",
-                        params, tables={"orders": t.orders})
+    text = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = :custkey"
+    params = read_params(spark, path, infer_markers(spark, text, {"orders": t.orders}))
+    return query_fanout(spark, text, params, tables={"orders": t.orders})

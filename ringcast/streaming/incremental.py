@@ -14,6 +14,7 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
@@ -42,7 +43,8 @@ def incremental_export(spark: SparkSession, source: DataFrame, path: str, checkp
     check_target(path)
     fmt_name = output_format(path, fmt)
     out = run_transform(spark, source, transform) if transform else source
-    out = prepare(out, fmt_name)
+    # counted where the rows are written, batch by batch: rows that the transform drops are not
+    out = prepare(out, fmt_name).observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
     writer = (out.writeStream.format("json" if fmt_name == "ndjson" else fmt_name)
               .option("checkpointLocation", checkpoint).outputMode("append")
               .trigger(availableNow=True))
@@ -67,8 +69,11 @@ def incremental_export(spark: SparkSession, source: DataFrame, path: str, checkp
     return counter.totals(str(query.id))
 
 
+WRITTEN = "ringcast_written"
+
+
 class _ProgressTotals(StreamingQueryListener):
-    """Sums rows and batches per query from every progress event (the query's
+    """Sums written rows and batches per query from every progress event (the query's
     own ``recentProgress`` keeps only the last few batches)."""
 
     def __init__(self):
@@ -86,9 +91,10 @@ class _ProgressTotals(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         p = event.progress
+        written = p.observedMetrics.get(WRITTEN)
         with self._lock:
             key = str(p.id)
-            self._rows[key] = self._rows.get(key, 0) + int(p.numInputRows)
+            self._rows[key] = self._rows.get(key, 0) + (int(written["rows"]) if written else 0)
             self._batches[key] = self._batches.get(key, 0) + 1
 
     def onQueryIdle(self, event):
