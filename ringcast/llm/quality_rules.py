@@ -92,6 +92,11 @@ def log_binomial_cdf(n: str, k: str, p: str) -> Column:
     return F.expr(f"if({k} < {n} * {p}, {top} + ln({total}), 0.0D)")
 
 
+def stratum() -> Column:
+    """A language's key; null and the empty string are strata of their own."""
+    return F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("-"))
+
+
 def scores() -> list[Column]:
     """Each rule's score, null where it has none (no words, no lines)."""
     return [F.expr(f"{s.replace(' / ', ' / nullif(')}, 0)").cast("double").alias(rule)
@@ -103,7 +108,7 @@ def cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: fl
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id") \
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other")
     held = found.join(known.select("doc_id", "quality"), "doc_id") \
-        .select(F.coalesce("lang", F.lit("")).alias("stratum"), "quality", *scores())
+        .select(stratum().alias("stratum"), "quality", *scores())
     counts = [F.count_if(F.col("quality") == 1).alias("n")]
     tries = [(rule, c) for rule, (_, values) in RULES.items() for c in values]
     for i, (rule, c) in enumerate(tries):
@@ -128,7 +133,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     """doc_id, n_words, the base measures, base_failed, kept, and text_key."""
     found = materialize(features(docs), "rules-features")
     cut = cutoffs(found, labels, alpha, delta)
-    wide = found.withColumn("stratum", F.coalesce("lang", F.lit(""))).join(cut, "stratum", "left")
+    wide = found.withColumn("stratum", stratum()).join(cut, "stratum", "left")
     failed = F.expr(f"n_words < {min_words} or 100 * n_repeat_words > {max_repeat_percent} * n_words")
     hit = F.lit(False)
     for score, rule in zip(scores(), RULES):
@@ -157,7 +162,7 @@ f AS (SELECT w.doc_id, lang, len(w)::BIGINT AS n_words,
       (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
       (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines,
       coalesce(n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN cover USING (doc_id)),
-s AS (SELECT *, coalesce(lang, '') AS stratum, SCORES FROM f),
+s AS (SELECT *, coalesce('=' || lang, '-') AS stratum, SCORES FROM f),
 rules(rule, cutoff) AS (VALUES VALUES_LIST),
 known AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY 1
           HAVING min(quality) = max(quality)),
