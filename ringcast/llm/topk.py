@@ -18,12 +18,13 @@ A row whose scores could leave 64-bit arithmetic (length times the square of its
 largest component from 2^63 on) is wide: it is kept outside the slices, and its
 scores, as candidate or query, are exact whole numbers of any size.
 
-Defined results: vectors that are null, empty, hold null or non-finite
-components or a component that is no long after scaling take no part, nor do rows
-with a null vec_id. A score among the k highest that does not fit a long is an
-error. A shorter vector counts as zero beyond its end. Rows that repeat a vec_id
-are candidates each, never for their own id; as queries they share one list.
-Equal rows count as one. Ties go to the smaller vec_id.
+Defined results: vectors that are null or hold null or non-finite components
+(before or after scaling) take no part, nor do rows with a null vec_id. A score
+among the k highest that does not fit a long is an error. A shorter vector counts
+as zero beyond its end, so an empty one scores 0 with all. Rows that repeat a
+vec_id, equal ones too, are candidates each, never for their own id; as queries
+they share one list, in which each of them names its own candidates. Ties go to
+the smaller vec_id.
 An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -34,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringcast.llm.vectors import FINITE, matrix
 from ringcast.session import materialize
 
 BLOCK = 1 << 14
@@ -43,30 +45,18 @@ LONG = 1 << 63
 
 
 def whole_vectors(vectors: DataFrame, scale: int) -> DataFrame:
-    """vec_id, row key, the whole-number vector of each row that takes part, and
-    whether it is wide: its scores need not fit the slices' 64-bit arithmetic."""
-    v = vectors.filter("vec_id is not null and embedding is not null").select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("e"))
-    v = v.filter(F.expr(f"size(e) > 0 and forall(e, x -> x is not null and not isnan(x) "
-                        f"and abs(cast(x as double)) * {scale}D < {LONG}D)"))
-    v = v.dropDuplicates(["vec_id", "e"])
-    most = F.array_max(F.transform("e", lambda x: F.abs(x.cast("double")))) * F.lit(float(scale)) + 1
-    return v.select("vec_id", F.monotonically_increasing_id().alias("row"),
-                    F.transform("e", lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v"),
+    """vec_id, row key, the whole numbers (as doubles) of each row that takes part,
+    and whether it is wide: its scores need not fit the slices' 64-bit arithmetic."""
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(
+        F.col("embedding").cast("array<double>"), lambda x: F.lit(float(scale)) * x).alias("e"))
+    v = v.filter(f"vec_id is not null and {FINITE.format('e')}")
+    most = F.coalesce(F.array_max(F.transform("e", F.abs)), F.lit(0.0)) + 1
+    # beyond 2^53 a double is whole already
+    whole = F.transform("e", lambda x: F.when(F.abs(x) < F.lit(2.0 ** 53), F.floor(x).cast("double")).otherwise(x))
+    return v.select("vec_id", F.monotonically_increasing_id().alias("row"), whole.alias("v"),
                     (F.size("e") * most * most >= F.lit(float(LONG))).alias("wide"))
 
 
-def _matrix(column, width: int | None = None) -> np.ndarray:
-    """A list column as rows of whole numbers, padded with zeros."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    lengths = np.diff(np.asarray(column.offsets))
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    wide = max(int(lengths.max(initial=0)), width or 0)
-    out = np.zeros((len(lengths), wide), dtype=np.int64)
-    out[np.arange(wide)[None, :] < lengths[:, None]] = flat
-    return out
-
-
 def slice_rows(v: np.ndarray) -> np.ndarray:
     """[attribute, bit, words]: the bitmaps of a block's rows, lowest bit first;
     the last is the sign."""
@@ -200,18 +190,20 @@ def search_block(slices: np.ndarray, ids: np.ndarray, query: np.ndarray, own: in
 
 
 def search_wide(v: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, list]:
-    """(ids, scores) of the k best rows for one query, by whole numbers of any
-    size; floating-point sums and their error bound only say which rows can be
+    """(ids, scores) of the k best rows for one query (whole numbers held as
+    doubles), by whole numbers of any size; floating-point sums and their error bound only say which rows can be
     among them. A score below all longs is None, one above them an error."""
     wide = max(v.shape[1], len(query))
     v, query = np.pad(v, ((0, 0), (0, wide - v.shape[1]))), np.pad(query, (0, wide - len(query)))
     rows = np.flatnonzero(ids != own)
     if len(rows) > k:
-        x, q = v[rows].astype(np.float64), query.astype(np.float64)
-        about, off = x @ q, (np.abs(x) @ np.abs(q)) * ((2 * wide + 8) * 2.0 ** -52)
-        rows = rows[about + off >= np.partition(about - off, -k)[-k]]
-    q = query.tolist()
-    best = sorted((-sum(a * b for a, b in zip(x, q)), i) for x, i in zip(v[rows].tolist(), ids[rows].tolist()))[:k]
+        with np.errstate(over="ignore", invalid="ignore"):
+            about, off = v[rows] @ query, (np.abs(v[rows]) @ np.abs(query)) * ((2 * wide + 8) * 2.0 ** -52)
+            least, most = about - off, about + off
+        if np.isfinite(least).all() and np.isfinite(most).all():
+            rows = rows[most >= np.partition(least, -k)[-k]]
+    q = [int(b) for b in query.tolist()]
+    best = sorted((-sum(int(a) * b for a, b in zip(x, q)), i) for x, i in zip(v[rows].tolist(), ids[rows].tolist()))[:k]
     if best and -best[0][0] >= LONG:
         raise OverflowError(f"the score of vectors {own} and {best[0][1]} does not fit a long")
     return np.array([i for _, i in best], dtype=np.int64), [-s if -s >= -LONG else None for s, _ in best]
@@ -225,9 +217,9 @@ def build_index(vectors: DataFrame) -> DataFrame:
     blocks, more = (-(-count.get(wide, 0) // BLOCK) for wide in (False, True))
 
     def build(rows: pa.Table) -> pa.Table:
-        v = _matrix(rows.column("v"))
+        v = matrix(rows.column("v"), 1)
         wide = rows.column("wide")[0].as_py()
-        s = v if wide else slice_rows(v)
+        s = v if wide else slice_rows(v.astype(np.int64))
         return pa.table({"block": rows.column("block")[:1], "ids": [rows.column("vec_id").to_numpy().tobytes()],
                          "slices": [s.tobytes()], "width": pa.array([v.shape[1]], pa.int32()), "wide": [wide]})
 
@@ -258,16 +250,16 @@ def top_k(vectors: DataFrame, queries: str, k: int = 10, scale: int = 1024) -> D
             raw = block.column("slices")[0].as_py()
             wide, v = block.column("wide")[0].as_py(), None
             if wide:
-                v = np.frombuffer(raw, dtype=np.int64).reshape(len(ids), width)
+                v = np.frombuffer(raw).reshape(len(ids), width)
             else:
                 slices = np.frombuffer(raw, dtype=np.uint64).reshape(width, -1, -(-len(ids) // 64))
-            asked = _matrix(some.column("v"))
+            asked = matrix(some.column("v"))
             for own, q, wide_query in zip(some.column("vec_id").to_numpy().tolist(), asked, some.column("wide").to_pylist()):
                 if wide or wide_query:
-                    v = rebuild(slices, np.arange(len(ids))) if v is None else v
+                    v = rebuild(slices, np.arange(len(ids))).astype(np.float64) if v is None else v
                     found, score = search_wide(v, ids, q, own, k)
                 else:
-                    found, score = search_block(slices, ids, q, own, k)
+                    found, score = search_block(slices, ids, q.astype(np.int64), own, k)
                 out[0].extend([own] * len(found))
                 out[1].extend(found.tolist())
                 out[2].extend(score if isinstance(score, list) else score.tolist())
