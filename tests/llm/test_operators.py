@@ -1,6 +1,7 @@
 """Operators on small tables: brute force, edge cases, round trips."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -188,7 +189,7 @@ def test_line_dedup(spark):
                 gone |= set(at[j:j + 3])
             seen.add(key)
         want[doc_id] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
-    out = line_dedup.line_dedup(docs)
+    out = line_dedup.line_dedup(docs, words=None)
     got = {r.doc_id: r.text for r in out.collect()}
     assert {k: v for k, v in got.items() if k in want} == want
     assert out.count() == docs.count() and any(want[i] != t for i, t in rows)
@@ -226,6 +227,50 @@ def test_line_dedup_of_short_runs(spark, words):
     assert start in left and start + 2 not in left
 
 
+def test_line_dedup_as_registered(spark):
+    """The four documents that three-line windows alone miss; a third of all documents share one line and one run."""
+    long = " ".join(f"w{i}" for i in range(60))
+    two = " ".join(f"u{i}" for i in range(30)) + "\n" + " ".join(f"v{i}" for i in range(30))
+    docs = [long, long, two, two] + [f"own {i}\nhot\nhot 2\nhot 3\nhot 4\nlast {i}" if i % 3 == 0 else f"a {i}\nb {i}\nc {i}" for i in range(300)]
+    out = {r.doc_id: r for r in line_dedup.line_dedup(table(spark, docs)).collect()}
+    assert [out[i]["__n_removed"] for i in range(4)] == [0, 1, 0, 2]
+    hot = [out[4 + i]["__n_removed"] for i in range(300) if i % 3 == 0]
+    assert hot == [0] + [4] * 99
+    assert all(out[4 + i]["__n_removed"] == 0 for i in range(300) if i % 3)
+    assert sorted(r.doc_id for r in line_dedup.without_repeats(table(spark, docs[:4])).collect() if r.doc_id is not None) == [0, 2, 4]
+    with pytest.raises(ValueError, match="taken"):
+        line_dedup.line_dedup(table(spark).withColumn("__hits", F.lit(1)))
+
+
+def test_line_dedup_fingerprints_cover_every_window(spark):
+    docs = table(spark)
+    rows = {r.doc_id: [x for x in r.text.split("\n") if x.encode().split()] for r in docs.collect() if r.doc_id is not None and r.text}
+    marks = {}
+    for r in line_dedup.fingerprints(docs, words=None).collect():
+        marks.setdefault(r.doc_id, set()).add(r.place)
+    for doc_id, lines in rows.items():
+        for i in range(len(lines) - 2):
+            assert marks[doc_id] & {i, i + 1, i + 2}
+    assert sum(map(len, marks.values())) < 0.8 * sum(map(len, rows.values()))
+
+
+def test_null_and_empty_language_are_two_strata(spark):
+    """Null and '' have cutoffs of their own: what one's labels prove is not used in the other."""
+    good, bad = " ".join(["word"] * 3 + [f"plain{i}" for i in range(30)]), " ".join(["# # #"] * 40)
+    rows, marks = [], []
+    for i in range(8000):
+        rows.append((i, good if i % 2 else bad, None if i < 4000 else ""))
+        # with an empty language the rule would reject good documents
+        marks.append((i, i % 2 if i < 4000 else 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    found = quality_rules.features(docs)
+    cut = {r.stratum: r.cut_symbols for r in quality_rules.cutoffs(found, labels).collect()}
+    assert set(cut) <= {"-", "="} and cut["-"] is not None and cut.get("=") is None
+    kept = {r.doc_id: (r.kept, r.base_failed) for r in quality_rules.quality_rules(docs, labels).collect()}
+    assert not any(kept[i][0] for i in range(0, 4000, 2))
+
+
 def test_quality_rules_edges_and_bound(spark):
     docs = table(spark)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(3, 0, 0), (None, 1, 0), (5, None, 0)],
@@ -290,17 +335,20 @@ def test_top_k_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.2, 12)]) for i in range(300)]
     vectors += [(i, vectors[7][1]) for i in range(300, 360)]  # one very common vector
-    odd = [(400, None), (401, []), (402, [1.0, None]), (403, [float("nan")] * 12), (404, [1e30] * 12), (None, [0.1] * 12),
-           (500, [0.5, -0.5]), (100, vectors[100][1])]
+    part = [(401, []), (404, [0.0] * 12 + [1e30]), (500, [0.5, -0.5]), (101, vectors[101][1]), (100, vectors[100][1]), (450, [])]
+    odd = part + [(400, None), (402, [1.0, None]), (403, [float("nan")] * 12), (None, [0.1] * 12)]
     df = spark.createDataFrame(vectors + odd, "vec_id long, embedding array<float>").withColumn("v", F.lit(1))
     got = [tuple(r) for r in topk.top_k(df, "vec_id % 50 = 0", k=7).orderBy("query_id", "rank").collect()]
-    whole = {i: np.floor(1024 * np.pad(np.array(v, dtype=np.float32).astype(float), (0, 12 - len(v)))).astype(int)
-             for i, v in vectors + [(500, [0.5, -0.5])]}
+    whole = [(i, [math.floor(1024 * x) for x in np.array(v, dtype=np.float32).astype(float).tolist()]) for i, v in vectors + part]
     want = []
-    for q in sorted(x for x in whole if x % 50 == 0):
-        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:7]
+    for q in sorted({i for i, _ in whole if i % 50 == 0}):
+        best = sorted((-sum(a * b for a, b in zip(x, v)), i) for j, x in whole if j == q for i, v in whole if i != q)[:7]
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     assert got == want
+    assert (450, 1, 0, 0) in got  # an empty vector scores 0 with all
+    large = df.filter("vec_id < 3").union(spark.createDataFrame([(4, [1e30] * 12, 1), (5, [-1e30] * 12, 1)], df.schema))
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(large, "vec_id < 3").collect()
     assert topk.top_k(df.limit(0), "vec_id % 50 = 0").count() == 0
 
 
