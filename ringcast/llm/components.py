@@ -2,8 +2,9 @@
 
 Each round's edges are written as Parquet under the shared checkpoint folder,
 so a lost executor re-reads files. A node's neighbours are only ever reduced to
-their minimum (partial aggregation before the shuffle), so a hub with a third
-of all edges is spread by AQE's skew join like any hot join key.
+their minimum (partial aggregation before the shuffle). The minima are stored
+before the edges are joined with them: a join of two stored tables is split by
+AQE where a hub has a third of all edges, a join with an aggregate is not.
 """
 
 from __future__ import annotations
@@ -27,11 +28,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = _state(e)
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "cc")
         large = both.join(low, "u").filter("v > u").select(
             F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         large = materialize(large, "cc")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc")
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*") \

@@ -13,9 +13,16 @@ more shared shingles before a pair is verified.
 Lists of up to ``light`` classes give pairs, counted against ``min(l, m)``.
 A longer list never gives all its pairs: its members are verified against one
 hub (the member with the most common shingles), components are built, and only
-members of a list that are still in different components, and whose sizes and
-positions allow the overlap, are verified in a second round. Links inside one
-component need no more work, as the result is components.
+members of a list that are still in different components are looked at in a
+second round. Links inside one component need no more work, as the result is
+components. In the second round lists of up to ``MIDDLE`` classes give the pairs
+whose sizes and positions allow the overlap (at most MIDDLE / 2 a posting). For
+the members of longer lists the prefix is lengthened to the whole set, and the
+shared tokens that are asked for are those of a whole part: the shingles are
+dealt to K parts by hash, and two sets that differ in at most H < K places agree
+in a whole part, not empty in either set if it has more than H parts that are not.
+Parts join by the hash of what they hold, so documents that share common sentences,
+but no whole part, are never paired.
 
 Defined results: null text, no words: empty set, linked with nothing, its own
 component. Fewer words than the shingle width: the whole sequence is the one
@@ -42,6 +49,7 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 16
 MAX_LEVEL = 4
 LIGHT = 24
+MIDDLE = 128
 VERIFY_COST = 0.05
 
 
@@ -173,13 +181,13 @@ def postings(docs: DataFrame, sketch, width: int, num: int, den: int) -> DataFra
 
 def _lists(post: DataFrame, light: int) -> DataFrame:
     """Postings whose token has two classes or more, with the list's length and,
-    for a long one, its hub. One exchange on the token serves both sides."""
-    post = post.groupBy("token", "cls").agg(
-        *(F.first(c).alias(c) for c in ("n", "pos", "level", "centre")))
-    post = post.repartition("token")
-    stats = post.groupBy("token").agg(
+    for a long one, its hub. Both sides are stored before the join, so that the
+    postings of a hot token are split over tasks like those of any hot key."""
+    post = materialize(post.groupBy("token", "cls").agg(
+        *(F.first(c).alias(c) for c in ("n", "pos", "level", "centre"))), "jaccard-postings")
+    stats = materialize(post.groupBy("token").agg(
         F.count("*").alias("length"),
-        F.max(F.struct("centre", "cls", "n", "pos", "level")).alias("hub")).filter("length > 1")
+        F.max(F.struct("centre", "cls", "n", "pos", "level")).alias("hub")).filter("length > 1"), "jaccard-tokens")
     lists = post.join(stats, "token").select(
         "token", "cls", "n", "pos", "level", "centre", "length",
         F.when(F.col("length") > light, F.col("hub")).alias("hub"))
@@ -222,27 +230,102 @@ def _hub_pairs(lists: DataFrame, num: int, den: int) -> DataFrame:
         .select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b"))
 
 
-def _left_over(lists: DataFrame, labels: DataFrame, done: DataFrame, num: int, den: int) -> DataFrame:
+def _left_over(docs: DataFrame, known: DataFrame, lists: DataFrame, labels: DataFrame, done: DataFrame, width: int,
+               num: int, den: int) -> DataFrame:
     """Pairs of long lists whose members are in different components."""
-    long = lists.filter("hub is not null").select("token", "cls", "n", "pos", "level", "before") \
+    long = lists.filter("hub is not null").select("token", "cls", "n", "pos", "level", "before", "length") \
         .join(labels.withColumnRenamed("node", "cls"), "cls", "left") \
         .withColumn("root", F.coalesce("root", "cls"))
-    mixed = long.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
-        .filter("lo <> hi").select("token")
+    long = materialize(long, "jaccard-rooted")
+    mixed = materialize(long.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                        .filter("lo <> hi").select("token"), "jaccard-mixed")
     long = materialize(long.join(mixed, "token"), "jaccard-long")
-    a = long.select("token", *(F.col(c).alias("a_" + c) for c in ("cls", "n", "pos", "level", "before", "root")))
-    b = long.select("token", *(F.col(c).alias("b_" + c) for c in ("cls", "n", "pos", "level", "before", "root")))
+    some = long.filter(F.col("length") <= MIDDLE)
+    a = some.select("token", *(F.col(c).alias("a_" + c) for c in ("cls", "n", "pos", "level", "before", "root")))
+    b = some.select("token", *(F.col(c).alias("b_" + c) for c in ("cls", "n", "pos", "level", "before", "root")))
     most = _LONG_BOUND.format(a="a_", b="b_", befores="a_before, b_before")
-    return a.join(b, (a.token == b.token) & (a.a_cls < b.b_cls) & (a.a_root != b.b_root)
-                  & F.expr(_fits(num, den, most, "a_n", "b_n"))) \
-        .select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct() \
-        .join(done, ["a", "b"], "left_anti")
+    pairs = a.join(b, (a.token == b.token) & (a.a_cls < b.b_cls) & (a.a_root != b.b_root)
+                   & F.expr(_fits(num, den, most, "a_n", "b_n"))) \
+        .select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b"))
+    members = materialize(long.filter(F.col("length") > MIDDLE).groupBy("cls").agg(F.first("root").alias("root")), "jaccard-members")
+    if not members.isEmpty():
+        pairs = pairs.union(_part_pairs(docs, known, members, width, num, den))
+    return pairs.distinct().join(done, ["a", "b"], "left_anti")
+
+
+def size_bounds(num: int, den: int) -> np.ndarray:
+    """First sizes of the size classes: sets of one class can reach the threshold
+    with sets of it and the next ones, never further away."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(out[-1] * den // num + 1)
+    return np.array(out)
+
+
+def part_counts(bounds: np.ndarray, group: int, num: int, den: int) -> tuple[int, int]:
+    """(H, K): the places in which two sets of size classes ``group`` and the next
+    one can differ at the threshold, and the number of parts."""
+    differ = (den - num) * 2 * (int(bounds[group + 2]) - 1) // (den + num)
+    return differ, differ + differ // 5 + 1
+
+
+def part_rows(s: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[list, list]:
+    """(part keys, of which none is empty) of a set, for its two groups of size
+    classes; a set with too few parts that hold anything gets one key for all such sets."""
+    own = int(np.searchsorted(bounds, len(s), side="right")) - 1
+    keys, n = [], len(s)
+    for group in (own - 1, own):
+        if group < 0:
+            continue
+        differ, parts = part_counts(bounds, group, num, den)
+        if not differ:  # only equal sets reach the threshold
+            continue
+        salt = np.uint64(group * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+        part = (W.mix(s ^ salt) % np.uint64(parts)).astype(np.int64)
+        held = np.zeros(parts, dtype=np.uint64)
+        np.add.at(held, part, W.mix(s + np.uint64(0xA24BAED4963EE407)))
+        some = np.unique(part)
+        keys.append(W.mix(held[some] + W.mix(some.astype(np.uint64) + salt)))
+        if len(some) <= differ:
+            keys.append(W.mix(np.array([salt], dtype=np.uint64)))
+    return np.concatenate(keys) if keys else np.zeros(0, np.uint64), n
+
+
+def _part_pairs(docs: DataFrame, known: DataFrame, members: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Pairs of members in different components that agree in a whole part."""
+    bounds = size_bounds(num, den)
+
+    def parts(batches):
+        for batch in batches:
+            out = {"cls": [], "n": [], "key": []}
+            for cls, s in zip(batch.column(0).to_pylist(), batch.column(1)):
+                keys, n = part_rows(s.values.to_numpy().view(np.uint64), bounds, num, den)
+                out["cls"].append(np.full(len(keys), cls, dtype=np.int64))
+                out["n"].append(np.full(len(keys), n, dtype=np.int32))
+                out["key"].append(keys.view(np.int64))
+            if out["cls"]:
+                yield pa.record_batch({k: np.concatenate(x) for k, x in out.items()})
+
+    sets = _sets_of(docs, known, members.select("cls"), width)
+    keyed = materialize(sets.mapInArrow(parts, "cls long, n int, key long").join(members, "cls"), "jaccard-parts")
+    mixed = materialize(keyed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                        .filter("lo <> hi").select("key"), "jaccard-agreed")
+    keyed = materialize(keyed.join(mixed, "key"), "jaccard-keyed")
+    a = keyed.select("key", *(F.col(c).alias("a_" + c) for c in ("cls", "n", "root")))
+    b = keyed.select("key", *(F.col(c).alias("b_" + c) for c in ("cls", "n", "root")))
+    sized = F.expr(f"least(a_n, b_n) * {den} >= greatest(a_n, b_n) * {num}")
+    return a.join(b, (a.key == b.key) & (a.a_cls < b.b_cls) & (a.a_root != b.b_root) & sized) \
+        .select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b"))
 
 
 def _set_table(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(cls, shingles) of the classes in ``pairs``, from one document each; of a
+    """(cls, shingles) of the classes in ``pairs``."""
+    return _sets_of(docs, members, pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), width)
+
+
+def _sets_of(docs: DataFrame, members: DataFrame, needed: DataFrame, width: int) -> DataFrame:
+    """(cls, shingles) of the classes in ``needed``, from one document each; of a
     class without any doc_id, from the rows that have none."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     one = members.groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(needed, "cls")
 
     def sets(batches):
@@ -284,7 +367,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     sets = materialize(_set_table(docs, known, pairs, width), "jaccard-texts")
     links = materialize(_verify(pairs, sets, num, den), "jaccard-links")
     labels = connected_components(links)
-    more = materialize(_left_over(lists, labels, pairs, num, den), "jaccard-more")
+    more = materialize(_left_over(docs, known, lists, labels, pairs, width, num, den), "jaccard-more")
     if not more.isEmpty():
         sets = materialize(_set_table(docs, known, more, width), "jaccard-texts")
         labels = connected_components(links.union(_verify(more, sets, num, den)))
