@@ -11,11 +11,12 @@ streamed against one shard only, whatever the corpus size:
    only are dropped before any text is moved;
 2. the words of the remaining segments, from the whole texts; equal segments
    are reduced to one with their smallest doc_id before they meet in a shard;
-3. per shard an FM-index (BWT sorted to ``size`` words and more, wavelet matrix
-   with packed bits and rank directories). Segments are streamed through
-   backward search: a window's matching statistic is the number of words
-   matched before its interval holds one place only; those that reach ``size``
-   are reported with the interval's smallest doc_id;
+3. per shard a compressed FM-index (BWT sorted to ``size`` words and more; a
+   wavelet matrix whose bitmaps do not store words of equal bits; owners' ranks in
+   place of a suffix array). Segments are streamed through backward search once:
+   the match that starts at a place is carried on to the place before it, extended
+   by its word or shortened to its parent interval. Places whose matching
+   statistic reaches ``size`` are reported with the interval's smallest doc_id;
 4. the reported windows go back to all occurrences of their segment, and each
    document's covered words are removed in one pass over its text.
 
@@ -192,11 +193,81 @@ def _with_words(spots: DataFrame, docs: DataFrame, size: int) -> DataFrame:
         cut, "part long, content long, doc_id long, place int, windows short, words array<long>")
 
 
-class FMIndex:
-    """FM-index of a sequence of symbols 1.. (0 is added as its end), sorted to
-    ``depth`` symbols: backward search is right for patterns of up to that length."""
+def _top_bit(word: np.ndarray) -> np.ndarray:
+    """Place of the highest bit that is set."""
+    for shift in (1, 2, 4, 8, 16, 32):
+        word = word | (word >> np.uint64(shift))
+    return np.bitwise_count(word).astype(np.int64) - 1
+
+
+def _pack_bits(bits: np.ndarray) -> np.ndarray:
+    padded = np.zeros(((len(bits) >> 6) + 1) * 64, dtype=np.uint8)
+    padded[:len(bits)] = bits
+    return np.packbits(padded, bitorder="little").view(np.uint64)
+
+
+class Bits:
+    """A bitmap with rank, compressed by words: words of 64 equal bits are not
+    stored. A directory holds each word's ones before it and the stored word's
+    number (-1: all zeros, -2: all ones)."""
+
+    FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+    def __init__(self, bits: np.ndarray):
+        words = _pack_bits(bits)
+        self.before = np.zeros(len(words), dtype=np.int32)
+        np.cumsum(np.bitwise_count(words[:-1]), out=self.before[1:])
+        mixed = (words != 0) & (words != self.FULL)
+        self.stored = words[mixed] if mixed.any() else np.zeros(1, dtype=np.uint64)
+        self.number = np.where(words == 0, -1, -2).astype(np.int32)
+        self.number[mixed] = np.arange(mixed.sum(), dtype=np.int32)
+
+    def ones(self, at: np.ndarray) -> np.ndarray:
+        """How many bits are set before each place."""
+        block = at >> 6
+        number = self.number[block]
+        word = np.where(number >= 0, self.stored[np.maximum(number, 0)], np.where(number == -1, np.uint64(0), self.FULL))
+        low = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[block] + np.bitwise_count(word & low)
+
+
+class Borders:
+    """The places where sorted suffixes differ in their first symbols: for a
+    place, the interval of suffixes that share them."""
+
+    def __init__(self, bits: np.ndarray):
+        self.n = len(bits)
+        self.words = _pack_bits(bits)
+        held = np.flatnonzero(self.words)
+        at = np.searchsorted(held, np.arange(len(self.words)), side="right")
+        self.last = held[np.maximum(at - 1, 0)].astype(np.int32)  # place 0 is a border: the first word holds one
+        self.next = np.append(held, len(self.words))[np.searchsorted(held, np.arange(len(self.words) + 1))].astype(np.int32)
+
+    def around(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(last border up to each place, first one after it)."""
+        block = at >> 6
+        upto = (np.uint64(2) << (at & 63).astype(np.uint64)) - np.uint64(1)  # 2 << 63 is 0: all bits
+        word = self.words[block] & upto
+        before = self.last[np.maximum(block - 1, 0)]
+        lo = np.where(word != 0, block * 64 + _top_bit(word), before * 64 + _top_bit(self.words[before]))
+        word = self.words[block] & ~upto
+        after = np.where(word != 0, block, self.next[block + 1])
+        there = after < len(self.words)
+        word = np.where(word != 0, word, self.words[np.where(there, after, 0)])
+        lowest = np.bitwise_count((word & (~word + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        return lo, np.where(there, after * 64 + lowest, self.n)
+
 
-    def __init__(self, text: np.ndarray, depth: int):
+class FMIndex:
+    """Compressed FM-index of a sequence of symbols 1.. (0 is added as its end),
+    sorted to ``depth`` symbols: backward search is right for patterns of up to
+    that length. The wavelet matrix's bitmaps are compressed (:class:`Bits`); no
+    suffix array is kept, ``of_place`` gives each place's owner and the index keeps
+    the owners' ranks in the order of the suffixes, in the fewest bytes that hold
+    them. ``borders[l]`` are the intervals of equal first l symbols, so a match
+    can be shortened to its first l symbols (the parent in the suffix tree)."""
+
+    def __init__(self, text: np.ndarray, depth: int, of_place: np.ndarray | None = None):
         text = np.append(text, 0).astype(np.int64)
         n = len(text)
         rank, span = text, 1
@@ -205,33 +276,37 @@ class FMIndex:
             after[:-span] = rank[span:]
             rank = np.unique(rank * (int(rank.max()) + 1) + after, return_inverse=True)[1]
             span *= 2
-        self.places = np.argsort(rank, kind="stable")
-        last = text[self.places - 1]
+        places = np.argsort(rank, kind="stable").astype(np.int32 if n < 1 << 31 else np.int64)
+        del rank
+        last = text[places - 1]
         self.sigma = int(text.max()) + 1
         self.first = np.zeros(self.sigma + 1, dtype=np.int64)
         np.cumsum(np.bincount(text, minlength=self.sigma), out=self.first[1:])
         self.levels = []
         for bit in range(max(1, (self.sigma - 1).bit_length()) - 1, -1, -1):
             ones = (last >> bit) & 1 == 1
-            packed = np.zeros((n >> 6) + 1, dtype=np.uint64)
-            padded = np.zeros(len(packed) * 64, dtype=np.uint8)
-            padded[:n] = ones
-            packed = np.packbits(padded, bitorder="little").view(np.uint64)
-            before = np.zeros(len(packed), dtype=np.int32)
-            np.cumsum(np.bitwise_count(packed[:-1]), out=before[1:])
-            self.levels.append((bit, packed, before, n - int(ones.sum())))
+            self.levels.append((bit, Bits(ones), n - int(ones.sum())))
             last = np.concatenate([last[~ones], last[ones]])
+        self.n, self.borders = n, []
+        if of_place is not None:
+            self.owners, own = np.unique(of_place, return_inverse=True)
+            self.own = own[places].astype(np.min_scalar_type(len(self.owners)))
+            differ = np.zeros(n, dtype=bool)
+            differ[0] = True
+            for step in range(depth):
+                self.borders.append(Borders(differ))  # borders[l]: after l symbols
+                symbol = text[np.minimum(places.astype(np.int64) + step, n - 1)]
+                differ = differ | np.append(True, symbol[1:] != symbol[:-1])
+            self.borders.append(Borders(differ))
 
     def _occurrences(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol is in the BWT before each place."""
         begin = np.zeros(len(at), dtype=np.int64)
-        for bit, packed, before, zeros in self.levels:
+        for bit, bits, zeros in self.levels:
             one = (symbol >> bit) & 1 == 1
             both = []
             for x in (begin, at):
-                block = x >> 6
-                low = (np.uint64(1) << (x & 63).astype(np.uint64)) - np.uint64(1)
-                ones = before[block] + np.bitwise_count(packed[block] & low)
+                ones = bits.ones(x)
                 both.append(np.where(one, zeros + ones, x - ones))
             begin, at = both
         return at - begin
@@ -242,6 +317,64 @@ class FMIndex:
         both = self._occurrences(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
         return base + both[:len(lo)], base + both[len(lo):]
 
+    def shorten(self, length: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals of the matches' first ``length`` symbols."""
+        out_lo, out_hi = np.empty_like(lo), np.empty_like(lo)
+        for one in np.unique(length).tolist():
+            some = length == one
+            out_lo[some], out_hi[some] = self.borders[one].around(lo[some])
+        return out_lo, out_hi
+
+    def least_owner(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The smallest owner in each interval (equal or disjoint ones, none empty)."""
+        unique, back = np.unique(lo, return_inverse=True)
+        ends = np.zeros(len(unique), dtype=np.int64)
+        ends[back] = hi
+        own = np.append(self.own, self.own[-1:])
+        low = np.minimum.reduceat(own, np.stack([unique, ends], axis=1).ravel())[::2]
+        return self.owners[low[back]]
+
+
+def matching_statistics(index: FMIndex, text: np.ndarray, begin: np.ndarray, lengths: np.ndarray, size: int):
+    """(place, lo, hi) of every place of the streamed runs from which ``size``
+    symbols are in the indexed text more than once. One pass from the end of each
+    run, all runs in step: the match that starts one place later is extended by
+    its symbol; where it then occurs once only it is shortened at its far end
+    until it can be extended. A match carried so is extended or shortened about
+    twice a symbol, whatever ``size``."""
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    order = np.argsort(-lengths, kind="stable")  # runs that still have symbols come first
+    begin, lengths = begin[order], lengths[order]
+    lo, hi = np.zeros(len(begin), dtype=np.int64), np.full(len(begin), index.n, dtype=np.int64)
+    matched = np.zeros(len(begin), dtype=np.int64)
+    for step in range(int(lengths.max(initial=0))):
+        live = np.arange(int(np.searchsorted(-lengths, -step, side="left")))  # lengths > step
+        place = begin[live] + lengths[live] - 1 - step
+        full = np.flatnonzero(matched[live] == size)
+        if len(full):  # the first size - 1 symbols can be extended to size
+            matched[full] = size - 1
+            lo[full], hi[full] = index.shorten(matched[full], lo[full])
+        symbol, todo = text[place], live
+        while len(todo):
+            a, b = index.extend(symbol[todo], lo[todo], hi[todo])
+            more = b - a > 1
+            done = todo[more]
+            lo[done], hi[done] = a[more], b[more]
+            matched[done] += 1
+            todo = todo[~more]
+            none = todo[matched[todo] == 0]  # the symbol itself is nowhere else: an empty match
+            lo[none], hi[none] = 0, index.n
+            todo = todo[matched[todo] > 0]
+            matched[todo] -= 1
+            lo[todo], hi[todo] = index.shorten(matched[todo], lo[todo])
+        whole = live[matched[live] == size]
+        if len(whole):
+            found.append((place[whole], lo[whole], hi[whole]))
+    if not found:
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none
+    return tuple(np.concatenate(x) for x in zip(*found))
+
 
 def shard_matches(flat: np.ndarray, lengths: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
     """Smallest owner over all windows equal to each window of the segments.
@@ -252,29 +385,14 @@ def shard_matches(flat: np.ndarray, lengths: np.ndarray, owner: np.ndarray, size
     text = np.ones(len(flat) + len(lengths), dtype=np.int64)  # 1 ends a segment
     begin = np.cumsum(lengths + 1) - lengths - 1
     text[W.spread(begin, lengths)] = symbols
-    index = FMIndex(text, size)
-    of_place = np.append(np.repeat(owner, lengths + 1), np.iinfo(np.int64).max)
+    index = FMIndex(text, size, np.append(np.repeat(owner, lengths + 1), np.iinfo(np.int64).max))
+    place, lo, hi = matching_statistics(index, text, begin, lengths, size)
     windows = lengths - size + 1
-    at = W.spread(begin, windows)
     result = np.repeat(owner, windows)
-    active = np.arange(len(at))
-    symbol = text[at + size - 1]
-    lo, hi = index.first[symbol], index.first[symbol + 1]
-    for step in range(size - 2, -1, -1):
-        more = hi - lo > 1  # else the only place is the window's own
-        active, lo, hi = active[more], lo[more], hi[more]
-        if not len(active):
-            return result
-        lo, hi = index.extend(text[at[active] + step], lo, hi)
-    more = hi - lo > 1
-    active, lo, hi = active[more], lo[more], hi[more]
-    if len(active):
-        unique, back = np.unique(lo, return_inverse=True)
-        ends = np.zeros(len(unique), dtype=np.int64)
-        ends[back] = hi
-        owners = np.append(of_place[index.places], np.iinfo(np.int64).max)
-        low = np.minimum.reduceat(owners, np.stack([unique, ends], axis=1).ravel())[::2]
-        result[active] = low[back]
+    if len(place):
+        # a place's window: its segment's first window, and the place in the segment
+        segment = np.searchsorted(begin, place, side="right") - 1
+        result[np.cumsum(windows)[segment] - windows[segment] + place - begin[segment]] = index.least_owner(lo, hi)
     return result
 
 

@@ -175,6 +175,38 @@ def test_fm_index_counts_patterns():
         assert int(hi[0] - lo[0]) == want
 
 
+@pytest.mark.parametrize("size,kinds", [(3, 4), (4, 2), (13, 30), (16, 3)])
+def test_matching_statistics(size, kinds):
+    """Every place whose next ``size`` symbols occur twice, with the smallest owner of the interval."""
+    rng = np.random.default_rng(size)
+    runs = [rng.integers(0, kinds, int(rng.integers(size, size + 40))) for _ in range(60)]
+    runs += [np.concatenate([runs[i][-size:], rng.integers(0, kinds, 5), runs[i + 1][:size + 2]]) for i in range(20)]
+    runs += [np.zeros(3 * size, dtype=np.int64)]
+    flat, lengths = np.concatenate(runs).astype(np.uint64), np.array([len(r) for r in runs])
+    owner = rng.permutation(len(runs)).astype(np.int64)
+    seen = {}
+    for r, o in zip(runs, owner.tolist()):
+        for i in range(len(r) - size + 1):
+            key = tuple(r[i:i + size].tolist())
+            seen[key] = min(seen.get(key, o), o)
+    want = [seen[tuple(r[i:i + size].tolist())] for r in runs for i in range(len(r) - size + 1)]
+    assert substring.shard_matches(flat, lengths, owner, size).tolist() == want
+
+
+def test_compressed_bitmaps():
+    rng = np.random.default_rng(2)
+    for bits in (rng.random(1000) < 0.5, np.zeros(640, bool), np.ones(700, bool), np.repeat(rng.random(12) < 0.5, 100)):
+        at = np.arange(len(bits) + 1)
+        assert (substring.Bits(bits).ones(at) == np.concatenate([[0], np.cumsum(bits)])).all()
+        marks = bits.copy()
+        marks[0] = True
+        lo, hi = substring.Borders(marks).around(np.arange(len(bits)))
+        where = np.flatnonzero(marks)
+        place = np.searchsorted(where, np.arange(len(bits)), side="right")
+        assert (lo == where[place - 1]).all() and (hi == np.append(where, len(bits))[place]).all()
+    assert len(substring.Bits(np.repeat([True, False], 6400)).stored) == 1  # runs take no words
+
+
 def test_line_dedup(spark):
     docs = table(spark)
     rows = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None and r.text is not None)
