@@ -101,7 +101,9 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, train_rows: int
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other") \
         .filter(~held_out(5, 0))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).select("doc_id", "quality")
+    # one row of an id that repeats: the sample is bounded by rows, not by ids
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id") \
+        .groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")) \
         .repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), F.xxhash64("text")).select("text", "quality")
 
     def fit(batches):

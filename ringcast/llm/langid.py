@@ -198,7 +198,9 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, bits: int = BITS):
     rest = marked.join(F.broadcast(fair), ["lang", "doc_id"], "left_anti").select(*marked.columns) \
         .orderBy(*order).limit(max(0, train_docs - fair.count()))
     sample = fair.union(rest).select("lang", "doc_id")
+    # one row of an id that repeats: the sample is bounded by rows, not by ids
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(sample), ["lang", "doc_id"]) \
+        .groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")) \
         .repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), F.xxhash64("text")).select("lang", "text")
 
     def learn(batches):

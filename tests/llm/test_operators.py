@@ -433,6 +433,47 @@ def test_classifier(spark):
     assert {r.score for r in none} == {0.5}
 
 
+def test_ftrl_against_a_plain_loop():
+    """Weights after every example equal those of the update written out per coordinate."""
+    rng = np.random.default_rng(12)
+    model = classifier.Ftrl(20, l1=1.5)
+    z, n = [0.0] * 21, [0.0] * 21
+    a, b, l1, l2 = model.alpha, model.beta, model.l1, model.l2
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((b + math.sqrt(n[i])) / a + l2)
+
+    for _ in range(300):
+        at = np.append(np.sort(rng.choice(20, int(rng.integers(1, 6)), replace=False)), 20)
+        x, y = np.append(rng.random(len(at) - 1), 1.0), float(rng.random() < 0.4)
+        p = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in zip(at.tolist(), x.tolist()))))
+        step = [(i, (p - y) * v, weight(i)) for i, v in zip(at.tolist(), x.tolist())]
+        for i, g, w in step:
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / a
+            z[i] += g - sigma * w
+            n[i] += g * g
+        model.learn(at, x, y)
+    assert np.allclose(model.weights(), [weight(i) for i in range(21)], rtol=1e-9, atol=1e-12)
+    assert (model.weights() == 0).any() and (model.weights() != 0).any()
+
+
+def test_models_on_empty_tables_long_texts_and_repeated_ids(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, quality int")
+    assert classifier.classify(empty(spark), labels).count() == 0
+    assert langid.identify(empty(spark)).count() == 0
+    # one id that repeats without end is one row of the sample; one text is far longer than a chunk
+    rows = [(i, ("good words here " if i % 2 else "BAD!! ##1 ") * 5, "en" if i % 2 else "de") for i in range(50)]
+    rows += [(3, "good words here again", "en")] * 400 + [(7, "long text of words " * 200_000, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = classifier.classify(docs, labels).collect()
+    assert len(out) == len(rows) and {r.score for r in out if r.doc_id == 3} and all(0 <= r.score <= 1 for r in out)
+    assert sum(r.predicted == r.doc_id % 2 for r in out) > 0.9 * len(out)
+    found = langid.identify(docs).collect()
+    assert len(found) == len(rows) and sum((r.lang_pred == "en") == (r.doc_id % 2 == 1) for r in found) > 0.9 * len(found)
+
+
 def unigram():
     from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -560,6 +601,45 @@ def test_packing(spark, capacity):
     assert packing.pack(empty(spark)).count() == 0
 
 
+def plain_best_fit(lengths, capacity):
+    """Best-fit decreasing, piece by piece: the fullest sequence with room takes it."""
+    room = []
+    for length in sorted(lengths, reverse=True):
+        fits = [r for r in room if r >= length]
+        if fits:
+            room.remove(min(fits))
+            room.append(min(fits) - length)
+        else:
+            room.append(capacity - length)
+    return len(room)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_rounds_against_plain_best_fit(seed):
+    """As many sequences as the sequential algorithm, within one in a hundred, and every piece placed once without overlap."""
+    rng = random.Random(seed)
+    capacity = rng.choice([50, 256, 2048])
+    sizes = [[rng.randint(1, capacity) for _ in range(400)], [rng.choice([1, 7, capacity // 3, capacity // 2 + 1]) for _ in range(600)],
+             [min(capacity, int(rng.expovariate(4 / capacity)) + 1) for _ in range(1500)], [capacity // 3 + 1] * 300 + [capacity // 4] * 500][seed % 4]
+    counts = {}
+    for s in sizes:
+        counts[s] = counts.get(s, 0) + 1
+    given, lanes = {}, {}
+    for length, low, high, first, offset in packing.plan_rounds(counts, capacity):
+        for k in range(high - low):
+            given.setdefault(length, []).append(low + k)
+            lanes.setdefault(first + k, []).append((offset, length))
+    assert {s: sorted(r) for s, r in given.items()} == {s: list(range(n)) for s, n in counts.items()}
+    for lane in lanes.values():
+        at = 0
+        for offset, length in sorted(lane):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    plain = plain_best_fit(sizes, capacity)
+    assert len(lanes) <= plain + max(1, plain // 100)
+
+
 def test_plan_packs_equal_pieces_tightly():
     plan = packing.plan_rounds({100: 1000}, 2048)
     assert max(first + high - low for _, low, high, first, _ in plan) == 50
