@@ -89,7 +89,9 @@ def materialize(df, label: str = "table"):
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    table.stored_at = path
+    return table
 
 
 # Plan nodes over files or literal rows that read the same rows on every run.
