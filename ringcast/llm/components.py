@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringcast.llm.ship import drop
 from ringcast.session import materialize
 
 
@@ -26,18 +27,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .filter("u is not null and v is not null and u <> v").distinct()
     e = materialize(e, "cc")
     state = _state(e)
+    spark = edges.sparkSession
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "cc")
-        large = both.join(low, "u").filter("v > u").select(
+        low_of_all = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "cc")
+        large = both.join(low_of_all, "u").filter("v > u").select(
             F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         large = materialize(large, "cc")
         low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc")
+        drop(spark, e, low_of_all)
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*") \
             .filter("u <> v").distinct()
         e = materialize(small, "cc")
+        drop(spark, large, low)
         now = _state(e)
         if now == state:
             break

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from ringcast.llm import words as W
 from ringcast.llm.components import connected_components
+from ringcast.llm.ship import drop
 from ringcast.session import materialize
 
 SKETCH_BITS = 20
@@ -193,7 +194,10 @@ def _lists(post: DataFrame, light: int) -> DataFrame:
         F.when(F.col("length") > light, F.col("hub")).alias("hub"))
     # tokens of short lists before this one: no more of them can be shared before it
     before = Window.partitionBy("cls").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return lists.withColumn("before", F.coalesce(F.count_if(F.col("hub").isNull()).over(before), F.lit(0)))
+    lists = materialize(lists.withColumn("before", F.coalesce(F.count_if(F.col("hub").isNull()).over(before), F.lit(0))),
+                        "jaccard-lists")
+    drop(post.sparkSession, post, stats)
+    return lists
 
 
 def _fits(num: int, den: int, overlap: str, a: str, b: str) -> str:
@@ -360,18 +364,20 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     members = found.filter("part is null").select("doc_id", "cls", "n")
     counts = merge_sketch(found.filter("part is not null").select("part", "counts"))
     sketch = spark.sparkContext.broadcast(zlib.compress(counts.astype("<i8").tobytes(), 1))
-    lists = materialize(_lists(postings(docs, sketch, width, num, den), light), "jaccard-lists")
+    lists = _lists(postings(docs, sketch, width, num, den), light)
     pairs = materialize(_light_pairs(lists, light, num, den)
                         .union(_hub_pairs(lists, num, den)).distinct(), "jaccard-pairs")
     known = members.filter("n > 0")
     sets = materialize(_set_table(docs, known, pairs, width), "jaccard-texts")
     links = materialize(_verify(pairs, sets, num, den), "jaccard-links")
+    drop(spark, sets)
     labels = connected_components(links)
     more = materialize(_left_over(docs, known, lists, labels, pairs, width, num, den), "jaccard-more")
     if not more.isEmpty():
         sets = materialize(_set_table(docs, known, more, width), "jaccard-texts")
         labels = connected_components(links.union(_verify(more, sets, num, den)))
     labels = materialize(labels, "jaccard-labels")
+    drop(spark, lists, pairs, more, links)
     return _result(members, labels)
 
 

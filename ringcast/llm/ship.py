@@ -32,13 +32,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def drop(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete stored tables (of ``materialize``) that nothing reads any more."""
+    for table in tables:
+        remove_path(spark, table.stored_at)
+
+
 def let_go(spark: SparkSession, *tables: DataFrame) -> None:
     """After a step is stored: delete the stored tables that only it read, and have
     the driver collect what it no longer refers to, so that Spark's cleaner drops
     that step's shuffle files now, not some time later."""
-    for table in tables:
-        files = table.inputFiles()
-        if files:
-            remove_path(spark, files[0].rpartition("/")[0])
+    drop(spark, *tables)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
