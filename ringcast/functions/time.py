@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = "1970-01-01 00:00:00"
@@ -52,7 +52,6 @@ def trunc_ntz(unit: str, col) -> Column:
 
 def distinct_on(df: DataFrame, keys, order_by) -> DataFrame:
     """First row per ``keys`` in ``order_by`` order (``DISTINCT ON``)."""
-    key_cols = [keys] if isinstance(keys, str) else list(keys)
-    order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    w = Window.partitionBy(*key_cols).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    from ringcast.operators.fanout import latest_per_key
+
+    return latest_per_key(df, keys, order_by)

@@ -8,12 +8,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ringcast.functions import convert as cv
-from ringcast.functions.tokens import range_bound
+from ringcast.functions.tokens import multiplicative_token, range_bound
 from ringcast.operators import fanout as fo
 from ringcast.operators import ring, sketches
 from ringcast.operators.transform import transform
 from ringcast.plans.catalog import SPLITS, register, split_sql, tok_sql
 from ringcast.plans.catalog_params import ERROR_MARKERS, FAULTS
+from ringcast.plans.generate import EVENTS, events_of
 from ringcast.session import materialize, scratch_path
 from ringcast.sinks.writer import write
 from ringcast.sources.params import read_params
@@ -193,3 +194,25 @@ SELECT o_orderkey, o_totalprice / 2 AS half, CASE WHEN o_orderdate >= DATE'1995-
     rows = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
                               F.lit(f.nullable).alias("nullable"), F.col(f.name).alias("filled")) for f in out.schema.fields])
     return filled.select(F.inline(rows))
+
+
+def _pmod(x: str, m: int) -> str:
+    return f"((({x}) % {m}) + {m}) % {m}"
+
+
+@register("generate_events_rows", f"""
+WITH t AS (SELECT {tok_sql('l_orderkey * 8 + l_linenumber')} AS r1, {tok_sql('l_partkey * 16 + l_linenumber')} AS r2 FROM lineitem),
+h AS (SELECT r1, r2, lpad(lower(to_hex(r1)), 16, '0') AS a, lpad(lower(to_hex(r2)), 16, '0') AS b FROM t)
+SELECT a[1:8] || '-' || a[9:12] || '-' || a[13:16] || '-' || b[1:4] || '-' || b[5:16] AS id,
+  make_timestamp((1672531200000 + {_pmod('r1', 63072000000)}) * 1000) AS ts,
+  'dev-' || lpad(CAST({_pmod('r1', 10000)} AS VARCHAR), 5, '0') AS device_id,
+  'user-' || lpad(CAST({_pmod('r2', 100000)} AS VARCHAR), 6, '0') AS user_id,
+  {EVENTS!r}[{_pmod('r1', 20)} + 1] AS event, ({_pmod('r1', 1000000)}) / 100.0 AS value,
+  CAST({_pmod('r2', 10000)} AS INTEGER) AS count, {_pmod('r1', 2)} = 0 AS active
+FROM h""")
+def q_generate_events_rows(spark, d):
+    """Every generated column, from numbers that both engines compute."""
+    li = Tables(spark, d).lineitem
+    base = li.select(multiplicative_token(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("r1"),
+                     multiplicative_token(F.col("l_partkey") * 16 + F.col("l_linenumber")).alias("r2"))
+    return events_of(base).withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -44,9 +44,11 @@ EVENT_HOURS = [0, 1, 2]
 def bench_events(seed: DataFrame, key_cols) -> DataFrame:
     """One benchmark event per row of ``seed``, derived from its key columns."""
     keys = [F.col(c) for c in ([key_cols] if isinstance(key_cols, str) else key_cols)]
-    r1 = F.xxhash64(*keys, F.lit(1))
-    r2 = F.xxhash64(*keys, F.lit(2))
-    base = seed.select(r1.alias("r1"), r2.alias("r2"))
+    return events_of(seed.select(F.xxhash64(*keys, F.lit(1)).alias("r1"), F.xxhash64(*keys, F.lit(2)).alias("r2")))
+
+
+def events_of(base: DataFrame) -> DataFrame:
+    """The benchmark events of two 64-bit numbers ``r1`` and ``r2`` a row."""
     hex16 = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
     both = F.concat(hex16(F.col("r1")), hex16(F.col("r2")))
     uuid = F.regexp_replace(both, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")

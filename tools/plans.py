@@ -35,14 +35,17 @@ def plans(spark, t):
                            on={"c_custkey": "o_custkey"}))
     yield ("Per-set COUNT: semi join with the set keys, count per key, join to the sets",
            fo.fanout_count(t.orders, sets, on={"c_custkey": "o_custkey"}))
-    yield ("Query text per parameter row (LATERAL) with LIMIT: Catalyst ranks every key, then joins "
-           "(for few sets over a large table, fanout_limit above joins first)",
+    yield ("A range per set: an equality join on width class and bucket, the range on top",
+           fo.fanout(t.orders, t.nation.select((F.col("n_nationkey") * F.lit(20000.0)).alias("lo"),
+                                               (F.col("n_nationkey") * F.lit(20000.0) + 500.0).alias("hi")),
+                     between=("o_totalprice", "lo", "hi")))
+    yield ("Query text per parameter row (LATERAL) with LIMIT: semi join with the asked keys below the ranking",
            fo.query_fanout(spark, "SELECT * FROM orders WHERE o_custkey = :k "
                                   "ORDER BY o_orderdate DESC, o_orderkey LIMIT 2",
                            sets.select(F.col("c_custkey").alias("k")),
                            tables={"orders": t.orders}))
-    yield ("Query text per parameter row with an aggregate, as planned for a large table "
-           "(runtime bloom filter of the set keys in the scan: might_contain)",
+    yield ("Query text per parameter row with an aggregate, as planned for a large table: semi join with "
+           "the asked keys below the first exchange",
            _large_table(spark, lambda: fo.query_fanout(
                spark, "SELECT COUNT(*) AS n FROM orders WHERE o_custkey = :k",
                machinery.select(F.col("c_custkey").alias("k")), tables={"orders": t.orders})))
