@@ -194,10 +194,9 @@ def _with_words(spots: DataFrame, docs: DataFrame, size: int) -> DataFrame:
 
 
 def _top_bit(word: np.ndarray) -> np.ndarray:
-    """Place of the highest bit that is set."""
-    for shift in (1, 2, 4, 8, 16, 32):
-        word = word | (word >> np.uint64(shift))
-    return np.bitwise_count(word).astype(np.int64) - 1
+    """Place of the highest bit that is set (the bit below it is cleared, so that
+    no double rounds up)."""
+    return np.frexp((word & ~(word >> np.uint64(1))).astype(np.float64))[1].astype(np.int64) - 1
 
 
 def _pack_bits(bits: np.ndarray) -> np.ndarray:
@@ -206,10 +205,14 @@ def _pack_bits(bits: np.ndarray) -> np.ndarray:
     return np.packbits(padded, bitorder="little").view(np.uint64)
 
 
+_BIT = np.uint64(1) << np.arange(64, dtype=np.uint64)
+_LOW = _BIT - np.uint64(1)  # the bits below each of 64
+
+
 class Bits:
-    """A bitmap with rank, compressed by words: words of 64 equal bits are not
-    stored. A directory holds each word's ones before it and the stored word's
-    number (-1: all zeros, -2: all ones)."""
+    """A bitmap with rank. A directory holds the ones before each word. Where half
+    the words are of 64 equal bits or more, those are stored once and the directory
+    also has the stored words' numbers."""
 
     FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -218,42 +221,51 @@ class Bits:
         self.before = np.zeros(len(words), dtype=np.int32)
         np.cumsum(np.bitwise_count(words[:-1]), out=self.before[1:])
         mixed = (words != 0) & (words != self.FULL)
-        self.stored = words[mixed] if mixed.any() else np.zeros(1, dtype=np.uint64)
-        self.number = np.where(words == 0, -1, -2).astype(np.int32)
-        self.number[mixed] = np.arange(mixed.sum(), dtype=np.int32)
+        self.stored, self.number = words, None
+        if 2 * int(mixed.sum()) > len(words):
+            return
+        self.stored = np.concatenate([np.array([0, self.FULL], dtype=np.uint64), words[mixed]])
+        self.number = (words == self.FULL).astype(np.int32)
+        self.number[mixed] = np.arange(2, len(self.stored), dtype=np.int32)
 
     def ones(self, at: np.ndarray) -> np.ndarray:
         """How many bits are set before each place."""
         block = at >> 6
-        number = self.number[block]
-        word = np.where(number >= 0, self.stored[np.maximum(number, 0)], np.where(number == -1, np.uint64(0), self.FULL))
-        low = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[block] + np.bitwise_count(word & low)
+        word = self.stored[block if self.number is None else self.number[block]]
+        return self.before[block] + np.bitwise_count(word & _LOW[at & 63])
 
 
 class Borders:
-    """The places where sorted suffixes differ in their first symbols: for a
-    place, the interval of suffixes that share them."""
-
-    def __init__(self, bits: np.ndarray):
-        self.n = len(bits)
-        self.words = _pack_bits(bits)
-        held = np.flatnonzero(self.words)
-        at = np.searchsorted(held, np.arange(len(self.words)), side="right")
-        self.last = held[np.maximum(at - 1, 0)].astype(np.int32)  # place 0 is a border: the first word holds one
-        self.next = np.append(held, len(self.words))[np.searchsorted(held, np.arange(len(self.words) + 1))].astype(np.int32)
-
-    def around(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(last border up to each place, first one after it)."""
-        block = at >> 6
-        upto = (np.uint64(2) << (at & 63).astype(np.uint64)) - np.uint64(1)  # 2 << 63 is 0: all bits
-        word = self.words[block] & upto
-        before = self.last[np.maximum(block - 1, 0)]
-        lo = np.where(word != 0, block * 64 + _top_bit(word), before * 64 + _top_bit(self.words[before]))
-        word = self.words[block] & ~upto
-        after = np.where(word != 0, block, self.next[block + 1])
-        there = after < len(self.words)
-        word = np.where(word != 0, word, self.words[np.where(there, after, 0)])
+    """For each number of first symbols, the places where sorted suffixes differ in
+    them: for a place, the interval of suffixes that share them. ``add`` takes the
+    bitmaps in order of that number; their first bit is set."""
+
+    def __init__(self, n: int, depth: int):
+        self.n, self.width = n, (n >> 6) + 1
+        self.words = np.zeros((depth + 1, self.width), dtype=np.uint64)
+        self.last = np.zeros((depth + 1, self.width), dtype=np.int32)
+        self.next = np.zeros((depth + 1, self.width + 1), dtype=np.int32)
+
+    def add(self, length: int, bits: np.ndarray) -> None:
+        words = self.words[length] = _pack_bits(bits)
+        held = np.flatnonzero(words)
+        self.last[length] = held[np.searchsorted(held, np.arange(self.width), side="right") - 1]
+        self.next[length] = np.append(held, self.width)[np.searchsorted(held, np.arange(self.width + 1))]
+
+    def around(self, length: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(last border up to each place, first one after it), each by its number of symbols."""
+        block, bit = at >> 6, at & 63
+        own = self.words[length, block]
+        upto = _LOW[bit] | _BIT[bit]
+        word = own & upto
+        # the word before: only read where this one has no border up to the place
+        before = np.where(word != 0, block, self.last[length, np.maximum(block - 1, 0)])
+        word = np.where(word != 0, word, self.words[length, before])
+        lo = before.astype(np.int64) * 64 + _top_bit(word)
+        word = own & ~upto
+        after = np.where(word != 0, block, self.next[length, block + 1]).astype(np.int64)
+        there = after < self.width
+        word = np.where(word != 0, word, self.words[length, np.where(there, after, 0)])
         lowest = np.bitwise_count((word & (~word + np.uint64(1))) - np.uint64(1)).astype(np.int64)
         return lo, np.where(there, after * 64 + lowest, self.n)
 
@@ -264,7 +276,7 @@ class FMIndex:
     that length. The wavelet matrix's bitmaps are compressed (:class:`Bits`); no
     suffix array is kept, ``of_place`` gives each place's owner and the index keeps
     the owners' ranks in the order of the suffixes, in the fewest bytes that hold
-    them. ``borders[l]`` are the intervals of equal first l symbols, so a match
+    them. ``borders`` are the intervals of equal first symbols, so a match
     can be shortened to its first l symbols (the parent in the suffix tree)."""
 
     def __init__(self, text: np.ndarray, depth: int, of_place: np.ndarray | None = None):
@@ -287,43 +299,43 @@ class FMIndex:
             ones = (last >> bit) & 1 == 1
             self.levels.append((bit, Bits(ones), n - int(ones.sum())))
             last = np.concatenate([last[~ones], last[ones]])
-        self.n, self.borders = n, []
+        # where each symbol's places begin below the last level
+        self.begin = self._down(np.arange(self.sigma), np.zeros(self.sigma, dtype=np.int64))
+        self.n = n
         if of_place is not None:
             self.owners, own = np.unique(of_place, return_inverse=True)
             self.own = own[places].astype(np.min_scalar_type(len(self.owners)))
             differ = np.zeros(n, dtype=bool)
             differ[0] = True
+            self.common = np.zeros(n + 1, dtype=np.uint8)  # symbols shared with the suffix before, up to depth
+            self.borders = Borders(n, depth)
             for step in range(depth):
-                self.borders.append(Borders(differ))  # borders[l]: after l symbols
+                self.borders.add(step, differ)
                 symbol = text[np.minimum(places.astype(np.int64) + step, n - 1)]
                 differ = differ | np.append(True, symbol[1:] != symbol[:-1])
-            self.borders.append(Borders(differ))
+                self.common[:n] += ~differ
+            self.borders.add(depth, differ)
 
-    def _occurrences(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How often each symbol is in the BWT before each place."""
-        begin = np.zeros(len(at), dtype=np.int64)
+    def _down(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Places of the top level followed to the last one along each symbol's bits."""
         for bit, bits, zeros in self.levels:
-            one = (symbol >> bit) & 1 == 1
-            both = []
-            for x in (begin, at):
-                ones = bits.ones(x)
-                both.append(np.where(one, zeros + ones, x - ones))
-            begin, at = both
-        return at - begin
+            ones = bits.ones(at)
+            at = np.where((symbol >> bit) & 1 == 1, zeros + ones, at - ones)
+        return at
 
     def extend(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray):
         """One step of backward search for many intervals."""
-        base = self.first[symbol]
-        both = self._occurrences(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
+        base = self.first[symbol] - self.begin[symbol]
+        both = self._down(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
         return base + both[:len(lo)], base + both[len(lo):]
 
+    def parents(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """How many of their first symbols the intervals share with a neighbour."""
+        return np.maximum(self.common[lo], self.common[hi]).astype(np.int64)
+
     def shorten(self, length: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The intervals of the matches' first ``length`` symbols."""
-        out_lo, out_hi = np.empty_like(lo), np.empty_like(lo)
-        for one in np.unique(length).tolist():
-            some = length == one
-            out_lo[some], out_hi[some] = self.borders[one].around(lo[some])
-        return out_lo, out_hi
+        return self.borders.around(length, lo)
 
     def least_owner(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """The smallest owner in each interval (equal or disjoint ones, none empty)."""
@@ -354,7 +366,11 @@ def matching_statistics(index: FMIndex, text: np.ndarray, begin: np.ndarray, len
         if len(full):  # the first size - 1 symbols can be extended to size
             matched[full] = size - 1
             lo[full], hi[full] = index.shorten(matched[full], lo[full])
-        symbol, todo = text[place], live
+        symbol = text[place]
+        alone = index.first[symbol + 1] - index.first[symbol] <= 1
+        none = live[alone]  # the symbol is nowhere else: an empty match
+        matched[none], lo[none], hi[none] = 0, 0, index.n
+        todo = live[~alone]
         while len(todo):
             a, b = index.extend(symbol[todo], lo[todo], hi[todo])
             more = b - a > 1
@@ -362,10 +378,8 @@ def matching_statistics(index: FMIndex, text: np.ndarray, begin: np.ndarray, len
             lo[done], hi[done] = a[more], b[more]
             matched[done] += 1
             todo = todo[~more]
-            none = todo[matched[todo] == 0]  # the symbol itself is nowhere else: an empty match
-            lo[none], hi[none] = 0, index.n
-            todo = todo[matched[todo] > 0]
-            matched[todo] -= 1
+            # the longest start of the match that is in a larger interval
+            matched[todo] = np.minimum(matched[todo] - 1, index.parents(lo[todo], hi[todo]))
             lo[todo], hi[todo] = index.shorten(matched[todo], lo[todo])
         whole = live[matched[live] == size]
         if len(whole):

@@ -200,11 +200,14 @@ def test_compressed_bitmaps():
         assert (substring.Bits(bits).ones(at) == np.concatenate([[0], np.cumsum(bits)])).all()
         marks = bits.copy()
         marks[0] = True
-        lo, hi = substring.Borders(marks).around(np.arange(len(bits)))
+        borders = substring.Borders(len(bits), 1)
+        borders.add(0, np.arange(len(bits)) == 0)
+        borders.add(1, marks)
+        lo, hi = borders.around(np.ones(len(bits), dtype=np.int64), np.arange(len(bits)))
         where = np.flatnonzero(marks)
         place = np.searchsorted(where, np.arange(len(bits)), side="right")
         assert (lo == where[place - 1]).all() and (hi == np.append(where, len(bits))[place]).all()
-    assert len(substring.Bits(np.repeat([True, False], 6400)).stored) == 1  # runs take no words
+    assert len(substring.Bits(np.repeat([True, False], 6400)).stored) == 2  # runs take no words
 
 
 def test_line_dedup(spark):
