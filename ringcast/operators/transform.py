@@ -48,7 +48,7 @@ def check_query_text(sql: str) -> str:
         text = text[:-1].rstrip()
     if not text:
         raise TransformError("transform SQL is empty")
-    found = statement_kind(active_session(), text)
+    found = statement_kind(active_session(), sql)  # the text as it is: open comments too are the parser's to refuse
     if found is not None:
         raise TransformError(f"transform must be a query, found {found}")
     return text
