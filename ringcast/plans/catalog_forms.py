@@ -90,8 +90,11 @@ INTERSECT ALL SELECT o_custkey FROM source WHERE o_orderstatus = 'F'""")
 _sql_pair("sql_series", "nation", """
 SELECT n_nationkey, k FROM source LATERAL VIEW explode(sequence(1, CAST(n_nationkey AS INT) + 1)) v AS k""", """
 SELECT n_nationkey, CAST(unnest(range(1, n_nationkey + 2)) AS INTEGER) AS k FROM nation""")
-# Estimates within five standard errors (5 %) of the exact figure.
+# Estimates within five standard errors (5 %) of the exact figure. Each figure is
+# grouped by itself: beside a COUNT(DISTINCT) Spark keeps one sketch (13 KB) per
+# group and distinct key.
 _sql_pair("sql_approx_bound", "lineitem", """
-SELECT l_returnflag, ABS(approx_count_distinct(l_orderkey, 0.01) - COUNT(DISTINCT l_orderkey))
-  <= 0.05 * COUNT(DISTINCT l_orderkey) AS within_bound
-FROM source GROUP BY l_returnflag""", "SELECT DISTINCT l_returnflag, true AS within_bound FROM lineitem")
+SELECT e.l_returnflag, ABS(a.estimate - e.exact) <= 0.05 * e.exact AS within_bound
+FROM (SELECT l_returnflag, COUNT(DISTINCT l_orderkey) AS exact FROM source GROUP BY l_returnflag) e
+JOIN (SELECT l_returnflag, approx_count_distinct(l_orderkey, 0.01) AS estimate FROM source GROUP BY l_returnflag) a
+  ON e.l_returnflag <=> a.l_returnflag""", "SELECT DISTINCT l_returnflag, true AS within_bound FROM lineitem")
